@@ -109,7 +109,8 @@ def earliest(value: Column, where: Column | None = None, ts: str = "event_time",
 def round_half_up(col: str | Column, digits: int = 6) -> Column:
     """Round with plain IEEE arithmetic, reproducible in any SQL engine."""
     scale = float(10 ** digits)
-    return (F.floor(c(col) * scale + 0.5) / scale).cast("double")
+    x = c(col).cast("double")
+    return F.when(F.abs(x) < 1e9, F.floor(x * scale + 0.5) / scale).otherwise(x).cast("double")
 
 
 def ts_text(col: str | Column) -> Column:

@@ -63,7 +63,9 @@ CLEANED_CTES = [CTE_CLICKSTREAM, CTE_CLEANED]
 
 def r6(expr: str) -> str:
     """Half-up rounding to 6 decimals, identical to ``round_half_up``."""
-    return f"CAST(floor(({expr}) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE)"
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"CAST(CASE WHEN abs({x}) < 1e9 THEN floor({x} * 1000000.0 + 0.5) / 1000000.0 "
+            f"ELSE {x} END AS DOUBLE)")
 
 
 def ts(expr: str) -> str:
