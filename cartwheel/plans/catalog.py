@@ -73,4 +73,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from cartwheel.plans import queries_batch, queries_model, queries_profile  # noqa: F401
+    from cartwheel.plans import queries_batch, queries_model, queries_profile, queries_stream  # noqa: F401,E501
