@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import materialize
+
 
 def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                      name: str = "row_number", partitions: int | None = None) -> DataFrame:
@@ -22,7 +24,10 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
     (``order`` must be a total order, e.g. end with a unique key)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     keys = [F.col(g) for g in group]
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id())
+    # Range boundaries come from sampling, and a shuffled input has no fixed
+    # row order, so two evaluations may cut differently: materialise once.
+    ranged = materialize(df.repartitionByRange(n, *keys, *order)).withColumn(
+        "_part", F.spark_partition_id())
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*order)))
     sizes = ranged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_size"))
@@ -30,9 +35,8 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
         "_offset",
         F.coalesce(F.sum("_size").over(Window.partitionBy(*group).orderBy("_part")
                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # Both sides read the same range exchange inside ONE plan (Spark reuses
-    # it), so partition ids agree; the offset table has one row per
-    # (partition, group) and AQE broadcasts it when it is small at run time.
+    # The offset table has one row per (partition, group); AQE broadcasts it
+    # when it is small at run time.
     out = local.join(before.select("_part", *group, "_offset"), ["_part", *group], "inner")
     return out.withColumn(name, (F.col("_offset") + F.col("_rn")).cast("long")).drop(
         "_part", "_rn", "_offset")

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import materialize
+
 DEFAULT_INDEX_PARTITIONS = 8
 
 
@@ -28,7 +30,10 @@ def index_table(df: DataFrame, key: str, idx: str | None = None,
               .agg(F.count(F.lit(1)).alias("frequency"))
               .withColumn("_label", F.col(key).cast("string")))
     order = [F.desc("frequency"), F.asc("_label")]
-    ranged = counts.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    # sampled range boundaries depend on row order, which a shuffle does not
+    # fix: materialise once so every use sees the same partitions
+    ranged = materialize(counts.repartitionByRange(n, *order)).withColumn(
+        "_part", F.spark_partition_id())
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

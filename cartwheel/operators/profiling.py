@@ -145,11 +145,25 @@ def session_size_summary(df: DataFrame, session: str = "user_session") -> DataFr
         F.percentile(n, 0.75).alias("p75"), F.max(n).alias("max"))
 
 
-def session_duration(df: DataFrame, session: str = "user_session") -> DataFrame:
-    """Mean and median session length in minutes (last - first event)."""
+def session_duration(df: DataFrame, session: str = "user_session", exact: bool = False,
+                     accuracy: int = 10000) -> DataFrame:
+    """Mean and median session length in minutes (last - first event).
+
+    The exact median keeps a count per distinct length in one final task
+    (about one per session at scale), so the default is the sketch.
+    """
     per = df.filter(F.col(session).isNotNull()).groupBy(session).agg(
         ((F.unix_micros(F.max("event_time")) - F.unix_micros(F.min("event_time"))) / 6.0e7)
         .alias("minutes"))
+    median = (F.percentile("minutes", 0.5) if exact
+              else F.percentile_approx("minutes", 0.5, accuracy))
     return per.agg(F.avg("minutes").alias("mean_minutes"),
-                   F.percentile("minutes", 0.5).alias("median_minutes"),
+                   median.alias("median_minutes"),
                    F.count(F.lit(1)).alias("sessions"))
+
+
+def top_viewed(df: DataFrame, col: str = "product_id", k: int = 10) -> DataFrame:
+    """The ``k`` most viewed values of ``col`` (ties by value)."""
+    v = df.filter(F.col("event_type") == F.lit("view")).filter(F.col(col).isNotNull())
+    g = v.groupBy(col).agg(F.count(F.lit(1)).alias("views"))
+    return g.orderBy(F.desc("views"), F.asc(col)).limit(k)

@@ -73,4 +73,10 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from cartwheel.plans import queries_batch, queries_model, queries_profile, queries_stream  # noqa: F401,E501
+    from cartwheel.plans import (  # noqa: F401
+        queries_batch,
+        queries_model,
+        queries_profile,
+        queries_spec,
+        queries_stream,
+    )

@@ -166,7 +166,7 @@ def q_session_size_summary(spark, sf_dir):
     ctes=BASE_CTES))
 def q_session_duration(spark, sf_dir):
     """Mean and median session length in minutes."""
-    return profiling.session_duration(clickstream(spark, sf_dir))
+    return profiling.session_duration(clickstream(spark, sf_dir), exact=True)
 
 
 # ------------------------------------------------------------------ products
