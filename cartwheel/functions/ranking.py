@@ -26,8 +26,8 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
     keys = [F.col(g) for g in group]
     # Range boundaries come from sampling, and a shuffled input has no fixed
     # row order, so two evaluations may cut differently: materialise once.
-    ranged = materialize(df.repartitionByRange(n, *keys, *order)).withColumn(
-        "_part", F.spark_partition_id())
+    ranged = materialize(df.repartitionByRange(n, *keys, *order).withColumn(
+        "_part", F.spark_partition_id()))
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*order)))
     sizes = ranged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_size"))

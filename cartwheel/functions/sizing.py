@@ -1,15 +1,18 @@
 """Size-checked broadcast joins and lineage cuts.
 
-A table is broadcast only after it has been materialised and its row count
+A table is broadcast only after it has been computed and its row count
 checked; above the bound the join stays a shuffle join, where AQE can split
-skewed keys. Materialisation uses a reliable checkpoint in the folder the
-cluster names in ``spark.checkpoint.dir`` (never a machine-local folder).
+skewed keys. Large intermediate tables are cut from their lineage with a
+reliable checkpoint in the folder the cluster names in
+``spark.checkpoint.dir`` (never a machine-local folder).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +35,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
+    and read it back. Unlike an RDD checkpoint the data is computed once,
+    stored columnar, and later readers get column pruning and filter
+    pushdown; the files survive the loss of any executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` and report whether it holds at most ``max_rows`` rows."""
-    m = materialize(df)
+    """Compute ``df`` once (cached, recomputable from lineage if an executor
+    is lost) and report whether it holds at most ``max_rows`` rows."""
+    m = df.persist(StorageLevel.MEMORY_AND_DISK)
     return m, m.limit(max_rows + 1).count() <= max_rows
 
 

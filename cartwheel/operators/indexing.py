@@ -32,8 +32,8 @@ def index_table(df: DataFrame, key: str, idx: str | None = None,
     order = [F.desc("frequency"), F.asc("_label")]
     # sampled range boundaries depend on row order, which a shuffle does not
     # fix: materialise once so every use sees the same partitions
-    ranged = materialize(counts.repartitionByRange(n, *order)).withColumn(
-        "_part", F.spark_partition_id())
+    ranged = materialize(counts.repartitionByRange(n, *order).withColumn(
+        "_part", F.spark_partition_id()))
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type
+from cartwheel.operators.cleaning import hour_bucket_text
 from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
 
 
@@ -29,7 +30,7 @@ def activity(df: DataFrame, bucket: Column, name: str, exact: bool = True) -> Da
 
 def hourly_activity(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     """Keyed by the text bucket ``yyyy-MM-dd HH:00:00`` (as written)."""
-    bucket = F.date_format(F.date_trunc("hour", "event_time"), "yyyy-MM-dd HH:00:00")
+    bucket = hour_bucket_text(F.col("event_time"))
     return activity(cleaned, bucket, "hour_bucket", exact)
 
 

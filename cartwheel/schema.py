@@ -103,7 +103,7 @@ def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
         _adapter_price(F.col("event_id"), F.col("value")).alias("price"),
         F.col("user_id").cast("string").alias("user_id"),
         F.concat(
-            F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")
+            F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")
         ).alias("user_session"),
     )
 
