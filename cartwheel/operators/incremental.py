@@ -23,13 +23,19 @@ from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
 
 SUMS = ["total_events", "views", "carts", "purchases", "removes", "monetary", "price_sum",
         "price_n"]
-DISTINCT_KINDS = {
-    "active_days": F.to_date("event_time").cast("string"),
-    "unique_products": F.col("product_id").cast("string"),
-    "unique_categories": F.col("category_code"),
-    "unique_brands": F.col("brand"),
-    "unique_sessions": F.col("user_session"),
-}
+DISTINCT_KINDS = ["active_days", "unique_products", "unique_categories", "unique_brands",
+                  "unique_sessions"]
+
+
+def _distinct_values():
+    """Column of each distinct kind (built lazily: needs an active session)."""
+    return {
+        "active_days": F.to_date("event_time").cast("string"),
+        "unique_products": F.col("product_id").cast("string"),
+        "unique_categories": F.col("category_code"),
+        "unique_brands": F.col("brand"),
+        "unique_sessions": F.col("user_session"),
+    }
 
 
 def partial_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,7 +48,7 @@ def partial_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.sum("price").alias("price_sum"), F.count("price").alias("price_n"),
         F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"))
     items = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("string").alias("key"))
-                      for k, v in DISTINCT_KINDS.items()])
+                      for k, v in _distinct_values().items()])
     keys = (events.select("user_id", F.explode(items).alias("e"))
             .select("user_id", "e.kind", "e.key").filter(F.col("key").isNotNull()).distinct())
     return stats, keys
@@ -88,4 +94,4 @@ def sketch_state(events: DataFrame, lg_k: int = 12) -> DataFrame:
     """Approximate variant: one HLL sketch per user and distinct kind; merge
     with ``hll_union_agg`` and read with ``hll_sketch_estimate``."""
     return events.groupBy("user_id").agg(
-        *[F.hll_sketch_agg(v, lg_k).alias(k) for k, v in DISTINCT_KINDS.items()])
+        *[F.hll_sketch_agg(v, lg_k).alias(k) for k, v in _distinct_values().items()])

@@ -1,8 +1,9 @@
 """DuckDB twins of the Spark plans, used as the correctness oracle.
 
 Each oracle query is ``WITH <shared CTEs> <query>``. Results are compared
-after the same normalisation on both sides: doubles rounded half-up to 6
-decimals with plain IEEE arithmetic, timestamps as fixed-width text.
+after the same normalisation on both sides: doubles quantised to 6 decimals
+with plain IEEE arithmetic (boundary off the half point), timestamps as
+fixed-width text.
 """
 
 from __future__ import annotations
@@ -62,9 +63,9 @@ CLEANED_CTES = [CTE_CLICKSTREAM, CTE_CLEANED]
 
 
 def r6(expr: str) -> str:
-    """Half-up rounding to 6 decimals, identical to ``round_half_up``."""
+    """Quantisation to 6 decimals, identical to ``round_half_up``."""
     x = f"CAST({expr} AS DOUBLE)"
-    return (f"CAST(CASE WHEN abs({x}) < 1e9 THEN floor({x} * 1000000.0 + 0.5) / 1000000.0 "
+    return (f"CAST(CASE WHEN abs({x}) < 1e9 THEN floor({x} * 1000000.0 + 0.6234567) / 1000000.0 "
             f"ELSE {x} END AS DOUBLE)")
 
 
