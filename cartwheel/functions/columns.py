@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,17 +94,46 @@ def event_order(ts: str = "event_time", key: str = "event_id") -> Column:
     return F.struct(F.col(ts), F.col(key))
 
 
-def earliest(value: Column, where: Column | None = None, ts: str = "event_time",
-             key: str = "event_id") -> Column:
-    """Value of the earliest row (optionally among rows matching ``where``).
+# Fixed-width order key: (event time, event id) packed into one decimal(38,0)
+# = micros * 10^20 + (event_id + 2^63). A NULL time sorts first, as in an
+# ascending window order. Unlike a struct, a decimal is a mutable field of
+# Spark's aggregation buffer, so min(key) stays in a hash aggregation.
+_ID_SHIFT = 2 ** 63
+_TIME_SCALE = 10 ** 20
+_NULL_TIME = -(10 ** 17)
 
-    ``min_by`` is a partial aggregate, so a hot group is reduced map-side
-    instead of being sorted inside one task as a window would be.
+
+def _dec(v: int) -> Column:
+    return F.lit(Decimal(v)).cast("decimal(38,0)")
+
+
+def order_key(ts: str = "event_time", key: str = "event_id") -> Column:
+    """(time, key) packed into one ``decimal(38,0)``, ordered like the pair."""
+    micros = F.coalesce(F.unix_micros(F.col(ts)), F.lit(_NULL_TIME)).cast("decimal(38,0)")
+    shifted = (F.col(key).cast("decimal(38,0)") + _dec(_ID_SHIFT)).cast("decimal(38,0)")
+    return (micros * _dec(_TIME_SCALE) + shifted).cast("decimal(38,0)")
+
+
+def earliest_values(df, keys, value: str | Column, name: str, where: Column | None = None,
+                    extra=(), skip_null_values: bool = False):
+    """Per ``keys``: the ``value`` of the earliest row (optionally among rows
+    matching ``where``), as a DataFrame ``keys..., name``.
+
+    Two aggregations: min(order key) per (keys, value) — a hash aggregation
+    combined map-side, so a hot group never sits in one task — then, over
+    that small table, the value with the smallest key. ``extra`` adds
+    aggregate columns computed on the (keys, value) level, as
+    ``(level1_column, level2_function)`` pairs keyed by output name.
+    ``skip_null_values`` takes the earliest non-NULL value instead.
     """
-    order = event_order(ts, key)
-    if where is not None:
-        order = F.when(where, order)
-    return F.min_by(value, order)
+    src = df if where is None else df.filter(where)
+    v = c(value).alias("_v")
+    lvl1 = [F.min(order_key()).alias("_k")] + [e[0].alias(f"_{n}") for n, e in dict(extra).items()]
+    pairs = src.groupBy(*keys, v).agg(*lvl1)
+    order = F.when(F.col("_v").isNotNull(), F.col("_k")) if skip_null_values else F.col("_k")
+    lvl2 = [F.min_by("_v", order).alias(name)] + [e[1](F.col(f"_{n}")).alias(n)
+                                                  for n, e in dict(extra).items()]
+    return pairs.groupBy(*keys).agg(*lvl2)
 
 
 # Offset of the quantisation boundary used for result comparison. Averages of

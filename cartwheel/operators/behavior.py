@@ -11,6 +11,9 @@ n>>`` with one element per distinct value and its view count. The bag holds
 the same multiset, is bounded by the category/brand domain instead of by
 the user's row count, and is built by a pre-aggregation on (user, value)
 that is combined map-side, so a hot user is never collected in one task.
+The earliest viewed category comes from the same (user, category) table
+(min of a fixed-width event-order key), so the main per-user aggregation
+keeps only fixed-width buffers and runs as a hash aggregation.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ from cartwheel.functions.columns import (
     cart_abandonment,
     conversion_rate,
     count_type,
-    earliest,
+    earliest_values,
     is_type,
+    order_key,
     rfm_score,
     safe_ratio,
 )
@@ -40,12 +44,24 @@ def _distinct(exact: bool):
 
 
 def value_bag(df: DataFrame, value: str, where: Column | None = None, key: str = "user_id",
-              name: str | None = None) -> DataFrame:
-    """Per key: sorted ``array<struct<value, n>>`` of (distinct value, rows)."""
+              name: str | None = None, first: str | None = None) -> DataFrame:
+    """Per key: sorted ``array<struct<value, n>>`` of (distinct value, rows).
+
+    ``first`` also returns the earliest non-NULL value under that name (taken
+    from the same small (key, value) table, see ``earliest_values``).
+    """
     src = df if where is None else df.filter(where)
-    pairs = src.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    item = F.struct(F.col(value).cast("string").alias("value"), F.col("n"))
-    return pairs.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias(name or f"{value}_bag"))
+    pairs = src.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"),
+                                        F.min(order_key()).alias("_k"))
+    items = F.collect_list(F.struct(F.col("_k"), F.col(value).cast("string").alias("value"),
+                                    F.col("n")))
+    bag = pairs.groupBy(key).agg(items.alias("_items"))
+    cols = [F.col(key), F.array_sort(F.transform("_items", lambda x: F.struct(x["value"], x["n"])))
+            .alias(name or f"{value}_bag")]
+    if first:
+        cols.append(F.array_min(F.filter("_items", lambda x: x["value"].isNotNull()))["value"]
+                    .alias(first))
+    return bag.select(*cols)
 
 
 def bag_text(col: str | Column) -> Column:
@@ -83,8 +99,6 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
         cd("product_id").alias("unique_products"),
         cd("category_code").alias("unique_categories"),
         cd("brand").alias("unique_brands"),
-        earliest(F.col("category_code"), where=view & F.col("category_code").isNotNull())
-        .alias("main_category"),
     )
     out = agg.select(
         "*",
@@ -93,10 +107,15 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
         cart_abandonment("nb_carts", "nb_purchases").alias("cart_abandonment"),
         (F.datediff("last_seen", "first_seen") + 1).alias("engagement_days"),
     ).withColumn("rfm_score", rfm_score("recency", "frequency", "monetary"))
+    # both tables are aggregated by user_id like ``out``: the joins need no
+    # further shuffle (or AQE broadcasts them when they are small)
+    cats = value_bag(cleaned, "category_code", view, name="viewed_categories",
+                     first="main_category")
     if with_lists:
-        cats = value_bag(cleaned, "category_code", view, name="viewed_categories")
         brands = value_bag(cleaned, "brand", view, name="viewed_brands")
         out = out.join(cats, "user_id", "left").join(brands, "user_id", "left")
+    else:
+        out = out.join(cats.select("user_id", "main_category"), "user_id", "left")
     cols = [
         "user_id", "nb_events", "nb_views", "nb_carts", "nb_purchases", "nb_removes",
         "avg_price", "avg_price_purchased", "nb_sessions", "first_seen", "last_seen",
@@ -145,10 +164,8 @@ def user_features(cleaned: DataFrame, exact: bool = True) -> DataFrame:
 def first_viewed_category(cleaned: DataFrame) -> DataFrame:
     """Per user, the category of the earliest view (NULL without views)."""
     view = is_type(VIEW)
-    return cleaned.groupBy("user_id").agg(
-        earliest(F.col("category_code"), where=view & F.col("category_code").isNotNull())
-        .alias("main_category")
-    )
+    return earliest_values(cleaned, ["user_id"], "category_code", "main_category",
+                           where=view & F.col("category_code").isNotNull())
 
 
 def visit_frequency(cleaned: DataFrame, exact: bool = True) -> DataFrame:

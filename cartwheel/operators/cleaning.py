@@ -12,9 +12,9 @@ Reference semantics, with the ambiguities fixed (see README):
 
 Scale: the reference computed the first brand with a window partitioned by
 category, which puts one third of all rows ("unknown") into one task. Here
-one ``groupBy(category)`` with ``min_by``/``avg`` (partial aggregates, combined
-map-side) yields one row per category; that table is broadcast after its
-size is checked. Quartiles are a scalar subquery, so no value round-trips
+a hash aggregation per (category, brand) — combined map-side — and a second
+one over that small table yield one row per category; that table is
+broadcast after its size is checked. Quartiles are a scalar subquery, so no value round-trips
 through the driver.
 """
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import earliest, top_category
+from cartwheel.functions.columns import earliest_values, top_category
 from cartwheel.functions.sizing import DEFAULT_BROADCAST_ROWS, join_small
 
 # Price bounds are [0.1 * q1, 10 * q3]; quartile error 0.01.
@@ -102,22 +102,23 @@ def category_stats(df: DataFrame, brand_policy: str = "first_row", bounds: Colum
                    lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR) -> DataFrame:
     """A9 + W1: per category the mean raw price and the brand to impute.
 
-    ``bounds`` (array q1, q3) restricts the mean to in-bound prices (robust).
+    One hash pre-aggregation per (category, brand) — earliest event key,
+    price sum and count — then one row per category. ``bounds`` (array q1,
+    q3) restricts the mean to in-bound prices (robust).
     """
-    brand = F.nullif(F.col("brand"), F.lit(""))
-    if brand_policy == "first_row":
-        first_brand = earliest(brand)
-    elif brand_policy == "first_known":
-        first_brand = earliest(brand, where=brand.isNotNull())
-    else:
+    if brand_policy not in ("first_row", "first_known"):
         raise ValueError(f"unknown brand policy {brand_policy!r}")
+    brand = F.nullif(F.col("brand"), F.lit(""))
     price = F.col("price")
     if bounds is not None:
         ok = (price > 0) & (price >= bounds[0] * lower_factor) & (price <= bounds[1] * upper_factor)
         price = F.when(ok, price)
-    return df.groupBy("category_code").agg(
-        F.avg(price).alias("avg_cat_price"), first_brand.alias("first_brand")
-    )
+    extra = {"price_sum": (F.sum(price), F.sum), "price_n": (F.count(price), F.sum)}
+    t = earliest_values(df, ["category_code"], brand, "first_brand", extra=extra,
+                        skip_null_values=brand_policy == "first_known")
+    return t.select("category_code",
+                    F.try_divide(F.col("price_sum"), F.col("price_n").cast("double"))
+                    .alias("avg_cat_price"), "first_brand")
 
 
 def repair_price(price: Column, cat_mean: Column, bounds: Column,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import (
     WEIGHTS_PREPROCESS,
     count_type,
-    earliest,
+    earliest_values,
     interaction_score,
     is_type,
     popularity_score,
@@ -76,17 +76,21 @@ def product_data(cleaned: DataFrame, exact: bool = True, with_index: bool = True
 
 def product_features(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     """Training variant with the earliest event's category (top level)
-    and brand, and the popularity score (P13)."""
-    g = cleaned.groupBy("product_id").agg(
-        *_popularity_aggs(exact),
-        earliest(F.col("category_code")).alias("_category_code"),
-        earliest(F.col("brand")).alias("brand"),
-    )
+    and brand, and the popularity score (P13).
+
+    The earliest (category, brand) comes from a hash pre-aggregation per
+    (product, category, brand); both tables are aggregated by product id.
+    """
+    g = cleaned.groupBy("product_id").agg(*_popularity_aggs(exact))
+    first = earliest_values(cleaned, ["product_id"],
+                            F.struct(F.col("category_code").alias("c"), F.col("brand").alias("b")),
+                            "_first")
+    g = g.join(first, "product_id", "left")
     return g.select(
         "product_id", "total_events", "total_views", "total_carts", "total_purchases",
-        "unique_users", "avg_price", "brand",
-        F.when(F.col("_category_code").isNull(), F.lit("unknown"))
-        .otherwise(F.substring_index("_category_code", ".", 1)).alias("category"),
+        "unique_users", "avg_price", F.col("_first.b").alias("brand"),
+        F.when(F.col("_first.c").isNull(), F.lit("unknown"))
+        .otherwise(F.substring_index(F.col("_first.c"), ".", 1)).alias("category"),
         popularity_score("total_purchases", "total_carts", "total_views", "unique_users")
         .alias("enhanced_popularity_score"),
     )
