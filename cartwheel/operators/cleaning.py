@@ -23,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import earliest_values, top_category
-from cartwheel.functions.sizing import DEFAULT_BROADCAST_ROWS, join_small
+from cartwheel.functions.columns import earliest_values, order_key, top_category
+from cartwheel.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded, join_small
 
 # Price bounds are [0.1 * q1, 10 * q3]; quartile error 0.01.
 LOWER_FACTOR = 0.1
@@ -133,18 +133,63 @@ def repair_price(price: Column, cat_mean: Column, bounds: Column,
     )
 
 
+def _quartile_agg(col: str, rel_error: float, probs=QUARTILES) -> Column:
+    if rel_error <= 0:
+        return F.array(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)")
+                         for p in probs])
+    return F.percentile_approx(F.col(col), list(probs), max(1, int(round(1.0 / rel_error))))
+
+
+def cleaning_statistics(base: DataFrame, brand_policy: str = "first_row",
+                        rel_error: float = DEFAULT_REL_ERROR,
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+    """Quartiles of the raw prices AND the per-category statistics from ONE
+    pass over the events: ``GROUPING SETS ((category, brand), ())`` gives the
+    per-(category, brand) partials and the global quartile row together.
+
+    Returns ``(bounds, stats, small)``: ``bounds`` is a scalar-subquery
+    column ``array(q1, q3)`` read from the computed (cached) result, ``stats``
+    one row per category, ``small`` whether ``stats`` may be broadcast.
+    """
+    if brand_policy not in ("first_row", "first_known"):
+        raise ValueError(f"unknown brand policy {brand_policy!r}")
+    src = base.select("category_code", F.nullif(F.col("brand"), F.lit("")).alias("_v"),
+                      "price", order_key().alias("_ok"))
+    parts = src.groupingSets([["category_code", "_v"], []], "category_code", "_v").agg(
+        F.min("_ok").alias("_k"), F.sum("price").alias("_s"), F.count("price").alias("_n"),
+        _quartile_agg("price", rel_error).alias("_q"), F.grouping_id().alias("_gid"))
+    parts, small = bounded(parts, max_broadcast_rows)
+    bounds = parts.filter(F.col("_gid") > 0).agg(F.first("_q").alias("q")).scalar()
+    order = (F.when(F.col("_v").isNotNull(), F.col("_k")) if brand_policy == "first_known"
+             else F.col("_k"))
+    stats = parts.filter(F.col("_gid") == 0).groupBy("category_code").agg(
+        F.try_divide(F.sum("_s"), F.sum("_n").cast("double")).alias("avg_cat_price"),
+        F.min_by("_v", order).alias("first_brand"))
+    return bounds, stats, small
+
+
 def clean_events(df: DataFrame, brand_policy: str = "first_row",
                  rel_error: float = DEFAULT_REL_ERROR, robust: bool = False,
                  lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The cleaned event table: raw columns (category, brand, price replaced)
-    plus hour, minute, second, day, month, dayofweek, date, hour_bucket."""
+    plus hour, minute, second, day, month, dayofweek, date, hour_bucket.
+
+    Two passes over the raw events: one aggregation (quartiles + category
+    statistics) and the row-wise pass that joins the broadcast statistics.
+    ``robust=True`` needs the quartiles before the category means, so it
+    takes one more pass.
+    """
     cols = df.columns
     base = with_top_category(time_parts(df))
-    bounds = quartile_column(df, "price", rel_error)
-    stats = category_stats(base, brand_policy, bounds if robust else None,
-                           lower_factor, upper_factor)
-    joined = join_small(base, stats, "category_code", "left", max_broadcast_rows)
+    if robust:
+        bounds = quartile_column(df, "price", rel_error)
+        stats = category_stats(base, brand_policy, bounds, lower_factor, upper_factor)
+        joined = join_small(base, stats, "category_code", "left", max_broadcast_rows)
+    else:
+        bounds, stats, small = cleaning_statistics(
+            with_top_category(df), brand_policy, rel_error, max_broadcast_rows)
+        joined = base.join(F.broadcast(stats) if small else stats, "category_code", "left")
     brand = F.col("brand")
     out = joined.withColumn(
         "brand",
