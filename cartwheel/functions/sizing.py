@@ -39,10 +39,21 @@ def materialize(df: DataFrame) -> DataFrame:
     and read it back. Unlike an RDD checkpoint the data is computed once,
     stored columnar, and later readers get column pruning and filter
     pushdown; the files survive the loss of any executor."""
+    return materialize_at(df)[0]
+
+
+def materialize_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``materialize`` that also returns the folder written."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -57,3 +68,18 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     """Join a side expected to be small: broadcast it if its checked size allows."""
     m, ok = bounded(small, max_rows)
     return big.join(F.broadcast(m) if ok else m, on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that arrives in fewer splits than the cluster has cores
+    (small inputs: a file with a single row group is a single task).
+
+    Big inputs already have more splits than cores and are returned as they
+    are, so no shuffle is added at scale. Only planning is needed to count
+    the splits of a plain scan (no job runs).
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -110,8 +110,10 @@ def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events`` and ``part`` from a scale-factor folder as a clickstream."""
+    from cartwheel.functions.sizing import spread
+
     ensure_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return clickstream_from(events, part)
 
