@@ -130,8 +130,13 @@ def earliest_values(df, keys, value: str | Column, name: str, where: Column | No
     v = c(value).alias("_v")
     lvl1 = [F.min(order_key()).alias("_k")] + [e[0].alias(f"_{n}") for n, e in dict(extra).items()]
     pairs = src.groupBy(*keys, v).agg(*lvl1)
-    order = F.when(F.col("_v").isNotNull(), F.col("_k")) if skip_null_values else F.col("_k")
-    lvl2 = [F.min_by("_v", order).alias(name)] + [e[1](F.col(f"_{n}")).alias(n)
+    # smallest (key, value) of the group's (value, key) rows: collect_list keeps
+    # the aggregation hash-based (object hash), the list is bounded by the
+    # distinct values of the group
+    items = F.collect_list(F.struct(F.col("_k"), F.col("_v")))
+    if skip_null_values:
+        items = F.filter(items, lambda x: x["_v"].isNotNull())
+    lvl2 = [F.array_min(items)["_v"].alias(name)] + [e[1](F.col(f"_{n}")).alias(n)
                                                   for n, e in dict(extra).items()]
     return pairs.groupBy(*keys).agg(*lvl2)
 

@@ -22,15 +22,24 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
                      name: str = "row_number", partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row in its group by ``order``
     (``order`` must be a total order, e.g. end with a unique key)."""
+    return group_running_sum(df, group, order, F.lit(1), name, partitions)
+
+
+def group_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+                      value: Column, name: str, partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = running sum of ``value`` (integral) in each group up to
+    and including the row, rows ordered by ``order`` (a total order)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     keys = [F.col(g) for g in group]
     # Range boundaries come from sampling, and a shuffled input has no fixed
     # row order, so two evaluations may cut differently: materialise once.
-    ranged = materialize(df.repartitionByRange(n, *keys, *order).withColumn(
-        "_part", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*order)))
-    sizes = ranged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_size"))
+    ranged = materialize(df.withColumn("_val", value.cast("long"))
+                         .repartitionByRange(n, *keys, *order)
+                         .withColumn("_part", F.spark_partition_id()))
+    w = (Window.partitionBy("_part", *group).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_rn", F.sum("_val").over(w))
+    sizes = ranged.groupBy("_part", *group).agg(F.sum("_val").alias("_size"))
     before = sizes.withColumn(
         "_offset",
         F.coalesce(F.sum("_size").over(Window.partitionBy(*group).orderBy("_part")
@@ -39,7 +48,7 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
     # when it is small at run time.
     out = local.join(before.select("_part", *group, "_offset"), ["_part", *group], "inner")
     return out.withColumn(name, (F.col("_offset") + F.col("_rn")).cast("long")).drop(
-        "_part", "_rn", "_offset")
+        "_part", "_rn", "_offset", "_val")
 
 
 def first_rows_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,

@@ -160,11 +160,12 @@ def cleaning_statistics(base: DataFrame, brand_policy: str = "first_row",
         _quartile_agg("price", rel_error).alias("_q"), F.grouping_id().alias("_gid"))
     parts, small = bounded(parts, max_broadcast_rows)
     bounds = parts.filter(F.col("_gid") > 0).agg(F.first("_q").alias("q")).scalar()
-    order = (F.when(F.col("_v").isNotNull(), F.col("_k")) if brand_policy == "first_known"
-             else F.col("_k"))
+    items = F.collect_list(F.struct(F.col("_k"), F.col("_v")))
+    if brand_policy == "first_known":
+        items = F.filter(items, lambda x: x["_v"].isNotNull())
     stats = parts.filter(F.col("_gid") == 0).groupBy("category_code").agg(
         F.try_divide(F.sum("_s"), F.sum("_n").cast("double")).alias("avg_cat_price"),
-        F.min_by("_v", order).alias("first_brand"))
+        F.array_min(items)["_v"].alias("first_brand"))
     return bounds, stats, small
 
 

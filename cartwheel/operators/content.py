@@ -42,10 +42,12 @@ def content_similarity(products: DataFrame, k: int = TOP_K) -> DataFrame:
     similarity, rank`` (ties by neighbour id; only similarity > 0)."""
     terms = product_terms(products).filter(F.size("terms") > 0)
     idf = term_idf(terms)
-    sig = F.array_join("terms", "|")
-    prods = terms.select("product_id", sig.alias("sig"), "terms")
-    sig_terms = (prods.select("sig", "terms").dropDuplicates(["sig"])
-                 .select("sig", F.explode("terms").alias("term")).join(idf, "term"))
+    sep = "\u0001"
+    sig = F.array_join("terms", sep)
+    prods = terms.select("product_id", sig.alias("sig"))
+    # a signature is its term list joined: split it back (keeps a hash distinct)
+    sig_terms = (prods.select("sig").distinct()
+                 .select("sig", F.explode(F.split("sig", sep)).alias("term")).join(idf, "term"))
     norms = sig_terms.groupBy("sig").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
     a = sig_terms.select(F.col("sig").alias("sig_a"), "term", "idf")
     b = sig_terms.select(F.col("sig").alias("sig_b"), "term")

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
-from cartwheel.functions.ranking import group_row_number
+from cartwheel.functions.ranking import group_row_number, group_running_sum
 from cartwheel.schema import CART, PURCHASE, VIEW
 
-# Fixed value: gap that ends a visit for gap-based sessions.
-SESSION_GAP = "30 minutes"
+# Fixed value: minutes of inactivity that end a visit for gap-based sessions.
+SESSION_GAP_MINUTES = 30
 
 
 def navigation_paths(df: DataFrame, n: int = 2, by: str = "event_type",
@@ -44,7 +44,9 @@ def session_metrics(df: DataFrame, session: str = "user_session") -> DataFrame:
     event, length in minutes, per-type counts and purchase value."""
     purchase = is_type(PURCHASE)
     return df.filter(F.col(session).isNotNull()).groupBy(session).agg(
-        F.min("user_id").alias("user_id"),
+        # smallest user of the session; the set keeps the aggregation
+        # hash-based (a string min would force a sort-based aggregation)
+        F.array_min(F.collect_set("user_id")).alias("user_id"),
         F.count(F.lit(1)).alias("events"),
         F.count_distinct("event_type").alias("event_types"),
         F.min("event_time").alias("first_event"),
@@ -56,15 +58,43 @@ def session_metrics(df: DataFrame, session: str = "user_session") -> DataFrame:
         F.sum(F.when(purchase, F.col("price")).otherwise(F.lit(0.0))).alias("purchase_value"))
 
 
-def gap_sessions(df: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
-    """X2 option: visits split by ``gap`` of inactivity per user
-    (``session_window``; Spark merges the windows per user as it sorts)."""
-    return df.filter(F.col("user_id").isNotNull()).groupBy(
-        "user_id", F.session_window("event_time", gap).alias("visit")).agg(
-        F.count(F.lit(1)).alias("events"),
-        count_type(PURCHASE).alias("purchases")).select(
-        "user_id", F.col("visit.start").alias("visit_start"), F.col("visit.end").alias("visit_end"),
-        "events", "purchases")
+def gap_sessions(df: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
+                 method: str = "ranked") -> DataFrame:
+    """X2 option: visits split by ``gap_minutes`` of inactivity per user.
+
+    A visit starts at a user's first event and at every event whose
+    predecessor is ``gap_minutes`` or more earlier; it ends ``gap`` after its
+    last event (Spark's session-window definition).
+
+    ``method="ranked"`` (default) never holds one user in one task: events
+    get their position per user from range-partitioned numbering, the
+    predecessor comes from an equi-join on (user, position - 1), and the
+    visit number is a running count of visit starts computed the same way.
+    ``method="session_window"`` uses Spark's ``session_window`` (sorted
+    merge per user in one task).
+    """
+    users = df.filter(F.col("user_id").isNotNull())
+    if method == "session_window":
+        return users.groupBy(
+            "user_id", F.session_window("event_time", f"{gap_minutes} minutes").alias("visit")
+        ).agg(F.count(F.lit(1)).alias("events"), count_type(PURCHASE).alias("purchases")).select(
+            "user_id", F.col("visit.start").alias("visit_start"),
+            F.col("visit.end").alias("visit_end"), "events", "purchases")
+    order = [F.col("event_time"), F.col("event_id")]
+    base = users.select("user_id", "event_time", "event_id", "event_type")
+    pos = group_row_number(base, ["user_id"], order, "_pos")
+    prev = pos.select("user_id", (F.col("_pos") + 1).alias("_pos"),
+                      F.col("event_time").alias("_prev"))
+    gap_us = gap_minutes * 60 * 1_000_000
+    start = (F.col("_prev").isNull()
+             | (F.unix_micros("event_time") - F.unix_micros("_prev") >= F.lit(gap_us)))
+    flagged = pos.join(prev, ["user_id", "_pos"], "left").withColumn(
+        "_start", F.when(start, 1).otherwise(0))
+    visits = group_running_sum(flagged, ["user_id"], order, F.col("_start"), "_visit")
+    return visits.groupBy("user_id", "_visit").agg(
+        F.min("event_time").alias("visit_start"),
+        (F.max("event_time") + F.expr(f"INTERVAL {gap_minutes} MINUTES")).alias("visit_end"),
+        F.count(F.lit(1)).alias("events"), count_type(PURCHASE).alias("purchases")).drop("_visit")
 
 
 def funnel_stages(df: DataFrame, keys=("user_id", "product_id")) -> DataFrame:

@@ -108,14 +108,13 @@ def append_batch_csv(df: DataFrame, path: str, batch_id: int) -> None:
      .option("header", True).partitionBy("batch_id").csv(path))
 
 
-def merge_recommendations(spark: SparkSession, path: str, schema: T.StructType,
-                          key: Sequence[str] = ("batch_id", "user_id", "product_id",
-                                                "recommendation_type")) -> DataFrame:
-    """All per-batch CSV outputs as one table, duplicates removed."""
+def merge_recommendations(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All per-batch CSV outputs as one table; rows written twice (a
+    batch appended again by a replay) are kept once (hash distinct)."""
     fields = schema.fields + ([] if "batch_id" in schema.fieldNames()
                               else [T.StructField("batch_id", T.LongType())])
     df = spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
-    return df.dropDuplicates(list(key))
+    return df.distinct()
 
 
 def run_metadata(cleaned: DataFrame, segmented: DataFrame, source: str,
