@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import (
     WEIGHTS_TRAINING,
-    count_type,
     interaction_score,
     top_category,
 )

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import materialize_at, path_exists
 from cartwheel.operators import behavior, cleaning
 from cartwheel.operators.behavior import bag_text
 from cartwheel.plans.catalog import register
-from cartwheel.plans.oracle import BASE_CTES, CLEANED_CTES, normalized
+from cartwheel.plans.oracle import CLEANED_CTES, normalized
 from cartwheel.schema import clickstream
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from cartwheel.functions.columns import WEIGHTS_TRAINING, interaction_score, top_category
 from cartwheel.operators import cleaning, indexing, products, profiling, timeseries
 from cartwheel.operators import recommend
