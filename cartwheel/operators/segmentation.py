@@ -77,7 +77,7 @@ def fit_segments(users: DataFrame, k: int = K, seed: int = SEED, max_iter: int =
     initialisation sees the same layout on every run (repeatable fits).
     """
     prepared = features_null_to_zero(users, cols)
-    n = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = users.sparkSession.sparkContext.defaultParallelism
     prepared = prepared.repartitionByRange(n, "user_id").sortWithinPartitions("user_id")
     model = kmeans_pipeline(k, seed, max_iter, cols).fit(prepared)
     return model, model.transform(prepared)
