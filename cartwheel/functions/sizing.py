@@ -9,6 +9,7 @@ reliable checkpoint in the folder the cluster names in
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: no shared folder is configured.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # One process is driver and executor: a temporary folder is shared.
         configured = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -50,6 +53,12 @@ def materialize_at(df: DataFrame) -> tuple[DataFrame, str]:
     return spark.read.parquet(path), path
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by ``materialize_at`` once nothing reads it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
