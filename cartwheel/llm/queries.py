@@ -9,13 +9,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.llm.common import read_table
 from cartwheel.llm.exact_dedup import exact_dedup
+from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
+from cartwheel.llm.mixing import mix, mixing_sql
+from cartwheel.llm.simhash import near_duplicates, to_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and epochs chosen by hierarchical token budgets."""
+    return mix(read_table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "domain", "lang", "source", "epoch", "n_tokens", "leaf_budget")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without globally repeated chunks of lines."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, count_col="removed_chunks").select(
+        "doc_id", "removed_chunks", F.length("text").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates by SimHash: 3-word shingles, 3 bits or fewer."""
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return found.select("doc_id", to_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole documents after white-space normalisation."""
     return exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -33,10 +57,15 @@ FROM norm
 """
 
 QUERIES: dict[str, Query] = {
+    "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_simhash": op7_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op4_mixing": mixing_sql(),
+    "op5_line_dedup": line_dedup_sql(),
     "op10_exact_dedup": EXACT_DEDUP_SQL,
 }
 
