@@ -13,13 +13,21 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.common import read_table
 from cartwheel.llm.exact_dedup import exact_dedup
+from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
 from cartwheel.llm.mixing import mix, mixing_sql
+from cartwheel.llm.quality import fit_quality, score_quality
 from cartwheel.llm.simhash import near_duplicates, to_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document: family, then one-versus-one SVMs."""
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, fit_language(docs))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and epochs chosen by hierarchical token budgets."""
     return mix(read_table(spark, sf_dir, "documents")).select(
@@ -40,6 +48,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", to_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document by naive Bayes support vectors."""
+    docs = read_table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole documents after white-space normalisation."""
     return exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -57,9 +71,11 @@ FROM norm
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash": op7_simhash,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
