@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,12 @@ from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
 from cartwheel.llm.mixing import mix, mixing_sql
 from cartwheel.llm.quality import fit_quality, score_quality
+from cartwheel.llm.sentencepiece_fst import encode, load_model
 from cartwheel.llm.simhash import near_duplicates, to_hex
 
+# Vocabulary of a public tokenizer, read by the driver.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -48,6 +53,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", to_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece numbers of every whole document, and whether decoding them gives
+    the document back."""
+    coded = encode(read_table(spark, sf_dir, "documents"), load_model(PIECE_MODEL), round_trip_col="round_trip")
+    joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+                        F.when(F.col("ids").isNotNull(), F.sha2(joined.cast("binary"), 256)).alias("ids_sha256"),
+                        "round_trip")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole document by naive Bayes support vectors."""
     docs = read_table(spark, sf_dir, "documents")
@@ -75,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
