@@ -18,8 +18,10 @@ from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
 from cartwheel.llm.mixing import mix, mixing_sql
 from cartwheel.llm.quality import fit_quality, score_quality
+from cartwheel.llm.secrets import scan_secrets
 from cartwheel.llm.sentencepiece_fst import encode, load_model
 from cartwheel.llm.simhash import near_duplicates, to_hex
+from cartwheel.llm.vp_tree import nearest_neighbours
 
 # Vocabulary of a public tokenizer, read by the driver.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -27,6 +29,11 @@ PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th by inner product."""
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), every=20, k=20, factor=0.2)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole document: family, then one-versus-one SVMs."""
     docs = read_table(spark, sf_dir, "documents")
@@ -47,6 +54,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in whole documents: patterns, and costly guesses in context."""
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by SimHash: 3-word shingles, 3 bits or fewer."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), words=3, max_bits=3)
@@ -86,9 +98,11 @@ FROM norm
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_vp_tree": op1_vp_tree,
     "op2_language_id": op2_language_id,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
