@@ -16,6 +16,7 @@ from cartwheel.llm.common import read_table
 from cartwheel.llm.exact_dedup import exact_dedup
 from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
+from cartwheel.llm.log_bilinear import score_texts
 from cartwheel.llm.mixing import mix, mixing_sql
 from cartwheel.llm.quality import fit_quality, score_quality
 from cartwheel.llm.secrets import scan_secrets
@@ -40,6 +41,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_language(docs))
 
 
+def op3_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole document by a log-bilinear model."""
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and epochs chosen by hierarchical token budgets."""
     return mix(read_table(spark, sf_dir, "documents")).select(
@@ -100,6 +106,7 @@ FROM norm
 QUERIES: dict[str, Query] = {
     "op1_vp_tree": op1_vp_tree,
     "op2_language_id": op2_language_id,
+    "op3_log_bilinear": op3_log_bilinear,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op6_secrets": op6_secrets,
