@@ -11,7 +11,7 @@ Conventions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import drop_table, materialize_at
@@ -46,14 +46,20 @@ def salt(*key: Column, salts: int = SALTS) -> Column:
 
 def smallest_ids(rows: DataFrame, by: str, id_col: str, limit: int) -> DataFrame:
     """A bounded, repeatable sample: per value of ``by`` the ``limit`` rows
-    whose hashed id is smallest (Spark cuts each map partition to ``limit``
-    rows a value before the exchange)."""
-    from pyspark.sql import Window
+    whose hashed id is smallest.
 
+    Hashes are uniform, so a cut at 1.2 * limit / rows of a value (and a few
+    standard deviations) keeps little more than ``limit`` rows of each value
+    before they are ranked; a value with fewer rows keeps all.
+    """
+    hashed = rows.withColumn("_h", F.pmod(F.xxhash64(id_col), F.lit(1 << 40)))
+    cut = rows.groupBy(by).agg(F.count("*").alias("_n")).select(
+        by, (F.lit((1.2 * limit + 50) * float(1 << 40)) / F.col("_n")).alias("_cut"))
     w = Window.partitionBy(by).orderBy("_h", id_col)
-    return (rows.withColumn("_h", F.xxhash64(id_col))
+    # One row a class of the classifier that is fitted to the sample.
+    return (hashed.join(F.broadcast(cut), by).filter(F.col("_h") < F.col("_cut"))
             .withColumn("_rank", F.row_number().over(w))
-            .filter(F.col("_rank") <= limit).drop("_h", "_rank"))
+            .filter(F.col("_rank") <= limit).drop("_h", "_rank", "_cut"))
 
 
 def _checksum(edges: DataFrame) -> tuple:
