@@ -1,8 +1,9 @@
 """Line deduplication on content-defined chunks of lines.
 
 A text is cut into lines, every line is hashed, and a rolling polynomial over
-the last ``window`` line hashes decides whether a chunk ends after the line
-(where it is a multiple of ``divisor``). The decision depends on neighbouring
+the last ``window`` line hashes decides whether a chunk ends after the line:
+where it is a multiple of ``divisor`` and was none after the line before, so
+that chunks have two lines or more. The decision depends on neighbouring
 lines only, so inserting lines elsewhere shifts no boundary. A line of
 ``long_words`` or more words is several sentences and always a chunk of its
 own; its place needs no rolling hash. Chunks of two or more lines, and long
@@ -57,8 +58,11 @@ def _with_chunks(df: DataFrame, text: str, window: int, divisor: int, min_lines:
             total = total + F.coalesce(F.get(marks, i - k)["h"], F.lit(0)) * (MULTIPLIER ** k)
         return total
 
+    def candidate(i: Column) -> Column:
+        return (i >= 0) & (rolling(i) % divisor == 0)
+
     def starts_chunk(i: Column) -> Column:
-        return ((i == 0) | (rolling(i - 1) % divisor == 0)
+        return ((i == 0) | (candidate(i - 1) & ~candidate(i - 2))
                 | F.get(marks, i)["long"] | F.get(marks, i - 1)["long"])
 
     def chunk(start: Column, no: Column) -> Column:
@@ -154,7 +158,8 @@ rolled AS (
   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 cuts AS (
   SELECT doc_id, i, line, long,
-         CASE WHEN lag(r) OVER w IS NULL OR lag(r) OVER w % {divisor} = 0 OR long OR lag(long) OVER w
+         CASE WHEN lag(r) OVER w IS NULL OR long OR lag(long) OVER w
+                OR (lag(r) OVER w % {divisor} = 0 AND coalesce(lag(r, 2) OVER w % {divisor} <> 0, true))
               THEN 1 ELSE 0 END AS s
   FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (

@@ -1,16 +1,16 @@
 """Quality classifier: naive Bayes support vectors (Wang and Manning, 2012).
 
 Indicators of hashed byte n-grams, and of how often words and lines repeat
-(n-grams whose second part is "the same again"), are scaled by the log ratio of their class
-frequencies, and a hinge-loss linear model is fitted on the scaled indicators
-by dual coordinate descent. The fit uses a bounded sample: of each class the
+(n-grams whose second part is "the same again"), are scaled by the log ratio
+of their class frequencies, and a hinge-loss linear model is fitted on the
+scaled indicators by dual coordinate descent. The fit uses a bounded sample: of each class the
 ``fit_rows`` labelled training rows whose hashed id is smallest. Only these
 rows are joined to their texts (the sample's ids are the broadcast side, at
 most 2 * fit_rows rows). Scoring reads every whole text once, without a
-shuffle; the model that tasks receive has 2^bits + 2 numbers.
+shuffle; the model that tasks receive has two numbers a feature.
 
-Rows: null and empty texts have no n-gram and are scored by the indicators of their length;
-repeated rows are scored alike; labels that contradict each other are not
+Rows: null and empty texts have no n-gram and are scored by the indicators of
+their length; repeated rows are scored alike; labels that contradict each other are not
 learned from; without labels of both classes every score is 0.5 (or 0 or 1
 where only one class is known). An empty table gives an empty result.
 """
@@ -116,24 +116,27 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
                   columns: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, score, predicted for every row; with ``columns``,
     also those input columns, packed as the struct ``row``."""
-    packed = [F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")] if columns else []
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"),
-                       *packed)
+    text, doc_id = F.col(text_col).cast("string"), F.col(id_col).cast("long")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(None).cast("boolean")
+    # The text is sent to the tasks once, also where it is among the columns.
+    inside = list(columns).index(text_col) if text_col in columns else None
+    rows = docs.select(row.alias("row"), doc_id.alias("doc_id"),
+                       *([text.alias("text")] if inside is None else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         features = Features(m.bits, m.sizes)
         for batch in batches:
-            texts = batch.column(0)
+            texts = batch.column(2) if inside is None else batch.column(0).field(inside)
             scores = [m.score(features((texts[i].as_py() or "").encode("utf-8", "surrogatepass")))
                       for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), *batch.columns[1:]],
-                                             schema=pa.schema([pa.field("score", pa.float64()),
-                                                               *list(batch.schema)[1:]]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(scores, pa.float64())],
+                schema=pa.schema([*list(batch.schema)[:2], pa.field("score", pa.float64())]))
 
-    kept = ", row " + rows.schema["row"].dataType.simpleString() if columns else ""
-    scored = rows.mapInArrow(run, f"score double, doc_id long{kept}")
+    kind = rows.schema["row"].dataType.simpleString()
+    scored = rows.mapInArrow(run, f"row {kind}, doc_id long, score double")
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          *(["row"] if columns else []))

@@ -308,8 +308,11 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text",
     """The columns ``columns`` of every row and its piece numbers (array of
     int); with ``round_trip_col``, also whether decoding gives the text back
     (null for null)."""
-    rows = docs.select(F.col(text_col).cast("string").alias("text"),
-                       *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)])
+    # The text is sent to the tasks once, also where it is among the columns.
+    inside = list(columns).index(text_col) if text_col in columns else None
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)],
+                       *([F.col(text_col).cast("string").alias("text")] if inside is None else []))
+    n = len(columns)
     # A few megabytes whatever the input: the vocabulary.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -318,15 +321,15 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text",
         for whole in batches:
             for start in range(0, whole.num_rows, 256):  # bounded output batches
                 batch = whole.slice(start, 256)
-                texts = batch.column(0).to_pylist()
+                texts = batch.column(n if inside is None else inside).to_pylist()
                 ids = [None if t is None else coder.encode(t) for t in texts]
                 same = [None if t is None else coder.decode(i) == t for t, i in zip(texts, ids)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_()), *batch.columns[1:]],
-                    ["ids", "same", *batch.schema.names[1:]])
+                    [*batch.columns[:n], pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                    [*batch.schema.names[:n], "ids", "same"])
 
-    schema = ", ".join(["ids array<int>, same boolean",
-                        *[f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]])
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:n]],
+                        "ids array<int>, same boolean"])
     return rows.mapInArrow(run, schema).select(
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], F.col("ids").alias(ids_col),
         *([F.col("same").alias(round_trip_col)] if round_trip_col else []))

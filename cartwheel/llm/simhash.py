@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import connected_components, salt, stage
@@ -242,6 +242,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return salted.join(spread, ["_salt", "fingerprint"]).drop("_salt")
 
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                     max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, one of each group of near duplicates: the one
+    with the smallest id; of rows that share it, one of those with the
+    smallest hash of all columns (so too where every id is null)."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    found = near_duplicates(docs, id_col, text_col, words, max_bits, segment_bits, keep=[whole])
+    best = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", "fingerprint").alias("_id"))
+            .agg(F.min("_k0").alias("_whole")))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).isNull().alias("_none"), whole.alias("_whole"))
+    # The hash of all columns holds the id: rows that meet are the same row.
+    met = rows.join(best.select("_none", "_whole"), ["_none", "_whole"])
+    first = Window.partitionBy("_none", "_whole").orderBy("_none")
+    return (met.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").select("row.*"))
+
+
 def to_hex(fingerprint_col: Column) -> Column:
     """16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fingerprint_col), 16, "0"))
