@@ -143,7 +143,7 @@ def _local_classes(table_bytes: int):
             e = table.entries
             n = len(e)
             return pa.RecordBatch.from_arrays(
-                [pa.array([True] * n), pa.array([x[5][0] for x in e], pa.int64()),
+                [pa.array([True] * n, pa.bool_()), pa.array([x[5][0] for x in e], pa.int64()),
                  pa.array([x[3] for x in e], pa.int64()), pa.array([x[2] for x in e], pa.int64()),
                  pa.array([x[4] for x in e], pa.int64()), pa.array([x[0] for x in e], pa.string()),
                  pa.array([x[1] for x in e], pa.binary())], names)
@@ -166,7 +166,7 @@ def _local_classes(table_bytes: int):
                     table = OpenTable()
             n = len(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([False] * n), pa.array(members, pa.int64()),
+                [pa.array([False] * n, pa.bool_()), pa.array(members, pa.int64()),
                  pa.array(range(base + at - n, base + at), pa.int64()), batch.column(0),
                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())], names)
             yield from flushed

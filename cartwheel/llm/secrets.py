@@ -74,6 +74,7 @@ class GuessCost:
         self.rank = {w: math.log10(i + 2) for i, w in enumerate(words)}
         self.longest = max(map(len, words), default=0)
         self.beginnings = {w[:i] for w in words for i in range(1, len(w) + 1)}
+        self.place = {key: (r, i) for r, row in enumerate(KEYBOARD) for i, key in enumerate(row)}
         self.near: dict[str, set[str]] = {}
         for r, row in enumerate(KEYBOARD):
             for i, key in enumerate(row):
@@ -151,10 +152,11 @@ class GuessCost:
             out[i] = out[i + 1] if joined(text[i], text[i + 1]) else i + 1
         return out
 
-    @staticmethod
-    def _turns(text: str, start: int, end: int) -> int:
+    def _turns(self, text: str, start: int, end: int) -> int:
+        """Changes of direction of a keyboard walk."""
         end = min(end, start + 64)  # more turns than these cost no less
-        steps = [ord(text[k + 1]) - ord(text[k]) for k in range(start, end - 1)]
+        places = [self.place[c] for c in text[start:end]]
+        steps = [(c - a, d - b) for (a, b), (c, d) in zip(places, places[1:])]
         return sum(a != b for a, b in zip(steps, steps[1:]))
 
     @staticmethod
