@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
+from cartwheel.schema import CART, PURCHASE, VIEW
 
 # Implicit-feedback weights of the two presets (view, cart,
 # purchase; any other type weighs 0).
@@ -37,11 +37,6 @@ def count_type(event_type: str, col: str | Column = "event_type") -> Column:
     return F.count_if(is_type(event_type, col))
 
 
-def event_counts(names: Mapping[str, str], col: str | Column = "event_type") -> list[Column]:
-    """``{alias: event_type}`` → conditional counts, one per alias."""
-    return [count_type(t, col).alias(a) for a, t in names.items()]
-
-
 def top_category(col: str | Column = "category_code", unknown: str = "unknown") -> Column:
     """NULL or '' → ``unknown``; otherwise the text before the first dot."""
     x = c(col)
@@ -89,11 +84,6 @@ def popularity_score(purchases: str | Column, carts: str | Column, views: str |
     return F.try_divide(num.cast("double"), c(users).cast("double"))
 
 
-def event_order(ts: str = "event_time", key: str = "event_id") -> Column:
-    """Total order on events: time, then the unique event key (hazard H22)."""
-    return F.struct(F.col(ts), F.col(key))
-
-
 # Fixed-width order key: (event time, event id) packed into one decimal(38,0)
 # = micros * 10^20 + (event_id + 2^63). A NULL time sorts first, as in an
 # ascending window order. Unlike a struct, a decimal is a mutable field of
@@ -130,14 +120,12 @@ def earliest_values(df, keys, value: str | Column, name: str, where: Column | No
     v = c(value).alias("_v")
     lvl1 = [F.min(order_key()).alias("_k")] + [e[0].alias(f"_{n}") for n, e in dict(extra).items()]
     pairs = src.groupBy(*keys, v).agg(*lvl1)
-    # smallest (key, value) of the group's (value, key) rows: collect_list keeps
-    # the aggregation hash-based (object hash), the list is bounded by the
-    # distinct values of the group
-    items = F.collect_list(F.struct(F.col("_k"), F.col("_v")))
+    # the group's row with the smallest key: one struct per group as buffer
+    item = F.struct(F.col("_k"), F.col("_v"))
     if skip_null_values:
-        items = F.filter(items, lambda x: x["_v"].isNotNull())
-    lvl2 = [F.array_min(items)["_v"].alias(name)] + [e[1](F.col(f"_{n}")).alias(n)
-                                                  for n, e in dict(extra).items()]
+        item = F.when(F.col("_v").isNotNull(), item)
+    lvl2 = [F.min(item)["_v"].alias(name)] + [e[1](F.col(f"_{n}")).alias(n)
+                                              for n, e in dict(extra).items()]
     return pairs.groupBy(*keys).agg(*lvl2)
 
 
@@ -162,5 +150,3 @@ def ts_text(col: str | Column) -> Column:
     """Timestamp as fixed-width text (for result comparison)."""
     return F.date_format(c(col), "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
-
-REMOVE_TYPE = REMOVE

@@ -1,10 +1,8 @@
-"""Size-checked broadcast joins and lineage cuts.
+"""Lineage cuts and the folder for intermediate tables.
 
-A table is broadcast only after it has been computed and its row count
-checked; above the bound the join stays a shuffle join, where AQE can split
-skewed keys. Large intermediate tables are cut from their lineage with a
-reliable checkpoint in the folder the cluster names in
-``spark.checkpoint.dir`` (never a machine-local folder).
+A large intermediate table that is read more than once is written as Parquet
+into the folder the cluster names in ``spark.checkpoint.dir`` (never a
+machine-local folder of a cluster) and read back.
 """
 
 from __future__ import annotations
@@ -13,13 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of a side that may still be broadcast (a few MB for narrow tables).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set one only when unset."""
@@ -63,32 +55,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Compute ``df`` once (cached, recomputable from lineage if an executor
-    is lost) and report whether it holds at most ``max_rows`` rows."""
-    m = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return m, m.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a side expected to be small: broadcast it if its checked size allows."""
-    m, ok = bounded(small, max_rows)
-    return big.join(F.broadcast(m) if ok else m, on, how)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than the cluster has cores
-    (small inputs: a file with a single row group is a single task).
-
-    Big inputs already have more splits than cores and are returned as they
-    are, so no shuffle is added at scale. Only planning is needed to count
-    the splits of a plain scan (no job runs).
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -10,12 +10,11 @@ Reference semantics, with the ambiguities fixed (see README):
   the category mean. q1/q3 are quartiles of the raw prices, the category
   mean is taken over raw prices (``robust=True``: in-bound prices only).
 
-Scale: the reference computed the first brand with a window partitioned by
-category, which puts one third of all rows ("unknown") into one task. Here
-a hash aggregation per (category, brand) — combined map-side — and a second
-one over that small table yield one row per category; that table is
-broadcast after its size is checked. Quartiles are a scalar subquery, so no value round-trips
-through the driver.
+Scale: a window partitioned by category would put one third of all rows
+("unknown") into one task. Here a hash aggregation per (category, brand) —
+combined map-side — and a second one over that small table yield one row per
+category; the join to the events is left to Spark's run-time sizes. Quartiles
+are a scalar subquery, so no value round-trips through the driver.
 """
 
 from __future__ import annotations
@@ -23,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import earliest_values, order_key, top_category
-from cartwheel.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded, join_small
+from cartwheel.functions.columns import earliest_values, top_category
+from cartwheel.functions.quantiles import quantiles
 
 # Price bounds are [0.1 * q1, 10 * q3]; quartile error 0.01.
 LOWER_FACTOR = 0.1
@@ -64,32 +63,9 @@ def time_parts(df: DataFrame, ts: str = "event_time") -> DataFrame:
     )
 
 
-def quartile_column(df: DataFrame, col: str = "price", rel_error: float = DEFAULT_REL_ERROR,
-                    probs: tuple[float, ...] = QUARTILES) -> Column:
-    """Scalar-subquery column holding ``array(q_1, ..., q_n)`` of ``col``.
-
-    ``rel_error == 0`` gives exact discrete percentiles (``percentile_disc``,
-    whose buffer is bounded by the distinct values); otherwise the
-    ``percentile_approx`` sketch with accuracy ``1/rel_error``.
-    """
-    if rel_error <= 0:
-        parts = [
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)") for p in probs
-        ]
-        q = F.array(*parts)
-    else:
-        accuracy = max(1, int(round(1.0 / rel_error)))
-        q = F.percentile_approx(F.col(col), list(probs), accuracy)
-    return df.agg(q.alias("q")).scalar()
-
-
 def price_quartiles(df: DataFrame, rel_error: float = DEFAULT_REL_ERROR) -> DataFrame:
     """One row ``q1, q3`` of the raw prices."""
-    q = df.agg(
-        (F.array(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY price)") for p in QUARTILES])
-         if rel_error <= 0 else
-         F.percentile_approx("price", list(QUARTILES), max(1, int(round(1.0 / rel_error))))).alias("q")
-    )
+    q = quantiles(df, "price", QUARTILES, rel_error)
     return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
 
 
@@ -133,64 +109,22 @@ def repair_price(price: Column, cat_mean: Column, bounds: Column,
     )
 
 
-def _quartile_agg(col: str, rel_error: float, probs=QUARTILES) -> Column:
-    if rel_error <= 0:
-        return F.array(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)")
-                         for p in probs])
-    return F.percentile_approx(F.col(col), list(probs), max(1, int(round(1.0 / rel_error))))
-
-
-def cleaning_statistics(base: DataFrame, brand_policy: str = "first_row",
-                        rel_error: float = DEFAULT_REL_ERROR,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
-    """Quartiles of the raw prices AND the per-category statistics from ONE
-    pass over the events: ``GROUPING SETS ((category, brand), ())`` gives the
-    per-(category, brand) partials and the global quartile row together.
-
-    Returns ``(bounds, stats, small)``: ``bounds`` is a scalar-subquery
-    column ``array(q1, q3)`` read from the computed (cached) result, ``stats``
-    one row per category, ``small`` whether ``stats`` may be broadcast.
-    """
-    if brand_policy not in ("first_row", "first_known"):
-        raise ValueError(f"unknown brand policy {brand_policy!r}")
-    src = base.select("category_code", F.nullif(F.col("brand"), F.lit("")).alias("_v"),
-                      "price", order_key().alias("_ok"))
-    parts = src.groupingSets([["category_code", "_v"], []], "category_code", "_v").agg(
-        F.min("_ok").alias("_k"), F.sum("price").alias("_s"), F.count("price").alias("_n"),
-        _quartile_agg("price", rel_error).alias("_q"), F.grouping_id().alias("_gid"))
-    parts, small = bounded(parts, max_broadcast_rows)
-    bounds = parts.filter(F.col("_gid") > 0).agg(F.first("_q").alias("q")).scalar()
-    items = F.collect_list(F.struct(F.col("_k"), F.col("_v")))
-    if brand_policy == "first_known":
-        items = F.filter(items, lambda x: x["_v"].isNotNull())
-    stats = parts.filter(F.col("_gid") == 0).groupBy("category_code").agg(
-        F.try_divide(F.sum("_s"), F.sum("_n").cast("double")).alias("avg_cat_price"),
-        F.array_min(items)["_v"].alias("first_brand"))
-    return bounds, stats, small
-
-
 def clean_events(df: DataFrame, brand_policy: str = "first_row",
                  rel_error: float = DEFAULT_REL_ERROR, robust: bool = False,
-                 lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR) -> DataFrame:
     """The cleaned event table: raw columns (category, brand, price replaced)
     plus hour, minute, second, day, month, dayofweek, date, hour_bucket.
 
-    Two passes over the raw events: one aggregation (quartiles + category
-    statistics) and the row-wise pass that joins the broadcast statistics.
-    ``robust=True`` needs the quartiles before the category means, so it
-    takes one more pass.
+    Lazy: the quartiles are a scalar subquery, the category statistics one
+    aggregation joined to the events; Spark broadcasts them by their size at
+    run time and splits the hot category otherwise.
     """
     cols = df.columns
     base = with_top_category(time_parts(df))
-    if robust:
-        bounds = quartile_column(df, "price", rel_error)
-        stats = category_stats(base, brand_policy, bounds, lower_factor, upper_factor)
-        joined = join_small(base, stats, "category_code", "left", max_broadcast_rows)
-    else:
-        bounds, stats, small = cleaning_statistics(
-            with_top_category(df), brand_policy, rel_error, max_broadcast_rows)
-        joined = base.join(F.broadcast(stats) if small else stats, "category_code", "left")
+    bounds = quantiles(df, "price", QUARTILES, rel_error).scalar()
+    stats = category_stats(with_top_category(df), brand_policy, bounds if robust else None,
+                           lower_factor, upper_factor)
+    joined = base.join(stats, "category_code", "left")
     brand = F.col("brand")
     out = joined.withColumn(
         "brand",
@@ -202,11 +136,10 @@ def clean_events(df: DataFrame, brand_policy: str = "first_row",
     return out.select(*cols, *TIME_PART_COLUMNS)
 
 
-def impute_brand(df: DataFrame, brand_policy: str = "first_row",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def impute_brand(df: DataFrame, brand_policy: str = "first_row") -> DataFrame:
     """P7 alone: brand filled from the category's first brand (category as given)."""
     stats = category_stats(df, brand_policy).select("category_code", "first_brand")
-    joined = join_small(df, stats, "category_code", "left", max_broadcast_rows)
+    joined = df.join(stats, "category_code", "left")
     brand = F.col("brand")
     return joined.withColumn(
         "brand",

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.sizing import join_small
 
 # Default blend weights (collaborative, content, popularity).
 DEFAULT_WEIGHTS = {"collaborative": 0.5, "content": 0.3, "popularity": 0.2}
@@ -61,6 +60,6 @@ def segment_adjusted_recs(recs: DataFrame, segments: DataFrame, lift: DataFrame,
     lift 1 when unknown. The lift table is size-checked before broadcast."""
     r = recs.join(segments.select("user_id", label), "user_id", "left")
     lt = lift.select(label, F.col("category_code").alias(category), "lift")
-    r = join_small(r, lt, [label, category], "left")
+    r = r.join(lt, [label, category], "left")
     return r.withColumn("adjusted_score",
                         F.col("rec_score") * F.coalesce(F.col("lift"), F.lit(1.0)))

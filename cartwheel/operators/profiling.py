@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.functions.quantiles import exact_quantiles, quantiles
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 
@@ -93,18 +95,11 @@ def top_brands(df: DataFrame, k: int = 10) -> DataFrame:
     return top_values(df, "brand", k)
 
 
-def _percentiles(col: str, probs: Sequence[float], exact: bool, accuracy: int) -> list[Column]:
-    if exact:
-        return [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)") for p in probs]
-    q = F.percentile_approx(F.col(col), list(probs), accuracy)
-    return [q[i] for i in range(len(probs))]
-
-
 def price_summary(cleaned: DataFrame, exact: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Min, max and median price after cleaning, in one aggregation."""
-    (median,) = _percentiles("price", [0.5], exact, accuracy)
-    return cleaned.agg(F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-                       median.alias("median_price"))
+    """Min, max and median price after cleaning."""
+    median = quantiles(cleaned, "price", [0.5], 0.0 if exact else 1.0 / accuracy).scalar()
+    return cleaned.agg(F.min("price").alias("min_price"), F.max("price").alias("max_price")).select(
+        "min_price", "max_price", median[0].alias("median_price"))
 
 
 def events_by(df: DataFrame, part: Column, name: str) -> DataFrame:
@@ -149,17 +144,22 @@ def session_duration(df: DataFrame, session: str = "user_session", exact: bool =
                      accuracy: int = 10000) -> DataFrame:
     """Mean and median session length in minutes (last - first event).
 
-    The exact median keeps a count per distinct length in one final task
-    (about one per session at scale), so the default is the sketch.
+    The median is the mean of the two middle lengths (``exact``), else the
+    sketch of the given accuracy.
     """
     per = df.filter(F.col(session).isNotNull()).groupBy(session).agg(
         ((F.unix_micros(F.max("event_time")) - F.unix_micros(F.min("event_time"))) / 6.0e7)
         .alias("minutes"))
-    median = (F.percentile("minutes", 0.5) if exact
-              else F.percentile_approx("minutes", 0.5, accuracy))
-    return per.agg(F.avg("minutes").alias("mean_minutes"),
-                   median.alias("median_minutes"),
-                   F.count(F.lit(1)).alias("sessions"))
+    if exact:
+        low = exact_quantiles(per, "minutes", [0.5]).scalar()[0]
+        # the value above the middle: the lower middle of the negated lengths
+        high = -exact_quantiles(per.select((-F.col("minutes")).alias("minutes")), "minutes",
+                                [0.5]).scalar()[0]
+        median = (low + high) / 2
+    else:
+        median = quantiles(per, "minutes", [0.5], 1.0 / accuracy).scalar()[0]
+    return per.agg(F.avg("minutes").alias("mean_minutes"), F.count(F.lit(1)).alias("sessions")).select(
+        "mean_minutes", median.alias("median_minutes"), "sessions")
 
 
 def top_viewed(df: DataFrame, col: str = "product_id", k: int = 10) -> DataFrame:

@@ -10,8 +10,8 @@ Scale notes:
   category BEFORE the join. This is exact: inside one category the score is
   interest·purchases with a constant positive interest, so a product outside
   its category's top-k (by purchases desc, product id asc) can never be in a
-  user's top-k. The cut table has at most k·#categories rows; it is
-  broadcast only after that size is checked. The ``row_number() <= k`` filter
+  user's top-k. The cut table has at most k·#categories rows;
+  Spark broadcasts it if its size at run time allows. The ``row_number() <= k`` filter
   is planned as a WindowGroupLimit, so a hot category is cut map-side.
 * the fallback gives every user without a match the same 10 popular
   products: the 10 rows are one array (scalar subquery, bounded by the
@@ -28,7 +28,6 @@ from cartwheel.functions.columns import (
     interaction_score,
     top_category,
 )
-from cartwheel.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded
 from cartwheel.operators.indexing import attach_index, index_table
 from cartwheel.schema import CART, INTERACTION_TYPES, PURCHASE, VIEW
 
@@ -110,12 +109,10 @@ def best_sellers_per_category(products: DataFrame, k: int = TOP_PRODUCTS) -> Dat
 
 
 def category_affinity(activity: DataFrame, products: DataFrame, k_categories: int = TOP_CATEGORIES,
-                      k_products: int = TOP_PRODUCTS,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      k_products: int = TOP_PRODUCTS) -> DataFrame:
     """Category-affinity recommendations (J3 + W3), flat schema."""
     top = top_categories_per_user(category_interest(activity), k_categories)
-    cut, small = bounded(best_sellers_per_category(products, k_products), max_broadcast_rows)
-    side = F.broadcast(cut) if small else cut
+    side = best_sellers_per_category(products, k_products)
     cand = top.join(side, top["main_category"] == side["main_category_code"], "inner").select(
         "user_id", "product_id",
         (F.col("category_interest") * F.col("total_purchases") / F.lit(SCORE_DIVISOR))
@@ -149,15 +146,14 @@ def popular_fallback(users: DataFrame, products: DataFrame, k: int = FALLBACK_PR
 
 def recommend(activity: DataFrame, products: DataFrame, fallback: str = "per_user",
               k_categories: int = TOP_CATEGORIES, k_products: int = TOP_PRODUCTS,
-              k_fallback: int = FALLBACK_PRODUCTS,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              k_fallback: int = FALLBACK_PRODUCTS) -> DataFrame:
     """R9 + R10: affinity rows, plus popular products for users without any.
 
     ``fallback="per_user"`` serves every user left without a match;
     ``"all_or_nothing"`` (the original behaviour) serves all users only when
     no user matched; ``"none"`` disables the fallback.
     """
-    recs = category_affinity(activity, products, k_categories, k_products, max_broadcast_rows)
+    recs = category_affinity(activity, products, k_categories, k_products)
     if fallback == "none":
         return recs.select(*REC_COLUMNS)
     users = activity.filter(F.col("user_id").isNotNull()).select("user_id").distinct()

@@ -17,7 +17,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.sizing import join_small
 
 # The eight clustering features, k = 5, seed 42, 20 iterations.
 FEATURE_COLS = ["recency", "frequency", "monetary", "conversion_rate", "cart_abandonment",
@@ -112,7 +111,7 @@ def name_segments(profile: DataFrame, label: str = "segment_id") -> DataFrame:
 def attach_segment_name(segmented: DataFrame, names: DataFrame, label: str = "segment_id"
                         ) -> DataFrame:
     """Id → name (unknown ids get NULL); names table size-checked."""
-    return join_small(segmented, names.select(label, "segment"), label, "left")
+    return segmented.join(names.select(label, "segment"), label, "left")
 
 
 SEGMENT_OUTPUT = ["user_id", "segment_id", "segment", "rfm_score", "recency", "frequency",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.functions.sizing import materialize_at, path_exists
 from cartwheel.operators import behavior, cleaning
 from cartwheel.operators.behavior import bag_text
 from cartwheel.plans.catalog import register
@@ -12,26 +11,10 @@ from cartwheel.plans.oracle import CLEANED_CTES, normalized
 from cartwheel.schema import clickstream
 
 
-# (application, folder, options) → cleaned table written in this session
-_CLEANED: dict[tuple, str] = {}
-
-
-def cleaned(spark: SparkSession, sf_dir: str, fresh: bool = False, **kw) -> DataFrame:
-    """Clickstream → cleaned events, exact quartiles (compared with DuckDB).
-
-    As in the original application, preprocessing writes the cleaned table
-    once (into the shared checkpoint folder) and every analysis reads it:
-    the table is written on first use in a session and read back afterwards.
-    ``fresh=True`` always recomputes (the cleaning job itself).
-    """
+def cleaned(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """Clickstream → cleaned events (lazy), exact quartiles (compared with DuckDB)."""
     kw.setdefault("rel_error", 0.0)
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
-    path = _CLEANED.get(key)
-    if path and not fresh and path_exists(spark, path):
-        return spark.read.parquet(path)
-    df, path = materialize_at(cleaning.clean_events(clickstream(spark, sf_dir), **kw))
-    _CLEANED[key] = path
-    return df
+    return cleaning.clean_events(clickstream(spark, sf_dir), **kw)
 
 
 CLEANED_COLUMNS = [
@@ -47,8 +30,8 @@ CLEANED_COLUMNS = [
     "SELECT * FROM cleaned", CLEANED_COLUMNS, dbl=("price",), tss=("event_time",),
     ctes=CLEANED_CTES))
 def q_clean_events(spark, sf_dir):
-    """The full cleaned event table (always recomputed)."""
-    return cleaned(spark, sf_dir, fresh=True).select(*CLEANED_COLUMNS)
+    """The full cleaned event table."""
+    return cleaned(spark, sf_dir).select(*CLEANED_COLUMNS)
 
 
 # --------------------------------------------------------------------- behaviour

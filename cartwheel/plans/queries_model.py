@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import ensure_checkpoint_dir
@@ -124,15 +123,18 @@ def q_top3_categories_per_user(spark, sf_dir):
 
 
 @register("join_interest_products", normalized(
-    "SELECT * FROM cands", ["user_id", "product_id", "rec_score", "recommended_category_code",
+    "SELECT t.user_id, p.product_id, t.category_interest * p.total_purchases / 100 AS rec_score, "
+    "t.main_category AS recommended_category_code, p.main_brand, p.avg_price "
+    "FROM top_cats t JOIN products p ON p.main_category_code = t.main_category "
+    "WHERE p.total_purchases > 0", ["user_id", "product_id", "rec_score", "recommended_category_code",
                             "main_brand", "avg_price"], dbl=("rec_score", "avg_price"),
     ctes=_REC_CTES))
 def q_join_interest_products(spark, sf_dir):
-    """J3 + P20: user top categories ⋈ best sellers (cut per category), scored."""
+    """J3 + P20: user top categories ⋈ every product that sold, scored."""
     act = activity(spark, sf_dir)
     top = recommend.top_categories_per_user(recommend.category_interest(act))
-    best = recommend.best_sellers_per_category(product_table(spark, sf_dir))
-    j = top.join(F.broadcast(best), top["main_category"] == best["main_category_code"])
+    sold = product_table(spark, sf_dir).filter(F.col("total_purchases") > 0)
+    j = top.join(sold, top["main_category"] == sold["main_category_code"])
     return j.select("user_id", "product_id",
                     (F.col("category_interest") * F.col("total_purchases") / F.lit(100))
                     .alias("rec_score"),
@@ -440,7 +442,7 @@ def q_name_segments(spark, sf_dir):
     "ON n.segment_id = u.segment_id", ["user_id", "segment_id", "segment"],
     ctes=CLEANED_CTES + _UB_LABEL_CTE))
 def q_attach_segment_name(spark, sf_dir):
-    """Segment names joined back to users (size-checked broadcast)."""
+    """Segment names joined back to users (joined by size)."""
     users = _labelled_users(spark, sf_dir)
     names = segmentation.name_segments(segmentation.segment_profile(users))
     return segmentation.attach_segment_name(users, names).select("user_id", "segment_id", "segment")
@@ -559,5 +561,3 @@ def q_recs_to_ids(spark, sf_dir):
     model, m, _, users, prods = _fit(spark, sf_dir)
     return als.recs_to_ids(als.top_n(model, m), users, prods)
 
-
-_ = vector_to_array

@@ -425,10 +425,9 @@ def q_impute_brand(spark, sf_dir):
     ["event_id", "avg_cat_price"], dbl=("avg_cat_price",), ctes=CLEANED_CTES))
 def q_join_category_mean(spark, sf_dir):
     """Each event joined with its category mean (size-checked broadcast)."""
-    from cartwheel.functions.sizing import join_small
     df = cleaning.with_top_category(clickstream(spark, sf_dir))
     stats = cleaning.category_stats(df).select("category_code", "avg_cat_price")
-    return join_small(df, stats, "category_code").select("event_id", "avg_cat_price")
+    return df.join(stats, "category_code", "left").select("event_id", "avg_cat_price")
 
 
 @register("join_product_tables", normalized(

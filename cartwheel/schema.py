@@ -43,17 +43,6 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def with_event_key(df: DataFrame) -> DataFrame:
-    """Add ``event_id`` when the input has none (CSV exports).
-
-    ``monotonically_increasing_id`` depends only on the file split and the
-    row position inside it, so a re-run task yields the same ids.
-    """
-    if "event_id" in df.columns:
-        return df
-    return df.withColumn("event_id", F.monotonically_increasing_id())
-
-
 def _adapter_price(event_id: Column, value: Column) -> Column:
     return (
         F.when(event_id % 101 == 0, F.lit(0.0))
@@ -65,7 +54,7 @@ def _adapter_price(event_id: Column, value: Column) -> Column:
 
 
 def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
-    """events ⋈ part → clickstream (inner equi join on the product key).
+    """events ⟕ part → clickstream (an event without a product keeps its row).
 
     The join is left to Catalyst/AQE: ``part`` grows with the scale factor,
     so it is not force-broadcast; AQE broadcasts it when its runtime size is
@@ -80,7 +69,7 @@ def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
     pt = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    j = ev.join(pt, ev["k"] == pt["p_partkey"], "inner")
+    j = ev.join(pt, ev["k"] == pt["p_partkey"], "left")
     word = F.get(F.split("p_name", " "), 1)
     return j.select(
         F.col("event_id"),
@@ -89,12 +78,12 @@ def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "error", F.lit(REMOVE))
         .otherwise(F.col("event_type"))
         .alias("event_type"),
-        F.col("p_partkey").alias("product_id"),
+        F.col("k").alias("product_id"),
         (F.lit(CATEGORY_ID_BASE).cast("decimal(38,0)") + F.col("p_size"))
         .cast("decimal(38,0)")
         .alias("category_id"),
-        F.when(F.col("p_partkey") % 3 == 0, F.lit(None).cast("string"))
-        .when(F.col("p_partkey") % 17 == 0, F.lit(""))
+        F.when(F.col("k") % 3 == 0, F.lit(None).cast("string"))
+        .when(F.col("k") % 17 == 0, F.lit(""))
         .otherwise(F.concat(F.lower("p_type"), F.lit("."), word))
         .alias("category_code"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("string"))
@@ -110,10 +99,8 @@ def clickstream_from(events: DataFrame, part: DataFrame) -> DataFrame:
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events`` and ``part`` from a scale-factor folder as a clickstream."""
-    from cartwheel.functions.sizing import spread
-
     ensure_utc(spark)
-    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return clickstream_from(events, part)
 
@@ -124,10 +111,10 @@ SELECT e.event_id,
        e.ts AS event_time,
        CASE e.event_type WHEN 'click' THEN 'cart' WHEN 'error' THEN 'remove_from_cart'
             ELSE e.event_type END AS event_type,
-       p.p_partkey AS product_id,
+       CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS product_id,
        CAST(2053013500000000000 + p.p_size AS DECIMAL(38,0)) AS category_id,
-       CASE WHEN p.p_partkey % 3 = 0 THEN NULL
-            WHEN p.p_partkey % 17 = 0 THEN ''
+       CASE WHEN CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3 = 0 THEN NULL
+            WHEN CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 17 = 0 THEN ''
             ELSE lower(p.p_type) || '.' || split_part(p.p_name, ' ', 2) END AS category_code,
        CASE WHEN e.event_id % 7 = 0 THEN NULL ELSE p.p_brand END AS brand,
        CASE WHEN e.event_id % 101 = 0 THEN CAST(0.0 AS DOUBLE)
@@ -138,5 +125,5 @@ SELECT e.event_id,
        CAST(e.user_id AS VARCHAR) AS user_id,
        CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y-%m-%d') AS user_session
 FROM events e
-JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 """
