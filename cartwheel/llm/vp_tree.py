@@ -39,18 +39,6 @@ from cartwheel.llm.common import stage
 LEAF = 128  # vectors
 
 
-def scores_of(queries: np.ndarray, vectors: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, -inf where below ``least`` (one a
-    query). A matrix product finds the pairs; their products are summed in
-    one fixed order, so equal vectors get equal scores in any block."""
-    rough = queries @ vectors.T
-    margin = 1e-12 * (1.0 + np.abs(rough).max(initial=0.0)) * queries.shape[1]
-    i, j = np.nonzero(rough >= least[:, None] - margin)
-    out = np.full(rough.shape, -np.inf)
-    out[i, j] = (vectors[j] * queries[i]).sum(axis=1)
-    return out
-
-
 class VantageTree:
     """Tree over the vectors of one shard."""
 
@@ -83,13 +71,18 @@ class VantageTree:
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0):
         """(scores, ids) of the k best of each query, best first; -inf where
-        there are fewer. A query's own id is no candidate."""
+        there are fewer. A query's own id is no candidate.
+
+        Every query first descends to the leaf that seems nearest, which
+        gives a first k-th best; then the tree is walked once with all
+        queries, each leaving where its bound says so.
+        """
         n = len(queries)
         best = np.full((n, k), -np.inf)
         found = np.full((n, k), np.iinfo(np.int64).max)
         norms = (queries ** 2).sum(axis=1)
-        slack = 1e-9 * (1.0 + math.sqrt(self.square) + np.sqrt(norms))
-        visited = 0
+        slack = 1e-7 * (1.0 + math.sqrt(self.square) + np.sqrt(norms))
+        self.visited = 0
 
         def reach(rows: np.ndarray) -> np.ndarray:
             """Distance of the k-th best so far."""
@@ -97,39 +90,63 @@ class VantageTree:
             out = np.sqrt(np.maximum(0.0, norms[rows] + self.square - 2 * np.where(np.isinf(kth), 0, kth)))
             return np.where(np.isinf(kth), np.inf, out)
 
+        def bounds(node, rows: np.ndarray) -> list[np.ndarray]:
+            """Lower bounds of the distance to anything in each child."""
+            vantage, children = node
+            # One matrix product; the slack covers its rounding.
+            square = norms[rows] + vantage @ vantage - 2 * (queries[rows] @ vantage[:-1])
+            distance = np.sqrt(np.maximum(0.0, square))
+            return [np.maximum(0.0, np.maximum(low - distance, distance - high)) for _, low, high in children]
+
+        def scan(leaf: np.ndarray, rows: np.ndarray) -> None:
+            """Meet the vectors of a leaf. A matrix product finds the pairs
+            that count; their products are summed in one fixed order, so
+            equal vectors get equal scores wherever they stand."""
+            self.visited += len(rows) * len(leaf)
+            own, ids = self.vectors[leaf], self.ids[leaf]
+            rough = queries[rows] @ own.T
+            margin = 1e-12 * (1.0 + np.abs(rough).max(initial=0.0)) * queries.shape[1]
+            i, j = np.nonzero(rough >= best[rows, -1][:, None] - margin)
+            other = ids[j] != query_ids[rows[i]]
+            i, j = i[other], j[other]
+            if not len(i):
+                return
+            score = (own[j] * queries[rows[i]]).sum(axis=1)
+            touched, at = np.unique(i, return_inverse=True)
+            who = rows[touched]
+            owner = np.concatenate([np.repeat(np.arange(len(who)), k), at])
+            scores = np.concatenate([best[who].ravel(), score])
+            names = np.concatenate([found[who].ravel(), ids[j]])
+            order = np.lexsort((names, -scores, owner))
+            starts = np.searchsorted(owner[order], np.arange(len(who)))
+            take = order[(starts[:, None] + np.arange(k)).ravel()]
+            best[who] = scores[take].reshape(-1, k)
+            found[who] = names[take].reshape(-1, k)
+
+        home = np.zeros(n, np.int64)  # leaf that a query has met already
+        todo = [(0, np.arange(n))]
+        while todo:
+            at, rows = todo.pop()
+            node = self.nodes[at]
+            if isinstance(node, np.ndarray):
+                home[rows] = at
+                scan(node, rows)
+                continue
+            first, second = bounds(node, rows)
+            nearer = first <= second
+            todo += [(child, part) for (child, _, _), part in zip(node[1], (rows[nearer], rows[~nearer]))
+                     if len(part)]
         todo = [(0, np.arange(n), np.zeros(n))]
         while todo:
             at, rows, bound = todo.pop()
-            keep = bound <= factor * reach(rows) + slack[rows]
-            rows = rows[keep]
+            rows = rows[bound <= factor * reach(rows) + slack[rows]]
             if not len(rows):
                 continue
             node = self.nodes[at]
             if isinstance(node, np.ndarray):
-                visited += len(rows) * len(node)
-                new = scores_of(queries[rows], self.vectors[node], best[rows, -1])
-                ids = np.broadcast_to(self.ids[node], new.shape)
-                new = np.where(ids == query_ids[rows][:, None], -np.inf, new)
-                better = new.max(axis=1, initial=-np.inf) >= best[rows, -1]
-                rows, new, ids = rows[better], new[better], ids[better]
-                every = np.concatenate([best[rows], new], axis=1)
-                names = np.concatenate([found[rows], np.where(np.isinf(new), np.iinfo(np.int64).max, ids)], axis=1)
-                order = np.lexsort((names, -every), axis=-1)[:, :k]
-                best[rows] = np.take_along_axis(every, order, axis=1)
-                found[rows] = np.take_along_axis(names, order, axis=1)
-                continue
-            vantage, children = node
-            gap = queries[rows] - vantage[:-1]
-            distance = np.sqrt((gap ** 2).sum(axis=1) + vantage[-1] ** 2)
-            bounds = [np.maximum(0.0, np.maximum(low - distance, distance - high)) for _, low, high in children]
-            inner_first = bounds[0] <= bounds[1]
-            # Taken from the end: each query sees its nearer half first.
-            for first, which in ((0, inner_first), (1, ~inner_first)):
-                if which.any():
-                    other = 1 - first
-                    todo.append((children[other][0], rows[which], bounds[other][which]))
-                    todo.append((children[first][0], rows[which], bounds[first][which]))
-        self.visited = visited
+                scan(node, rows[home[rows] != at])
+            else:
+                todo += [(child, rows, b) for (child, _, _), b in zip(node[1], bounds(node, rows))]
         return best, found
 
 
@@ -150,7 +167,7 @@ def clean_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
 
 def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                        every: int = 20, k: int = 20, factor: float = 1.0, shard_rows: int = 16384,
-                       block: int = 256, splits: int = 4) -> DataFrame:
+                       block: int = 512, splits: int = 4) -> DataFrame:
     """Of each row whose id is divisible by ``every``, the k rows with the
     largest inner product: query_id, rank (from 1), vec_id, score."""
     spark = vectors.sparkSession
