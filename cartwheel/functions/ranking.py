@@ -29,7 +29,7 @@ def group_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Colum
                       value: Column, name: str, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = running sum of ``value`` (integral) in each group up to
     and including the row, rows ordered by ``order`` (a total order)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group]
     # Range boundaries come from sampling, and a shuffled input has no fixed
     # row order, so two evaluations may cut differently: materialise once.

@@ -1,43 +1,37 @@
 """Items bought/seen together — support, confidence, lift.
 
-Pairs are mined with MLlib's FP-growth instead of a self-join of each
-basket: FP-growth first drops items below the minimum count (no pair with
-such an item can reach it) and counts itemsets in conditional FP-trees per
-item partition, so no pair rows are materialised per basket. The result is
-exact for every pair with at least ``min_count`` baskets.
+Items below the minimum count are dropped first (no pair with such an item
+can reach it), so the equi-join on the basket meets frequent items only; each
+pair is counted once, smaller item first, and both rules follow from it. The
+result is exact for every pair with at least ``min_count`` baskets, and
+nothing is collected per basket.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
-    """One row per basket with its distinct items (bounded by the catalog)."""
-    return (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
-            .groupBy(basket).agg(F.collect_set(item).alias("items")))
-
-
 def affinity_pairs(df: DataFrame, basket: str, item: str, min_count: int = 2,
                    min_confidence: float = 0.0) -> DataFrame:
     """Rules a → b between single items seen together in ≥ ``min_count``
     baskets: pair count, support, confidence, lift."""
-    b = baskets(df, basket, item).cache()
-    n = b.count()
-    if n == 0:
-        b.unpersist()
-        return df.sparkSession.createDataFrame(
-            [], "antecedent bigint, consequent bigint, pair_count bigint, support double, "
-                "confidence double, lift double")
-    # ceil(minSupport * n) == min_count exactly, without float round-up
-    support = (min_count - 0.5) / n
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(b)
-    rules = model.associationRules.filter(
-        (F.size("antecedent") == 1) & (F.size("consequent") == 1))
-    out = rules.select(
-        F.col("antecedent")[0].alias("antecedent"), F.col("consequent")[0].alias("consequent"),
-        F.round(F.col("support") * F.lit(n)).cast("long").alias("pair_count"),
-        "support", "confidence", "lift")
-    return out
+    rows = (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+            .select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
+    n = rows.agg(F.count_distinct("_b").alias("n")).scalar()
+    counts = rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_count)
+    kept = rows.join(counts, "_i")
+    a = kept.select("_b", F.col("_i").alias("a"), F.col("_c").alias("ca"))
+    b = kept.select("_b", F.col("_i").alias("b"), F.col("_c").alias("cb"))
+    pairs = (a.join(b, "_b").filter(F.col("a") < F.col("b")).groupBy("a", "b", "ca", "cb")
+             .agg(F.count(F.lit(1)).alias("pair_count")).filter(F.col("pair_count") >= min_count))
+    sides = F.explode(F.array(
+        F.struct(F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("b").alias("y"), F.col("cb").alias("cy")),
+        F.struct(F.col("b").alias("x"), F.col("cb").alias("cx"), F.col("a").alias("y"), F.col("ca").alias("cy"))))
+    rules = pairs.select("pair_count", sides.alias("r")).select(
+        F.col("r.x").alias("antecedent"), F.col("r.y").alias("consequent"), "pair_count",
+        (F.col("pair_count") / n).alias("support"),
+        (F.col("pair_count") / F.col("r.cx")).alias("confidence"),
+        (F.col("pair_count") / F.col("r.cx") / (F.col("r.cy") / n)).alias("lift"))
+    return rules.filter(F.col("confidence") >= min_confidence)

@@ -30,7 +30,7 @@ def hash_fraction(*cols: str, seed: int = SEED):
     return F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def train_test_split(df: DataFrame, cols=("user_idx", "product_idx"),
+def train_test_split(df: DataFrame, cols=("user_id", "product_id"),
                      train_fraction: float = TRAIN_FRACTION, seed: int = SEED,
                      method: str = "hash") -> tuple[DataFrame, DataFrame]:
     """80/20 split; ``method="random"`` uses ``randomSplit`` like the original."""
@@ -41,7 +41,7 @@ def train_test_split(df: DataFrame, cols=("user_idx", "product_idx"),
     return df.filter(u < train_fraction), df.filter(u >= train_fraction)
 
 
-def split_flags(df: DataFrame, cols=("user_idx", "product_idx"),
+def split_flags(df: DataFrame, cols=("user_id", "product_id"),
                 train_fraction: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
     """M8 as a column: ``is_train`` for every row."""
     return df.withColumn("is_train", hash_fraction(*cols, seed=seed) < train_fraction)

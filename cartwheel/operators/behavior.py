@@ -113,9 +113,9 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
                      first="main_category")
     if with_lists:
         brands = value_bag(cleaned, "brand", view, name="viewed_brands")
-        out = out.join(cats, "user_id", "left").join(brands, "user_id", "left")
+        out = _join_user(_join_user(out, cats), brands)
     else:
-        out = out.join(cats.select("user_id", "main_category"), "user_id", "left")
+        out = _join_user(out, cats.select("user_id", "main_category"))
     cols = [
         "user_id", "nb_events", "nb_views", "nb_carts", "nb_purchases", "nb_removes",
         "avg_price", "avg_price_purchased", "nb_sessions", "first_seen", "last_seen",
@@ -128,6 +128,12 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
     return out.select(*cols)
 
 
+def _join_user(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on the user that also matches the NULL user."""
+    other = right.withColumnRenamed("user_id", "_user")
+    return left.join(other, left["user_id"].eqNullSafe(other["_user"]), "left").drop("_user")
+
+
 def user_features(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     """Training variant; ``frequency`` counts distinct active days."""
     cd = _distinct(exact)

@@ -9,8 +9,8 @@ State = two tables, both mergeable:
   + distinct, never collected into per-user arrays.
 
 ``finalize`` turns the state into the aggregates; merging the states of two
-periods gives exactly the aggregates of the whole data. ``sketch_state``
-offers HyperLogLog sketches instead of key rows (fixed size per user).
+periods gives exactly the aggregates of the whole data. ``save_state`` and
+``load_state`` keep a state as a run snapshot between periods.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
 from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
+from cartwheel.sources import snapshots
 
 SUMS = ["total_events", "views", "carts", "purchases", "removes", "monetary", "price_sum",
         "price_n"]
@@ -90,8 +91,23 @@ def merge_user_aggregates(old: DataFrame, new: DataFrame) -> DataFrame:
     return finalize(merge_state(partial_state(old), partial_state(new)))
 
 
-def sketch_state(events: DataFrame, lg_k: int = 12) -> DataFrame:
-    """Approximate variant: one HLL sketch per user and distinct kind; merge
-    with ``hll_union_agg`` and read with ``hll_sketch_estimate``."""
-    return events.groupBy("user_id").agg(
-        *[F.hll_sketch_agg(v, lg_k).alias(k) for k, v in _distinct_values().items()])
+def save_state(state: tuple[DataFrame, DataFrame], base: str, run: str) -> None:
+    """Store a state as the run's snapshots ``user_stats`` and ``user_keys``."""
+    for df, name in zip(state, ("user_stats", "user_keys"), strict=True):
+        snapshots.write_snapshot(df, base, name, run)
+
+
+def load_state(spark, base: str) -> tuple[DataFrame, DataFrame] | None:
+    """The newest stored state; None when there is none."""
+    found = [snapshots.latest_snapshot(spark, base, name) for name in ("user_stats", "user_keys")]
+    if any(f is None for f in found):
+        return None
+    return tuple(f.drop("snapshot") for f in found)
+
+
+def update_state(spark, events: DataFrame, base: str, run: str) -> tuple[DataFrame, DataFrame]:
+    """Merge a new period into the newest stored state, or start one from the
+    period alone, and store the result as ``run``."""
+    old, new = load_state(spark, base), partial_state(events)
+    save_state(new if old is None else merge_state(old, new), base, run)
+    return load_state(spark, base)

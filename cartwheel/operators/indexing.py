@@ -18,14 +18,13 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import materialize
 
-DEFAULT_INDEX_PARTITIONS = 8
 
 
 def index_table(df: DataFrame, key: str, idx: str | None = None,
                 partitions: int | None = None) -> DataFrame:
     """Columns ``key, idx, frequency``: one row per non-NULL key."""
     idx = idx or f"{key}_idx"
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.filter(F.col(key).isNotNull()).groupBy(key)
               .agg(F.count(F.lit(1)).alias("frequency"))
               .withColumn("_label", F.col(key).cast("string")))

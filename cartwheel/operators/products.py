@@ -115,7 +115,3 @@ def recommendation_frame(cleaned: DataFrame, weights=WEIGHTS_PREPROCESS,
         "user_id", F.col("user_id_idx").alias("user_idx"), "product_id",
         F.col("product_id_idx").alias("product_idx"), "event_type", "price", "event_time",
         interaction_score(weights).alias("interaction_score"))
-
-
-def category_of(col: str = "category_code"):
-    return top_category(col)

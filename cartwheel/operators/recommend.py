@@ -53,18 +53,20 @@ def keep_interactions(df: DataFrame, types=INTERACTION_TYPES) -> DataFrame:
 
 
 def interaction_matrix(cleaned: DataFrame, weights=WEIGHTS_TRAINING, cap: float = RATING_CAP,
-                       types=INTERACTION_TYPES) -> DataFrame:
+                       types=INTERACTION_TYPES, users: DataFrame | None = None,
+                       prods: DataFrame | None = None, keep_ids: bool = False) -> DataFrame:
     """Per (user_idx, product_idx) the capped sum of weights and the
-    interaction count. Indices come from the whole table (M1)."""
-    users = index_table(cleaned, "user_id", "user_idx")
-    prods = index_table(cleaned, "product_id", "product_idx")
+    interaction count. Indices come from the whole table (M1), or from the
+    given index tables; ``keep_ids`` also returns the original ids."""
+    users = index_table(cleaned, "user_id", "user_idx") if users is None else users
+    prods = index_table(cleaned, "product_id", "product_idx") if prods is None else prods
     pairs = keep_interactions(cleaned, types).groupBy("user_id", "product_id").agg(
         F.sum(interaction_score(weights)).alias("rating"),
         F.count(F.lit(1)).alias("interaction_count"))
     pairs = attach_index(pairs, users, "user_id", "user_idx")
     pairs = attach_index(pairs, prods, "product_id", "product_idx")
     return pairs.select(
-        "user_idx", "product_idx",
+        *(["user_id", "product_id"] if keep_ids else []), "user_idx", "product_idx",
         F.least(F.col("rating").cast("double"), F.lit(cap)).alias("rating"),
         "interaction_count")
 

@@ -17,6 +17,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import materialize
+
 
 # The eight clustering features, k = 5, seed 42, 20 iterations.
 FEATURE_COLS = ["recency", "frequency", "monetary", "conversion_rate", "cart_abandonment",
@@ -72,12 +74,12 @@ def fit_segments(users: DataFrame, k: int = K, seed: int = SEED, max_iter: int =
                  cols: Sequence[str] = FEATURE_COLS) -> tuple[PipelineModel, DataFrame]:
     """M4: fit the pipeline; rows get ``segment_id``.
 
-    The input is ordered and range-partitioned by user first so the k-means||
-    initialisation sees the same layout on every run (repeatable fits).
+    The features are written once, hash-partitioned and sorted by user: the
+    scaler, the k-means|| rounds and the transform read the same rows, and the
+    initialisation sees the same layout on every run with as many partitions.
     """
-    prepared = features_null_to_zero(users, cols)
-    n = users.sparkSession.sparkContext.defaultParallelism
-    prepared = prepared.repartitionByRange(n, "user_id").sortWithinPartitions("user_id")
+    prepared = materialize(features_null_to_zero(users, cols)
+                           .repartition("user_id").sortWithinPartitions("user_id"))
     model = kmeans_pipeline(k, seed, max_iter, cols).fit(prepared)
     return model, model.transform(prepared)
 
@@ -211,7 +213,3 @@ def classify_new_users(model: PipelineModel, users: DataFrame,
                        cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """M7: put users into the segments of a fitted (or loaded) pipeline."""
     return model.transform(features_null_to_zero(users, cols))
-
-
-def as_vector(col: str) -> Column:
-    return array_to_vector(F.col(col))

@@ -44,9 +44,7 @@ def session_metrics(df: DataFrame, session: str = "user_session") -> DataFrame:
     event, length in minutes, per-type counts and purchase value."""
     purchase = is_type(PURCHASE)
     return df.filter(F.col(session).isNotNull()).groupBy(session).agg(
-        # smallest user of the session; the set keeps the aggregation
-        # hash-based (a string min would force a sort-based aggregation)
-        F.array_min(F.collect_set("user_id")).alias("user_id"),
+        F.min("user_id").alias("user_id"),  # smallest user of the session
         F.count(F.lit(1)).alias("events"),
         F.count_distinct("event_type").alias("event_types"),
         F.min("event_time").alias("first_event"),

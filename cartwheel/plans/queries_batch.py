@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.functions.columns import cart_abandonment, conversion_rate, rfm_score
 from cartwheel.operators import behavior, cleaning
 from cartwheel.operators.behavior import bag_text
 from cartwheel.plans.catalog import register
@@ -150,3 +151,42 @@ UF_COLUMNS = [
 def q_user_features(spark, sf_dir):
     """Training-variant user features (frequency = active days)."""
     return behavior.user_features(cleaned(spark, sf_dir)).select(*UF_COLUMNS)
+
+
+# ------------------------------------------------- the flagship's columns on their own
+
+def _flagship(cols):
+    dbl = tuple(c for c in cols if c in ("conversion_rate", "cart_abandonment", "rfm_score"))
+    return normalized(f"SELECT {', '.join(cols)} FROM ({_UB_FULL}) AS f", cols, dbl=dbl,
+                      ctes=CLEANED_CTES)
+
+
+@register("behavior_rates", _flagship(["user_id", "conversion_rate", "cart_abandonment"]))
+def q_behavior_rates(spark, sf_dir):
+    """Conversion and cart abandonment rates per user."""
+    users = behavior.user_behavior(cleaned(spark, sf_dir), with_lists=False)
+    return users.select("user_id", conversion_rate("nb_purchases", "nb_views").alias("conversion_rate"),
+                        cart_abandonment("nb_carts", "nb_purchases").alias("cart_abandonment"))
+
+
+@register("recency_engagement", _flagship(["user_id", "recency", "engagement_days"]))
+def q_recency_engagement(spark, sf_dir):
+    """Days since the last event, and days between first and last."""
+    return behavior.user_behavior(cleaned(spark, sf_dir), with_lists=False).select(
+        "user_id", "recency", "engagement_days")
+
+
+@register("rfm_score", _flagship(["user_id", "rfm_score"]))
+def q_rfm_score(spark, sf_dir):
+    """P10: the weighted recency, frequency and monetary score."""
+    users = behavior.user_behavior(cleaned(spark, sf_dir), with_lists=False)
+    return users.select("user_id", rfm_score("recency", "frequency", "monetary").alias("rfm_score"))
+
+
+@register("first_viewed_category", normalized(
+    "SELECT user_id, category_code AS main_category FROM (SELECT user_id, category_code, "
+    "row_number() OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS r FROM cleaned "
+    "WHERE event_type = 'view') AS v WHERE r = 1", ["user_id", "main_category"], ctes=CLEANED_CTES))
+def q_first_viewed_category(spark, sf_dir):
+    """Category of every user's earliest view."""
+    return behavior.first_viewed_category(cleaned(spark, sf_dir))

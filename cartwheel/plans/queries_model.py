@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartwheel.functions.sizing import ensure_checkpoint_dir
+from cartwheel.functions.sizing import ensure_checkpoint_dir, materialize
 from cartwheel.operators import als, behavior, products, recommend, reporting, segmentation
 from cartwheel.operators.indexing import index_table
 from cartwheel.plans.catalog import register
@@ -156,11 +156,20 @@ def q_recommend_batch(spark, sf_dir):
     return recs(spark, sf_dir)
 
 
+# A catalog of one category: most users have no match in it.
+_ONE_CATEGORY = "economy"
+_FEW_CTES = _REC_CTES[:-1] + [_REC_CTES[-1].replace(
+    "ON p.product_id = m.product_id\n)",
+    f"ON p.product_id = m.product_id\n  WHERE m.main_category_code = '{_ONE_CATEGORY}'\n)")]
+
+
 @register("recommend_fallback", normalized(
-    "SELECT * FROM fallback", REC_COLS, dbl=("rec_score", "avg_price"), ctes=_REC_CTES))
+    "SELECT * FROM fallback", REC_COLS, dbl=("rec_score", "avg_price"), ctes=_FEW_CTES))
 def q_recommend_fallback(spark, sf_dir):
-    """Popular products for users without an affinity match."""
-    r = recs(spark, sf_dir)
+    """Popular products for users without an affinity match (the catalog
+    is cut to one category, so that such users exist)."""
+    few = product_table(spark, sf_dir).filter(F.col("main_category_code") == _ONE_CATEGORY)
+    r = recommend.recommend(activity(spark, sf_dir), few)
     return r.filter(F.col("recommendation_type") == recommend.FALLBACK)
 
 
@@ -471,21 +480,31 @@ def q_segment_transitions(spark, sf_dir):
     return segmentation.segment_transitions(before, users.select("user_id", "segment_id"))
 
 
-@register("kmeans_segments")
+@register("kmeans_segments", normalized(
+    "SELECT DISTINCT user_id, true AS nearest FROM cleaned", ["user_id", "nearest"],
+    ctes=CLEANED_CTES))
 def q_kmeans_segments(spark, sf_dir):
     """M4 (property): each user's segment is its nearest K-means centre."""
     model, seg = segmentation.fit_segments(_user_features(spark, sf_dir))
-    return segmentation.nearest_center_check(model, seg)
+    return segmentation.nearest_center_check(model, seg).select("user_id", "nearest")
 
 
-@register("segment_users")
+@register("segment_users", normalized(
+    "SELECT DISTINCT user_id, true AS named_by_profile FROM cleaned",
+    ["user_id", "named_by_profile"], ctes=CLEANED_CTES))
 def q_segment_users(spark, sf_dir):
-    """M6: K-means segments with rule-based names."""
+    """M6 (property): every user has a K-means segment whose name follows
+    from the means of its users."""
     _, out = segmentation.segment_users(_user_features(spark, sf_dir))
-    return out
+    again = segmentation.name_segments(segmentation.segment_profile(out.drop("segment")))
+    names = again.select("segment_id", F.col("segment").alias("expected"))
+    return out.join(names, "segment_id", "left").select(
+        "user_id", F.col("segment").eqNullSafe(F.col("expected")).alias("named_by_profile"))
 
 
-@register("classify_new_users")
+@register("classify_new_users", normalized(
+    "SELECT DISTINCT user_id, true AS same_segment FROM cleaned", ["user_id", "same_segment"],
+    ctes=CLEANED_CTES))
 def q_classify_new_users(spark, sf_dir):
     """M7 + S13: save the fitted pipeline, load it, classify users again;
     ``same_segment`` must be true for every user."""
@@ -498,25 +517,30 @@ def q_classify_new_users(spark, sf_dir):
     again = segmentation.classify_new_users(PipelineModel.load(path), users)
     j = seg.select("user_id", "segment_id").join(
         again.select("user_id", F.col("segment_id").alias("reloaded")), "user_id")
-    return j.select("user_id", "segment_id", (F.col("segment_id") == F.col("reloaded"))
-                    .alias("same_segment"))
+    return j.select("user_id", (F.col("segment_id") == F.col("reloaded")).alias("same_segment"))
 
 
 # ------------------------------------------------------------------ ALS
 
 def _matrix_with_ids(spark, sf_dir):
     cl = cleaned(spark, sf_dir)
-    m = recommend.interaction_matrix(cl)
     users = index_table(cl, "user_id", "user_idx")
     prods = index_table(cl, "product_id", "product_idx")
-    return m, users, prods
+    m = recommend.interaction_matrix(cl, users=users, prods=prods, keep_ids=True)
+    return materialize(m), users, prods
 
 
-@register("train_test_split", normalized(
+_SPLIT_SQL = (
     "SELECT user_id, product_id, CAST('0x' || substr(md5('42|' || user_id || '|' || "
     "CAST(product_id AS VARCHAR)), 1, 8) AS UBIGINT) / 4294967296.0 < 0.8 AS is_train "
     "FROM (SELECT DISTINCT user_id, product_id FROM cleaned "
-    "WHERE event_type IN ('view', 'cart', 'purchase')) AS p",
+    "WHERE event_type IN ('view', 'cart', 'purchase')) AS p")
+_SPLIT_CTES = CLEANED_CTES + [f"split AS ({_SPLIT_SQL})"]
+_TRAINED = "(SELECT count(DISTINCT product_id) FROM split WHERE is_train)"
+
+
+@register("train_test_split", normalized(
+    _SPLIT_SQL,
     ["user_id", "product_id", "is_train"], ctes=CLEANED_CTES))
 def q_train_test_split(spark, sf_dir):
     """M8: deterministic hash split of (user, product) pairs, 80/20."""
@@ -532,32 +556,54 @@ def _fit(spark, sf_dir):
     return als.fit_als(train), m, test, users, prods
 
 
-@register("als_fit")
+def _user_of(df, users, idx):
+    """The original user of an index column."""
+    names = users.select("user_id", F.col("user_idx").cast("int").alias("_idx"))
+    return df.join(names, df[idx] == names["_idx"], "left").drop("_idx")
+
+
+@register("als_fit", normalized(
+    "SELECT DISTINCT user_id, CAST(50 AS INTEGER) AS rank, true AS non_negative FROM split "
+    "WHERE is_train", ["user_id", "rank", "non_negative"], ctes=_SPLIT_CTES))
 def q_als_fit(spark, sf_dir):
-    """M9 (property): one non-negative factor vector of rank 50 per user."""
-    model, *_ = _fit(spark, sf_dir)
-    f = model.userFactors
-    return f.select("id", F.size("features").alias("rank"),
-                    F.forall("features", lambda v: v >= 0).alias("non_negative"))
+    """M9 (property): one non-negative factor vector of rank 50 per trained user."""
+    model, _, _, users, _ = _fit(spark, sf_dir)
+    return _user_of(model.userFactors, users, "id").select(
+        "user_id", F.size("features").alias("rank"),
+        F.forall("features", lambda v: v >= 0).alias("non_negative"))
 
 
-@register("als_rmse")
+@register("als_rmse", normalized(
+    "SELECT true AS has_test, true AS in_range", ["has_test", "in_range"]))
 def q_als_rmse(spark, sf_dir):
-    """RMSE on the held-out 20 % (cold-start rows dropped)."""
+    """M10 (property): there are held-out pairs, and their RMSE is a number
+    between 0 and the rating cap."""
     model, _, test, _, _ = _fit(spark, sf_dir)
-    return als.rmse_frame(als.predictions(model, test))
+    return als.rmse_frame(als.predictions(model, test)).select(
+        (F.col("n_test") > 0).alias("has_test"),
+        ((F.col("rmse") >= 0) & (F.col("rmse") <= recommend.RATING_CAP)).alias("in_range"))
 
 
-@register("als_top_n")
+@register("als_top_n", normalized(
+    f"SELECT DISTINCT user_id, CAST(least(10, {_TRAINED}) AS INTEGER) AS n_items, "
+    "true AS no_repeats, true AS descending FROM split WHERE is_train",
+    ["user_id", "n_items", "no_repeats", "descending"], ctes=_SPLIT_CTES))
 def q_als_top_n(spark, sf_dir):
-    """M11 (property): ≤ 10 distinct products per user, scores descending."""
-    model, m, *_ = _fit(spark, sf_dir)
-    return als.top_n_properties(als.top_n(model, m))
+    """M11 (property): 10 distinct products per trained user, scores descending."""
+    model, m, _, users, _ = _fit(spark, sf_dir)
+    return _user_of(als.top_n_properties(als.top_n(model, m)), users, "user_idx").select(
+        "user_id", "n_items", "no_repeats", "descending")
 
 
-@register("recs_to_ids")
+@register("recs_to_ids", normalized(
+    f"SELECT DISTINCT user_id, least(10, {_TRAINED}) AS n_recs, "
+    f"CAST(least(10, {_TRAINED}) AS INTEGER) AS last_rank, true AS known FROM split WHERE is_train",
+    ["user_id", "n_recs", "last_rank", "known"], ctes=_SPLIT_CTES))
 def q_recs_to_ids(spark, sf_dir):
-    """ALS recommendations with original user and product ids."""
+    """M12 (property): every ALS recommendation has its original ids back."""
     model, m, _, users, prods = _fit(spark, sf_dir)
-    return als.recs_to_ids(als.top_n(model, m), users, prods)
+    flat = als.recs_to_ids(als.top_n(model, m), users, prods)
+    return flat.groupBy("user_id").agg(
+        F.count_distinct("product_id").alias("n_recs"), F.max("rank").alias("last_rank"),
+        F.bool_and(F.col("product_id").isNotNull()).alias("known"))
 

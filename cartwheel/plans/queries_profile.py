@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from cartwheel.functions.columns import WEIGHTS_TRAINING, interaction_score, top_category
+from cartwheel.functions.columns import (
+    WEIGHTS_TRAINING,
+    interaction_score,
+    popularity_score,
+    top_category,
+)
 from cartwheel.operators import cleaning, indexing, products, profiling, timeseries
 from cartwheel.operators import recommend
 from cartwheel.plans.catalog import register
@@ -370,11 +375,11 @@ def q_daily_activity(spark, sf_dir):
 
 @register("retention_filter", normalized(
     "SELECT event_id, date FROM cleaned WHERE CAST(event_time AS DATE) >= "
-    "(SELECT max(CAST(event_time AS DATE)) FROM cleaned) - 29",
+    "(SELECT max(CAST(event_time AS DATE)) FROM cleaned) - 6",
     ["event_id", "date"], ctes=CLEANED_CTES))
 def q_retention_filter(spark, sf_dir):
-    """Events of the last 30 days."""
-    return timeseries.retention_filter(cleaned(spark, sf_dir), 30).select("event_id", "date")
+    """Events of the last 7 days."""
+    return timeseries.retention_filter(cleaned(spark, sf_dir), 7).select("event_id", "date")
 
 
 # ------------------------------------------------------------------ row-level parts
@@ -424,7 +429,7 @@ def q_impute_brand(spark, sf_dir):
     "SELECT t.event_id, c.avg_cat_price FROM cs_top t JOIN cs_cat c ON c.top_cat = t.top_cat",
     ["event_id", "avg_cat_price"], dbl=("avg_cat_price",), ctes=CLEANED_CTES))
 def q_join_category_mean(spark, sf_dir):
-    """Each event joined with its category mean (size-checked broadcast)."""
+    """Each event joined with its category mean (joined by size)."""
     df = cleaning.with_top_category(clickstream(spark, sf_dir))
     stats = cleaning.category_stats(df).select("category_code", "avg_cat_price")
     return df.join(stats, "category_code", "left").select("event_id", "avg_cat_price")
@@ -436,6 +441,30 @@ def q_join_category_mean(spark, sf_dir):
     f"ON p.product_id = m.product_id", ["product_id", "main_brand", "total_events"],
     ctes=CLEANED_CTES))
 def q_join_product_tables(spark, sf_dir):
-    """Metadata ⋈ popularity — both group the same key, so one groupBy."""
-    pd_ = products.product_data(cleaned(spark, sf_dir), with_index=False)
-    return pd_.select("product_id", "main_brand", "total_events")
+    """Metadata ⟕ popularity, both grouped by the join key."""
+    cl = cleaned(spark, sf_dir)
+    popularity = products.product_popularity(cl).select("product_id", "total_events")
+    return products.product_metadata(cl).join(popularity, "product_id", "left").select(
+        "product_id", "main_brand", "total_events")
+
+
+@register("describe_cleaned", normalized(
+    _DESCRIBE_SQL.replace("FROM clickstream", "FROM cleaned"),
+    ['"column"', "count", "mean", "stddev", "min", "max"],
+    dbl=("mean", "stddev", "min", "max"), ctes=CLEANED_CTES))
+def q_describe_cleaned(spark, sf_dir):
+    """A2 after cleaning: the same statistics of the cleaned table."""
+    return profiling.describe_numeric(cleaned(spark, sf_dir), _DESCRIBE_COLS)
+
+
+@register("popularity_score", normalized(
+    "SELECT product_id, (count(*) FILTER (WHERE event_type = 'purchase') * 3 "
+    "+ count(*) FILTER (WHERE event_type = 'cart') * 2 "
+    "+ count(*) FILTER (WHERE event_type = 'view')) / CAST(count(DISTINCT user_id) AS DOUBLE) "
+    "AS popularity_score FROM cleaned GROUP BY product_id",
+    ["product_id", "popularity_score"], dbl=("popularity_score",), ctes=CLEANED_CTES))
+def q_popularity_score(spark, sf_dir):
+    """Weighted events per distinct user of every product."""
+    p = products.product_popularity(cleaned(spark, sf_dir))
+    return p.select("product_id", popularity_score(
+        "total_purchases", "total_carts", "total_views", "unique_users").alias("popularity_score"))

@@ -14,6 +14,7 @@ from cartwheel.operators import (
     products,
     profiling,
     recommend,
+    segmentation,
     sessions,
     timeseries,
 )
@@ -23,14 +24,15 @@ from cartwheel.plans.queries_batch import cleaned
 from cartwheel.plans.queries_model import (
     _REC_CTES,
     _UB_LABEL_CTE,
-    REC_COLS,
+    _labelled_users,
     activity,
     product_table,
     recs,
 )
+from cartwheel.plans.queries_profile import _ACT_AGGS, _ACT_COLS, _POP_AGGS, _POP_COLS
 from cartwheel.schema import clickstream
 from cartwheel.sources import points
-from cartwheel.streaming.files import day_filter
+from cartwheel.streaming.files import day_filter, scratch_dir
 
 # ------------------------------------------------------------------ sessions
 
@@ -312,10 +314,14 @@ _INC_COLS = ["user_id", "total_events", "views", "carts", "purchases", "removes"
     "count(DISTINCT user_session) AS unique_sessions FROM cleaned GROUP BY user_id",
     _INC_COLS, dbl=("monetary", "avg_price"), tss=("first_seen", "last_seen"), ctes=CLEANED_CTES))
 def q_merge_user_aggregates(spark, sf_dir):
-    """Aggregates of days 1-15 merged with days 16-30 = full recompute."""
+    """The state of days 1-15 is stored, loaded, merged with the other
+    days and stored again; it equals a full recompute."""
     cl = cleaned(spark, sf_dir)
+    base = scratch_dir(spark, "state")
     first = day_filter(1, 15)
-    return incremental.merge_user_aggregates(cl.filter(first), cl.filter(~first)).select(*_INC_COLS)
+    incremental.update_state(spark, cl.filter(first), base, "20240115_000000")
+    state = incremental.update_state(spark, cl.filter(~first), base, "20240131_000000")
+    return incremental.finalize(state).select(*_INC_COLS)
 
 
 @register("visit_frequency", normalized(
@@ -346,23 +352,54 @@ def q_top_viewed_categories(spark, sf_dir):
     return profiling.top_viewed(cleaned(spark, sf_dir), "category_code")
 
 
-@register("realtime_metrics")
+def _measure_sql(name, src, ts, tags=(), fields=()):
+    """Long-form points of a table: one row per tag and per field."""
+    parts = [f"SELECT '{name}' AS measurement, {ts} AS ts, 'tag' AS kind, '{c}' AS key, "
+             f"CAST({c} AS VARCHAR) AS tag_value, CAST(NULL AS DOUBLE) AS field_value FROM {src} "
+             f"WHERE {c} IS NOT NULL" for c in tags]
+    parts += [f"SELECT '{name}' AS measurement, {ts} AS ts, 'field' AS kind, '{c}' AS key, "
+              f"CAST(NULL AS VARCHAR) AS tag_value, CAST({c} AS DOUBLE) AS field_value FROM {src} "
+              f"WHERE {c} IS NOT NULL" for c in fields]
+    return " UNION ALL ".join(parts)
+
+
+_NEWEST = "(SELECT max(event_time) FROM cleaned)"
+_METRIC_CTES = _REC_CTES + _UB_LABEL_CTE + [
+    "m_hour AS (SELECT strftime(date_trunc('hour', event_time), '%Y-%m-%d %H:00:00') AS hour_bucket, "
+    f"date_trunc('hour', event_time) AS t, {_ACT_AGGS} FROM cleaned GROUP BY 1, 2)",
+    "m_seg AS (SELECT count(*) AS users, count(*) FILTER (WHERE first_label <> segment_id) AS changed, "
+    "count(*) FILTER (WHERE first_label <> segment_id) * 100.0 / count(*) AS changed_pct FROM ub)",
+    "m_rec AS (SELECT recommended_category_code, count(*) AS recommendations FROM recs "
+    "WHERE recommended_category_code IS NOT NULL GROUP BY 1)",
+    f"m_pop AS (SELECT product_id, {_POP_AGGS}, sum(price) AS total_revenue, "
+    "sum(CASE WHEN event_type = 'purchase' THEN price END) AS purchase_revenue "
+    "FROM cleaned GROUP BY product_id)"]
+_METRIC_SQL = " UNION ALL ".join([
+    _measure_sql("user_behavior", "m_hour", "t", ["hour_bucket"], _ACT_COLS),
+    _measure_sql("segment_evolution", "m_seg", _NEWEST, [], ["users", "changed", "changed_pct"]),
+    _measure_sql("recommendation_metrics", "m_rec", _NEWEST, ["recommended_category_code"],
+                 ["recommendations"]),
+    _measure_sql("product_popularity", "m_pop", _NEWEST, [],
+                 _POP_COLS + ["total_revenue", "purchase_revenue"])])
+
+
+@register("realtime_metrics", normalized(
+    _METRIC_SQL, ["measurement", "ts", "kind", "key", "tag_value", "field_value"],
+    dbl=("field_value",), tss=("ts",), ctes=_METRIC_CTES))
 def q_realtime_metrics(spark, sf_dir):
     """The four dashboard measurements as points (flattened)."""
-    from cartwheel.operators import products as prod_ops
-    from cartwheel.operators import reporting, segmentation
-    from cartwheel.plans.queries_model import _labelled_users
     cl = cleaned(spark, sf_dir)
     newest = cl.agg(F.max("event_time")).scalar()
     hourly = timeseries.hourly_activity(cl).withColumn(
         "event_time", F.to_timestamp("hour_bucket"))
-    pop = prod_ops.product_popularity(cl).withColumn("event_time", newest)
+    pop = products.product_popularity(cl).withColumn("event_time", newest)
     users = _labelled_users(spark, sf_dir)
     before = users.select("user_id", (F.dayofweek("first_seen") - 1).alias("segment_id"))
     seg = segmentation.segment_stability(before, users.select("user_id", "segment_id")).withColumn(
         "event_time", newest)
-    rec = reporting.top_recommended_categories(recs(spark, sf_dir), k=1000).withColumn(
-        "event_time", newest)
+    rec = (recs(spark, sf_dir).filter(F.col("recommended_category_code").isNotNull())
+           .groupBy("recommended_category_code").agg(F.count(F.lit(1)).alias("recommendations"))
+           .withColumn("event_time", newest))
     pts = [points.to_points(hourly, "user_behavior"), points.to_points(seg, "segment_evolution"),
            points.to_points(rec, "recommendation_metrics"),
            points.to_points(pop, "product_popularity")]
@@ -370,6 +407,3 @@ def q_realtime_metrics(spark, sf_dir):
     for p in pts[1:]:
         out = out.unionByName(p)
     return points.flatten_points(out)
-
-
-_ = (REC_COLS, timeseries)

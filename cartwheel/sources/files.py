@@ -59,7 +59,9 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
 
     NULL partition values land in ``__HIVE_DEFAULT_PARTITION__``.
     """
-    (df.sortWithinPartitions(*by).write.mode(mode)
+    # rebalanced by the partition columns: few files a folder, and a skewed
+    # folder is split over several tasks
+    (df.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(*by).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records)
      .partitionBy(*by).parquet(path))
@@ -127,8 +129,3 @@ def run_metadata(cleaned: DataFrame, segmented: DataFrame, source: str,
         F.count(F.lit(1)).alias("total_interactions")).select(
         "*", seg.alias("segments_count"), F.lit(source).alias("data_source"),
         F.current_timestamp().alias("training_date"))
-
-
-def split_by(df: DataFrame, col: Column, values: list) -> list[DataFrame]:
-    """Helper for file fixtures: one DataFrame per value of ``col``."""
-    return [df.filter(col == F.lit(v)) for v in values]

@@ -66,6 +66,6 @@ def stage_event_files(events: DataFrame, target: str, files: int, fmt: str = "cs
 
 
 def day_filter(lo: int, hi: int, ts: str = "event_time"):
-    """Rows whose day of month is in [lo, hi]."""
+    """Rows whose day of month is in [lo, hi] (false without a time)."""
     d = F.dayofmonth(ts)
-    return (d >= lo) & (d <= hi)
+    return F.coalesce((d >= lo) & (d <= hi), F.lit(False))

@@ -85,37 +85,24 @@ class RecommendationSink:
 
 def start(stream: DataFrame, sink, checkpoint: str, output_mode: str = "update",
           trigger: str | None = TRIGGER, available_now: bool = False,
-          name: str | None = None, state_partitions: int | None = 0) -> StreamingQuery:
+          name: str | None = None) -> StreamingQuery:
     """Start a query with its own checkpoint folder.
 
-    ``state_partitions`` sets the shuffle/state-store partitions of THIS query
-    (the stream clones the session at start; the session setting is restored
-    right after). ``0`` = the cluster's parallelism, ``None`` = the session
-    setting. A restarted query keeps the count recorded in its checkpoint.
+    The number of state partitions is the session's
+    ``spark.sql.shuffle.partitions`` at the first start; a restarted query
+    keeps the number recorded in its checkpoint.
     """
-    spark = stream.sparkSession
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option(
         "checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    if state_partitions is None:
-        return w.start()
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, before)
+    return w.start()
 
 
 def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str = "update",
-                      timeout: float | None = None, state_partitions: int | None = 0
-                      ) -> StreamingQuery:
+                      timeout: float | None = None) -> StreamingQuery:
     """Process every file present now, then stop (tests and backfills)."""
-    q = start(stream, sink, checkpoint, output_mode, available_now=True,
-              state_partitions=state_partitions)
+    q = start(stream, sink, checkpoint, output_mode, available_now=True)
     q.awaitTermination(timeout)
     return q
