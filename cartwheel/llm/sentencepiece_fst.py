@@ -36,6 +36,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-REMEMBERED = 400_000  # spans and pairs of pieces that a task remembers
+REMEMBERED = 600_000  # spans and pairs of pieces that a worker remembers
 
 
 @dataclass(frozen=True)
@@ -302,6 +303,13 @@ class Encoder:
         return made
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: Model) -> Encoder:
+    """One encoder a Python worker: tasks that run in it one after another
+    share the compiled transducers and the paths found so far."""
+    return Encoder(model)
+
+
 def encode(docs: DataFrame, model: Model, text_col: str = "text",
            columns: tuple[str, ...] = ("doc_id",), ids_col: str = "ids",
            round_trip_col: str | None = None) -> DataFrame:
@@ -317,7 +325,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = encoder_of(shared.value)
         for whole in batches:
             for start in range(0, whole.num_rows, 256):  # bounded output batches
                 batch = whole.slice(start, 256)
@@ -344,7 +352,7 @@ def decode(rows: DataFrame, model: Model, ids_col: str = "ids",
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = encoder_of(shared.value)
         for batch in batches:
             texts = [None if i is None else coder.decode(i) for i in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]],
