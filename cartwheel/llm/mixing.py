@@ -12,10 +12,11 @@ prefix, found from running sums, and the rest share what is left.
 A leaf with budget b and t tokens gives b // t whole epochs and a prefix of
 one more: epoch e orders the leaf's documents by md5(seed:e:id) and takes
 documents until the remainder of the budget is reached (the document that
-reaches it is taken whole). The order's first three hexadecimal digits split
-a leaf into 4,096 ranges; ranges are summed first, and only the range in
-which the budget ends is ordered row by row, so a leaf with a third of all
-rows is never sorted in one task.
+reaches it is taken whole). The order's first two hexadecimal digits split a
+leaf into 256 ranges, the next two each of them into 256; ranges are summed
+first, and only the range in which the budget ends is split further and then
+ordered row by row, so a leaf with a third of all rows is never sorted in one
+task.
 
 Rows: tokens are words parted by ASCII white space; null text has none; null
 or unknown languages, sources and domains are nodes of their own with the
@@ -40,6 +41,7 @@ WEIGHTS: dict[str, dict[str, int]] = {
     "source": {},
 }
 DEFAULT_WEIGHT = 1
+RANGE_DIGITS = (2, 4)  # hexadecimal digits of the order that name a range
 UNKNOWN = "unknown"
 
 
@@ -132,18 +134,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .withColumn("rest", F.expr("budget - (budget DIV tokens) * tokens")))
 
     # The part epoch: where in each leaf's order the remainder is reached.
-    placed = (narrow.join(plan.filter("rest > 0"), list(LEVELS))
-              .select(*LEVELS, "rest", "n_tokens", place.alias("place"))
-              .withColumn("range", F.substring("place", 1, 3)))
-    running = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (placed.groupBy(*LEVELS, "range", "rest").agg(F.sum("n_tokens").alias("sum"))
-              .withColumn("before", F.coalesce(F.sum("sum").over(running), F.lit(0)))
-              .filter("before < rest AND before + sum >= rest").select(*LEVELS, "range", "before"))
-    inside = Window.partitionBy(*LEVELS).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (placed.join(ranges, [*LEVELS, "range"])
-            .groupBy(*LEVELS, "rest", "before", "place").agg(F.sum("n_tokens").alias("sum"))
-            .withColumn("at", F.col("before") + F.coalesce(F.sum("sum").over(inside), F.lit(0)))
-            .filter("at < rest").groupBy(*LEVELS).agg(F.max("place").alias("end")))
+    # Sums over ranges of the order narrow it down to one range of each leaf,
+    # twice; only that range is ordered row by row.
+    rows = (narrow.join(plan.filter("rest > 0"), list(LEVELS))
+            .select(*LEVELS, "rest", "n_tokens", place.alias("place"), F.lit(0).cast("long").alias("start")))
+
+    def before(by: str) -> Column:
+        """Tokens of the leaf that stand before a range or place."""
+        w = Window.partitionBy(*LEVELS).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.col("start") + F.coalesce(F.sum("sum").over(w), F.lit(0))
+
+    for digits in RANGE_DIGITS:
+        ranged = rows.withColumn("range", F.substring("place", 1, digits))
+        reached = (ranged.groupBy(*LEVELS, "range", "rest", "start").agg(F.sum("n_tokens").alias("sum"))
+                   .withColumn("at", before("range")).filter("at < rest AND at + sum >= rest")
+                   .select(*LEVELS, "range", F.col("at").alias("start")))
+        rows = ranged.drop("start").join(reached, [*LEVELS, "range"]).drop("range")
+    ends = (rows.groupBy(*LEVELS, "rest", "start", "place").agg(F.sum("n_tokens").alias("sum"))
+            .withColumn("at", before("place")).filter("at < rest")
+            .groupBy(*LEVELS).agg(F.max("place").alias("end")))
     ended, _ = stage(plan.join(ends, list(LEVELS), "left"))
 
     whole = F.expr("CASE WHEN epochs > 0 THEN sequence(0L, epochs - 1) ELSE array() END")
