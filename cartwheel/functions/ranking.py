@@ -18,6 +18,26 @@ from pyspark.sql import functions as F
 from cartwheel.functions.sizing import materialize
 
 
+def range_parts(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+                partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by (group, order), with the partition number
+    as ``_part``: a big group is split over partitions, in order.
+
+    Range boundaries come from sampling, and a shuffled input has no fixed
+    row order, so two evaluations may cut differently: materialised once.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(n, *[F.col(g) for g in group], *order)
+                       .withColumn("_part", F.spark_partition_id()))
+
+
+def split_groups(ranged: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The groups of a ``range_parts`` table that lie in more than one
+    partition (fewer than there are partitions)."""
+    return (ranged.select("_part", *group).distinct().groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("_parts")).filter(F.col("_parts") > 1).drop("_parts"))
+
+
 def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                      name: str = "row_number", partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row in its group by ``order``
@@ -29,13 +49,7 @@ def group_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Colum
                       value: Column, name: str, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = running sum of ``value`` (integral) in each group up to
     and including the row, rows ordered by ``order`` (a total order)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(g) for g in group]
-    # Range boundaries come from sampling, and a shuffled input has no fixed
-    # row order, so two evaluations may cut differently: materialise once.
-    ranged = materialize(df.withColumn("_val", value.cast("long"))
-                         .repartitionByRange(n, *keys, *order)
-                         .withColumn("_part", F.spark_partition_id()))
+    ranged = range_parts(df.withColumn("_val", value.cast("long")), group, order, partitions)
     w = (Window.partitionBy("_part", *group).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_rn", F.sum("_val").over(w))

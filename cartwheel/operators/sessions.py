@@ -1,20 +1,19 @@
 """Sessions, navigation paths and the purchase funnel.
 
-Navigation n-grams need each event's successor inside its session. A
-``lead()`` window would put a whole session in one task; instead every
-event gets its exact position in the session from a range-partitioned
-numbering (``functions.ranking``) and the successor is found by an
-equi-join on (session, position + 1), which hashes a long session over
-many tasks.
+Navigation n-grams need each event's successors inside its session. A
+``lead()`` window would put a whole session in one task; instead the events
+are range-partitioned by (session, time), which splits a long session over
+tasks, ``lead()`` runs inside each part, and the paths over the edges of
+parts come from the few outer rows of the sessions that were split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
-from cartwheel.functions.ranking import group_row_number, group_running_sum
+from cartwheel.functions.ranking import group_running_sum, range_parts, split_groups
 from cartwheel.schema import CART, PURCHASE, VIEW
 
 # Fixed value: minutes of inactivity that end a visit for gap-based sessions.
@@ -28,12 +27,26 @@ def navigation_paths(df: DataFrame, n: int = 2, by: str = "event_type",
     base = df.filter(F.col(session).isNotNull()).select(
         session, "event_time", "event_id", F.coalesce(F.col(by).cast("string"), F.lit("NULL"))
         .alias("_step"))
-    pos = group_row_number(base, [session], [F.col("event_time"), F.col("event_id")], "_pos")
-    pos = pos.select(session, "_pos", "_step")
-    grams = pos.select(session, "_pos", F.col("_step").alias("s0"))
-    for i in range(1, n):
-        nxt = pos.select(session, (F.col("_pos") - i).alias("_pos"), F.col("_step").alias(f"s{i}"))
-        grams = grams.join(nxt, [session, "_pos"], "inner")
+    order = [F.col("event_time"), F.col("event_id")]
+    ranged = range_parts(base, [session], order)
+    steps = [F.col("_step").alias("s0")]
+
+    def ahead(w):
+        return [F.lead("_step", i).over(w).alias(f"s{i}") for i in range(1, n)]
+
+    inside = Window.partitionBy("_part", session).orderBy(*order)
+    local = ranged.select(*steps, *ahead(inside), F.lead("event_id", n - 1).over(inside).alias("_end"))
+    grams = local.filter(F.col("_end").isNotNull()).drop("_end")
+    if n > 1:
+        # Paths over the edge of a partition: the n - 1 outer rows of each
+        # part of the few sessions that were split.
+        back = Window.partitionBy("_part", session).orderBy(*[o.desc() for o in order])
+        outer = (ranged.join(split_groups(ranged, [session]), session)
+                 .withColumn("_a", F.row_number().over(inside)).withColumn("_z", F.row_number().over(back))
+                 .filter((F.col("_a") < n) | (F.col("_z") < n)))
+        across = Window.partitionBy(session).orderBy("_part", *order)
+        over = outer.select(*steps, *ahead(across), "_part", F.lead("_part", n - 1).over(across).alias("_to"))
+        grams = grams.unionByName(over.filter(F.col("_to") != F.col("_part")).drop("_part", "_to"))
     path = F.concat_ws(sep, *[F.col(f"s{i}") for i in range(n)])
     return grams.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("count")).withColumn(
         "n", F.lit(n))
@@ -65,9 +78,9 @@ def gap_sessions(df: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
     last event (Spark's session-window definition).
 
     ``method="ranked"`` (default) never holds one user in one task: events
-    get their position per user from range-partitioned numbering, the
-    predecessor comes from an equi-join on (user, position - 1), and the
-    visit number is a running count of visit starts computed the same way.
+    are range-partitioned by (user, time), the predecessor is the row before
+    in the partition or the end of the user's part before, and the visit
+    number is a running count of visit starts over the same kind of parts.
     ``method="session_window"`` uses Spark's ``session_window`` (sorted
     merge per user in one task).
     """
@@ -80,14 +93,20 @@ def gap_sessions(df: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
             F.col("visit.end").alias("visit_end"), "events", "purchases")
     order = [F.col("event_time"), F.col("event_id")]
     base = users.select("user_id", "event_time", "event_id", "event_type")
-    pos = group_row_number(base, ["user_id"], order, "_pos")
-    prev = pos.select("user_id", (F.col("_pos") + 1).alias("_pos"),
-                      F.col("event_time").alias("_prev"))
+    ranged = range_parts(base, ["user_id"], order)
+    # The event before: in the same partition, or the last one of the user's
+    # part before (only users that were split have one).
+    local = F.lag("event_time").over(Window.partitionBy("_part", "user_id").orderBy(*order))
+    ends = (ranged.join(split_groups(ranged, ["user_id"]), "user_id").groupBy("user_id", "_part")
+            .agg(F.max("event_time").alias("_last")))
+    before = ends.select("user_id", "_part", F.lag("_last").over(
+        Window.partitionBy("user_id").orderBy("_part")).alias("_carried"))
+    pos = (ranged.withColumn("_local", local).join(before, ["user_id", "_part"], "left")
+           .withColumn("_prev", F.coalesce("_local", "_carried")).drop("_local", "_carried", "_part"))
     gap_us = gap_minutes * 60 * 1_000_000
     start = (F.col("_prev").isNull()
              | (F.unix_micros("event_time") - F.unix_micros("_prev") >= F.lit(gap_us)))
-    flagged = pos.join(prev, ["user_id", "_pos"], "left").withColumn(
-        "_start", F.when(start, 1).otherwise(0))
+    flagged = pos.withColumn("_start", F.when(start, 1).otherwise(0))
     visits = group_running_sum(flagged, ["user_id"], order, F.col("_start"), "_visit")
     return visits.groupBy("user_id", "_visit").agg(
         F.min("event_time").alias("visit_start"),
