@@ -250,3 +250,50 @@ def test_running_sum_with_one_hot_group(spark):
     want = df.withColumn("rs", F.sum("v").over(w))
     assert got.select("g", "id", "rs").exceptAll(want.select("g", "id", "rs")).count() == 0
     assert got.count() == 20000
+
+
+def test_exact_quantiles_equal_sorted_picks(spark):
+    import math
+    import random
+
+    from cartwheel.functions.quantiles import exact_quantiles
+
+    rnd = random.Random(3)
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    frames = [[-5.0, 0.0, 0.0, 1e-9, 2.0, 2.0, 2.0, 1e12], [7.0], [rnd.uniform(-50, 400) for _ in range(997)],
+              [float(rnd.randrange(20)) for _ in range(500)]]
+    for values in frames:
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+        ranked = sorted(values)
+        want = [ranked[max(1, math.ceil(p * len(ranked))) - 1] for p in probs]
+        assert exact_quantiles(df, "x", probs).first().q == want
+    assert exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]).first().q == [None]
+
+
+def test_null_user_keeps_its_lists(spark):
+    from cartwheel.operators.behavior import user_behavior
+    from cartwheel.operators.cleaning import clean_events
+
+    rows = [(1, "2024-01-01 00:00:00", "view", 1, "a.b", "x", 5.0, None, "s")]
+    df = spark.createDataFrame(rows, "event_id long, t string, event_type string, product_id long, "
+                               "category_code string, brand string, price double, user_id string, "
+                               "user_session string").withColumn("event_time", F.to_timestamp("t")).drop("t")
+    r = user_behavior(clean_events(df)).first()
+    assert r.user_id is None and r.main_category == "a" and r.viewed_brands[0].value == "x"
+
+
+def test_incremental_state_is_stored_and_merged(spark, tmp_path):
+    from cartwheel.operators.incremental import finalize, load_state, merge_user_aggregates, update_state
+    from cartwheel.plans.queries_batch import cleaned
+    from cartwheel.streaming.files import day_filter
+    from conftest import SF_SMALL
+
+    cl = cleaned(spark, SF_SMALL)
+    first = day_filter(1, 10)
+    base = f"file://{tmp_path}/state"
+    assert load_state(spark, base) is None
+    update_state(spark, cl.filter(first), base, "20240101_000000")
+    got = finalize(update_state(spark, cl.filter(~first), base, "20240102_000000"))
+    want = merge_user_aggregates(cl.filter(first), cl.filter(~first))
+    cols = ["user_id", "total_events", "purchases", "unique_products", "unique_sessions", "first_seen"]
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
