@@ -7,7 +7,7 @@ here they are one ``groupBy``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import (
@@ -46,24 +46,66 @@ def product_popularity(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def _modes():
-    return [
-        F.mode("category_id", deterministic=True).alias("main_category_id"),
-        F.mode("category_code", deterministic=True).alias("main_category_code"),
-        F.mode("brand", deterministic=True).alias("main_brand"),
-    ]
+_DIMENSIONS = ("category_id", "category_code", "brand", "user_id")
+
+
+def _product_parts(cleaned: DataFrame, dimensions=_DIMENSIONS) -> DataFrame:
+    """One pass over the events: counts per (product, value) of every
+    dimension (GROUPING SETS, combined map-side), with the dimension's number
+    as ``_dim``. No value lists, and no distinct buffers, travel with a product."""
+    sets = [["product_id", d] for d in dimensions]
+    gid = F.grouping_id()
+    # In the id, the bits of all dimensions but the set's own are 1.
+    full = (1 << len(dimensions)) - 1
+    dim = F.lit(None).cast("int")
+    for i in range(len(dimensions)):
+        dim = F.when(F.col("_gid") == full - (1 << (len(dimensions) - 1 - i)), F.lit(i)).otherwise(dim)
+    price = F.col("price")
+    return cleaned.groupingSets(sets, "product_id", *dimensions).agg(
+        F.count(F.lit(1)).alias("_n"), count_type(VIEW).alias("_views"),
+        count_type(CART).alias("_carts"), count_type(PURCHASE).alias("_purchases"),
+        F.sum(price).alias("_sum"), F.count(price).alias("_priced"), gid.alias("_gid"),
+    ).withColumn("_dim", dim)
+
+
+def _mode(dimension: str) -> Column:
+    """Most frequent non-NULL value of a dimension (ties → smallest value)."""
+    i = _DIMENSIONS.index(dimension)
+    item = F.struct((-F.col("_n")).alias("n"), F.col(dimension).alias("v"))
+    return F.min(F.when((F.col("_dim") == i) & F.col(dimension).isNotNull(), item))["v"]
+
+
+def _modes() -> list[Column]:
+    return [_mode("category_id").alias("main_category_id"),
+            _mode("category_code").alias("main_category_code"),
+            _mode("brand").alias("main_brand")]
 
 
 def product_metadata(cleaned: DataFrame) -> DataFrame:
     """Per product the modal category id, category and brand (ties →
     smallest value, NULLs ignored)."""
-    return cleaned.groupBy("product_id").agg(*_modes())
+    return _product_parts(cleaned, _DIMENSIONS[:3]).groupBy("product_id").agg(*_modes())
 
 
 def product_data(cleaned: DataFrame, exact: bool = True, with_index: bool = True) -> DataFrame:
-    """Metadata + popularity in one aggregation (12 columns)."""
-    g = cleaned.groupBy("product_id").agg(*_modes(), *_popularity_aggs(exact),
-                                          F.sum("price").alias("total_revenue"))
+    """Metadata + popularity from one pass over the events (12 columns);
+    ``exact=False`` counts users with HyperLogLog++."""
+    if exact:
+        first = F.col("_dim") == 0  # every event is in each set once
+
+        def total(col: str) -> Column:
+            return F.sum(F.when(first, F.col(col)))
+
+        users = F.count(F.when((F.col("_dim") == 3) & F.col("user_id").isNotNull(), 1))
+        g = _product_parts(cleaned).groupBy("product_id").agg(
+            *_modes(), F.try_divide(total("_sum"), total("_priced").cast("double")).alias("avg_price"),
+            total("_n").alias("total_events"), total("_views").alias("total_views"),
+            total("_carts").alias("total_carts"), total("_purchases").alias("total_purchases"),
+            users.alias("unique_users"), total("_sum").alias("total_revenue"))
+    else:
+        popularity = cleaned.groupBy("product_id").agg(*_popularity_aggs(False),
+                                                       F.sum("price").alias("total_revenue"))
+        g = product_metadata(cleaned).join(popularity, "product_id")
     cols = ["product_id", "main_category_id", "main_category_code", "main_brand", "avg_price",
             "total_events", "total_views", "total_carts", "total_purchases", "unique_users",
             "total_revenue"]
