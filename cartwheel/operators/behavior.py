@@ -44,23 +44,28 @@ def _distinct(exact: bool):
 
 
 def value_bag(df: DataFrame, value: str, where: Column | None = None, key: str = "user_id",
-              name: str | None = None, first: str | None = None) -> DataFrame:
-    """Per key: sorted ``array<struct<value, n>>`` of (distinct value, rows).
-
-    ``first`` also returns the earliest non-NULL value under that name (taken
-    from the same small (key, value) table, see ``earliest_values``).
+              name: str | None = None, first: str | None = None,
+              distinct: str | None = None) -> DataFrame:
+    """Per key: sorted ``array<struct<value, n>>`` of (distinct value, rows
+    that match ``where``); NULL for a key without such rows.
+
+    ``first`` also returns the earliest non-NULL value among them, and
+    ``distinct`` the number of non-NULL values of ALL rows, from the same
+    small (key, value) table.
     """
-    src = df if where is None else df.filter(where)
-    pairs = src.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"),
-                                        F.min(order_key()).alias("_k"))
-    items = F.collect_list(F.struct(F.col("_k"), F.col(value).cast("string").alias("value"),
-                                    F.col("n")))
-    bag = pairs.groupBy(key).agg(items.alias("_items"))
-    cols = [F.col(key), F.array_sort(F.transform("_items", lambda x: F.struct(x["value"], x["n"])))
-            .alias(name or f"{value}_bag")]
+    hit = F.lit(True) if where is None else where
+    pairs = df.groupBy(key, value).agg(F.count_if(hit).alias("n"),
+                                       F.min(F.when(hit, order_key())).alias("_k"))
+    items = F.collect_list(F.when(F.col("n") > 0, F.struct(
+        F.col("_k"), F.col(value).cast("string").alias("value"), F.col("n"))))
+    bag = pairs.groupBy(key).agg(items.alias("_items"), F.count(value).alias("_distinct"))
+    cols = [F.col(key), F.when(F.size("_items") > 0, F.array_sort(
+        F.transform("_items", lambda x: F.struct(x["value"], x["n"])))).alias(name or f"{value}_bag")]
     if first:
         cols.append(F.array_min(F.filter("_items", lambda x: x["value"].isNotNull()))["value"]
                     .alias(first))
+    if distinct:
+        cols.append(F.col("_distinct").alias(distinct))
     return bag.select(*cols)
 
 
@@ -97,8 +102,8 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
         cd(F.when(purchase, F.col("date"))).alias("frequency"),
         F.sum(F.when(purchase, price).otherwise(F.lit(0.0))).alias("monetary"),
         cd("product_id").alias("unique_products"),
-        cd("category_code").alias("unique_categories"),
-        cd("brand").alias("unique_brands"),
+        *([] if exact else [cd("category_code").alias("unique_categories"),
+                            cd("brand").alias("unique_brands")]),
     )
     out = agg.select(
         "*",
@@ -108,14 +113,18 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
         (F.datediff("last_seen", "first_seen") + 1).alias("engagement_days"),
     ).withColumn("rfm_score", rfm_score("recency", "frequency", "monetary"))
     # both tables are aggregated by user_id like ``out``: the joins need no
-    # further shuffle (or AQE broadcasts them when they are small)
+    # further shuffle (or AQE broadcasts them when they are small). They also
+    # give the exact distinct counts of categories and brands, which then need
+    # no copy of every row in the main aggregation.
     cats = value_bag(cleaned, "category_code", view, name="viewed_categories",
-                     first="main_category")
-    if with_lists:
-        brands = value_bag(cleaned, "brand", view, name="viewed_brands")
-        out = _join_user(_join_user(out, cats), brands)
-    else:
-        out = _join_user(out, cats.select("user_id", "main_category"))
+                     first="main_category", distinct="unique_categories")
+    brands = value_bag(cleaned, "brand", view, name="viewed_brands", distinct="unique_brands")
+    for table, keep in ((cats, ["viewed_categories", "main_category", "unique_categories"]),
+                        (brands, ["viewed_brands", "unique_brands"])):
+        keep = [c for c in keep if (with_lists or not c.startswith("viewed"))
+                and (exact or not c.startswith("unique"))]
+        if keep:
+            out = _join_user(out, table.select("user_id", *keep))
     cols = [
         "user_id", "nb_events", "nb_views", "nb_carts", "nb_purchases", "nb_removes",
         "avg_price", "avg_price_purchased", "nb_sessions", "first_seen", "last_seen",
