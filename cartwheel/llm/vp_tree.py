@@ -9,6 +9,14 @@ distance from a query to either half from below. A half is skipped if the
 bound exceeds ``factor`` times the distance of the query's k-th best so far:
 factor one is exact, smaller factors skip more.
 
+Smaller factors hold what they promise only where the extra coordinate is
+small: it is the same way off for all vectors, so it lifts every bound. The
+vectors of a shard are therefore put into bands whose norms differ by less
+than ``BAND``, each with a tree and an M of its own, and a query, whose length
+does not change the order, is scaled to that M. Bands are met from the
+longest vectors down and share the k best; a band whose M times the query's
+length is below the k-th best holds nothing better.
+
 Plan: trees are built one shard a task and written; queries are packed into
 blocks; every block visits every shard (a stated query set against all rows,
 in blocks), grouped by shard and dealt over ``splits`` tasks a shard, each
@@ -37,6 +45,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import stage
 
 LEAF = 128  # vectors
+BAND = 1.05  # largest norm of a band by its smallest
 
 
 class VantageTree:
@@ -69,32 +78,38 @@ class VantageTree:
                 children.append((len(self.nodes) - 1, distance[part].min(), distance[part].max()))
             self.nodes[at] = (lifted[vantage], tuple(children))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0):
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0, so_far=None):
         """(scores, ids) of the k best of each query, best first; -inf where
-        there are fewer. A query's own id is no candidate.
+        there are fewer. A query's own id is no candidate. ``so_far`` is what
+        other trees gave, and takes part.
 
         Every query first descends to the leaf that seems nearest, which
         gives a first k-th best; then the tree is walked once with all
         queries, each leaving where its bound says so.
         """
         n = len(queries)
-        best = np.full((n, k), -np.inf)
-        found = np.full((n, k), np.iinfo(np.int64).max)
-        norms = (queries ** 2).sum(axis=1)
-        slack = 1e-7 * (1.0 + math.sqrt(self.square) + np.sqrt(norms))
+        best, found = so_far or (np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max))
+        largest = math.sqrt(self.square)
+        lengths = np.sqrt((queries ** 2).sum(axis=1))
+        scale = np.where(lengths > 0, largest / np.where(lengths > 0, lengths, 1.0), 1.0)
+        scaled = queries * scale[:, None]
+        norms = (scaled ** 2).sum(axis=1)
+        slack = 1e-7 * (1.0 + largest + np.sqrt(norms))
         self.visited = 0
+        # No product is larger than that of the lengths.
+        able = np.flatnonzero(best[:, -1] <= lengths * largest * (1 + 1e-9))
 
         def reach(rows: np.ndarray) -> np.ndarray:
             """Distance of the k-th best so far."""
             kth = best[rows, -1]
-            out = np.sqrt(np.maximum(0.0, norms[rows] + self.square - 2 * np.where(np.isinf(kth), 0, kth)))
+            out = np.sqrt(np.maximum(0.0, norms[rows] + self.square - 2 * scale[rows] * np.where(np.isinf(kth), 0, kth)))
             return np.where(np.isinf(kth), np.inf, out)
 
         def bounds(node, rows: np.ndarray) -> list[np.ndarray]:
             """Lower bounds of the distance to anything in each child."""
             vantage, children = node
             # One matrix product; the slack covers its rounding.
-            square = norms[rows] + vantage @ vantage - 2 * (queries[rows] @ vantage[:-1])
+            square = norms[rows] + vantage @ vantage - 2 * (scaled[rows] @ vantage[:-1])
             distance = np.sqrt(np.maximum(0.0, square))
             return [np.maximum(0.0, np.maximum(low - distance, distance - high)) for _, low, high in children]
 
@@ -124,7 +139,7 @@ class VantageTree:
             found[who] = names[take].reshape(-1, k)
 
         home = np.zeros(n, np.int64)  # leaf that a query has met already
-        todo = [(0, np.arange(n))]
+        todo = [(0, able)] if len(able) else []
         while todo:
             at, rows = todo.pop()
             node = self.nodes[at]
@@ -136,7 +151,7 @@ class VantageTree:
             nearer = first <= second
             todo += [(child, part) for (child, _, _), part in zip(node[1], (rows[nearer], rows[~nearer]))
                      if len(part)]
-        todo = [(0, np.arange(n), np.zeros(n))]
+        todo = [(0, able, np.zeros(len(able)))]
         while todo:
             at, rows, bound = todo.pop()
             rows = rows[bound <= factor * reach(rows) + slack[rows]]
@@ -150,8 +165,28 @@ class VantageTree:
         return best, found
 
 
+class NormBands:
+    """Trees over the vectors of one shard, one a band of norms."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = 3) -> None:
+        norms = np.maximum(np.sqrt((vectors ** 2).sum(axis=1)), np.finfo(float).tiny)
+        band = np.floor(np.log(norms.max() / norms) / math.log(BAND)).astype(np.int64)
+        order = np.argsort(band, kind="stable")  # the longest vectors first
+        cuts = np.flatnonzero(np.diff(band[order])) + 1
+        self.trees = [VantageTree(ids[rows], vectors[rows], norms[rows].max() * (1 + 1e-12), seed)
+                      for rows in np.split(order, cuts)]
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0):
+        """As of one tree."""
+        met, self.visited = None, 0
+        for tree in self.trees:
+            met = tree.search(query_ids, queries, k, factor, met)
+            self.visited += tree.visited
+        return met
+
+
 def clean_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v array<double>, square) of the vectors that take part."""
+    """(id, v array<double>) of the vectors that take part."""
     v = F.col("v")
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"),
                            F.col(vector_col).cast("array<double>").alias("v"))
@@ -161,8 +196,7 @@ def clean_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     rows, _ = stage(rows.groupBy("id").agg(F.min("v").alias("v")))
     size = (rows.groupBy(F.size("v").alias("_size")).count()
             .orderBy(F.desc("count"), "_size").limit(1).select("_size"))
-    return (rows.join(F.broadcast(size), F.size("v") == F.col("_size")).drop("_size")
-            .withColumn("square", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+    return rows.join(F.broadcast(size), F.size("v") == F.col("_size")).drop("_size")
 
 
 def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -173,15 +207,14 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     spark = vectors.sparkSession
     rows, _ = stage(clean_vectors(vectors, id_col, vector_col))
     is_query = F.col("id") % every == 0
-    n, queries, square = rows.agg(F.count("*"), F.count(F.when(is_query, 1)), F.max("square")).first()
+    n, queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     if not n or not queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    largest = math.sqrt(square) * (1 + 1e-12)
     shards = -(-n // shard_rows)
     blocks = -(-queries // block)
 
     def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = VantageTree(pdf["id"].to_numpy(np.int64), np.stack(pdf["v"].to_numpy()), largest)
+        tree = NormBands(pdf["id"].to_numpy(np.int64), np.stack(pdf["v"].to_numpy()))
         return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps(tree, protocol=5)]})
 
     def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -18,7 +18,7 @@ from cartwheel.llm.mixing import leaf_budgets, mix
 from cartwheel.llm.quality import fit_quality, score_quality
 from cartwheel.llm.secrets import GuessCost, base_spans, guess_spans, scan_secrets
 from cartwheel.llm.sentencepiece_fst import BYTE, NORMAL, UNIGRAM, UNKNOWN, Encoder, Model, decode, encode, load_model
-from cartwheel.llm.vp_tree import VantageTree, nearest_neighbours
+from cartwheel.llm.vp_tree import NormBands, VantageTree, nearest_neighbours
 
 SF = "/root/testdata/sf0.01"
 
@@ -251,3 +251,33 @@ def test_recall_of_the_registered_search(spark):
         got[r.query_id] += r.vec_id in {j for j, _ in want[r.query_id]}
     asked = [i for i in ids if i % 20 == 0]
     assert sum(got[i] for i in asked) / (20 * len(asked)) >= 0.95
+
+
+@pytest.mark.parametrize("norms", ["outlier", "log-normal 0.3", "log-normal 0.5"])
+def test_recall_of_vectors_of_many_lengths(spark, norms):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if norms == "outlier":
+        vectors[7] *= 2
+    else:
+        vectors *= np.exp(rng.normal(0, float(norms.split()[1]), (4000, 1)))
+    scores = vectors[::20] @ vectors.T
+    scores[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    want = {20 * i: set(row) for i, row in enumerate(np.argsort(-scores, axis=1)[:, :20].tolist())}
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())],
+                                  "vec_id long, embedding array<double>")
+    got = nearest_neighbours(table, every=20, k=20, factor=0.2).collect()
+    assert len(got) == 4000
+    assert sum(r.vec_id in want[r.query_id] for r in got) / 4000 >= 0.9
+
+
+def test_bands_with_factor_one_are_exact():
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(900, 6)) * np.exp(rng.normal(0, 2, (900, 1)))
+    ids = np.arange(900) * 3
+    bands = NormBands(ids, vectors)
+    _, found = bands.search(ids, vectors, 7)
+    want = brute_neighbours(ids.tolist(), vectors, 7)
+    assert [row.tolist() for row in found] == [[j for j, _ in want[i]] for i in ids.tolist()]
+    assert len(bands.trees) > 20 and bands.visited < len(ids) ** 2
