@@ -24,10 +24,21 @@ Plan, all of it DataFrame expressions:
 Rows: null text stays null and has no chunk; rows with the same id and text
 are one document (they keep the same chunks); null ids come last in the
 order. A text may become empty. An empty table gives an empty result.
+
+``line_dedup`` (the query, which its SQL states) leaves most short passages in
+differing surroundings: their first and last chunk hold foreign lines.
+``passage_dedup`` (the pipeline) has no boundaries: its units are all pairs of
+successive lines with a word (blank lines between them included), and long
+lines. Of a passage of two or more lines that stands elsewhere every pair is
+repeated, so all of its lines go, whatever surrounds it. The first occurrence
+of each line always stays, since no unit that holds it can be a repetition.
+The plan is the same; pairs take the place of chunks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,15 +53,18 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def _is_long(line: Column, long_words: int) -> Column:
+    # Fewer characters cannot hold that many words: no need to count them.
+    return (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(WORD)) >= long_words)
+
+
 def _with_chunks(df: DataFrame, text: str, window: int, divisor: int, min_lines: int,
                  long_words: int) -> DataFrame:
     """Add ``_chunks``: array of (no, text, eligible) in text order."""
     lines, marks = F.col("_lines"), F.col("_marks")
 
     def mark(line: Column) -> Column:
-        # Fewer characters cannot hold that many words: no need to count them.
-        long = (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(WORD)) >= long_words)
-        return F.struct(_line_hash(line).alias("h"), long.alias("long"))
+        return F.struct(_line_hash(line).alias("h"), _is_long(line, long_words).alias("long"))
 
     def rolling(i: Column) -> Column:
         total = F.lit(0).cast("long")
@@ -78,31 +92,23 @@ def _with_chunks(df: DataFrame, text: str, window: int, divisor: int, min_lines:
             .drop("_lines", "_marks", "_starts"))
 
 
-def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 2, divisor: int = 2, min_lines: int = 2,
-                   long_words: int = 50) -> DataFrame:
-    """(_id, _hash, _removed): the sorted chunk numbers that each document
-    loses; _hash is xxhash64 of its text. Documents that lose none are absent."""
+def _repeated(docs: DataFrame, id_col: str, text_col: str, hashes: Callable[[DataFrame], DataFrame],
+              contents: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(_id, _hash, _removed): the sorted numbers of the units (chunks, say)
+    of each document that are repetitions; _hash is xxhash64 of its text.
+    Documents without any are absent. ``hashes`` turns (_id, _hash, _text)
+    into (_id, _hash, no, h), one row a unit; ``contents`` turns the same and
+    the numbers ``_nos`` into (_id, _hash, no, chunk) of these units."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
                        F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
-
-    def chunked(df):
-        return _with_chunks(df, "_text", window, divisor, min_lines, long_words).drop("_text")
-
-    found = (chunked(rows)
-             .select("_id", "_hash", F.explode(F.filter("_chunks", lambda c: c["eligible"])).alias("c"))
-             .select("_id", "_hash", F.col("c.no").alias("no"), F.xxhash64("c.text").alias("h")))
-    found, _ = stage(found.distinct())
+    found, _ = stage(hashes(rows).distinct())
     found = found.withColumn("_salt", salt("_id", "_hash"))
     counts = found.groupBy("_salt", "h").agg(F.count("*").alias("n"))
     repeated = counts.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
     candidates = (found.join(counts.join(repeated, "h").select("_salt", "h"), ["_salt", "h"])
                   .groupBy("_id", "_hash").agg(F.collect_set("no").alias("_nos")))
     by_doc = (rows["_id"].eqNullSafe(candidates["_id"])) & (rows["_hash"] == candidates["_hash"])
-    texts = (chunked(rows.join(candidates, by_doc).select(rows["_id"], rows["_hash"], "_text", "_nos"))
-             .select("_id", "_hash", F.explode(F.filter(
-                 "_chunks", lambda c: F.array_contains(F.col("_nos"), c["no"]))).alias("c"))
-             .select("_id", "_hash", F.col("c.no").alias("no"), F.col("c.text").alias("chunk"))
+    texts = (contents(rows.join(candidates, by_doc).select(rows["_id"], rows["_hash"], "_text", "_nos"))
              .withColumn("_salt", salt("_id", "_hash", salts=32)))
     order = [F.col("_id").asc_nulls_last(), "_hash", "no"]
     # rank() leaves repeated rows of one document together.
@@ -116,6 +122,28 @@ def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return removed.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("no")).alias("_removed"))
 
 
+def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   window: int = 2, divisor: int = 2, min_lines: int = 2,
+                   long_words: int = 50) -> DataFrame:
+    """(_id, _hash, _removed): the sorted chunk numbers that each document
+    loses; _hash is xxhash64 of its text. Documents that lose none are absent."""
+    def chunked(df):
+        return _with_chunks(df, "_text", window, divisor, min_lines, long_words).drop("_text")
+
+    def hashes(rows: DataFrame) -> DataFrame:
+        return (chunked(rows)
+                .select("_id", "_hash", F.explode(F.filter("_chunks", lambda c: c["eligible"])).alias("c"))
+                .select("_id", "_hash", F.col("c.no").alias("no"), F.xxhash64("c.text").alias("h")))
+
+    def contents(rows: DataFrame) -> DataFrame:
+        return (chunked(rows)
+                .select("_id", "_hash", F.explode(F.filter(
+                    "_chunks", lambda c: F.array_contains(F.col("_nos"), c["no"]))).alias("c"))
+                .select("_id", "_hash", F.col("c.no").alias("no"), F.col("c.text").alias("chunk")))
+
+    return _repeated(docs, id_col, text_col, hashes, contents)
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                count_col: str | None = None, window: int = 2, divisor: int = 2,
                min_lines: int = 2, long_words: int = 50) -> DataFrame:
@@ -139,6 +167,58 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return chunked.select(*columns)
 
 
+def _with_worded(df: DataFrame, text: str) -> DataFrame:
+    """Add ``_lines``, and ``_worded``: the indices of those with a word."""
+    return (df.withColumn("_lines", F.split(F.col(text), LINE_BREAK, -1))
+            .withColumn("_worded", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1),
+                                            lambda i: F.get(F.col("_lines"), i).rlike(WORD))))
+
+
+def _ends(no: Column) -> tuple[Column, Column]:
+    """Indices of the first and last line of a unit: 2 j is the pair of worded
+    lines j and j + 1, 2 j + 1 is line j by itself."""
+    j = F.shiftright(no, 1)
+    return F.get(F.col("_worded"), j), F.get(F.col("_worded"), j + 1 - no % 2)
+
+
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  long_words: int = 50) -> DataFrame:
+    """The rows and columns of ``docs`` without the lines of ``text_col`` that
+    belong to a repeated pair of lines or are repeated long lines."""
+    lines = F.col("_lines")
+
+    def content(no: Column) -> Column:
+        first, last = _ends(no)
+        return F.array_join(F.slice(lines, first + 1, last - first + 1), LINE_BREAK)
+
+    def is_unit(no: Column) -> Column:
+        return F.when(no % 2 == 0, F.shiftright(no, 1) < F.size("_worded") - 1).otherwise(
+            _is_long(F.get(lines, _ends(no)[0]), long_words))
+
+    def hashes(rows: DataFrame) -> DataFrame:
+        numbers = F.filter(F.sequence(F.lit(0), F.greatest(2 * F.size("_worded") - 1, F.lit(0))), is_unit)
+        units = F.transform(numbers, lambda no: F.struct(no.alias("no"), F.xxhash64(content(no)).alias("h")))
+        return _with_worded(rows, "_text").select("_id", "_hash", F.inline(units))
+
+    def contents(rows: DataFrame) -> DataFrame:
+        units = F.transform("_nos", lambda no: F.struct(no.alias("no"), content(no).alias("chunk")))
+        return _with_worded(rows, "_text").select("_id", "_hash", F.inline(units))
+
+    removed = _repeated(docs, id_col, text_col, hashes, contents)
+    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_did"),
+                         F.xxhash64(text_col).alias("_dhash"), F.col(text_col).alias("_text"))
+    joined = packed.join(removed, packed["_did"].eqNullSafe(removed["_id"])
+                         & (packed["_dhash"] == removed["_hash"]), "left")
+    # Texts that lose nothing are not cut again.
+    cut = F.when(F.col("_removed").isNotNull(), F.col("_text"))
+    gone = F.flatten(F.transform("_removed", lambda no: F.sequence(*_ends(no))))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), LINE_BREAK)
+    text = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(kept)
+    columns = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    return _with_worded(joined.withColumn("_cut", cut), "_cut").select(*columns)
+
+
 def line_dedup_sql(window: int = 2, divisor: int = 2, min_lines: int = 2, long_words: int = 50) -> str:
     """DuckDB SQL of the operator over ``documents`` (distinct ids):
     doc_id, removed_chunks, n_chars, text_sha256."""
