@@ -219,13 +219,14 @@ def link_fingerprints(prints: DataFrame, max_bits: int = 3, segment_bits: int =
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 3, max_bits: int = 3, segment_bits: int = 2,
                     keep: list[Column] | None = None) -> DataFrame:
-    """doc_id, fingerprint (signed long), component_id for every row, and the
-    columns ``keep`` as _k0, _k1, ...
-
-    component_id is the smallest doc_id that links of at most ``max_bits``
-    bits reach. Null or blank texts have fingerprint 0 and link like others;
-    rows with a null id take part (component_id is null only where all ids
-    are); repeated rows stay. An empty table gives an empty result.
+    """doc_id, fingerprint (signed long), component_id and component for every
+    row, and the columns ``keep`` as _k0, _k1, ...
+
+    component is the smallest fingerprint that links of at most ``max_bits``
+    bits reach, component_id the smallest doc_id. Null or blank texts have
+    fingerprint 0 and link like others; rows with a null id take part
+    (component_id is null only where all ids are); repeated rows stay. An
+    empty table gives an empty result.
     """
     rows, _ = stage(with_fingerprint(docs, id_col, text_col, words, keep))
     # One row per (salt, fingerprint): a fingerprint held by a third of all
@@ -237,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed, _ = stage(points.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
                       .withColumn("component", F.coalesce("component", "fingerprint")))
     smallest = placed.groupBy("component").agg(F.min("_low").alias("component_id"))
-    classes = placed.join(smallest, "component").select("fingerprint", "component_id")
+    classes = placed.join(smallest, "component").select("fingerprint", "component_id", "component")
     spread = local.select("_salt", "fingerprint").join(classes, "fingerprint")
     return salted.join(spread, ["_salt", "fingerprint"]).drop("_salt")
 
@@ -245,18 +246,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                      max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
     """The rows of ``docs``, one of each group of near duplicates: the one
-    with the smallest id; of rows that share it, one of those with the
-    smallest hash of all columns (so too where every id is null)."""
+    with the smallest id; of rows of the group that share it, one of those
+    with the smallest hash of all columns (so too where every id is null)."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     whole = F.xxhash64(*columns, *[c.isNull() for c in columns])
     found = near_duplicates(docs, id_col, text_col, words, max_bits, segment_bits, keep=[whole])
     best = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", "fingerprint").alias("_id"))
-            .agg(F.min("_k0").alias("_whole")))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).isNull().alias("_none"), whole.alias("_whole"))
-    # The hash of all columns holds the id: rows that meet are the same row.
-    met = rows.join(best.select("_none", "_whole"), ["_none", "_whole"])
-    first = Window.partitionBy("_none", "_whole").orderBy("_none")
+            .groupBy("component").agg(F.min("_k0").alias("_whole")))
+    rows = docs.select(F.struct("*").alias("row"), whole.alias("_whole"))
+    # Rows that meet are the same row: a text has one component.
+    met = rows.join(best.select("_whole"), "_whole")
+    first = Window.partitionBy("_whole").orderBy("_whole")
     return (met.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").select("row.*"))
 
 

@@ -156,6 +156,17 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    rnd = random.Random(6)
+    one, other, last = (" ".join(f"w{rnd.randrange(10**9)}" for _ in range(400)) for _ in range(3))
+    near = last + " tail"
+    assert 0 < (fingerprint(last) ^ fingerprint(near)).bit_count() <= 3
+    rows = [(1, one), (1, other), (2, one), (2, other), (None, last), (None, near), (None, near)]
+    kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == 3 and sum(r.doc_id is None for r in kept) == 1
+    assert {(r.doc_id, r.text) for r in kept} >= {(1, one), (1, other)}
+
+
 def test_line_dedup_removes_repeated_passages_and_leaves_the_rest(spark):
     rows = awkward(spark)
     out = line_dedup(rows)
