@@ -4,11 +4,13 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]  # the repository and tests/support.py
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
+from support import SF_SMALL  # noqa: E402
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -34,20 +36,3 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
-
-
-def canon(v):
-    if v is None:
-        return "NULL"
-    if isinstance(v, float) and v != v:
-        return "NULL"
-    if hasattr(v, "isoformat"):
-        return v.isoformat()
-    if isinstance(v, float) and v == int(v) and abs(v) < 1e15:
-        return str(int(v))
-    return str(v)
-
-
-def rows_of(cols, records):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted("|".join(canon(r[i]) for i in order) for r in records)

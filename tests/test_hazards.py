@@ -286,7 +286,7 @@ def test_incremental_state_is_stored_and_merged(spark, tmp_path):
     from cartwheel.operators.incremental import finalize, load_state, merge_user_aggregates, update_state
     from cartwheel.plans.queries_batch import cleaned
     from cartwheel.streaming.files import day_filter
-    from conftest import SF_SMALL
+    from support import SF_SMALL
 
     cl = cleaned(spark, SF_SMALL)
     first = day_filter(1, 10)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL, rows_of
+from support import SF_SMALL, rows_of
 
 ORACLES = entry.oracle_sql()
 

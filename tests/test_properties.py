@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cartwheel.operators import als, segmentation
 from cartwheel.plans import queries_model
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def q(spark, name):
