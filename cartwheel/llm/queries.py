@@ -23,9 +23,12 @@ from cartwheel.llm.secrets import scan_secrets
 from cartwheel.llm.sentencepiece_fst import encode, load_model
 from cartwheel.llm.simhash import near_duplicates, to_hex
 from cartwheel.llm.vp_tree import nearest_neighbours
+from cartwheel.llm.wavelet import new_folder, read_documents, write_ids
 
-# Vocabulary of a public tokenizer, read by the driver.
+# Vocabularies of public tokenizers, read by the driver.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+WORD_TOKENIZER = os.environ.get("WORD_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+END_ID = 1  # appended to each document
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +95,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token numbers of every whole document, written as wavelet-matrix files
+    and read back from them."""
+    path = new_folder(spark)
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        write_ids(read_table(spark, sf_dir, "documents"), path, f.read(), END_ID)
+    return read_documents(spark, path)
+
+
 EXACT_DEDUP_SQL = r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -114,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_wavelet": op11_wavelet,
 }
 
 SQL: dict[str, str] = {
