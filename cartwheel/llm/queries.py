@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.llm.ball_tree import RANKED_SEARCH_SQL, ranked_search
 from cartwheel.llm.common import read_table
 from cartwheel.llm.exact_dedup import exact_dedup
 from cartwheel.llm.language import fit_language, identify
@@ -104,6 +105,11 @@ def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents of each benchmark item that score highest."""
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
 EXACT_DEDUP_SQL = r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -127,12 +133,14 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_wavelet": op11_wavelet,
+    "op12_ball_tree": op12_ball_tree,
 }
 
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql(),
     "op5_line_dedup": line_dedup_sql(),
     "op10_exact_dedup": EXACT_DEDUP_SQL,
+    "op12_ball_tree": RANKED_SEARCH_SQL,
 }
 
 
