@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.ball_tree import RANKED_SEARCH_SQL, ranked_search
 from cartwheel.llm.common import read_table
+from cartwheel.llm.conversation_repair import damage, repair
 from cartwheel.llm.exact_dedup import exact_dedup
 from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.line_dedup import line_dedup, line_dedup_sql
@@ -110,6 +111,11 @@ def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest structural repair of every damaged conversation."""
+    return repair(damage(read_table(spark, sf_dir, "conversations")), copies_col="copies")
+
+
 EXACT_DEDUP_SQL = r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -134,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_wavelet": op11_wavelet,
     "op12_ball_tree": op12_ball_tree,
+    "op13_repair": op13_repair,
 }
 
 SQL: dict[str, str] = {
