@@ -71,15 +71,18 @@ def kept_place(place: int, initial: str) -> int | None:
 
 
 class Estimate:
-    """Lower bounds of the cost from row i and a place of the grammar on."""
+    """Lower bounds of the cost from row i and a place of the grammar to one of
+    ``exits`` on."""
 
-    def __init__(self, rows: list[tuple]) -> None:
+    def __init__(self, rows: list[tuple], exits: tuple[int, ...] = ENDS) -> None:
         n = len(rows)
         self.rows, self.base, self.pairs = rows, [0] * (n + 1), [0] * (n + 1)
+        self.exits, self.all = exits, [0] * (n + 1)  # cost of deleting all rows from i on
         self.live = [n] * (n + 1)  # the first row from i on that may stay
         after = [n] * (n + 1)  # and the one after it
         for i in range(n - 1, -1, -1):
             initial, kind, copies = rows[i]
+            self.all[i] = self.all[i + 1] + DELETE * copies
             self.base[i] = self.base[i + 1] + DELETE * (copies - 1) + (
                 DELETE if kind >= DUPLICATE else TRUNCATION if kind == TRUNCATED else 0)
             self.live[i], self.pairs[i] = self.live[i + 1], self.pairs[i + 1]
@@ -96,6 +99,8 @@ class Estimate:
         return DELETE - TRUNCATION if any(self.rows[i][1] == TRUNCATED for i in pair) else min(REROLE, INSERT)
 
     def __call__(self, i: int, place: int) -> int:
+        if max(self.exits) <= SYSTEM:  # no user or assistant row may stay, at most one system row
+            return FAR if place > SYSTEM else self.all[i] - DELETE * (place not in self.exits)
         pairs, j = self.pairs[i], self.live[i]
         if j < len(self.rows) and kept_place(place, self.rows[j][0]) is None:
             pairs = max(pairs, self._mend(j) + self.pairs[self.after[j]])
@@ -107,7 +112,7 @@ def cheapest(rows: list[tuple], entry: int, exits: tuple[int, ...], tail: bool)
     from one place of the grammar to one of ``exits``; ``rows`` holds (initial,
     kind, copies). Inserts after the last row are allowed with ``tail`` only.
     The caller sees to it that there is a way."""
-    n, estimate = len(rows), Estimate(rows)
+    n, estimate = len(rows), Estimate(rows, exits)
     failed: dict[tuple[int, int], int] = {}
 
     def edits(i: int, place: int) -> Iterator[tuple[str, int, int, int]]:
