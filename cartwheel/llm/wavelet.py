@@ -20,8 +20,8 @@ memory holds one shard, or one document if that is longer. ``read_documents``,
 ``count_token`` and ``find_token`` work on the files alone.
 
 Encoding takes the text in pieces between ASCII white space and keeps the
-numbers of recent pieces: the tokenizer must drop white space and never join
-what it separates, as word tokenizers do (tests compare with whole texts).
+numbers of recent pieces (``PieceEncoder``): the tokenizer must drop white space
+and never join what it separates (tests compare with whole texts).
 
 Rows: null text counts as empty (one token, the end); null ids come last; rows
 that share an id stand side by side, in the order in which they were read.
@@ -31,6 +31,7 @@ hold nothing. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -190,34 +191,101 @@ class WaveletMatrix:
         return order
 
 
+PUNCTUATION = ".,;:!?#$%&*()-+=/"
+TAIL = PUNCTUATION.encode()
+
+
 class PieceEncoder:
-    """Token numbers of whole texts, piece by piece; ``known`` holds the
-    numbers of pieces met lately, as bytes."""
+    """Token numbers of whole texts, piece by piece, by a tokenizer of the
+    ``tokenizers`` library that drops white space.
 
-    def __init__(self, tokenizer_json: str, kind: str, keep: int = 1 << 18, longest: int = 64) -> None:
+    ``young`` and ``old`` hold the numbers of pieces met lately, as bytes: when
+    ``keep`` are young, they become the old ones, and older ones go. What the
+    tokenizer's file says makes pieces fewer and calls longer: if it lower-cases,
+    so are ASCII letters beforehand (but not in texts with an added token); if it
+    marks ends of words, many words are encoded in one call and cut at the
+    marks, and punctuation after a word is a piece of its own."""
+
+    def __init__(self, tokenizer_json: str, keep: int = 1 << 19, longest: int = 64) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_str(tokenizer_json), kind
-        self.known: dict[bytes, bytes] = {}
-        self.keep, self.longest = keep, longest
+        self.tokenizer, self.keep, self.longest = Tokenizer.from_str(tokenizer_json), keep, longest
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        spec = json.loads(tokenizer_json)
+        rules = spec.get("normalizer") or {}
+        self.fold = any(r["type"] == "Lowercase" for r in rules.get("normalizers", [rules]) if r)
+        self.added = [t["content"].lower().encode() for t in spec["added_tokens"]]
+        mark = spec["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(f"ab{PUNCTUATION}") if spec["pre_tokenizer"] else []
+        self.apart = [token for token, _ in cut] == ["ab", PUNCTUATION]
+
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        return [np.asarray(c.ids, "<u4").tobytes()
+                for c in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Numbers of words of letters."""
+        coded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.asarray(coded.ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):  # no such marks
+            return self._one_by_one(words)
+        data, ends = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Put the numbers of these pieces, at most a few thousand, into ``young``."""
+        young, known, words, others, joined = self.young, {b"": b""}, {}, {}, []
+        for piece in new:
+            word, rest = (piece.rstrip(TAIL) if self.apart else b""), piece
+            if word:
+                if word in young:
+                    known[word] = young[word]
+                elif (text := word.decode()).isalpha():
+                    words[word] = text
+                else:
+                    word = b""
+                rest = piece[len(word):]
+            if rest and rest not in others:
+                others[rest] = rest.decode()
+            joined.append((piece, word, rest))
+        known.update(zip(words, self._words(list(words.values())), strict=True) if words else ())
+        known.update(zip(others, self._one_by_one(list(others.values())), strict=True))
+        young.update((piece, known[word] + known[rest]) for piece, word, rest in joined)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The numbers of each text."""
-        split = [text.split() for text in texts]  # at ASCII white space
-        if len(self.known) > self.keep:
-            self.known.clear()
-        known = self.known
-        new = list({piece for pieces in split for piece in pieces if piece not in known})
-        long = {}
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            for piece, c in zip(part, coded, strict=True):
-                numbers = np.asarray(c.ids, self.kind).tobytes()
-                (known if len(piece) <= self.longest else long)[piece] = numbers
-        if long:
-            return [b"".join([known[p] if p in known else long[p] for p in pieces]) for pieces in split]
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        """The numbers of each text, four bytes a number, lowest first."""
+        split = []
+        for text in texts:
+            low = text.lower() if self.fold else text  # of ASCII letters
+            split.append((text if any(t in low for t in self.added) else low).split())  # at ASCII white space
+        if len(self.young) > self.keep:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        met = set().union(*split).difference(young)
+        young.update((p, old[p]) for p in met if p in old)
+        new = [p for p in met if p not in young]
+        for at in range(0, len(new), 2048):
+            self._learn(new[at:at + 2048])
+        out = [b"".join(map(young.__getitem__, pieces)) for pieces in split]
+        for piece in new:
+            if len(piece) > self.longest:
+                del young[piece]
+        return out
+
+
+_ENCODERS: dict[str, PieceEncoder] = {}  # of this Python worker, for its next tasks
+
+
+def _encoder(tokenizer_json: str) -> PieceEncoder:
+    if tokenizer_json not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer_json] = PieceEncoder(tokenizer_json)
+    return _ENCODERS[tokenizer_json]
 
 
 SHARD_SCHEMA = "part int, seq int, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary"
@@ -253,7 +321,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         part, seq = TaskContext.get().partitionId(), 0
-        coder = PieceEncoder(shared.value, "<u4")
+        coder = _encoder(shared.value)
         end = np.asarray([end_id], "<u4").tobytes()
         ids, lengths, data, size = [], [], [], 0
 
