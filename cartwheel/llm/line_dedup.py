@@ -1,56 +1,50 @@
 """Line deduplication on content-defined chunks of lines.
 
-A text is cut into lines, every line is hashed, and a rolling polynomial over
-the last ``window`` line hashes decides whether a chunk ends after the line:
-where it is a multiple of ``divisor`` and was none after the line before, so
-that chunks have two lines or more. The decision depends on neighbouring
-lines only, so inserting lines elsewhere shifts no boundary. A line of
-``long_words`` or more words is several sentences and always a chunk of its
-own; its place needs no rolling hash. Chunks of two or more lines, and long
-lines, that occur more than once in the table are removed except for their
-first occurrence (smallest id, then position) after comparing their bytes.
+A text is cut into lines, every line is hashed, and a rolling polynomial runs
+over the hashes of two successive lines with a word (blank lines between them
+count with the first). A line of ``long_words`` or more words is several
+sentences and is also taken by itself. Chunks are the longest runs of lines
+whose rolling hashes all occur more than once in the table: a boundary stands
+where that changes, so it depends on the lines next to it only, and lines
+inserted or taken away elsewhere shift none. Within chunks, each window (two
+lines, or one long line) that is not the first occurrence of its bytes in the table
+(smallest id, then hash of the text, then position) loses its lines. So a
+passage of two or more lines, or a long line, goes wherever it is repeated; what
+occurs first stays whole.
 
 Plan, all of it DataFrame expressions:
 
-1. (id, chunk number, 64-bit hash) of every eligible chunk is written; hashes
-   seen once drop out. Occurrences are counted per (salt, hash) first, so a
-   passage that a third of all documents share is never one task's work.
-2. Only documents with a candidate chunk bring their text: their candidate
-   chunks are ranked inside (salt, hash, text), where equality of the whole
-   text is the byte comparison, and the leaders of the salts once more inside
-   (hash, text).
-3. Texts that lose chunks are joined again from the chunks that stay.
-
-Rows: null text stays null and has no chunk; rows with the same id and text
-are one document (they keep the same chunks); null ids come last in the
-order. A text may become empty. An empty table gives an empty result.
-
-``line_dedup`` (the query, which its SQL states) leaves most short passages in
-differing surroundings: their first and last chunk hold foreign lines.
-``passage_dedup`` (the pipeline) has no boundaries: its units are all pairs of
-successive lines with a word (blank lines between them included), and long
-lines. Of a passage of two or more lines that stands elsewhere every pair is
-repeated, so all of its lines go, whatever surrounds it. The first occurrence
-of each line always stays, since no unit that holds it can be a repetition.
-The plan is the same; pairs take the place of chunks.
+1. One narrow row a window (document key, number, rolling hash, hashes of its
+   two parts) is written. Rolling hashes are counted in a hash aggregation with
+   partial counts, so a passage in a third of all documents is no task's work;
+   windows that occur once drop out here, before any text moves.
+2. The first occurrence of the others is a partial minimum by the hashes of
+   both parts; each document gets the numbers of its candidates and of those
+   that go, and is written with them: the only shuffle of whole texts.
+3. Byte comparison: candidates' parts are aggregated by hash to their smallest
+   and largest bytes, merged in each task first. Where both are equal, every text
+   with that hash is the same. Hashes that stand for different texts (the rule is
+   that there are none) send their windows through a comparison by text, and
+   their documents are corrected.
+4. Texts that lose lines are joined again from the lines that stay.
+
+Rows: null text stays null and has no lines; rows with the same id and text are
+one document (they keep the same lines); null ids come last in the order. A
+text may become empty. Short single lines stay. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import WORD, salt, stage
+from cartwheel.functions.sizing import drop_table
+from cartwheel.llm.common import WORD, stage
 
 LINE_BREAK = "\n"
 MULTIPLIER = 31  # of the rolling polynomial
-
-
-def _line_hash(line: Column) -> Column:
-    """32-bit hash of a line."""
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
+MODULUS = 1 << 57  # of its terms: no sum overflows
 
 
 def _is_long(line: Column, long_words: int) -> Column:
@@ -58,116 +52,7 @@ def _is_long(line: Column, long_words: int) -> Column:
     return (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(WORD)) >= long_words)
 
 
-def _with_chunks(df: DataFrame, text: str, window: int, divisor: int, min_lines: int,
-                 long_words: int) -> DataFrame:
-    """Add ``_chunks``: array of (no, text, eligible) in text order."""
-    lines, marks = F.col("_lines"), F.col("_marks")
-
-    def mark(line: Column) -> Column:
-        return F.struct(_line_hash(line).alias("h"), _is_long(line, long_words).alias("long"))
-
-    def rolling(i: Column) -> Column:
-        total = F.lit(0).cast("long")
-        for k in range(window):
-            total = total + F.coalesce(F.get(marks, i - k)["h"], F.lit(0)) * (MULTIPLIER ** k)
-        return total
-
-    def candidate(i: Column) -> Column:
-        return (i >= 0) & (rolling(i) % divisor == 0)
-
-    def starts_chunk(i: Column) -> Column:
-        return ((i == 0) | (candidate(i - 1) & ~candidate(i - 2))
-                | F.get(marks, i)["long"] | F.get(marks, i - 1)["long"])
-
-    def chunk(start: Column, no: Column) -> Column:
-        size = F.coalesce(F.get(F.col("_starts"), no + 1), F.size(lines)) - start
-        return F.struct(no.alias("no"),
-                        F.array_join(F.slice(lines, start + 1, size), LINE_BREAK).alias("text"),
-                        ((size >= min_lines) | F.get(marks, start)["long"]).alias("eligible"))
-
-    return (df.withColumn("_lines", F.split(F.col(text), LINE_BREAK, -1))
-            .withColumn("_marks", F.transform("_lines", mark))
-            .withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), starts_chunk))
-            .withColumn("_chunks", F.transform("_starts", chunk))
-            .drop("_lines", "_marks", "_starts"))
-
-
-def _repeated(docs: DataFrame, id_col: str, text_col: str, hashes: Callable[[DataFrame], DataFrame],
-              contents: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(_id, _hash, _removed): the sorted numbers of the units (chunks, say)
-    of each document that are repetitions; _hash is xxhash64 of its text.
-    Documents without any are absent. ``hashes`` turns (_id, _hash, _text)
-    into (_id, _hash, no, h), one row a unit; ``contents`` turns the same and
-    the numbers ``_nos`` into (_id, _hash, no, chunk) of these units."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
-                       F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
-    found, _ = stage(hashes(rows).distinct())
-    found = found.withColumn("_salt", salt("_id", "_hash"))
-    counts = found.groupBy("_salt", "h").agg(F.count("*").alias("n"))
-    repeated = counts.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    candidates = (found.join(counts.join(repeated, "h").select("_salt", "h"), ["_salt", "h"])
-                  .groupBy("_id", "_hash").agg(F.collect_set("no").alias("_nos")))
-    by_doc = (rows["_id"].eqNullSafe(candidates["_id"])) & (rows["_hash"] == candidates["_hash"])
-    texts = (contents(rows.join(candidates, by_doc).select(rows["_id"], rows["_hash"], "_text", "_nos"))
-             .withColumn("_salt", salt("_id", "_hash", salts=32)))
-    order = [F.col("_id").asc_nulls_last(), "_hash", "no"]
-    # rank() leaves repeated rows of one document together.
-    first = texts.withColumn("r", F.rank().over(Window.partitionBy("_salt", "chunk").orderBy(*order)))
-    first, _ = stage(first.select("_id", "_hash", "no", "r",
-                                  F.when(F.col("r") == 1, F.col("chunk")).alias("chunk")))
-    leaders = (first.filter("r = 1")
-               .withColumn("r", F.rank().over(Window.partitionBy("chunk").orderBy(*order))))
-    removed = first.select("_id", "_hash", "no", "r").unionByName(
-        leaders.select("_id", "_hash", "no", "r")).filter("r > 1")
-    return removed.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("no")).alias("_removed"))
-
-
-def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 2, divisor: int = 2, min_lines: int = 2,
-                   long_words: int = 50) -> DataFrame:
-    """(_id, _hash, _removed): the sorted chunk numbers that each document
-    loses; _hash is xxhash64 of its text. Documents that lose none are absent."""
-    def chunked(df):
-        return _with_chunks(df, "_text", window, divisor, min_lines, long_words).drop("_text")
-
-    def hashes(rows: DataFrame) -> DataFrame:
-        return (chunked(rows)
-                .select("_id", "_hash", F.explode(F.filter("_chunks", lambda c: c["eligible"])).alias("c"))
-                .select("_id", "_hash", F.col("c.no").alias("no"), F.xxhash64("c.text").alias("h")))
-
-    def contents(rows: DataFrame) -> DataFrame:
-        return (chunked(rows)
-                .select("_id", "_hash", F.explode(F.filter(
-                    "_chunks", lambda c: F.array_contains(F.col("_nos"), c["no"]))).alias("c"))
-                .select("_id", "_hash", F.col("c.no").alias("no"), F.col("c.text").alias("chunk")))
-
-    return _repeated(docs, id_col, text_col, hashes, contents)
-
-
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               count_col: str | None = None, window: int = 2, divisor: int = 2,
-               min_lines: int = 2, long_words: int = 50) -> DataFrame:
-    """The rows and columns of ``docs`` with repeated chunks taken out of
-    ``text_col``; with ``count_col``, also the number of chunks removed."""
-    options = {"window": window, "divisor": divisor, "min_lines": min_lines, "long_words": long_words}
-    removed = removed_chunks(docs, id_col, text_col, **options)
-    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_did"),
-                         F.xxhash64(text_col).alias("_dhash"), F.col(text_col).alias("_text"))
-    joined = packed.join(removed, packed["_did"].eqNullSafe(removed["_id"])
-                         & (packed["_dhash"] == removed["_hash"]), "left")
-    # Texts that lose nothing are not cut again.
-    cut = F.when(F.col("_removed").isNotNull(), F.col("_text"))
-    chunked = _with_chunks(joined.withColumn("_cut", cut), "_cut", **options)
-    kept = F.transform(F.filter("_chunks", lambda c: ~F.array_contains(F.col("_removed"), c["no"])),
-                       lambda c: c["text"])
-    text = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(F.array_join(kept, LINE_BREAK))
-    columns = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
-    if count_col:
-        columns.append(F.coalesce(F.size("_removed"), F.lit(0)).cast("int").alias(count_col))
-    return chunked.select(*columns)
-
-
-def _with_worded(df: DataFrame, text: str) -> DataFrame:
+def _with_lines(df: DataFrame, text: str) -> DataFrame:
     """Add ``_lines``, and ``_worded``: the indices of those with a word."""
     return (df.withColumn("_lines", F.split(F.col(text), LINE_BREAK, -1))
             .withColumn("_worded", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1),
@@ -175,89 +60,152 @@ def _with_worded(df: DataFrame, text: str) -> DataFrame:
 
 
 def _ends(no: Column) -> tuple[Column, Column]:
-    """Indices of the first and last line of a unit: 2 j is the pair of worded
-    lines j and j + 1, 2 j + 1 is line j by itself."""
+    """Indices of the first and last line of a window: 2 j is the pair of
+    worded lines j and j + 1, 2 j + 1 is line j by itself."""
     j = F.shiftright(no, 1)
     return F.get(F.col("_worded"), j), F.get(F.col("_worded"), j + 1 - no % 2)
 
 
-def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  long_words: int = 50) -> DataFrame:
-    """The rows and columns of ``docs`` without the lines of ``text_col`` that
-    belong to a repeated pair of lines or are repeated long lines."""
-    lines = F.col("_lines")
+def _parts(no: Column) -> tuple[Column, Column]:
+    """Texts of a window's parts: the first line with the blank ones after it,
+    and the second line, or the single line and null."""
+    first, last = _ends(no)
+    size = F.greatest(last - first, F.lit(1))
+    return (F.array_join(F.slice(F.col("_lines"), first + 1, size), LINE_BREAK),
+            F.when(no % 2 == 0, F.get(F.col("_lines"), last)))
+
+
+def _hash(text: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(1 << bits)) if bits < 64 else F.xxhash64(text)
 
-    def content(no: Column) -> Column:
-        first, last = _ends(no)
-        return F.array_join(F.slice(lines, first + 1, last - first + 1), LINE_BREAK)
 
-    def is_unit(no: Column) -> Column:
+def _windows(rows: DataFrame, long_words: int, bits: int) -> DataFrame:
+    """(_id, _hash, no, r, a, b): rolling hash and hashes of the parts of every
+    window of (_id, _hash, _text)."""
+    def is_window(no: Column) -> Column:
         return F.when(no % 2 == 0, F.shiftright(no, 1) < F.size("_worded") - 1).otherwise(
-            _is_long(F.get(lines, _ends(no)[0]), long_words))
-
-    def hashes(rows: DataFrame) -> DataFrame:
-        numbers = F.filter(F.sequence(F.lit(0), F.greatest(2 * F.size("_worded") - 1, F.lit(0))), is_unit)
-        units = F.transform(numbers, lambda no: F.struct(no.alias("no"), F.xxhash64(content(no)).alias("h")))
-        return _with_worded(rows, "_text").select("_id", "_hash", F.inline(units))
-
-    def contents(rows: DataFrame) -> DataFrame:
-        units = F.transform("_nos", lambda no: F.struct(no.alias("no"), content(no).alias("chunk")))
-        return _with_worded(rows, "_text").select("_id", "_hash", F.inline(units))
-
-    removed = _repeated(docs, id_col, text_col, hashes, contents)
-    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_did"),
-                         F.xxhash64(text_col).alias("_dhash"), F.col(text_col).alias("_text"))
-    joined = packed.join(removed, packed["_did"].eqNullSafe(removed["_id"])
-                         & (packed["_dhash"] == removed["_hash"]), "left")
+            _is_long(F.get(F.col("_lines"), _ends(no)[0]), long_words))
+
+    def parts(no: Column) -> Column:
+        a, b = _parts(no)
+        return F.struct(no.alias("no"), _hash(a, bits).alias("a"),
+                        F.when(no % 2 == 0, _hash(b, bits)).alias("b"))
+
+    numbers = F.filter(F.sequence(F.lit(0), F.greatest(2 * F.size("_worded") - 1, F.lit(0))), is_window)
+    a, b = (F.pmod(F.col(c), F.lit(MODULUS)) for c in "ab")
+    return (_with_lines(rows, "_text").select("_id", "_hash", F.inline(F.transform(numbers, parts)))
+            .withColumn("r", F.when(F.col("b").isNull(), -1 - a).otherwise(a * MULTIPLIER + b)))
+
+
+def _first(windows: DataFrame, *by: str) -> DataFrame:
+    """``windows`` with ``goes``: not the first of those equal in ``by``."""
+    place = F.struct(F.col("_id").isNull(), "_id", "_hash", "no")
+    first = windows.groupBy(*by).agg(F.min(place).alias("_first")).select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], "_first")
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return (windows.join(first, same).withColumn("goes", ~place.eqNullSafe(F.col("_first")))
+            .drop("_first", *[f"_by_{c}" for c in by]))
+
+
+def _numbers() -> Column:
+    return F.sort_array(F.collect_set(F.when(F.col("goes"), F.col("no"))))
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, long_words: int, bits: int) -> DataFrame:
+    """(_row, _did, _dhash, _text, _nos, _removed): the documents, ``_row``
+    without the text, with the numbers of their candidates and of those whose
+    hashes are not the first; written."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    packed = docs.select(F.struct(*others, F.lit(None).alias("_")).alias("_row"),
+                         F.col(id_col).cast("long").alias("_did"), F.xxhash64(text_col).alias("_dhash"),
+                         F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
+                       F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
+    windows, path = stage(_windows(rows, long_words, bits))
+    repeated = windows.groupBy("r").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("r")
+    found = _first(windows.join(repeated, "r", "left_semi"), "a", "b")
+    numbers = found.groupBy("_id", "_hash").agg(F.collect_set("no").alias("_nos"), _numbers().alias("_removed"))
+    by_doc = packed["_did"].eqNullSafe(numbers["_id"]) & (packed["_dhash"] == numbers["_hash"])
+    marked, _ = stage(packed.join(numbers, by_doc, "left").drop("_id", "_hash"))
+    drop_table(docs.sparkSession, path)
+    return marked
+
+
+def _corrected(marked: DataFrame, bits: int) -> DataFrame:
+    """``marked`` after comparing bytes."""
+    def texts(no: Column) -> Column:
+        a, b = _parts(no)
+        return F.struct(no.alias("no"), a.alias("a"), b.alias("b"))
+
+    candidates = _with_lines(marked.filter(F.size("_nos") > 0), "_text").select(
+        F.col("_did").alias("_id"), F.col("_dhash").alias("_hash"), "_removed", F.inline(F.transform("_nos", texts)))
+    part = F.explode(F.array("a", "b")).alias("part")
+    unequal = (candidates.select(part).filter("part IS NOT NULL").withColumn("h", _hash(F.col("part"), bits))
+               .groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+               .filter("low <> high").select("h"))
+    unequal, path = stage(unequal)
+    if unequal.isEmpty():
+        drop_table(marked.sparkSession, path)
+        return marked
+    held = (candidates.select("_id", "_hash", "no", part).filter("part IS NOT NULL")
+            .join(unequal, _hash(F.col("part"), bits) == unequal["h"], "left_semi")
+            .select("_id", "_hash", "no").distinct()
+            .select(*[F.col(c).alias(f"_u{c}") for c in ("_id", "_hash", "no")]))
+    windows = candidates.join(held, F.col("_id").eqNullSafe(F.col("_u_id")) & (F.col("_hash") == F.col("_u_hash"))
+                              & (F.col("no") == F.col("_uno")), "left")
+    doubtful = windows.filter("_uno IS NOT NULL").select("_id", "_hash", "no", "a", "b")
+    sure = windows.filter("_uno IS NULL").select("_id", "_hash", "no",
+                                                 F.array_contains("_removed", F.col("no")).alias("goes"))
+    numbers = (_first(doubtful, "a", "b").select("_id", "_hash", "no", "goes").unionByName(sure)
+               .groupBy("_id", "_hash").agg(_numbers().alias("_right")))
+    by_doc = marked["_did"].eqNullSafe(numbers["_id"]) & (marked["_dhash"] == numbers["_hash"])
+    return marked.join(numbers, by_doc, "left").withColumn("_removed", F.col("_right")).drop("_id", "_hash", "_right")
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None,
+               long_words: int = 50, hash_bits: int = 64) -> DataFrame:
+    """The rows and columns of ``docs`` with repeated chunks taken out of
+    ``text_col``; with ``count_col``, also the number of lines removed.
+    ``hash_bits`` weakens line hashes in tests; it changes no result."""
+    marked = _corrected(_marked(docs, id_col, text_col, long_words, hash_bits), hash_bits)
     # Texts that lose nothing are not cut again.
-    cut = F.when(F.col("_removed").isNotNull(), F.col("_text"))
-    gone = F.flatten(F.transform("_removed", lambda no: F.sequence(*_ends(no))))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), LINE_BREAK)
-    text = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(kept)
+    cut = _with_lines(marked.withColumn("_cut", F.when(F.size("_removed") > 0, F.col("_text"))), "_cut")
+    gone = F.array_distinct(F.flatten(F.transform("_removed", lambda no: F.sequence(*_ends(no)))))
+    cut = cut.withColumn("_gone", F.when(F.col("_cut").isNotNull(), gone))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), LINE_BREAK)
+    text = F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(kept)
     columns = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
-    return _with_worded(joined.withColumn("_cut", cut), "_cut").select(*columns)
+    if count_col:
+        columns.append(F.coalesce(F.size("_gone"), F.lit(0)).cast("int").alias(count_col))
+    return cut.select(*columns)
 
 
-def line_dedup_sql(window: int = 2, divisor: int = 2, min_lines: int = 2, long_words: int = 50) -> str:
+def line_dedup_sql(long_words: int = 50) -> str:
     """DuckDB SQL of the operator over ``documents`` (distinct ids):
-    doc_id, removed_chunks, n_chars, text_sha256."""
-    rolling = " + ".join(
-        f"{MULTIPLIER ** k} * coalesce(lag(h, {k}) OVER w, 0)" if k else "h" for k in range(window))
+    doc_id, removed_lines, n_chars, text_sha256."""
     return rf"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS i
-  FROM documents WHERE text IS NOT NULL),
-marked AS (
-  SELECT doc_id, i, line, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
-         len(regexp_extract_all(line, '{WORD}')) >= {long_words} AS long
-  FROM lines),
-rolled AS (
-  SELECT doc_id, i, line, long, {rolling} AS r FROM marked
-  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-cuts AS (
-  SELECT doc_id, i, line, long,
-         CASE WHEN lag(r) OVER w IS NULL OR long OR lag(long) OVER w
-                OR (lag(r) OVER w % {divisor} = 0 AND coalesce(lag(r, 2) OVER w % {divisor} <> 0, true))
-              THEN 1 ELSE 0 END AS s
-  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-numbered AS (
-  SELECT doc_id, i, line, long,
-         sum(s) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS no FROM cuts),
-chunks AS (
-  SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS chunk,
-         count(*) >= {min_lines} OR bool_or(long) AS eligible
-  FROM numbered GROUP BY doc_id, no),
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, ls, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM split),
+worded AS (
+  SELECT doc_id, ls, line, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt
+  FROM lines WHERE regexp_matches(line, '{WORD}')),
+windows AS (
+  SELECT doc_id, i, nxt AS last, 2 AS size, array_to_string(ls[i:nxt], chr(10)) AS t
+  FROM worded WHERE nxt IS NOT NULL
+  UNION ALL
+  SELECT doc_id, i, i, 1, line FROM worded
+  WHERE len(regexp_extract_all(line, '{WORD}')) >= {long_words}),
 ranked AS (
-  SELECT doc_id, no, chunk, eligible AND row_number() OVER (
-           PARTITION BY chunk, eligible ORDER BY doc_id, no) > 1 AS removed
-  FROM chunks),
+  SELECT doc_id, i, last, row_number() OVER (PARTITION BY size, t ORDER BY doc_id, i) AS r FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, i FROM (
+    SELECT doc_id, unnest(generate_series(i, last)) AS i FROM ranked WHERE r > 1) AS x),
 rebuilt AS (
-  SELECT doc_id, count(*) FILTER (removed) AS removed_chunks,
-         coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT removed), '') AS t
-  FROM ranked GROUP BY doc_id)
-SELECT d.doc_id, coalesce(removed_chunks, 0)::INTEGER AS removed_chunks,
+  SELECT l.doc_id, count(g.i) AS removed_lines,
+         coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS t
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(removed_lines, 0)::INTEGER AS removed_lines,
        length(t)::INTEGER AS n_chars, sha256(t) AS text_sha256
 FROM documents d LEFT JOIN rebuilt USING (doc_id)
 """

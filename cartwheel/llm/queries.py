@@ -60,8 +60,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents without globally repeated chunks of lines."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup(docs, count_col="removed_chunks").select(
-        "doc_id", "removed_chunks", F.length("text").alias("n_chars"),
+    return line_dedup(docs, count_col="removed_lines").select(
+        "doc_id", "removed_lines", F.length("text").alias("n_chars"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 

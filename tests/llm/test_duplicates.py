@@ -8,6 +8,7 @@ import tempfile
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 from helpers import PASSAGE, ROWS, awkward, nothing
 from hypothesis import given, settings
@@ -188,5 +189,59 @@ def test_line_dedup_chunks_resist_shifts(spark):
     rows = [(1, "\n".join(block)), (2, "\n".join(["something new", *block])), (3, "\n".join(["quite", "new", "here"]))]
     out = {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[1] == rows[0][1] and out[3] == rows[2][1]
-    left = out[2].split("\n")
-    assert "something new" in left and len(left) < 12  # all but the edges of the block went
+    assert out[2] == "something new"
+
+
+@pytest.mark.parametrize("bits", [64, 5])
+def test_line_dedup_takes_short_passages_out_of_any_surroundings(spark, bits):
+    rnd = random.Random(4)
+
+    def fresh(n):
+        return [" ".join(f"w{rnd.randrange(10**9)}" for _ in range(rnd.randint(1, 30))) for _ in range(n)]
+
+    rows, want = [], {}
+    for size in (1, 2, 3, 4, 5, 6, 12):
+        passage = fresh(size)
+        for copy in range(20):
+            before, after = fresh(rnd.randint(0, 6)), fresh(rnd.randint(0, 6))
+            rows.append((len(rows), "\n".join([*before, *passage, *after])))
+            whole = copy == 0 or size == 1  # a short line by itself stays
+            want[rows[-1][0]] = "\n".join([*before, *(passage if whole else []), *after])
+    odd = ["a b\n\nc d\n", "x\na b\n\nc d\ny", "a b\nc d", "\n\n", "\n\n", "z\n\n\n", "z", "z\n", "r s\nt\nr s\nt"]
+    stay = ["a b\n\nc d\n", "x\ny", "a b\nc d", "\n\n", "\n\n", "z\n\n\n", "z", "z\n", "r s\nt"]
+    for text, left in zip(odd, stay):
+        rows.append((len(rows), text))
+        want[rows[-1][0]] = left
+    rows += [rows[3], (None, rows[0][1]), (len(rows), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = line_dedup(docs, hash_bits=bits).collect()  # five bits: most hashes stand for several texts
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r.text for r in got}
+    assert by_id.pop(None) == (rows[0][1] if "\n" not in rows[0][1] else "")
+    assert by_id.pop(len(rows) - 1 - 2) is None
+    assert by_id == want
+
+
+def slow_line_dedup(rows):
+    """{id: text} of (id, text) rows with distinct ids."""
+    seen, out = {}, {}
+    for size in (2, 1):
+        for doc_id, text in sorted(rows):
+            lines = text.split("\n")
+            worded = [i for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+            spans = zip(worded, worded[1:]) if size == 2 else (
+                (i, i) for i in worded if len(re.findall(r"[^\x20\x09-\x0D]+", lines[i])) >= 50)
+            for a, b in spans:
+                if seen.setdefault((size, *lines[a:b + 1]), (doc_id, a)) != (doc_id, a):
+                    out.setdefault(doc_id, set()).update(range(a, b + 1))
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in out.get(d, ())) for d, t in rows}
+
+
+@pytest.mark.parametrize("bits", [64, 6])
+def test_line_dedup_against_brute_force(spark, bits):
+    rnd = random.Random(9)
+    wide = [" ".join(f"long{k}{i}" for i in range(50)) for k in range(3)]
+    rows = [(i, "\n".join(rnd.choice(["a", "b", "c", "d e", "", " ", "f", wide[i % 3]] + [f"n{rnd.random()}"] * 4)
+                          for _ in range(rnd.randint(1, 12)))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.text for r in line_dedup(docs, hash_bits=bits).collect()} == slow_line_dedup(rows)

@@ -1,7 +1,5 @@
 """The corpus pipeline, stage by stage."""
 
-import random
-
 import corpus_pipeline
 from helpers import awkward, nothing
 
@@ -40,32 +38,3 @@ def test_quality_stage_keeps_the_documents_that_are_labelled_good(spark):
     good, bad = (labels.filter(f"quality = {q}").select("doc_id") for q in (1, 0))
     assert good.join(kept, "doc_id").count() > 0.98 * good.count()
     assert bad.join(kept, "doc_id").count() < 0.1 * bad.count()
-
-
-def test_line_stage_takes_short_passages_out_of_any_surroundings(spark):
-    rnd = random.Random(4)
-
-    def fresh(n):
-        return [" ".join(f"w{rnd.randrange(10**9)}" for _ in range(rnd.randint(1, 30))) for _ in range(n)]
-
-    rows, want = [], {}
-    for size in (1, 2, 3, 4, 5, 6, 12):
-        passage = fresh(size)
-        for copy in range(20):
-            before, after = fresh(rnd.randint(0, 6)), fresh(rnd.randint(0, 6))
-            rows.append((len(rows), "\n".join([*before, *passage, *after])))
-            whole = copy == 0 or size == 1  # a short line by itself stays
-            want[rows[-1][0]] = "\n".join([*before, *(passage if whole else []), *after])
-    odd = ["a b\n\nc d\n", "x\na b\n\nc d\ny", "a b\nc d", "\n\n", "\n\n", "z\n\n\n", "z", "z\n", "r s\nt\nr s\nt"]
-    stay = ["a b\n\nc d\n", "x\ny", "a b\nc d", "\n\n", "\n\n", "z\n\n\n", "z", "z\n", "r s\nt"]
-    for text, left in zip(odd, stay):
-        rows.append((len(rows), text))
-        want[rows[-1][0]] = left
-    rows += [rows[3], (None, rows[0][1]), (len(rows), None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = corpus_pipeline.lines(spark, docs, SF).collect()
-    assert len(got) == len(rows)
-    by_id = {r.doc_id: r.text for r in got}
-    assert by_id.pop(None) == (rows[0][1] if "\n" not in rows[0][1] else "")
-    assert by_id.pop(len(rows) - 1 - 2) is None
-    assert by_id == want
