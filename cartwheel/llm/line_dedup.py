@@ -14,18 +14,18 @@ occurs first stays whole.
 
 Plan, all of it DataFrame expressions:
 
-1. One narrow row a window (document key, number, rolling hash, hashes of its
-   two parts) is written. Rolling hashes are counted in a hash aggregation with
+1. One narrow row a window (document key, number, hashes of its two parts) is
+   written. Rolling hashes are counted in a hash aggregation with
    partial counts, so a passage in a third of all documents is no task's work;
    windows that occur once drop out here, before any text moves.
 2. The first occurrence of the others is a partial minimum by the hashes of
    both parts; each document gets the numbers of its candidates and of those
    that go, and is written with them: the only shuffle of whole texts.
-3. Byte comparison: candidates' parts are aggregated by hash to their smallest
-   and largest bytes, merged in each task first. Where both are equal, every text
-   with that hash is the same. Hashes that stand for different texts (the rule is
-   that there are none) send their windows through a comparison by text, and
-   their documents are corrected.
+3. Byte comparison: the distinct texts of candidates' parts, merged in each task
+   first, are counted by hash. Where there is one, all texts with that hash are
+   the same. Hashes that stand for several texts (the rule is that there are none)
+   send their windows through a comparison by text, and their documents are
+   corrected.
 4. Texts that lose lines are joined again from the lines that stay.
 
 Rows: null text stays null and has no lines; rows with the same id and text are
@@ -80,8 +80,8 @@ def _hash(text: Column, bits: int) -> Column:
 
 
 def _windows(rows: DataFrame, long_words: int, bits: int) -> DataFrame:
-    """(_id, _hash, no, r, a, b): rolling hash and hashes of the parts of every
-    window of (_id, _hash, _text)."""
+    """(_id, _hash, no, a, b): hashes of the parts of every window of (_id,
+    _hash, _text)."""
     def is_window(no: Column) -> Column:
         return F.when(no % 2 == 0, F.shiftright(no, 1) < F.size("_worded") - 1).otherwise(
             _is_long(F.get(F.col("_lines"), _ends(no)[0]), long_words))
@@ -92,9 +92,13 @@ def _windows(rows: DataFrame, long_words: int, bits: int) -> DataFrame:
                         F.when(no % 2 == 0, _hash(b, bits)).alias("b"))
 
     numbers = F.filter(F.sequence(F.lit(0), F.greatest(2 * F.size("_worded") - 1, F.lit(0))), is_window)
+    return _with_lines(rows, "_text").select("_id", "_hash", F.inline(F.transform(numbers, parts)))
+
+
+def _rolling() -> Column:
+    """Rolling hash of a window; that of a single line is negative."""
     a, b = (F.pmod(F.col(c), F.lit(MODULUS)) for c in "ab")
-    return (_with_lines(rows, "_text").select("_id", "_hash", F.inline(F.transform(numbers, parts)))
-            .withColumn("r", F.when(F.col("b").isNull(), -1 - a).otherwise(a * MULTIPLIER + b)))
+    return F.when(F.col("b").isNull(), -1 - a).otherwise(a * MULTIPLIER + b)
 
 
 def _first(windows: DataFrame, *by: str) -> DataFrame:
@@ -122,6 +126,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, long_words: int, bits:
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
                        F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
     windows, path = stage(_windows(rows, long_words, bits))
+    windows = windows.withColumn("r", _rolling())
     repeated = windows.groupBy("r").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("r")
     found = _first(windows.join(repeated, "r", "left_semi"), "a", "b")
     numbers = found.groupBy("_id", "_hash").agg(F.collect_set("no").alias("_nos"), _numbers().alias("_removed"))
@@ -140,9 +145,9 @@ def _corrected(marked: DataFrame, bits: int) -> DataFrame:
     candidates = _with_lines(marked.filter(F.size("_nos") > 0), "_text").select(
         F.col("_did").alias("_id"), F.col("_dhash").alias("_hash"), "_removed", F.inline(F.transform("_nos", texts)))
     part = F.explode(F.array("a", "b")).alias("part")
-    unequal = (candidates.select(part).filter("part IS NOT NULL").withColumn("h", _hash(F.col("part"), bits))
-               .groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-               .filter("low <> high").select("h"))
+    unequal = (candidates.select(part).filter("part IS NOT NULL").distinct()
+               .groupBy(_hash(F.col("part"), bits).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+               .filter("n > 1").select("h"))
     unequal, path = stage(unequal)
     if unequal.isEmpty():
         drop_table(marked.sparkSession, path)
