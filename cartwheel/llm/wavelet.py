@@ -37,6 +37,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ class WaveletMatrix:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         parts = [HEAD.pack(MAGIC, len(order), planes)]
         for plane in range(planes):
-            bits = (order >> (planes - 1 - plane)) & 1 != 0
+            bits = (order & order.dtype.type(1 << (planes - 1 - plane))).astype(bool)
             blocks, ones = [], [0]
             for at in range(0, len(bits), BLOCK):
                 piece = bits[at:at + BLOCK]
@@ -266,12 +267,14 @@ class PieceEncoder:
         if len(self.young) > self.keep:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        met = set().union(*split).difference(young)
-        young.update((p, old[p]) for p in met if p in old)
-        new = [p for p in met if p not in young]
+        met = list(dict.fromkeys(chain.from_iterable(split)))
+        missing = [p for p, numbers in zip(met, map(young.get, met), strict=True) if numbers is None]
+        young.update((p, old[p]) for p in missing if p in old)
+        new = [p for p in missing if p not in young]
         for at in range(0, len(new), 2048):
             self._learn(new[at:at + 2048])
-        out = [b"".join(map(young.__getitem__, pieces)) for pieces in split]
+        here = dict(zip(met, map(young.__getitem__, met), strict=True))  # small: stays in the processor's cache
+        out = [b"".join(map(here.__getitem__, pieces)) for pieces in split]
         for piece in new:
             if len(piece) > self.longest:
                 del young[piece]
