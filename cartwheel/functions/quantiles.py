@@ -26,12 +26,13 @@ def _bucket(x: Column) -> Column:
     return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0)).cast("long")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight: str | None = None) -> DataFrame:
     """One row ``q``: array of the smallest values whose share of rows at or
     below them reaches each probability (NULLs left out; NULLs in the array
-    when there is no value)."""
+    when there is no value). A row counts ``weight`` times."""
     x = F.col(col).cast("double")
-    counts = (df.filter(x.isNotNull()).groupBy(x.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = (df.filter(x.isNotNull()).groupBy(x.alias("_x")).agg(n.alias("_n"))
               .withColumn("_b", _bucket(F.col("_x"))))
     buckets = counts.groupBy("_b").agg(F.sum("_n").alias("_n"))
     upto = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))

@@ -31,6 +31,7 @@ from cartwheel.functions.columns import (
     rfm_score,
     safe_ratio,
 )
+from cartwheel.functions.sizing import materialize
 from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
 
 
@@ -87,6 +88,9 @@ def user_behavior(cleaned: DataFrame, exact: bool = True, with_lists: bool = Tru
     cd = _distinct(exact)
     view, purchase = is_type(VIEW), is_type(PURCHASE)
     price = F.col("price")
+    # Four aggregations read the events: they are cleaned and written once.
+    cleaned = materialize(cleaned.select("event_id", "event_time", "event_type", "product_id", "category_code",
+                                         "brand", "price", "user_id", "user_session", "date"))
     newest = max_event_time(cleaned)
     agg = cleaned.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("nb_events"),

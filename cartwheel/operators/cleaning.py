@@ -11,10 +11,11 @@ Reference semantics, with the ambiguities fixed (see README):
   mean is taken over raw prices (``robust=True``: in-bound prices only).
 
 Scale: a window partitioned by category would put one third of all rows
-("unknown") into one task. Here a hash aggregation per (category, brand) —
-combined map-side — and a second one over that small table yield one row per
-category; the join to the events is left to Spark's run-time sizes. Quartiles
-are a scalar subquery, so no value round-trips through the driver.
+("unknown") into one task. Here one hash aggregation per (category, brand,
+price), combined map-side, is written; quartiles, means and brands follow from
+that small table and are written with one row per category, so that however
+often a plan uses the cleaned table, each use is one scan and one join left to
+Spark's sizes. No value round-trips through the driver.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import earliest_values, top_category
-from cartwheel.functions.quantiles import quantiles
+from cartwheel.functions.columns import order_key, top_category
+from cartwheel.functions.quantiles import exact_quantiles, quantiles
+from cartwheel.functions.sizing import drop_table, materialize, materialize_at
 
 # Price bounds are [0.1 * q1, 10 * q3]; quartile error 0.01.
 LOWER_FACTOR = 0.1
@@ -74,27 +76,55 @@ def with_top_category(df: DataFrame, col: str = "category_code") -> DataFrame:
     return df.withColumn(col, top_category(col, UNKNOWN_CATEGORY))
 
 
+def price_counts(df: DataFrame) -> DataFrame:
+    """Per (category, brand, price): events ``n`` and the earliest event key.
+    All statistics of the cleaning follow from this one pass over the events."""
+    return df.groupBy("category_code", F.nullif(F.col("brand"), F.lit("")).alias("brand"), "price").agg(
+        F.count(F.lit(1)).alias("n"), F.min(order_key()).alias("first_key"))
+
+
 def category_stats(df: DataFrame, brand_policy: str = "first_row", bounds: Column | None = None,
-                   lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR) -> DataFrame:
+                   lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR,
+                   counts: DataFrame | None = None) -> DataFrame:
     """A9 + W1: per category the mean raw price and the brand to impute.
 
-    One hash pre-aggregation per (category, brand) — earliest event key,
-    price sum and count — then one row per category. ``bounds`` (array q1,
-    q3) restricts the mean to in-bound prices (robust).
+    Hash aggregations per (category, brand, price) — or the given ``counts`` —
+    and (category, brand), then one row per category. ``bounds`` (array q1, q3)
+    restricts the mean to in-bound prices (robust).
     """
     if brand_policy not in ("first_row", "first_known"):
         raise ValueError(f"unknown brand policy {brand_policy!r}")
-    brand = F.nullif(F.col("brand"), F.lit(""))
     price = F.col("price")
     if bounds is not None:
         ok = (price > 0) & (price >= bounds[0] * lower_factor) & (price <= bounds[1] * upper_factor)
         price = F.when(ok, price)
-    extra = {"price_sum": (F.sum(price), F.sum), "price_n": (F.count(price), F.sum)}
-    t = earliest_values(df, ["category_code"], brand, "first_brand", extra=extra,
-                        skip_null_values=brand_policy == "first_known")
-    return t.select("category_code",
-                    F.try_divide(F.col("price_sum"), F.col("price_n").cast("double"))
-                    .alias("avg_cat_price"), "first_brand")
+    pairs = (price_counts(df) if counts is None else counts).groupBy("category_code", "brand").agg(
+        F.min("first_key").alias("_k"), F.sum(price * F.col("n")).alias("_sum"),
+        F.sum(F.when(price.isNotNull(), F.col("n"))).alias("_n"))
+    item = F.struct("_k", "brand")
+    if brand_policy == "first_known":
+        item = F.when(F.col("brand").isNotNull(), item)
+    return pairs.groupBy("category_code").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n").cast("double")).alias("avg_cat_price"),
+        F.min(item)["brand"].alias("first_brand"))
+
+
+def cleaning_statistics(df: DataFrame, brand_policy: str = "first_row",
+                        rel_error: float = DEFAULT_REL_ERROR, robust: bool = False,
+                        lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR) -> DataFrame:
+    """What ``clean_events`` has to know, one row per category: category_code,
+    avg_cat_price, first_brand, q1, q3. Written once into the shared folder from
+    one pass over the events (a second one with ``rel_error`` > 0), so that each
+    use of the cleaned table only scans its events. It can also be stored with
+    a run and given to ``clean_events`` for later events."""
+    counts, path = materialize_at(price_counts(with_top_category(df)))
+    q = (exact_quantiles(counts, "price", QUARTILES, weight="n") if rel_error <= 0
+         else quantiles(df, "price", QUARTILES, rel_error))
+    bounds = q.scalar()
+    stats = category_stats(df, brand_policy, bounds if robust else None, lower_factor, upper_factor, counts)
+    out = materialize(stats.select("*", bounds[0].alias("q1"), bounds[1].alias("q3")).coalesce(1))
+    drop_table(df.sparkSession, path)
+    return out
 
 
 def repair_price(price: Column, cat_mean: Column, bounds: Column,
@@ -111,21 +141,22 @@ def repair_price(price: Column, cat_mean: Column, bounds: Column,
 
 def clean_events(df: DataFrame, brand_policy: str = "first_row",
                  rel_error: float = DEFAULT_REL_ERROR, robust: bool = False,
-                 lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR) -> DataFrame:
+                 lower_factor: float = LOWER_FACTOR, upper_factor: float = UPPER_FACTOR,
+                 stats: DataFrame | None = None) -> DataFrame:
     """The cleaned event table: raw columns (category, brand, price replaced)
     plus hour, minute, second, day, month, dayofweek, date, hour_bucket.
 
-    Lazy: the quartiles are a scalar subquery, the category statistics one
-    aggregation joined to the events; Spark broadcasts them by their size at
-    run time and splits the hot category otherwise.
+    The statistics (``cleaning_statistics``, one row per category) are computed
+    here unless given; the rows themselves are lazy: one scan joined to that
+    small table, which Spark broadcasts by its size. With given statistics, a
+    category that they lack keeps positive prices and gets ``generic`` brands.
     """
     cols = df.columns
-    base = with_top_category(time_parts(df))
-    bounds = quantiles(df, "price", QUARTILES, rel_error).scalar()
-    stats = category_stats(with_top_category(df), brand_policy, bounds if robust else None,
-                           lower_factor, upper_factor)
-    joined = base.join(stats, "category_code", "left")
+    if stats is None:
+        stats = cleaning_statistics(df, brand_policy, rel_error, robust, lower_factor, upper_factor)
+    joined = with_top_category(time_parts(df)).join(stats, "category_code", "left")
     brand = F.col("brand")
+    bounds = F.array("q1", "q3")
     out = joined.withColumn(
         "brand",
         F.when(brand.isNull() | (brand == F.lit("")),

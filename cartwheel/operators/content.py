@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import materialize
+
 TOP_K = 10
 
 
@@ -55,7 +57,8 @@ def _subsets(w: Column) -> Column:
 def content_similarity(products: DataFrame, k: int = TOP_K) -> DataFrame:
     """Top-``k`` most similar products per product: ``product_id, neighbor_id,
     similarity, rank`` (ties by neighbour id; only similarity > 0)."""
-    terms = product_terms(products).filter(F.size("terms") > 0)
+    # Terms and signatures are small tables with several readers each.
+    terms = materialize(product_terms(products).filter(F.size("terms") > 0))
     idf = term_idf(terms)
     sep = "\u0001"
     prods = terms.select("product_id", F.array_join("terms", sep).alias("sig"))
@@ -67,6 +70,7 @@ def content_similarity(products: DataFrame, k: int = TOP_K) -> DataFrame:
                 .withColumn("norm", F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x["idf"] * x["idf"])))
                 .withColumn("s", F.explode(_subsets(F.col("w"))))
                 .select("sig", "w", "norm", "s.key", "s.dot"))
+    weighted = materialize(weighted)
     # the k+1 smallest product ids of every signature (k+1: one may be the product itself)
     w_sig = Window.partitionBy("sig").orderBy("product_id")
     heads = (prods.withColumn("_r", F.row_number().over(w_sig)).filter(F.col("_r") <= k + 1)

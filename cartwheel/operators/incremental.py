@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
+from cartwheel.functions.sizing import materialize
 from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
 from cartwheel.sources import snapshots
 
@@ -40,7 +41,10 @@ def _distinct_values():
 
 
 def partial_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """State of one period: (stats, keys)."""
+    """State of one period: (stats, keys). The period's rows, which both
+    read, are written once."""
+    events = materialize(events.select("user_id", "event_time", "event_type", "price", "product_id",
+                                       "category_code", "brand", "user_session"))
     stats = events.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_events"),
         count_type(VIEW).alias("views"), count_type(CART).alias("carts"),
@@ -60,14 +64,14 @@ def merge_state(a: tuple[DataFrame, DataFrame], b: tuple[DataFrame, DataFrame]
     """Combine two states (associative and commutative)."""
     sa, ka = a
     sb, kb = b
-    x = sa.alias("x").join(sb.alias("y"), "user_id", "full_outer")
-    cols = [F.col("user_id")]
+    # the NULL user of both sides is one user
+    x = sa.alias("x").join(sb.alias("y"), F.col("x.user_id").eqNullSafe(F.col("y.user_id")), "full_outer")
+    cols = [F.coalesce("x.user_id", "y.user_id").alias("user_id")]
     for c in SUMS:
         cols.append((F.coalesce(F.col(f"x.{c}"), F.lit(0)) + F.coalesce(F.col(f"y.{c}"), F.lit(0)))
                     .alias(c))
     cols.append(F.least(F.col("x.first_seen"), F.col("y.first_seen")).alias("first_seen"))
     cols.append(F.greatest(F.col("x.last_seen"), F.col("y.last_seen")).alias("last_seen"))
-    # monetary of a user seen in one period only keeps its own NULL-ness
     stats = x.select(*cols)
     keys = ka.unionByName(kb).distinct()
     return stats, keys
@@ -77,8 +81,8 @@ def finalize(state: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Aggregates from a state: sums, mean price, first/last, distinct counts."""
     stats, keys = state
     counts = keys.groupBy("user_id").pivot("kind", list(DISTINCT_KINDS)).agg(
-        F.count(F.lit(1)))
-    out = stats.join(counts, "user_id", "left")
+        F.count(F.lit(1))).withColumnRenamed("user_id", "_user")
+    out = stats.join(counts, F.col("user_id").eqNullSafe(F.col("_user")), "left")
     return out.select(
         "user_id", *[c for c in SUMS if c not in ("price_sum", "price_n")],
         F.try_divide(F.col("price_sum"), F.col("price_n").cast("double")).alias("avg_price"),
@@ -92,17 +96,14 @@ def merge_user_aggregates(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def save_state(state: tuple[DataFrame, DataFrame], base: str, run: str) -> None:
-    """Store a state as the run's snapshots ``user_stats`` and ``user_keys``."""
-    for df, name in zip(state, ("user_stats", "user_keys"), strict=True):
-        snapshots.write_snapshot(df, base, name, run)
+    """Store a state as one committed run of ``user_stats`` and ``user_keys``."""
+    snapshots.write_run(dict(zip(("user_stats", "user_keys"), state, strict=True)), base, run)
 
 
 def load_state(spark, base: str) -> tuple[DataFrame, DataFrame] | None:
-    """The newest stored state; None when there is none."""
-    found = [snapshots.latest_snapshot(spark, base, name) for name in ("user_stats", "user_keys")]
-    if any(f is None for f in found):
-        return None
-    return tuple(f.drop("snapshot") for f in found)
+    """The state of the newest committed run; None when there is none."""
+    run = snapshots.latest_run(spark, base)
+    return None if run is None else tuple(run[n].drop("snapshot") for n in ("user_stats", "user_keys"))
 
 
 def update_state(spark, events: DataFrame, base: str, run: str) -> tuple[DataFrame, DataFrame]:

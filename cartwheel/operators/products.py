@@ -126,8 +126,8 @@ def product_features(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     g = cleaned.groupBy("product_id").agg(*_popularity_aggs(exact))
     first = earliest_values(cleaned, ["product_id"],
                             F.struct(F.col("category_code").alias("c"), F.col("brand").alias("b")),
-                            "_first")
-    g = g.join(first, "product_id", "left")
+                            "_first").withColumnRenamed("product_id", "_product")
+    g = g.join(first, F.col("product_id").eqNullSafe(F.col("_product")), "left")
     return g.select(
         "product_id", "total_events", "total_views", "total_carts", "total_purchases",
         "unique_users", "avg_price", F.col("_first.b").alias("brand"),

@@ -125,25 +125,23 @@ def category_affinity(activity: DataFrame, products: DataFrame, k_categories: in
             .drop("_r").withColumn("recommendation_type", F.lit(AFFINITY)))
 
 
-def popular_list(products: DataFrame, k: int = FALLBACK_PRODUCTS):
-    """Scalar-subquery column: array of the ``k`` most purchased products."""
+def popular_list(products: DataFrame, k: int = FALLBACK_PRODUCTS, score: float = FALLBACK_SCORE):
+    """Scalar-subquery column: array of the ``k`` most purchased products as
+    recommendations (structs of REC_COLUMNS without the user)."""
     top = products.select("product_id", "total_purchases", "avg_price", "main_category_code",
                           "main_brand").orderBy(F.desc("total_purchases"), F.asc("product_id"))
-    item = F.struct("total_purchases", "product_id", "avg_price", "main_category_code",
-                    "main_brand")
-    return top.limit(k).agg(F.collect_list(item).alias("items")).scalar()
+    item = F.struct("product_id", F.lit(score).cast("double").alias("rec_score"),
+                    F.col("main_category_code").alias("recommended_category_code"), "main_brand", "avg_price",
+                    F.lit(FALLBACK).alias("recommendation_type"))
+    rows = F.sort_array(F.collect_list(F.struct((-F.col("total_purchases")).alias("_n"), "product_id",
+                                                item.alias("item"))))
+    return top.limit(k).agg(F.transform(rows, lambda x: x["item"]).alias("items")).scalar()
 
 
 def popular_fallback(users: DataFrame, products: DataFrame, k: int = FALLBACK_PRODUCTS,
                      score: float = FALLBACK_SCORE) -> DataFrame:
     """R10 core: every given user gets the ``k`` most purchased products."""
-    items = popular_list(products, k)
-    return users.select("user_id", F.explode(items).alias("p")).select(
-        "user_id", F.col("p.product_id").alias("product_id"),
-        F.lit(score).cast("double").alias("rec_score"),
-        F.col("p.main_category_code").alias("recommended_category_code"),
-        F.col("p.main_brand").alias("main_brand"), F.col("p.avg_price").alias("avg_price"),
-        F.lit(FALLBACK).alias("recommendation_type"))
+    return users.select("user_id", F.inline(popular_list(products, k, score))).select(*REC_COLUMNS)
 
 
 def recommend(activity: DataFrame, products: DataFrame, fallback: str = "per_user",
@@ -160,11 +158,15 @@ def recommend(activity: DataFrame, products: DataFrame, fallback: str = "per_use
         return recs.select(*REC_COLUMNS)
     users = activity.filter(F.col("user_id").isNotNull()).select("user_id").distinct()
     if fallback == "per_user":
-        lonely = users.join(recs.select("user_id"), "user_id", "left_anti")
-    elif fallback == "all_or_nothing":
-        lonely = users.filter(recs.agg(F.count(F.lit(1))).scalar() == 0)
-    else:
+        # One join serves both kinds of user, so the matches are computed once;
+        # the NULL user, who gets no fallback, keeps own matches (full outer).
+        own = F.array(F.struct(*REC_COLUMNS[1:]))
+        met = users.join(recs, "user_id", "full_outer").withColumn("_popular", popular_list(products, k_fallback))
+        return met.select("user_id", F.inline(F.when(F.col("recommendation_type").isNull(), F.col("_popular"))
+                                              .otherwise(own))).select(*REC_COLUMNS)
+    if fallback != "all_or_nothing":
         raise ValueError(f"unknown fallback {fallback!r}")
+    lonely = users.filter(recs.agg(F.count(F.lit(1))).scalar() == 0)
     fb = popular_fallback(lonely, products, k_fallback)
     return recs.select(*REC_COLUMNS).unionByName(fb.select(*REC_COLUMNS))
 

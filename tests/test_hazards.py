@@ -297,3 +297,71 @@ def test_incremental_state_is_stored_and_merged(spark, tmp_path):
     want = merge_user_aggregates(cl.filter(first), cl.filter(~first))
     cols = ["user_id", "total_events", "purchases", "unique_products", "unique_sessions", "first_seen"]
     assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+
+
+def test_the_null_user_of_two_periods_is_one_user(spark):
+    from cartwheel.operators.incremental import merge_user_aggregates
+
+    rows = [ev(1, 0, "view", "a", "x", 1.0, user=None, session="s"),
+            ev(2, 60 * 24, "purchase", "b", "y", 2.0, user=None, session="t"), ev(3, 5, "view", "a", "x", 3.0)]
+    df = frame(spark, rows)
+    got = {r.user_id: r for r in merge_user_aggregates(df.filter("event_id <> 2"), df.filter("event_id = 2")).collect()}
+    assert len(got) == 2 and got[None].total_events == 2
+    assert (got[None].active_days, got[None].unique_sessions, got[None].unique_brands) == (2, 2, 2)
+    assert got["u1"].active_days == 1
+
+
+def test_runs_are_read_only_when_committed(spark, tmp_path):
+    base = f"file://{tmp_path}/runs"
+    one, two = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2,)], "a int")
+    assert snapshots.latest_run(spark, base) is None and snapshots.scan_snapshots(spark, base, "x") is None
+    snapshots.write_run({"x": one, "y": one}, base, "20240101_000000")
+    snapshots.write_snapshot(two, base, "x", "20240102_000000")  # killed before table y and the manifest
+    os.makedirs(f"{tmp_path}/runs/y/snapshot=20240103_000000")  # killed before the first file
+    run = snapshots.latest_run(spark, base)
+    assert [run[n].first().a for n in ("x", "y")] == [1, 1]
+    assert snapshots.latest_snapshot(spark, base, "y").first().a == 1
+    assert snapshots.latest_snapshot(spark, base, "x").first().a == 2
+    assert {r.a for r in snapshots.scan_snapshots(spark, base, "x").collect()} == {1, 2}
+    snapshots.write_run({"x": two, "y": two}, base, "20240102_000000")
+    assert snapshots.latest_run(spark, base)["y"].first().a == 2
+
+
+def test_a_torn_state_is_not_loaded(spark, tmp_path):
+    from cartwheel.operators import incremental
+
+    base = f"file://{tmp_path}/state"
+    df = frame(spark, [ev(1, 0, "view", "a", "x", 1.0), ev(2, 9, "purchase", "a", "x", 2.0, user="u2")])
+    incremental.update_state(spark, df.filter("event_id = 1"), base, "20240101_000000")
+    torn, _ = incremental.partial_state(df)
+    snapshots.write_snapshot(torn, base, "user_stats", "20240102_000000")
+    assert [r.user_id for r in incremental.load_state(spark, base)[0].collect()] == ["u1"]
+
+
+def test_the_null_product_keeps_its_first_category_and_brand(spark):
+    rows = [ev(1, 0, "view", "a.b", "x", 1.0, product=None), ev(2, 1, "view", "c", "y", 1.0, product=None),
+            ev(3, 0, "view", "d", "z", 1.0)]
+    got = {r.product_id: (r.category, r.brand) for r in products.product_features(frame(spark, rows)).collect()}
+    assert got == {None: ("a", "x"), 1: ("d", "z")}
+
+
+def test_stored_statistics_clean_later_events_alike(spark):
+    df = frame(spark, [ev(i, i, "view", "ab"[i % 2], ["x", None][i % 3 == 0], [5.0, None, 9000.0, 7.0][i % 4])
+                       for i in range(40)])
+    stats = cleaning.cleaning_statistics(df, rel_error=0.0)
+    whole = {r.event_id: (r.brand, r.price) for r in cleaning.clean_events(df, rel_error=0.0).collect()}
+    part = cleaning.clean_events(df.filter("event_id > 30"), stats=stats).collect()
+    assert {r.event_id: (r.brand, r.price) for r in part} == {i: v for i, v in whole.items() if i > 30}
+    new = cleaning.clean_events(frame(spark, [ev(1, 0, "view", "new", None, 4.0)]), stats=stats).first()
+    assert (new.brand, new.price) == ("generic", 4.0)
+
+
+def test_fallback_joins_once_and_keeps_the_null_user(spark):
+    acts = frame(spark, [ev(1, 0, "view", "a", "x", 1.0), ev(2, 0, "view", None, "x", 1.0, user="lonely"),
+                         ev(3, 0, "view", "a", "x", 1.0, user=None, session="s")])
+    prods = spark.createDataFrame([(1, 5, 1.0, "a", "x"), (2, 0, 1.0, "a", "x"), (3, 9, 2.0, "b", "y")],
+                                  "product_id long, total_purchases long, avg_price double, "
+                                  "main_category_code string, main_brand string")
+    got = {(r.user_id, r.product_id, r.recommendation_type) for r in recommend.recommend(acts, prods).collect()}
+    assert got == {("u1", 1, "category_affinity"), (None, 1, "category_affinity"),
+                   *[("lonely", p, "popular_fallback") for p in (1, 2, 3)]}
