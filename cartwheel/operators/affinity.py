@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import materialize
+from cartwheel.operators.sessions import frequent_patterns
+
 
 def affinity_pairs(df: DataFrame, basket: str, item: str, min_count: int = 2,
                    min_confidence: float = 0.0) -> DataFrame:
@@ -35,3 +38,42 @@ def affinity_pairs(df: DataFrame, basket: str, item: str, min_count: int = 2,
         (F.col("pair_count") / F.col("r.cx")).alias("confidence"),
         (F.col("pair_count") / F.col("r.cx") / (F.col("r.cy") / n)).alias("lift"))
     return rules.filter(F.col("confidence") >= min_confidence)
+
+
+def _itemsets(df: DataFrame, basket: str, item: str, min_count: int, max_size: int):
+    rows = (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+            .select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
+    frequent = rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_count).select("_i")
+    # A basket's row holds frequent items only, in one order: its ordered
+    # subsequences are its subsets.
+    baskets = materialize(rows.join(frequent, "_i").groupBy("_b").agg(F.sort_array(F.collect_list("_i")).alias("i"))
+                          .select(F.transform("i", lambda x: F.array(x)).alias("sequence")))
+    return rows, frequent_patterns(baskets, min_count, max_size)
+
+
+def frequent_itemsets(df: DataFrame, basket: str, item: str, min_count: int = 2, max_size: int = 3) -> DataFrame:
+    """Every set of up to ``max_size`` items in ``min_count`` baskets or
+    more: items (ascending), size, count. Prefix projection over the baskets'
+    frequent items; unlike FP-growth its depth is bounded by ``max_size``, so two
+    equal baskets of many items give no exponential result."""
+    return _itemsets(df, basket, item, min_count, max_size)[1].select("items", F.size("items").alias("size"), "count")
+
+
+def association_rules(df: DataFrame, basket: str, item: str, min_count: int = 2, max_size: int = 3,
+                      min_confidence: float = 0.0) -> DataFrame:
+    """Rules from one or more antecedents to one item, of the frequent
+    itemsets: antecedent (array), consequent, count, support, confidence, lift."""
+    rows, sets = _itemsets(df, basket, item, min_count, max_size)
+    n = rows.agg(F.count_distinct("_b").alias("n")).scalar()
+    sets = materialize(sets)  # three readers
+    rules = sets.filter(F.size("items") > 1).select(
+        "items", F.explode("items").alias("consequent"), F.col("count")).withColumn(
+        "antecedent", F.array_remove("items", F.col("consequent")))
+    base = sets.select(F.col("items").alias("antecedent"), F.col("count").alias("_from"))
+    single = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("consequent"),
+                                                      F.col("count").alias("_to"))
+    out = rules.join(base, "antecedent").join(single, "consequent").select(
+        "antecedent", "consequent", "count", (F.col("count") / n).alias("support"),
+        (F.col("count") / F.col("_from")).alias("confidence"),
+        (F.col("count") / F.col("_from") / (F.col("_to") / n)).alias("lift"))
+    return out.filter(F.col("confidence") >= min_confidence)

@@ -213,3 +213,84 @@ def classify_new_users(model: PipelineModel, users: DataFrame,
                        cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """M7: put users into the segments of a fitted (or loaded) pipeline."""
     return model.transform(features_null_to_zero(users, cols))
+
+
+def centers_of(model: PipelineModel) -> list[list[float]]:
+    """The k centres of a fitted pipeline, in standardised features."""
+    return [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+
+
+def match_centers(before: Sequence[Sequence[float]], after: Sequence[Sequence[float]]) -> list[int]:
+    """For each centre of ``after`` the one of ``before`` that it continues:
+    the one-to-one assignment with the least sum of squared distances (Hungarian
+    method on the k x k table). Both lists have k centres of the same space."""
+    k = len(before)
+    if len(after) != k:
+        raise ValueError("both runs need the same number of segments")
+    cost = [[sum((x - y) ** 2 for x, y in zip(a, b, strict=True)) for b in before] for a in after]
+    row_price, col_price = [0.0] * (k + 1), [0.0] * (k + 1)
+    owner = [0] * (k + 1)  # row that holds a column; column 0 is the row being placed
+    for row in range(1, k + 1):
+        owner[0], col = row, 0
+        least, came, done = [float("inf")] * (k + 1), [0] * (k + 1), [False] * (k + 1)
+        while owner[col]:
+            done[col] = True
+            for j in range(1, k + 1):
+                rest = cost[owner[col] - 1][j - 1] - row_price[owner[col]] - col_price[j]
+                if not done[j] and rest < least[j]:
+                    least[j], came[j] = rest, col
+            step, following = min((least[j], j) for j in range(1, k + 1) if not done[j])
+            for j in range(k + 1):
+                if done[j]:
+                    row_price[owner[j]] += step
+                    col_price[j] -= step
+                else:
+                    least[j] -= step
+            col = following
+        while col:
+            owner[col], col = owner[came[col]], came[col]
+    of = [0] * k
+    for j in range(1, k + 1):
+        of[owner[j] - 1] = j - 1
+    return of
+
+
+def relabel(segmented: DataFrame, of: Sequence[int], label: str = "segment_id") -> DataFrame:
+    """Labels of a run as those of the run that its centres were matched to."""
+    names = F.array(*[F.lit(int(x)) for x in of])
+    return segmented.withColumn(label, F.get(names, F.col(label)))
+
+
+def _squared(x: Column, center: Sequence[float]) -> Column:
+    return F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in center]), lambda a, b: (a - b) * (a - b)),
+                       F.lit(0.0), lambda s, v: s + v)
+
+
+def nearest_center(x: Column, centers: Sequence[Sequence[float]]) -> Column:
+    """Number of the nearest centre (ties: the smallest)."""
+    return F.array_min(F.array(*[F.struct(_squared(x, c).alias("d"), F.lit(i).alias("i"))
+                                 for i, c in enumerate(centers)]))["i"]
+
+
+def refit_segments(model: PipelineModel, users: DataFrame, max_iter: int = MAX_ITER, tol: float = 1e-4,
+                   cols: Sequence[str] = FEATURE_COLS) -> tuple[list[list[float]], DataFrame]:
+    """M4/M7 warm start: segments of a new period that continue those of
+    ``model``. Features are standardised by the stored scaler, so both periods
+    share one space; Lloyd's steps start at the stored centres and keep their
+    numbers. A step is one aggregation to k rows; a segment without users keeps
+    its centre. Returns the centres and the users with ``segment_id``."""
+    prepared = features_null_to_zero(users, cols)
+    scaled = model.stages[1].transform(model.stages[0].transform(prepared)).withColumn(
+        "_x", vector_to_array("features")).drop("features_raw", "features")
+    rows = materialize(scaled)
+    centers = centers_of(model)
+    for _ in range(max_iter):
+        means = rows.groupBy(nearest_center(F.col("_x"), centers).alias("i")).agg(
+            F.array(*[F.avg(F.col("_x")[j]) for j in range(len(cols))]).alias("c")).collect()  # k rows
+        moved = {r.i: list(r.c) for r in means}
+        following = [moved.get(i, c) for i, c in enumerate(centers)]
+        shift = max(sum((a - b) ** 2 for a, b in zip(x, y, strict=True)) for x, y in zip(centers, following, strict=True))
+        centers = following
+        if shift <= tol ** 2:
+            break
+    return centers, rows.withColumn("segment_id", nearest_center(F.col("_x"), centers)).drop("_x")

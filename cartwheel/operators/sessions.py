@@ -9,11 +9,13 @@ parts come from the few outer rows of the sessions that were split.
 
 from __future__ import annotations
 
+from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
-from cartwheel.functions.ranking import group_running_sum, range_parts, split_groups
+from cartwheel.functions.ranking import group_row_number, group_running_sum, range_parts, split_groups
+from cartwheel.functions.sizing import materialize
 from cartwheel.schema import CART, PURCHASE, VIEW
 
 # Fixed value: minutes of inactivity that end a visit for gap-based sessions.
@@ -52,6 +54,39 @@ def navigation_paths(df: DataFrame, n: int = 2, by: str = "event_type",
         "n", F.lit(n))
 
 
+def frequent_sequences(df: DataFrame, by: str = "event_type", session: str = "user_session",
+                       min_count: int = 2, max_length: int = 3, window: int = 64, sep: str = ">") -> DataFrame:
+    """X1, sequences of any steps in order, gaps allowed: ``path, n`` (steps)
+    and ``count``, the session parts that hold the path at least once, for paths
+    of up to ``max_length`` steps in ``min_count`` parts or more.
+
+    Prefix projection (MLlib's PrefixSpan). A session is cut into parts of
+    ``window`` successive events, so a long one is no row of its own length; a
+    path that spans two parts is not counted.
+    """
+    steps = df.filter(F.col(session).isNotNull()).select(
+        session, "event_time", "event_id", F.coalesce(F.col(by).cast("string"), F.lit("NULL")).alias("_step"))
+    order = [F.col("event_time"), F.col("event_id")]
+    placed = group_row_number(steps, [session], order, "_pos")
+    part = F.floor((F.col("_pos") - 1) / window).alias("_part")
+    parts = materialize(placed.groupBy(session, part).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", "_step"))).alias("e"))  # ``window`` at most
+        .select(F.transform("e", lambda x: F.array(x["_step"])).alias("sequence")))
+    return frequent_patterns(parts, min_count, max_length).select(
+        F.array_join("items", sep).alias("path"), F.size("items").alias("n"), "count")
+
+
+def frequent_patterns(sequences: DataFrame, min_count: int, max_length: int) -> DataFrame:
+    """Frequent subsequences of ``sequence`` (array of one-item arrays): items, count."""
+    total = sequences.count()
+    if not total:
+        return sequences.select(F.flatten("sequence").alias("items"), F.lit(0).cast("long").alias("count")).limit(0)
+    # Half a row below the count: the share times the rows rounds up to it.
+    miner = PrefixSpan(minSupport=(min_count - 0.5) / total, maxPatternLength=max_length, sequenceCol="sequence")
+    found = miner.findFrequentSequentialPatterns(sequences)
+    return found.select(F.flatten("sequence").alias("items"), F.col("freq").alias("count"))
+
+
 def session_metrics(df: DataFrame, session: str = "user_session") -> DataFrame:
     """Per session: user, events, distinct event types, first/last
     event, length in minutes, per-type counts and purchase value."""

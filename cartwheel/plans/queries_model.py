@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import ensure_checkpoint_dir, materialize
@@ -12,6 +13,7 @@ from cartwheel.plans.oracle import BASE_CTES, CLEANED_CTES, normalized
 from cartwheel.plans.queries_batch import cleaned
 from cartwheel.plans.queries_profile import _META_SQL, _POP_AGGS
 from cartwheel.schema import clickstream
+from cartwheel.streaming.files import day_filter
 
 ACTIVITY_COLS = ["user_id", "product_id", "event_type", "category_code", "brand", "price"]
 
@@ -480,6 +482,50 @@ def q_segment_transitions(spark, sf_dir):
     return segmentation.segment_transitions(before, users.select("user_id", "segment_id"))
 
 
+def _period_features(spark, sf_dir, lo, hi):
+    return behavior.user_features(cleaned(spark, sf_dir).filter(day_filter(lo, hi)))
+
+
+@register("segment_stability_matched", normalized(
+    "SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed, CAST(0 AS DOUBLE) AS changed_pct "
+    "FROM cleaned WHERE day(event_time) BETWEEN 1 AND 15 AND user_id IS NOT NULL",
+    ["users", "changed", "changed_pct"], dbl=("changed_pct",), ctes=CLEANED_CTES))
+def q_segment_stability_matched(spark, sf_dir):
+    """X10 on K-means segments: a run whose segments are numbered otherwise
+    is matched to the stored run by its centres; no user changes segment."""
+    model, seg = segmentation.fit_segments(_period_features(spark, sf_dir, 1, 15))
+    stored, centers = seg.select("user_id", "segment_id"), segmentation.centers_of(model)
+    k = len(centers)
+    other = stored.withColumn("segment_id", F.pmod(F.col("segment_id") * 2 + 3, F.lit(k)))
+    moved = [None] * k
+    for i, c in enumerate(centers):
+        moved[(2 * i + 3) % k] = c
+    again = segmentation.relabel(other, segmentation.match_centers(centers, moved))
+    return segmentation.segment_stability(stored, again)
+
+
+@register("segment_refit", normalized(
+    "SELECT DISTINCT user_id, true AS nearest, true AS settled FROM cleaned "
+    "WHERE day(event_time) BETWEEN 16 AND 31", ["user_id", "nearest", "settled"], ctes=CLEANED_CTES))
+def q_segment_refit(spark, sf_dir):
+    """M4/M7 (property): the segments of days 16-31, continued from those of
+    days 1-15: each user's is the nearest centre, and centres are the means of
+    their users (Lloyd's fixed point)."""
+    model, _ = segmentation.fit_segments(_period_features(spark, sf_dir, 1, 15))
+    users = _period_features(spark, sf_dir, 16, 31)
+    centers, seg = segmentation.refit_segments(model, users, max_iter=100, tol=1e-6)
+    scaled = model.stages[1].transform(model.stages[0].transform(seg)).withColumn("x", vector_to_array("features"))
+    width = len(centers[0])
+    means = scaled.groupBy("segment_id").agg(F.array(*[F.avg(F.col("x")[j]) for j in range(width)]).alias("m"))
+    table = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centers])
+    gap = F.aggregate(F.zip_with("m", F.get(table, F.col("segment_id")), lambda a, b: F.abs(a - b)), F.lit(0.0),
+                      lambda s, v: s + v)
+    settled = means.select("segment_id", (gap < 1e-3).alias("settled"))
+    return scaled.join(settled, "segment_id").select(
+        "user_id", (segmentation.nearest_center(F.col("x"), centers) == F.col("segment_id")).alias("nearest"),
+        "settled")
+
+
 @register("kmeans_segments", normalized(
     "SELECT DISTINCT user_id, true AS nearest FROM cleaned", ["user_id", "nearest"],
     ctes=CLEANED_CTES))
@@ -595,6 +641,22 @@ def q_als_top_n(spark, sf_dir):
         "user_id", "n_items", "no_repeats", "descending")
 
 
+@register("als_top_n_pruned", normalized(
+    f"SELECT DISTINCT user_id, least(10, {_TRAINED}) AS n_items, true AS agrees FROM split WHERE is_train",
+    ["user_id", "n_items", "agrees"], ctes=_SPLIT_CTES))
+def q_als_top_n_pruned(spark, sf_dir):
+    """The 10 best products per user by pruned inner products have the
+    scores, place by place, of MLlib's cross product."""
+    model, m, _, users, _ = _fit(spark, sf_dir)
+    full = als.top_n(model, m).select("user_idx", F.posexplode("recommendations").alias("_p", "_r")).select(
+        "user_idx", (F.col("_p") + 1).alias("rank"), F.col("_r.rating").cast("double").alias("want"))
+    got = als.top_n_pruned(model, m, block_items=64)
+    both = full.join(got, ["user_idx", "rank"], "full_outer")
+    near = F.coalesce(F.abs(F.col("score") - F.col("want")) <= 1e-4, F.lit(False))
+    return _user_of(both.groupBy("user_idx").agg(F.count("score").alias("n_items"), F.bool_and(near).alias("agrees")),
+                    users, "user_idx").select("user_id", "n_items", "agrees")
+
+
 @register("recs_to_ids", normalized(
     f"SELECT DISTINCT user_id, least(10, {_TRAINED}) AS n_recs, "
     f"CAST(least(10, {_TRAINED}) AS INTEGER) AS last_rank, true AS known FROM split WHERE is_train",

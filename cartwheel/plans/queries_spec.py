@@ -143,6 +143,74 @@ def q_affinity_pairs(spark, sf_dir):
     return affinity.affinity_pairs(li, "l_orderkey", "l_partkey", min_count=2)
 
 
+_SETS_SQL = """
+SELECT items, size, count FROM (
+  SELECT CAST(item AS VARCHAR) AS items, 1 AS size, count(*) AS count FROM bk GROUP BY item
+  UNION ALL
+  SELECT x.item || ',' || y.item, 2, count(*) FROM bk x JOIN bk y ON x.basket = y.basket AND x.item < y.item
+  GROUP BY x.item, y.item
+  UNION ALL
+  SELECT x.item || ',' || y.item || ',' || z.item, 3, count(*) FROM bk x
+  JOIN bk y ON x.basket = y.basket AND x.item < y.item JOIN bk z ON z.basket = y.basket AND y.item < z.item
+  GROUP BY x.item, y.item, z.item) AS s
+WHERE count >= 2
+"""
+_BASKETS = ["bk AS (SELECT DISTINCT l_orderkey AS basket, l_partkey AS item FROM lineitem "
+            "WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL)"]
+
+
+@register("frequent_itemsets", normalized(_SETS_SQL, ["items", "size", "count"], ctes=_BASKETS))
+def q_frequent_itemsets(spark, sf_dir):
+    """Sets of up to three parts in two orders or more."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    sets = affinity.frequent_itemsets(li, "l_orderkey", "l_partkey", min_count=2, max_size=3)
+    return sets.select(F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), "size", "count")
+
+
+@register("association_rules", normalized("""
+SELECT array_to_string(list_filter(s.parts, lambda p: p <> c.item), ',') AS antecedent, c.item AS consequent, s.count,
+       s.count / n.n AS support, s.count / CAST(f.count AS DOUBLE) AS confidence,
+       (s.count / CAST(f.count AS DOUBLE)) / (t.count / n.n) AS lift
+FROM (SELECT items, count, string_split(items, ',') AS parts FROM sets WHERE size > 1) AS s,
+     unnest(s.parts) AS c(item)
+JOIN sets f ON f.items = array_to_string(list_filter(s.parts, lambda p: p <> c.item), ',')
+JOIN sets t ON t.items = c.item
+CROSS JOIN (SELECT CAST(count(DISTINCT basket) AS DOUBLE) AS n FROM bk) AS n""",
+    ["antecedent", "consequent", "count", "support", "confidence", "lift"],
+    dbl=("support", "confidence", "lift"), ctes=_BASKETS + [f"sets AS ({_SETS_SQL})"]))
+def q_association_rules(spark, sf_dir):
+    """Rules from one or two parts to another."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rules = affinity.association_rules(li, "l_orderkey", "l_partkey", min_count=2, max_size=3)
+    return rules.withColumn("antecedent", F.array_join(F.col("antecedent").cast("array<string>"), ",")).withColumn(
+        "consequent", F.col("consequent").cast("string"))
+
+
+_SEQUENCE_SQL = """
+SELECT path, n, count(*) AS count FROM (
+  SELECT DISTINCT user_session, part, step AS path, 1 AS n FROM st
+  UNION ALL
+  SELECT DISTINCT a.user_session, a.part, a.step || '>' || b.step, 2 FROM st a
+  JOIN st b ON b.user_session = a.user_session AND b.part = a.part AND a.pos < b.pos
+  UNION ALL
+  SELECT DISTINCT a.user_session, a.part, a.step || '>' || b.step || '>' || c.step, 3 FROM st a
+  JOIN st b ON b.user_session = a.user_session AND b.part = a.part AND a.pos < b.pos
+  JOIN st c ON c.user_session = b.user_session AND c.part = b.part AND b.pos < c.pos) AS x
+GROUP BY path, n HAVING count(*) >= 2
+"""
+
+
+@register("frequent_sequences", normalized(_SEQUENCE_SQL, ["path", "n", "count"], ctes=BASE_CTES + ["""
+st AS (SELECT user_session, pos, (pos - 1) // 8 AS part, step FROM (
+  SELECT user_session, coalesce(event_type, 'NULL') AS step,
+         row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) AS pos
+  FROM clickstream WHERE user_session IS NOT NULL) AS s)"""]))
+def q_frequent_sequences(spark, sf_dir):
+    """Event-type sequences of up to three steps with gaps, in two parts
+    (eight events each) of sessions or more."""
+    return sessions.frequent_sequences(clickstream(spark, sf_dir), min_count=2, max_length=3, window=8)
+
+
 _CONTENT_SQL = """
 SELECT product_id, neighbor_id, similarity, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY product_id

@@ -296,16 +296,20 @@ def q_stream_restart(spark, sf_dir):
 
 @register("stream_update_mode", normalized(
     "SELECT window_start, user_id, product_id, event_type, category_code, brand, price, "
-    f"true AS last_is_max FROM ({_WINDOW_SQL}) AS w",
-    ["window_start", *sa.ACTIVITY_KEYS, "last_is_max"], dbl=("price",), tss=("window_start",),
+    f"event_count AS last_count, true AS grows FROM ({_WINDOW_SQL}) AS w",
+    ["window_start", *sa.ACTIVITY_KEYS, "last_count", "grows"], dbl=("price",), tss=("window_start",),
     ctes=BASE_CTES))
 def q_stream_update_mode(spark, sf_dir):
-    """R4 (property): per key, the last update emitted is the final count."""
+    """Per key, each update is larger than the one before, and the last
+    one emitted is the final count."""
     out, _ = _window_run(spark, _staged(spark, sf_dir))
-    df = spark.read.parquet(out)
     keys = ["window_start", *sa.ACTIVITY_KEYS]
-    return df.groupBy(*keys).agg(
-        (F.max_by("event_count", "batch_id") == F.max("event_count")).alias("last_is_max"))
+    updates = F.array_sort(F.collect_list(F.struct("batch_id", "event_count")))  # one a batch
+    per = spark.read.parquet(out).groupBy(*keys).agg(updates.alias("u"))
+    later = F.slice("u", 2, F.greatest(F.size("u") - 1, F.lit(0)))
+    grows = F.forall(F.zip_with("u", later, lambda a, b: F.coalesce(a["event_count"] < b["event_count"], F.lit(True))),
+                     lambda ok: ok)
+    return per.select(*keys, F.element_at("u", -1)["event_count"].alias("last_count"), grows.alias("grows"))
 
 
 @register("stream_watermark", normalized(
@@ -333,27 +337,83 @@ def q_stream_watermark(spark, sf_dir):
         "events_kept", "keys", F.lit(dropped > 0).alias("late_rows_dropped"))
 
 
+# What the watermark has closed after all files: ends at or before it.
+_CLOSED = "<= (SELECT max(event_time) FROM clickstream) - INTERVAL '10 minutes'"
+_HOUR_COLS = ["window_start", "total_events", "unique_users", "views", "carts", "purchases", "removes",
+              "sum_price", "n_priced"]
+
+
 @register("stream_hourly_activity", normalized(
     "SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, count(*) AS total_events, "
+    "count(DISTINCT user_id) AS unique_users, "
     "count(*) FILTER (WHERE event_type = 'view') AS views, "
     "count(*) FILTER (WHERE event_type = 'cart') AS carts, "
     "count(*) FILTER (WHERE event_type = 'purchase') AS purchases, "
     "count(*) FILTER (WHERE event_type = 'remove_from_cart') AS removes, "
-    "sum(price) AS sum_price, count(price) AS n_priced FROM clickstream GROUP BY 1",
-    ["window_start", "total_events", "views", "carts", "purchases", "removes", "sum_price",
-     "n_priced"], dbl=("sum_price",), tss=("window_start",), ctes=BASE_CTES))
+    "sum(price) AS sum_price, count(price) AS n_priced FROM clickstream GROUP BY 1 "
+    f"HAVING time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' {_CLOSED}",
+    _HOUR_COLS, dbl=("sum_price",), tss=("window_start",), ctes=BASE_CTES))
 def q_stream_hourly_activity(spark, sf_dir):
-    """Hourly activity on the stream (exact counts; users are approximate
-    and left out of the comparison)."""
+    """Hourly activity on the stream with exact unique users, every hour
+    that the watermark has closed, emitted once."""
+    out, _ = _append_run(spark, sf_dir, sa.hourly_activity_stream, sa.flatten_window)
+    return spark.read.parquet(out).select(*_HOUR_COLS)
+
+
+def _append_run(spark, sf_dir, plan, shape=lambda df: df):
+    """A stream in append mode over all staged files: (results, checkpoint)."""
     src = _staged(spark, sf_dir)
     out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ck")
     sa.use_rocksdb(spark)
-    stream = sa.hourly_activity_stream(_events(spark, src))
-    sinks.run_available_now(stream, sinks.ActivitySink(out), ck)
-    cols = ["total_events", "views", "carts", "purchases", "removes", "sum_price", "n_priced"]
-    got = spark.read.parquet(out)
-    return got.groupBy("window_start").agg(
-        *[F.max_by(c, "batch_id").alias(c) for c in cols]).select("window_start", *cols)
+
+    def sink(b, i):
+        sinks.write_batch_parquet(shape(b), out, i)
+
+    sinks.run_available_now(plan(_events(spark, src)), sink, ck, output_mode="append")
+    return out, ck
+
+
+_VISITS_SQL = """
+SELECT user_id, min(event_time) AS visit_start, max(event_time) + INTERVAL '30 minutes' AS visit_end,
+       count(*) AS events, count(*) FILTER (WHERE event_type = 'purchase') AS purchases
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR event_time - prev >= INTERVAL '30 minutes'
+                         THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_time, event_id)
+                  AS visit
+      FROM (SELECT user_id, event_time, event_id, event_type,
+                   lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS prev
+            FROM clickstream WHERE user_id IS NOT NULL) AS a) AS b
+GROUP BY user_id, visit"""
+_VISIT_COLS = ["user_id", "visit_start", "visit_end", "events", "purchases"]
+
+
+@register("stream_visits", normalized(
+    f"SELECT * FROM ({_VISITS_SQL}) AS v WHERE visit_end {_CLOSED}", _VISIT_COLS,
+    tss=("visit_start", "visit_end"), ctes=BASE_CTES))
+def q_stream_visits(spark, sf_dir):
+    """X2 on a stream: every visit that the watermark has closed, emitted once."""
+    out, _ = _append_run(spark, sf_dir, sa.visits_stream)
+    return spark.read.parquet(out).select(*_VISIT_COLS)
+
+
+@register("stream_visit_state", normalized(
+    f"SELECT user_id, count(*) AS open_visits FROM ({_VISITS_SQL}) AS v WHERE NOT visit_end {_CLOSED} "
+    "GROUP BY user_id", ["user_id", "open_visits"], ctes=BASE_CTES))
+def q_stream_visit_state(spark, sf_dir):
+    """The state left after the stream holds the open visits only."""
+    _, ck = _append_run(spark, sf_dir, sa.visits_stream)
+    return sa.state_rows(spark, ck).groupBy(F.col("key.user_id").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("open_visits"))
+
+
+@register("stream_window_state", normalized(
+    f"SELECT * FROM ({_WINDOW_SQL}) AS w WHERE NOT window_end {_CLOSED}", _WINDOW_COLS, dbl=("price",),
+    tss=("window_start", "window_end"), ctes=BASE_CTES))
+def q_stream_window_state(spark, sf_dir):
+    """R2 + R4: the state left after the stream: the windows that the
+    watermark has not closed, with their counts, and no others."""
+    _, ck = _window_run(spark, _staged(spark, sf_dir))
+    state = sa.state_rows(spark, ck).select("key.*", F.col("value.count").alias("event_count"))
+    return sa.flatten_window(state).select(*_WINDOW_COLS)
 
 
 def _rec_stream(spark, sf_dir, per_batch=FILES_PER_BATCH):

@@ -55,16 +55,42 @@ def windowed_activity(stream: DataFrame, watermark: str = WATERMARK, window: str
             .agg(F.count(F.lit(1)).alias("event_count")))
 
 
-def hourly_activity_stream(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """A16 on a stream; distinct users are approximate (HLL++): exact
-    distinct counts are not supported in streaming aggregations."""
-    return (stream.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", "1 hour"))
-            .agg(F.count(F.lit(1)).alias("total_events"),
-                 F.approx_count_distinct("user_id").alias("approx_unique_users"),
-                 count_type(VIEW).alias("views"), count_type(CART).alias("carts"),
-                 count_type(PURCHASE).alias("purchases"), count_type(REMOVE).alias("removes"),
-                 F.sum("price").alias("sum_price"), F.count("price").alias("n_priced")))
+def hourly_activity_stream(stream: DataFrame, watermark: str = WATERMARK, exact: bool = True) -> DataFrame:
+    """A16 on a stream. ``exact`` chains two aggregations (append mode): one
+    row per (hour, user), then the hour, so unique users are counted exactly and
+    an hour is emitted once, when the watermark has passed its end; the state is
+    the users of open hours. Otherwise one aggregation with HLL++ users (update
+    mode too)."""
+    events = stream.withWatermark("event_time", watermark)
+    counts = [F.count(F.lit(1)).alias("total_events"), count_type(VIEW).alias("views"),
+              count_type(CART).alias("carts"), count_type(PURCHASE).alias("purchases"),
+              count_type(REMOVE).alias("removes"), F.sum("price").alias("sum_price"),
+              F.count("price").alias("n_priced")]
+    hour = F.window("event_time", "1 hour")
+    if not exact:
+        return events.groupBy(hour).agg(*counts, F.approx_count_distinct("user_id").alias("approx_unique_users"))
+    names = ["total_events", "views", "carts", "purchases", "removes", "sum_price", "n_priced"]
+    per_user = events.groupBy(hour, "user_id").agg(*counts)
+    return per_user.groupBy(F.window("window", "1 hour")).agg(
+        *[F.sum(c).alias(c) for c in names], F.count("user_id").alias("unique_users"))
+
+
+def visits_stream(stream: DataFrame, gap_minutes: int = 30, watermark: str = WATERMARK) -> DataFrame:
+    """X2 on a stream (append mode): a user's visit is emitted once, when the
+    watermark has passed ``gap_minutes`` after its last event; until then it is
+    one row of state, merged with overlapping ones."""
+    return (stream.withWatermark("event_time", watermark).filter(F.col("user_id").isNotNull())
+            .groupBy("user_id", F.session_window("event_time", f"{gap_minutes} minutes").alias("visit"))
+            .agg(F.count(F.lit(1)).alias("events"), count_type(PURCHASE).alias("purchases"))
+            .select("user_id", F.col("visit.start").alias("visit_start"), F.col("visit.end").alias("visit_end"),
+                    "events", "purchases"))
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """Rows of a stateful operator's state after the last batch, read from the
+    query's checkpoint: ``key`` and ``value`` structs."""
+    return (spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+            .select("key", "value"))
 
 
 def flatten_window(df: DataFrame) -> DataFrame:
