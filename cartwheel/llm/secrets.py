@@ -7,10 +7,12 @@ user and host of a URL) is kept if its guess cost is high. The cost is the
 minimum over all segmentations of the value into dictionary words (also with
 capitals and the usual character substitutions), dates, repeats and
 sequences, keyboard walks, and brute-force spans; each segment costs the
-log10 of the number of guesses that reach it. Dynamic programming over the
-positions finds it in linear time: brute force costs a fixed amount a
-character, repeats and walks are found as runs, and words and dates have a
-bounded length.
+log10 of the number of guesses that reach it, and runs are taken to their end.
+Dynamic programming over the positions finds it in linear time: brute force
+costs a fixed amount a character, repeats and walks are found as runs, and words
+and dates have a bounded length. The dictionary is a short list of parts of
+passwords and the most common words of the corpus itself. After "is", a bare
+run of letters is prose and no value.
 
 Rows: null counts as empty; a text without spans has zero counts and empty
 span lists; texts may be of any length; repeated rows are scanned alike; an
@@ -34,12 +36,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "guess")
 
-# Contexts of the method: the value is the last group that matched.
-CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
-    r"""|client[_-]?secret|credentials?|auth(?:orization)?)["']?\x20*(?:[:=]|=>|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})"""
-    r"""|(?:bearer|basic)\x20+([A-Za-z0-9+/_.=~-]{8,})"""
-    r"""|://[^\s/:@"']{1,64}:([^\s/@"']{6,256})@""", re.IGNORECASE | re.ASCII)
+# Contexts of the method, after whole words: the value is the last group that
+# matched. A value in quotes is what the quotes hold.
+_KEYWORD = (r"(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|access[_-]?key"
+            r"|private[_-]?key|client[_-]?secret|credentials?|auth(?:orization)?)[\"']?")
+CONTEXT_PATTERN = (
+    _KEYWORD + r"\x20*(?:[:=]|=>|\x20(is)\x20)\x20*(?:[\"]([^\s\"<>]{6,})[\"]|[']([^\s'<>]{6,})[']"
+    r"|[\"']?([^\s\"'<>,;]{6,}))"
+    r"|(?<![A-Za-z0-9])(?:bearer|basic)\x20+([A-Za-z0-9+/_.=~-]{8,})"
+    r"|://[^\s/:@\"']+:([^\s/@\"']{6,})@")
+CONTEXT = re.compile(CONTEXT_PATTERN, re.IGNORECASE | re.ASCII)
+BARE = 4  # the group of a value without quotes
 # A text without any of these holds no match of ASSIGN, or of CONTEXT.
 ASSIGN_PARTS = ("password", "passwd", "secret", "token", "api")
 CONTEXT_PARTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "auth", "bearer", "basic", "://")
@@ -65,15 +72,21 @@ FULL_DATE = re.compile(r"(?:19|20)\d\d([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\
                        r"|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 YEAR = re.compile(r"(?:19|20)\d\d")
 MIN_COST = 10.0  # log10 of guesses from which a value is reported
+BOUNDARY = 0.3  # of two segments
+DICTIONARY_WORDS = 50_000  # learned from the corpus: a bounded table
 
 
 class GuessCost:
     """Minimum log10 number of guesses of a value."""
 
-    def __init__(self, words: Sequence[str] = WORDS) -> None:
-        self.rank = {w: math.log10(i + 2) for i, w in enumerate(words)}
-        self.longest = max(map(len, words), default=0)
-        self.beginnings = {w[:i] for w in words for i in range(1, len(w) + 1)}
+    def __init__(self, words: Sequence[str] = WORDS, learned: Sequence[str] = ()) -> None:
+        """``words`` and ``learned`` are ranked lists, most common first."""
+        self.rank: dict[str, float] = {}
+        for ranked in (words, learned):
+            for i, w in enumerate(ranked):
+                self.rank[w] = min(self.rank.get(w, math.inf), math.log10(i + 2))
+        self.longest = max(map(len, self.rank), default=0)
+        self.beginnings = {w[:i] for w in self.rank for i in range(1, len(w) + 1)}
         self.place = {key: (r, i) for r, row in enumerate(KEYBOARD) for i, key in enumerate(row)}
         self.near: dict[str, set[str]] = {}
         for r, row in enumerate(KEYBOARD):
@@ -90,52 +103,61 @@ class GuessCost:
     def segments(self, value: str) -> tuple[float, list[tuple[int, int, str]]]:
         """The cost, and the cheapest segmentation as (start, end, kind)."""
         n = len(value)
-        best = [0.0] + [math.inf] * n
-        how: list[tuple[int, str]] = [(0, "")] * (n + 1)
+        # Two ways to reach each position: the last segment is brute force (a
+        # further character just extends it) or another one.
+        cost = {"brute": [math.inf] * (n + 1), "other": [0.0] + [math.inf] * n}
+        how: dict[str, list] = {"brute": [None] * (n + 1), "other": [None] * (n + 1)}
         lower = value.lower()
-        plain = "".join(SUBSTITUTES.get(c, c) for c in lower)
+        plain = "".join(SUBSTITUTES.get(c, c) for c in lower) if len(lower) == n else lower
+        if len(lower) != n:  # some letter has several small ones: nothing is known of it
+            lower = plain = value
 
-        def offer(start: int, end: int, cost: float, kind: str) -> None:
+        def offer(start: int, end: int, guesses: float, kind: str) -> None:
+            last = min(("brute", "other"), key=lambda k: cost[k][start])
             # Where segments meet is a guess as well.
-            cost += best[start] + (0.3 if start else 0.0)
-            if cost < best[end]:
-                best[end], how[end] = cost, (start, kind)
+            total = cost[last][start] + guesses + (BOUNDARY if start else 0.0)
+            if total < cost["other"][end]:
+                cost["other"][end], how["other"][end] = total, (start, kind, last)
 
         per_char = [self._alphabet(c) for c in value]
         repeat_to = self._runs(lower, lambda a, b: a == b)
         step_to = self._runs(lower, lambda a, b: b.isalnum() and abs(ord(a) - ord(b)) == 1)
         walk_to = self._runs(lower, lambda a, b: b in self.near.get(a, ()))
+        turns = self._turns(lower)
         for i in range(n):
             # Brute force, one character at a time: a span's cost is their sum.
-            step = per_char[i] + best[i] + (0.3 if how[i][1] not in ("", "brute") else 0.0)
-            if step < best[i + 1]:
-                best[i + 1], how[i + 1] = step, (i, "brute")
+            for last, more in (("brute", 0.0), ("other", BOUNDARY if i else 0.0)):
+                total = cost[last][i] + more + per_char[i]
+                if total < cost["brute"][i + 1]:
+                    cost["brute"][i + 1], how["brute"][i + 1] = total, (i, "brute", last)
+            # A run is taken to its end.
             for runs, kind, start_cost in ((repeat_to, "repeat", 0.0), (step_to, "sequence", 0.5),
                                            (walk_to, "walk", 1.0)):
                 end = runs[i]
                 if end - i >= 3:
-                    turns = 0.0 if kind != "walk" else 0.3 * self._turns(lower, i, end)
-                    offer(i, end, per_char[i] + math.log10(end - i) + start_cost + turns, kind)
-            for end in range(i + 3, min(n, i + self.longest) + 1):
+                    bends = 0.3 * (turns[i] - turns[end - 2]) if kind == "walk" else 0.0
+                    offer(i, end, per_char[i] + math.log10(end - i) + start_cost + bends, kind)
+            for end in range(i + 1, min(n, i + self.longest) + 1):
                 if plain[i:end] not in self.beginnings:
                     break
                 rank = self.rank.get(plain[i:end])
-                if rank is not None:
+                if rank is not None and end - i >= 3:
                     offer(i, end, rank + self._disguise(value, lower, plain, i, end), "word")
             if value[i].isdigit():
                 if found := FULL_DATE.match(value, i, min(n, i + 10)):
                     offer(i, found.end(), math.log10(365 * 100 * 4), "date")
                 if found := YEAR.match(value, i, min(n, i + 4)):
                     offer(i, found.end(), 2.0, "date")
-        out, at = [], n
+        last = min(("brute", "other"), key=lambda k: cost[k][n])
+        total, out, at = cost[last][n], [], n
         while at > 0:
-            start, kind = how[at]
+            start, kind, before = how[last][at]
             if out and kind == "brute" == out[-1][2]:
                 out[-1] = (start, out[-1][1], kind)
             else:
                 out.append((start, at, kind))
-            at = start
-        return best[n], out[::-1]
+            at, last = start, before
+        return total, out[::-1]
 
     @staticmethod
     def _alphabet(c: str) -> float:
@@ -152,12 +174,15 @@ class GuessCost:
             out[i] = out[i + 1] if joined(text[i], text[i + 1]) else i + 1
         return out
 
-    def _turns(self, text: str, start: int, end: int) -> int:
-        """Changes of direction of a keyboard walk."""
-        end = min(end, start + 64)  # more turns than these cost no less
-        places = [self.place[c] for c in text[start:end]]
-        steps = [(c - a, d - b) for (a, b), (c, d) in zip(places, places[1:])]
-        return sum(a != b for a, b in zip(steps, steps[1:]))
+    def _turns(self, text: str) -> list[int]:
+        """For each position, how often steps on the keyboard change direction
+        from there to the end of the text."""
+        places = [self.place.get(c) for c in text]
+        steps = [(c[0] - a[0], c[1] - a[1]) if a and c else None for a, c in zip(places, places[1:])]
+        out = [0] * (len(text) + 1)
+        for i in range(len(steps) - 2, -1, -1):
+            out[i] = out[i + 1] + (steps[i] != steps[i + 1])
+        return out
 
     @staticmethod
     def _disguise(value: str, lower: str, plain: str, start: int, end: int) -> float:
@@ -191,27 +216,47 @@ def guess_spans(text: str, cost: GuessCost, min_cost: float = MIN_COST) -> list[
         return out
     for m in CONTEXT.finditer(text):
         group = m.lastindex
-        # Punctuation that ends a sentence is not the value's.
-        value = m[group].rstrip(".:!?)]}")
+        value = m[group]
+        if group == BARE:
+            # One mark that ends a sentence or closes a bracket is not the value's.
+            value = value[:-1] if value[-1] in ".:)]}" else value
+            if m[1] and value.isalpha():
+                continue  # prose: "the token is understood"
         if len(value) >= 6 and cost(value) >= min_cost:
             out.append((m.start(group), m.start(group) + len(value), "guess"))
     return out
 
 
+def common_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
+    """The ``size`` most common words of the corpus (written in small letters,
+    perhaps with a capital, and met more than once), most common first. What
+    stands in credential context is left out, so that secrets in copied documents
+    are no words. Counted over all documents, merged in each task first; only the
+    bounded list comes to the driver."""
+    prose = F.regexp_replace(F.col(text_col).cast("string"), "(?i)" + CONTEXT_PATTERN, " ")
+    words = F.regexp_extract_all(prose, F.lit(r"(?<![\p{L}\p{N}_])\p{Lu}?\p{Ll}{2,23}(?![\p{L}\p{N}_])"), F.lit(0))
+    counted = (docs.select(F.explode(words).alias("w")).groupBy(F.lower("w").alias("w"))
+               .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return [r.w for r in counted.orderBy(F.desc("n"), "w").limit(size).collect()]
+
+
 def written(spans: list[tuple[int, int, str]]) -> str:
     ordered = sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in ordered)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: Sequence[str] = WORDS, min_cost: float = MIN_COST) -> DataFrame:
+                 words: Sequence[str] = WORDS, min_cost: float = MIN_COST,
+                 dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, n_guess,
     base_sha256 and spans (kind:start:end of all spans in code points, end
-    exclusive, by start and kind, joined by commas)."""
+    exclusive, by start and kind, joined by commas). The dictionary is ``words``
+    and the ``dictionary_words`` most common words of the documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(common_words(docs, text_col, dictionary_words))
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cost = GuessCost(words)
+        cost = GuessCost(words, shared.value)
         for batch in batches:
             texts, out = batch.column(0), []
             for i in range(batch.num_rows):

@@ -1,7 +1,9 @@
 """Classifiers, language model, tokenizer, secrets, mixing and neighbours."""
 
+import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,6 +11,8 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import LONG, ROWS, awkward, nothing
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cartwheel.llm import queries as llm
@@ -16,7 +20,8 @@ from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.log_bilinear import Counts, LogBilinear, score_texts
 from cartwheel.llm.mixing import leaf_budgets, mix
 from cartwheel.llm.quality import fit_quality, score_quality
-from cartwheel.llm.secrets import GuessCost, base_spans, guess_spans, scan_secrets
+from cartwheel.llm.secrets import (
+    FULL_DATE, SUBSTITUTES, YEAR, GuessCost, base_spans, common_words, guess_spans, scan_secrets)
 from cartwheel.llm.sentencepiece_fst import BYTE, NORMAL, UNIGRAM, UNKNOWN, Encoder, Model, decode, encode, load_model
 from cartwheel.llm.vp_tree import NormBands, VantageTree, nearest_neighbours
 
@@ -179,6 +184,105 @@ def test_guess_spans_need_context_and_cost():
     assert not guess_spans("nothing here", cost)
 
 
+def slow_guess_cost(value, words, cost):
+    """Least cost over all ways to cut the value (a few characters)."""
+    lower, n = value.lower(), len(value)
+    plain = "".join(SUBSTITUTES.get(c, c) for c in lower)
+
+    def run_end(i, joined):
+        j = i
+        while j + 1 < n and joined(lower[j], lower[j + 1]):
+            j += 1
+        return j + 1
+
+    def segment(i, j):
+        """{kind: cost} of value[i:j]."""
+        first, size, out = cost._alphabet(value[i]), j - i, {"brute": sum(cost._alphabet(c) for c in value[i:j])}
+        if size >= 3:
+            if j == run_end(i, lambda a, b: a == b):
+                out["repeat"] = first + math.log10(size)
+            if j == run_end(i, lambda a, b: b.isalnum() and abs(ord(a) - ord(b)) == 1):
+                out["sequence"] = first + math.log10(size) + 0.5
+            if j == run_end(i, lambda a, b: b in cost.near.get(a, ())):
+                at = [cost.place[c] for c in lower[i:j]]
+                steps = [(c - a, d - b) for (a, b), (c, d) in zip(at, at[1:])]
+                out["walk"] = first + math.log10(size) + 1.0 + 0.3 * sum(a != b for a, b in zip(steps, steps[1:]))
+            if plain[i:j] in words:
+                out["word"] = math.log10(words.index(plain[i:j]) + 2) + cost._disguise(value, lower, plain, i, j)
+        if re.fullmatch(FULL_DATE, value[i:j]):
+            out["date"] = math.log10(365 * 100 * 4)
+        elif re.fullmatch(YEAR, value[i:j]):
+            out["date"] = 2.0
+        return out
+
+    best = math.inf
+    for cuts in range(1 << (n - 1)):
+        ends = [i + 1 for i in range(n - 1) if cuts >> i & 1] + [n]
+        starts = [0, *ends[:-1]]
+        for kinds in itertools.product(*[segment(a, b).items() for a, b in zip(starts, ends)]):
+            if not any(x[0] == y[0] == "brute" for x, y in zip(kinds, kinds[1:])):
+                best = min(best, sum(c for _, c in kinds) + 0.3 * (len(kinds) - 1))
+    return best
+
+
+@settings(deadline=None, max_examples=250)
+@given(st.one_of(st.text("aA@bq1w2e3pas$o0r9d.", min_size=1, max_size=8),
+                 st.lists(st.sampled_from(["abc", "qwe", "aaa", "Pa", "1987", "may", "dd", "x", "0", "zxc"]),
+                          min_size=1, max_size=4).map("".join).map(lambda x: x[:8])))
+def test_guess_cost_is_the_least_of_all_segmentations(value):
+    words = ["pass", "abc", "password", "wed", "may", "sad", "apa"]
+    cost = GuessCost(words)
+    total, parts = cost.segments(value)
+    assert abs(total - slow_guess_cost(value, words, cost)) < 1e-9
+    assert "".join(value[a:b] for a, b, _ in parts) == value
+
+
+def test_prose_is_no_secret_and_long_values_are(spark):
+    prose = ["The compass is approximately aligned", "the pin is underneath the table",
+             "The token is understood by everyone", "Their bypass = architecture", "the secret is understanding"]
+    long = "".join(random.Random(5).choices("abcdefghijkABCDEFGHIJ0123456789", k=320))
+    found = {f"ftp://user:{long}@host": long, f"ftp://{'u' * 70}:{long[:40]}@host": long[:40],
+             "password = Xy7!qPz9#Lm2!!": "Xy7!qPz9#Lm2!!", 'my pwd: "k9.Zq-Wx3:."': "k9.Zq-Wx3:.",
+             "the passphrase is zQ7xV9kLp2Ws.": "zQ7xV9kLp2Ws"}
+    rows = [(i, t) for i, t in enumerate([*prose, *found])]
+    got = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        guessed = [x.split(":")[1:] for x in got[i].split(",") if x.startswith("guess")]
+        assert [text[int(a):int(b)] for a, b in guessed] == ([found[text]] if text in found else [])
+
+
+def test_common_words_come_from_prose_only(spark):
+    rows = [(i, "Elaborate wording here. password = frobnicatoria elaborate MixedCase snake_case") for i in range(3)]
+    words = common_words(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert words == ["elaborate", "here", "wording"]
+    assert GuessCost(learned=words)("elaborate") < 1 < 10 < GuessCost()("elaborate")
+
+
+def slow_base(text):
+    """Counts and digest of the base spans, straight from their definition."""
+    spans = [(m.start(), "assign", m.end()) for m in re.finditer(
+        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text)
+        if len(m[2]) >= 6]
+    spans += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    kinds = [k for _, k, _ in spans]
+    spans.sort(key=lambda x: (x[0], ("assign", "access", "hex").index(x[1])))
+    joined = ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
+    return (*map(kinds.count, ("assign", "access", "hex")), hashlib.sha256(joined.encode()).hexdigest())
+
+
+def test_secrets_query_against_brute_force(spark):
+    texts = ["token=" + "ab12" * 9 + " tail", "😀 API_KEY: 'AKIA" + "Z9" * 10 + "'", "secret: short password = longer1",
+             "PassWord\" : \"zz.yy-xx=\" deadbeef" * 3, "passwd=" + "f" * 30 + " AKIA12", "none at all", ""]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = scan_secrets(rows).collect()
+    assert any(r.n_assign for r in got) and any(r.n_access for r in got) and any(r.n_hex for r in got)
+    for r in got:
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == slow_base(texts[r.doc_id] or "")
+        assert r.spans.count(":") == 2 * (r.n_assign + r.n_access + r.n_hex + r.n_guess)
+
+
 def test_secrets_of_awkward_rows(spark):
     got = scan_secrets(awkward(spark)).collect()
     assert len(got) == len(ROWS) and all(r.spans == "" and r.n_hex == 0 for r in got)
