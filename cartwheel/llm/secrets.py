@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -74,6 +75,7 @@ YEAR = re.compile(r"(?:19|20)\d\d")
 MIN_COST = 10.0  # log10 of guesses from which a value is reported
 BOUNDARY = 0.3  # of two segments
 DICTIONARY_WORDS = 50_000  # learned from the corpus: a bounded table
+PUNCTUATION = ".,;:!?()[]{}\"'"  # around words
 
 
 class GuessCost:
@@ -233,10 +235,30 @@ def common_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY
     stands in credential context is left out, so that secrets in copied documents
     are no words. Counted over all documents, merged in each task first; only the
     bounded list comes to the driver."""
-    prose = F.regexp_replace(F.col(text_col).cast("string"), "(?i)" + CONTEXT_PATTERN, " ")
-    words = F.regexp_extract_all(prose, F.lit(r"(?<![\p{L}\p{N}_])\p{Lu}?\p{Ll}{2,23}(?![\p{L}\p{N}_])"), F.lit(0))
-    counted = (docs.select(F.explode(words).alias("w")).groupBy(F.lower("w").alias("w"))
-               .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: Counter[str] = Counter()
+
+        def words() -> pa.RecordBatch:
+            counted: Counter[str] = Counter()
+            for piece, n in met.items():
+                word = piece.strip(PUNCTUATION)
+                if 3 <= len(word) <= 24 and word.isalpha() and word[1:].islower():
+                    counted[word.lower()] += n
+            return pa.RecordBatch.from_arrays(
+                [pa.array(counted.keys(), pa.string()), pa.array(counted.values(), pa.int64())], ["w", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py() or ""
+                lower = text.lower()
+                met.update((CONTEXT.sub(" ", text) if any(p in lower for p in CONTEXT_PARTS) else text).split())
+                if len(met) > 200_000:  # bounded: the rest follows
+                    yield words()
+                    met.clear()
+        yield words()
+
+    counted = (docs.select(F.col(text_col).cast("string")).mapInArrow(run, "w string, n long")
+               .groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1"))
     return [r.w for r in counted.orderBy(F.desc("n"), "w").limit(size).collect()]
 
 

@@ -15,8 +15,9 @@ block a plane:
 library, appends ``end_id`` to each document, orders documents by id and
 writes one Parquet file a shard, holding one row: part, seq (the shard's place),
 n_tokens, doc_ids, lengths, matrix. Ranges of ids are dealt to tasks by Spark;
-a shard ends at the document with which it has ``shard_tokens`` tokens, so
-memory holds one shard, or one document if that is longer. ``read_documents``,
+a shard ends with the documents encoded together (about 4 MB of text) with
+which it has ``shard_tokens`` tokens, so memory holds one shard, or one document
+if that is longer. ``read_documents``,
 ``count_token`` and ``find_token`` work on the files alone.
 
 Encoding takes the text in pieces between ASCII white space and keeps the
@@ -244,12 +245,12 @@ class PieceEncoder:
         for piece in new:
             word, rest = (piece.rstrip(TAIL) if self.apart else b""), piece
             if word:
-                if word in young:
+                if not (text := word.decode()).isalpha():
+                    word = b""
+                elif word in young:
                     known[word] = young[word]
-                elif (text := word.decode()).isalpha():
-                    words[word] = text
                 else:
-                    word = b""
+                    words[word] = text
                 rest = piece[len(word):]
             if rest and rest not in others:
                 others[rest] = rest.decode()
@@ -258,27 +259,65 @@ class PieceEncoder:
         known.update(zip(others, self._one_by_one(list(others.values())), strict=True))
         young.update((piece, known[word] + known[rest]) for piece, word, rest in joined)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The numbers of each text, four bytes a number, lowest first."""
-        split = []
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts, one after another, and how many each has."""
+        folded = []
         for text in texts:
             low = text.lower() if self.fold else text  # of ASCII letters
-            split.append((text if any(t in low for t in self.added) else low).split())  # at ASCII white space
+            folded.append(text if any(t in low for t in self.added) else low)
+        pieces, which, of_text = _distinct_pieces(folded)
         if len(self.young) > self.keep:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        met = list(dict.fromkeys(chain.from_iterable(split)))
-        missing = [p for p, numbers in zip(met, map(young.get, met), strict=True) if numbers is None]
+        missing = [p for p, numbers in zip(pieces, map(young.get, pieces), strict=True) if numbers is None]
         young.update((p, old[p]) for p in missing if p in old)
         new = [p for p in missing if p not in young]
         for at in range(0, len(new), 2048):
             self._learn(new[at:at + 2048])
-        here = dict(zip(met, map(young.__getitem__, met), strict=True))  # small: stays in the processor's cache
-        out = [b"".join(map(here.__getitem__, pieces)) for pieces in split]
+        coded = list(map(young.__getitem__, pieces))
         for piece in new:
             if len(piece) > self.longest:
                 del young[piece]
-        return out
+        numbers = np.frombuffer(b"".join(coded), "<u4")
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        size = sizes[which]
+        ends = np.cumsum(size)
+        at = np.arange(len(numbers) and ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - size), size)
+        return numbers[at], np.bincount(of_text, size, len(texts)).astype(np.int64)
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\x0b\x0c\r")] = True
+_POWERS = np.multiply.accumulate(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _distinct_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct runs between ASCII white space; for every run in order its
+    number among them, and its text. Runs are grouped by a hash of their bytes
+    and compared byte by byte with the first of the group."""
+    joined = b"\n".join([*texts, b""])
+    data = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[data]
+    edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    of_text = np.searchsorted(text_ends, starts, side="right")
+    if not len(starts):
+        return [], starts, of_text
+    sizes = ends - starts
+    place = np.flatnonzero(~blank)
+    letters = data[place].astype(np.uint64) + np.uint64(1)
+    inside = place - np.repeat(starts, sizes)
+    firsts = np.cumsum(sizes) - sizes
+    hashes = np.add.reduceat(letters * _POWERS[np.minimum(inside, len(_POWERS) - 1)], firsts)
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    same = first[which]
+    if (sizes == sizes[same]).all() and (data[place + np.repeat(starts[same] - starts, sizes)] == data[place]).all():
+        return [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], which, of_text
+    numbers: dict[bytes, int] = {}  # two different runs have one hash
+    which = np.fromiter((numbers.setdefault(joined[a:b], len(numbers))
+                         for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
+    return list(numbers), which, of_text
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}  # of this Python worker, for its next tasks
@@ -325,26 +364,25 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, id_c
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         part, seq = TaskContext.get().partitionId(), 0
         coder = _encoder(shared.value)
-        end = np.asarray([end_id], "<u4").tobytes()
         ids, lengths, data, size = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            matrix = WaveletMatrix.build(np.frombuffer(b"".join(data), "<u4"))
+            matrix = WaveletMatrix.build(np.concatenate(data))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()),
-                 pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
+                 pa.array([ids], pa.list_(pa.int64())), pa.array([np.concatenate(lengths)], pa.list_(pa.int64())),
                  pa.array([matrix], pa.binary())],
                 ["part", "seq", "n_tokens", "doc_ids", "lengths", "matrix"])
 
-        for some, texts in _batches(batches, 2 << 20):
-            for doc_id, numbers in zip(some, coder.encode(texts), strict=True):
-                ids.append(doc_id)
-                lengths.append(len(numbers) // 4 + 1)
-                data += [numbers, end]
-                size += lengths[-1]
-                if size >= shard_tokens or len(ids) >= shard_docs:
-                    yield shard()
-                    ids, lengths, data, size, seq = [], [], [], 0, seq + 1
+        for some, texts in _batches(batches, 4 << 20):
+            tokens, counts = coder.encode(texts)
+            ids += some
+            lengths.append(counts + 1)
+            data.append(np.insert(tokens, np.cumsum(counts), end_id))
+            size += len(data[-1])
+            if size >= shard_tokens or len(ids) >= shard_docs:
+                yield shard()
+                ids, lengths, data, size, seq = [], [], [], 0, seq + 1
         if ids:
             yield shard()
 

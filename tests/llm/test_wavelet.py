@@ -59,8 +59,20 @@ def test_pieces_give_the_numbers_of_whole_texts(spark):
     texts = ODD + [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     with open(WORD_TOKENIZER, encoding="utf-8") as f:
         coder = PieceEncoder(f.read(), keep=50, longest=5)
-    got = coder.encode([t.encode() for t in texts[:40]]) + coder.encode([t.encode() for t in texts[40:]])
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == plain(texts)
+    got = []
+    for part in (texts[:40], texts[40:], []):
+        tokens, counts = coder.encode([t.encode() for t in part])
+        got += [x.tolist() for x in np.split(tokens, np.cumsum(counts)[:-1])] if part else []
+    assert got == plain(texts)
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    texts = [b"ab ba  ab", b"", b" \n", b"ba\tc abc"]
+    want = wavelet._distinct_pieces(texts)
+    monkeypatch.setattr(wavelet, "_POWERS", np.ones(4096, np.uint64))  # anagrams collide
+    for pieces, which, of_text in (want, wavelet._distinct_pieces(texts)):
+        assert [pieces[i] for i in which] == [b"ab", b"ba", b"ab", b"ba", b"c", b"abc"]
+        assert len(pieces) == 4 and of_text.tolist() == [0, 0, 0, 3, 3, 3]
 
 
 @settings(deadline=None, max_examples=100)
@@ -70,7 +82,8 @@ def test_pieces_of_any_text(text):
     if "CODER" not in globals():
         with open(WORD_TOKENIZER, encoding="utf-8") as f:
             CODER = PieceEncoder(f.read())
-    assert np.frombuffer(CODER.encode([text.encode()])[0], "<u4").tolist() == plain([text])[0]
+    tokens, counts = CODER.encode([text.encode()])
+    assert tokens.tolist() == plain([text])[0] and counts.tolist() == [len(tokens)]
 
 
 def brute_force(rows):
@@ -93,7 +106,7 @@ def test_awkward_rows_and_questions_to_the_files(spark, tmp_path):
     with open(WORD_TOKENIZER, encoding="utf-8") as f:
         tokenizer = f.read()
     path = str(tmp_path / "ids")
-    write_ids(awkward(spark), path, tokenizer, END_ID, shard_tokens=50)  # many shards
+    write_ids(awkward(spark).repartition(4), path, tokenizer, END_ID, shard_tokens=50)  # several shards
     got = [tuple(r) for r in read_documents(spark, path).orderBy("start").collect()]
     ids = [g[0] for g in got]
     assert ids == sorted((i for i in ids if i is not None)) + [None, None]
