@@ -28,9 +28,12 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.sizing import drop_table
+from cartwheel.llm.common import stage
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -234,7 +237,8 @@ def common_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY
     perhaps with a capital, and met more than once), most common first. What
     stands in credential context is left out, so that secrets in copied documents
     are no words. Counted over all documents, merged in each task first; only the
-    bounded list comes to the driver."""
+    bounded list comes to the driver. Where words tie at the end, all of them are
+    left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: Counter[str] = Counter()
 
@@ -257,9 +261,15 @@ def common_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY
                     met.clear()
         yield words()
 
-    counted = (docs.select(F.col(text_col).cast("string")).mapInArrow(run, "w string, n long")
-               .groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1"))
-    return [r.w for r in counted.orderBy(F.desc("n"), "w").limit(size).collect()]
+    counted, path = stage(docs.select(F.col(text_col).cast("string")).mapInArrow(run, "w string, n long")
+                          .groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1"))
+    # The least count that leaves at most ``size`` words, from a table of counts.
+    upto = F.sum("words").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
+    least = (counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("upto", upto)
+             .filter(F.col("upto") <= size).agg(F.min("n")).first()[0])
+    found = [] if least is None else counted.filter(F.col("n") >= least).collect()
+    drop_table(docs.sparkSession, path)
+    return [r.w for r in sorted(found, key=lambda r: (-r.n, r.w))]
 
 
 def written(spans: list[tuple[int, int, str]]) -> str:

@@ -177,7 +177,7 @@ def spanning_links(cell: np.ndarray, prints: np.ndarray, visitor: np.ndarray, ma
     return prints[np.array(left, np.int64)], prints[np.array(right, np.int64)]
 
 
-def _verify(max_bits: int):
+def _verify(max_bits: int, cell_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
@@ -194,6 +194,13 @@ def _verify(max_bits: int):
             cut = int(np.searchsorted(part[0] == last, True))  # where the last cell starts
             if cut == 0 and held and held[0][0][0] == last:
                 held.append(part)  # the same cell goes on
+                if part[2][-1] and sum(len(x[0]) for x in held) > 4 * cell_rows:
+                    # All owners are here: visitors met so far need not be kept.
+                    yield links(held)
+                    held = [tuple(np.concatenate(x) for x in zip(*held, strict=True))]
+                    held = [tuple(x[held[0][2] == 0] for x in held[0])]
+                    if not len(held[0][0]):  # nobody owns the cell
+                        held = [tuple(x[:1] for x in part)]
                 continue
             ready = held + ([tuple(x[:cut] for x in part)] if cut else [])
             if ready:
@@ -205,15 +212,66 @@ def _verify(max_bits: int):
     return run
 
 
-def link_fingerprints(prints: DataFrame, max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
+def _owned(batches: Iterator[pa.RecordBatch], max_bits: int, segment_bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = batch.column(0).to_numpy(zero_copy_only=False)
+        for cell, _, visitor in cells(prints, max_bits, segment_bits):
+            if not visitor:
+                yield pa.RecordBatch.from_arrays([pa.array(cell)], ["cell"])
+
+
+def _equal_parts(max_bits: int) -> Column:
+    """Numbers that two fingerprints within ``max_bits`` bits share at least one
+    of: each half is cut into max_bits + 1 pieces, of which one is equal in both;
+    the numbers are the pairs of a piece of each half."""
+    n = max_bits + 1
+    width = 32 // n
+
+    def piece(half: int, i: int) -> Column:
+        size = width if i < n - 1 else 32 - width * (n - 1)
+        return F.shiftrightunsigned("fingerprint", 32 * half + width * i).bitwiseAND(F.lit((1 << size) - 1))
+
+    return F.array(*[F.xxhash64(F.lit(i), F.lit(j), piece(0, i), piece(1, j)) for i in range(n) for j in range(n)])
+
+
+def link_fingerprints(prints: DataFrame, max_bits: int = 3, segment_bits: int = 2,
+                      cell_rows: int = 16384) -> DataFrame:
     """Edges (a, b) whose components are those of the graph that links
     distinct fingerprints (column ``fingerprint``) at ``max_bits`` or fewer
-    differing bits."""
-    grid = prints.select("fingerprint").distinct().mapInArrow(
-        _enter_grid(max_bits, segment_bits), "cell long, fingerprint long, visitor byte")
+    differing bits.
+
+    A cell with more than ``cell_rows`` owners is split by equal pieces of the
+    fingerprints (every link shares one, so none is lost), and what is still
+    larger by owners: each block of about ``cell_rows`` owners meets all rows.
+    A task holds the owners of one cell and ``4 * cell_rows`` others at a time.
+    """
+    distinct = prints.select("fingerprint").distinct()
+    grid = distinct.mapInArrow(_enter_grid(max_bits, segment_bits), "cell long, fingerprint long, visitor byte")
+    owned = distinct.mapInArrow(lambda batches: _owned(batches, max_bits, segment_bits), "cell long")
+
+    def crowded(owners: DataFrame) -> DataFrame:
+        return (owners.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cell_rows))
+
+    hot, _ = stage(crowded(owned))
+    if not hot.isEmpty():
+        marked = grid.join(hot, "cell", "left")
+        split, _ = stage(marked.filter("_n IS NOT NULL").select(
+            "cell", "fingerprint", "visitor", F.explode(_equal_parts(max_bits)).alias("_part"))
+            .select(F.xxhash64("cell", "_part").alias("cell"), "fingerprint", "visitor"))
+        dense = crowded(split.filter("visitor = 0"))
+        again = split.join(dense, "cell", "left")
+        blocks = F.ceil(F.col("_n") / cell_rows).cast("int")
+        own = F.pmod(F.xxhash64("fingerprint"), blocks)
+        dealt = (again.filter("_n IS NOT NULL")
+                 .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                 .select(F.xxhash64("cell", "_block").alias("cell"), "fingerprint",
+                         F.when((F.col("visitor") == 0) & (own == F.col("_block")), 0).otherwise(1)
+                         .cast("byte").alias("visitor")))
+        grid = (marked.filter("_n IS NULL").drop("_n")
+                .unionByName(again.filter("_n IS NULL").drop("_n")).unionByName(dealt))
     # Cells are counts packed as digits: hashed, so that partitions are even.
     sorted_grid = grid.repartition("cell").sortWithinPartitions("cell", "visitor", "fingerprint")
-    return sorted_grid.mapInArrow(_verify(max_bits), "a long, b long").distinct()
+    return sorted_grid.mapInArrow(_verify(max_bits, cell_rows), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -15,7 +15,7 @@ block a plane:
 library, appends ``end_id`` to each document, orders documents by id and
 writes one Parquet file a shard, holding one row: part, seq (the shard's place),
 n_tokens, doc_ids, lengths, matrix. Ranges of ids are dealt to tasks by Spark;
-a shard ends with the documents encoded together (about 4 MB of text) with
+a shard ends with the documents encoded together (about 1 MB of text) with
 which it has ``shard_tokens`` tokens, so memory holds one shard, or one document
 if that is longer. ``read_documents``,
 ``count_token`` and ``find_token`` work on the files alone.
@@ -62,19 +62,26 @@ class WaveletMatrix:
         """The file of an array of unsigned numbers below 2**32."""
         order = np.ascontiguousarray(tokens)
         planes = max(1, int(order.max()).bit_length()) if len(order) else 1
-        order = order.astype(np.uint16 if planes <= 16 else np.uint32)
+        order = order.astype(np.uint16 if planes <= 16 else np.uint32)  # a copy
         squeeze = zstandard.ZstdCompressor(level=1).compress
         parts = [HEAD.pack(MAGIC, len(order), planes)]
+        below = np.empty_like(order)
         for plane in range(planes):
-            bits = (order & order.dtype.type(1 << (planes - 1 - plane))).astype(bool)
-            blocks, ones = [], [0]
-            for at in range(0, len(bits), BLOCK):
-                piece = bits[at:at + BLOCK]
-                ones.append(ones[-1] + int(np.count_nonzero(piece)))
-                blocks.append(squeeze(np.packbits(piece).tobytes()))
+            mask = order.dtype.type(1 << (planes - 1 - plane))
+            blocks, ones, moved, zeros = [], [0], [], 0
+            for at in range(0, len(order), BLOCK):  # block by block: it stays in the processor's cache
+                piece = order[at:at + BLOCK]
+                bits = (piece & mask).astype(bool)
+                blocks.append(squeeze(np.packbits(bits).tobytes()))
+                moved.append(piece[bits])
+                ones.append(ones[-1] + len(moved[-1]))
+                rest = piece[~bits]
+                below[zeros:zeros + len(rest)] = rest
+                zeros += len(rest)
+            below[zeros:] = np.concatenate(moved) if moved else 0
+            order, below = below, order
             ends = np.cumsum([0, *map(len, blocks)])
             parts += [np.asarray(ones, "<u8").tobytes(), ends.astype("<u8").tobytes(), *blocks]
-            order = np.concatenate([order[~bits], order[bits]])
         return b"".join(parts)
 
     def __init__(self, data: bytes) -> None:
@@ -180,16 +187,20 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All tokens, from the lowest plane up."""
         kind = np.uint16 if self.planes <= 16 else np.uint32
-        order = np.zeros(self.n, kind)
+        order, above = np.zeros(self.n, kind), np.empty(self.n, kind)
+        unpack = zstandard.ZstdDecompressor().decompress
         for plane in reversed(range(self.planes)):
-            bits = np.empty(self.n, np.uint8)
-            for block in range(len(self.ones[plane]) - 1):
-                bits[block * BLOCK:(block + 1) * BLOCK] = self._block(plane, block)
-            ones = bits.view(bool)
-            above = np.empty(self.n, kind)
-            above[~ones] = order[:self.zeros[plane]]
-            above[ones] = order[self.zeros[plane]:] | kind(1 << (self.planes - 1 - plane))
-            order = above
+            mask, before = kind(1 << (self.planes - 1 - plane)), self.ones[plane]
+            zero, one = 0, self.zeros[plane]
+            for block in range(len(before) - 1):
+                a, b = self.start[plane] + self.ends[plane][block:block + 2]
+                place = above[block * BLOCK:(block + 1) * BLOCK]
+                ones = np.unpackbits(np.frombuffer(unpack(self.data[a:b]), np.uint8), count=len(place)).view(bool)
+                n = int(before[block + 1] - before[block])
+                place[ones] = order[one:one + n] | mask
+                place[~ones] = order[zero:zero + len(place) - n]
+                zero, one = zero + len(place) - n, one + n
+            order, above = above, order
         return order
 
 
@@ -208,7 +219,7 @@ class PieceEncoder:
     marks ends of words, many words are encoded in one call and cut at the
     marks, and punctuation after a word is a piece of its own."""
 
-    def __init__(self, tokenizer_json: str, keep: int = 1 << 19, longest: int = 64) -> None:
+    def __init__(self, tokenizer_json: str, keep: int = 1 << 18, longest: int = 64) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.longest = Tokenizer.from_str(tokenizer_json), keep, longest
@@ -374,7 +385,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, id_c
                  pa.array([matrix], pa.binary())],
                 ["part", "seq", "n_tokens", "doc_ids", "lengths", "matrix"])
 
-        for some, texts in _batches(batches, 4 << 20):
+        for some, texts in _batches(batches, 5 << 18):
             tokens, counts = coder.encode(texts)
             ids += some
             lengths.append(counts + 1)

@@ -17,7 +17,8 @@ from hypothesis import strategies as st
 from cartwheel.llm.common import connected_components
 from cartwheel.llm.exact_dedup import exact_dedup, grace
 from cartwheel.llm.line_dedup import line_dedup
-from cartwheel.llm.simhash import cells, fingerprint, keep_one_of_each, near_duplicates, spanning_links
+from cartwheel.llm.simhash import (
+    cells, fingerprint, keep_one_of_each, link_fingerprints, near_duplicates, spanning_links)
 
 
 def test_exact_dedup_against_brute_force(spark):
@@ -245,3 +246,47 @@ def test_line_dedup_against_brute_force(spark, bits):
                           for _ in range(rnd.randint(1, 12)))) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert {r.doc_id: r.text for r in line_dedup(docs, hash_bits=bits).collect()} == slow_line_dedup(rows)
+
+
+@pytest.mark.parametrize("cell_rows", [16384, 300, 20])
+def test_crowded_cells_lose_no_link(spark, cell_rows):
+    rnd = random.Random(3)
+    prints = {rnd.getrandbits(32) << 32 | 0x5A5A0F0F for _ in range(1200)}  # one cell of the lower half
+    prints |= {rnd.getrandbits(32) | 0x123456780000 << 16 for _ in range(600)}
+    for p in list(prints)[:300]:
+        for _ in range(3):
+            p ^= 1 << rnd.randrange(64)
+            prints.add(p)
+    center = rnd.getrandbits(64)
+    prints |= {center ^ sum(1 << b for b in rnd.sample(range(12), rnd.randint(0, 6))) for _ in range(500)}
+    prints = sorted(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    edges = [(r.a, r.b) for r in link_fingerprints(frame, 3, cell_rows=cell_rows).collect()]
+    parent = {p: p for p in signed}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in edges:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 3
+        parent[root(a)] = root(b)
+    bits = np.array(prints, np.uint64)
+    for i in range(len(bits)):
+        for j in np.flatnonzero(np.bitwise_count(bits ^ bits[i]) <= 3).tolist():
+            assert root(signed[i]) == root(signed[j])
+
+
+def test_a_hundred_thousand_fingerprints_of_one_cell(spark):
+    rng = np.random.default_rng(4)
+    upper = np.unique(rng.integers(0, 1 << 32, 100_000, dtype=np.uint64))
+    prints = (upper << np.uint64(32) | np.uint64(0x5A5A0F0F)).view(np.int64)
+    frame = spark.createDataFrame([(p,) for p in prints.tolist()], "fingerprint long")
+    got = {frozenset((r.a, r.b)) for r in link_fingerprints(frame, 3).collect()}
+    linked = {p for pair in got for p in pair}
+    bits = prints.view(np.uint64)
+    for i in rng.choice(len(bits), 300, replace=False).tolist():
+        near = np.bitwise_count(bits ^ bits[i]) <= 3
+        assert (int(prints[i]) in linked) == (near.sum() > 1)
