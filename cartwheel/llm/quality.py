@@ -108,6 +108,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 2500, bits:
     table = gram_rows(texts, lambda: Features(bits, sizes), "grams binary, quality int, doc_id long").toArrow()
     rows = sorted(zip(table["doc_id"].to_pylist(), table["grams"].to_pylist(),
                       table["quality"].to_pylist(), strict=True))
+    del table  # the driver keeps the sample once, and only while it is fitted
+    pa.default_memory_pool().release_unused()
     sets = [np.frombuffer(g, np.int32) for _, g, _ in rows]
     return fit_model(sets, np.array([q for _, _, q in rows], np.int64), bits, tuple(sizes))
 
