@@ -284,7 +284,9 @@ def q_hybrid_scores(spark, sf_dir):
     aff = recommend.category_affinity(act, prods).select(
         "user_id", "product_id", F.col("rec_score").alias("score"))
     users = recommend.distinct_users(act.filter(F.col("user_id").isNotNull()))
-    pop = users.select("user_id", F.explode(recommend.popular_list(prods)).alias("p")).select(
+    best = (prods.orderBy(F.desc("total_purchases"), F.asc("product_id")).limit(recommend.FALLBACK_PRODUCTS)
+            .agg(F.collect_list(F.struct("product_id", "total_purchases")).alias("items")).scalar())
+    pop = users.select("user_id", F.explode(best).alias("p")).select(
         "user_id", F.col("p.product_id").alias("product_id"),
         F.col("p.total_purchases").cast("double").alias("score"))
     return hybrid.hybrid_scores({"affinity": aff, "popularity": pop},
