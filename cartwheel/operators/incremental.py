@@ -29,7 +29,7 @@ DISTINCT_KINDS = ["active_days", "unique_products", "unique_categories", "unique
                   "unique_sessions"]
 
 
-def _distinct_values():
+def distinct_values():
     """Column of each distinct kind (built lazily: needs an active session)."""
     return {
         "active_days": F.to_date("event_time").cast("string"),
@@ -40,20 +40,25 @@ def _distinct_values():
     }
 
 
-def partial_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """State of one period: (stats, keys). The period's rows, which both
-    read, are written once."""
-    events = materialize(events.select("user_id", "event_time", "event_type", "price", "product_id",
-                                       "category_code", "brand", "user_session"))
-    stats = events.groupBy("user_id").agg(
+def sum_columns():
+    """Mergeable columns of a user's row: SUMS, first and last time."""
+    return [
         F.count(F.lit(1)).alias("total_events"),
         count_type(VIEW).alias("views"), count_type(CART).alias("carts"),
         count_type(PURCHASE).alias("purchases"), count_type(REMOVE).alias("removes"),
         F.sum(F.when(is_type(PURCHASE), F.col("price")).otherwise(F.lit(0.0))).alias("monetary"),
         F.sum("price").alias("price_sum"), F.count("price").alias("price_n"),
-        F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"))
+        F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen")]
+
+
+def partial_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """State of one period: (stats, keys). The period's rows, which both
+    read, are written once."""
+    events = materialize(events.select("user_id", "event_time", "event_type", "price", "product_id",
+                                       "category_code", "brand", "user_session"))
+    stats = events.groupBy("user_id").agg(*sum_columns())
     items = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("string").alias("key"))
-                      for k, v in _distinct_values().items()])
+                      for k, v in distinct_values().items()])
     keys = (events.select("user_id", F.explode(items).alias("e"))
             .select("user_id", "e.kind", "e.key").filter(F.col("key").isNotNull()).distinct())
     return stats, keys

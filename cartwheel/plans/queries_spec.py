@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from cartwheel.operators import (
@@ -16,14 +18,16 @@ from cartwheel.operators import (
     recommend,
     segmentation,
     sessions,
+    sketches,
     timeseries,
 )
 from cartwheel.plans.catalog import register
-from cartwheel.plans.oracle import BASE_CTES, CLEANED_CTES, normalized
+from cartwheel.plans.oracle import BASE_CTES, CLEANED_CTES, normalized, with_ctes
 from cartwheel.plans.queries_batch import cleaned
 from cartwheel.plans.queries_model import (
     _REC_CTES,
     _UB_LABEL_CTE,
+    ACTIVITY_COLS,
     _labelled_users,
     activity,
     product_table,
@@ -365,6 +369,39 @@ def q_precision_at_k(spark, sf_dir):
     return evaluation.precision_at_k(r, relevant, k=5)
 
 
+# Rolling folds: training days before, test days from .. to.
+_FOLDS = [(15, 19), (20, 24), (25, 29)]
+_GRID = {"categories_1": 1, "categories_3": 3}
+
+
+def _fold_sql(number, lo, hi, name, categories):
+    *_, body = _train_rec_ctes()
+    inner = [f"train_cs AS (SELECT * FROM clickstream WHERE day(event_time) < {lo})",
+             f"train_cl AS (SELECT * FROM cleaned WHERE day(event_time) < {lo})",
+             body.replace("AS t WHERE rank <= 3", f"AS t WHERE rank <= {categories}"),
+             f"rel AS (SELECT DISTINCT user_id, product_id FROM cleaned WHERE day(event_time) BETWEEN {lo} AND {hi} "
+             "AND event_type IN ('cart', 'purchase'))"]
+    return (f"SELECT {number} AS fold, '{name}' AS candidate, x.* FROM (" + with_ctes(inner, _PRECISION_SQL)
+            + ") AS x")
+
+
+_FOLDS_SQL = " UNION ALL ".join(
+    _fold_sql(i, lo, hi, name, n) for i, (lo, hi) in enumerate(_FOLDS) for name, n in _GRID.items())
+_FOLD_DBL = ("precision_at_k", "recall_at_k", "hit_rate", "ndcg_at_k", "mean_ndcg")
+
+
+@register("cross_validated_relevance", normalized(
+    f"SELECT *, avg(ndcg_at_k) OVER (PARTITION BY candidate) AS mean_ndcg FROM ({_FOLDS_SQL}) AS f",
+    ["fold", "candidate", "users", *_FOLD_DBL, "k"], dbl=_FOLD_DBL, ctes=CLEANED_CTES))
+def q_cross_validated_relevance(spark, sf_dir):
+    """Rolling time folds (training on all earlier days, test on the next
+    five) and a grid over the number of categories a user is served from."""
+    grid = {name: functools.partial(recommend.recommend, k_categories=n) for name, n in _GRID.items()}
+    folds = [(day_filter(1, lo - 1), day_filter(lo, hi)) for lo, hi in _FOLDS]
+    acts = clickstream(spark, sf_dir).select("event_time", *ACTIVITY_COLS)
+    return evaluation.cross_validate(cleaned(spark, sf_dir), acts, folds, grid)
+
+
 _INC_COLS = ["user_id", "total_events", "views", "carts", "purchases", "removes", "monetary",
              "avg_price", "first_seen", "last_seen", "active_days", "unique_products",
              "unique_categories", "unique_brands", "unique_sessions"]
@@ -394,6 +431,64 @@ def q_merge_user_aggregates(spark, sf_dir):
     return incremental.finalize(state).select(*_INC_COLS)
 
 
+def _sketch_state(spark, sf_dir):
+    """State of days 1-10, merged with days 11-20 and then with the others."""
+    cl, raw = cleaned(spark, sf_dir), clickstream(spark, sf_dir)
+    base = scratch_dir(spark, "sketches")
+    parts = [day_filter(1, 10), day_filter(11, 20)]
+    parts.append(~parts[0] & ~parts[1])
+    for i, part in enumerate(parts):
+        state = sketches.update_state(spark, cl.filter(part), raw.filter(part), base, f"2024010{i}_000000")
+    return cl, raw, state
+
+
+_SKETCH_EXACT = ["user_id", "total_events", "views", "carts", "purchases", "removes", "monetary", "avg_price",
+                 "first_seen", "last_seen"]
+
+
+@register("sketch_user_aggregates", normalized(
+    "SELECT user_id, count(*) AS total_events, "
+    "count(*) FILTER (WHERE event_type = 'view') AS views, count(*) FILTER (WHERE event_type = 'cart') AS carts, "
+    "count(*) FILTER (WHERE event_type = 'purchase') AS purchases, "
+    "count(*) FILTER (WHERE event_type = 'remove_from_cart') AS removes, "
+    "sum(CASE WHEN event_type = 'purchase' THEN price ELSE CAST(0 AS DOUBLE) END) AS monetary, "
+    "avg(price) AS avg_price, min(event_time) AS first_seen, max(event_time) AS last_seen, "
+    "true AS distinct_within_bound FROM cleaned GROUP BY user_id",
+    [*_SKETCH_EXACT, "distinct_within_bound"], dbl=("monetary", "avg_price"), tss=("first_seen", "last_seen"),
+    ctes=CLEANED_CTES))
+def q_sketch_user_aggregates(spark, sf_dir):
+    """Three periods merged as stored sketches: exact sums, and five distinct
+    counts a user, each within 8 % (5 standard errors) or 1 of the exact count."""
+    cl, _, state = _sketch_state(spark, sf_dir)
+    exact = incremental.finalize(incremental.partial_state(cl)).select(
+        F.col("user_id").alias("_user"), *[F.col(k).alias(f"_{k}") for k in incremental.DISTINCT_KINDS])
+    got = sketches.user_estimates(state[0]).join(exact, F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    near = [F.abs(F.col(k) - F.col(f"_{k}")) <= F.greatest(F.lit(1.0), F.col(f"_{k}") * 0.08)
+            for k in incremental.DISTINCT_KINDS]
+    return got.select(*_SKETCH_EXACT, F.coalesce(functools.reduce(lambda a, b: a & b, near), F.lit(False))
+                      .alias("distinct_within_bound"))
+
+
+@register("sketch_cleaning_statistics", normalized(
+    "SELECT c.top_cat AS category_code, c.avg_cat_price, f.first_brand, true AS bounds_within_error "
+    "FROM cs_cat c JOIN cs_first_brand f ON f.top_cat = c.top_cat",
+    ["category_code", "avg_cat_price", "first_brand", "bounds_within_error"], dbl=("avg_cat_price",),
+    ctes=CLEANED_CTES))
+def q_sketch_cleaning_statistics(spark, sf_dir):
+    """What cleaning needs, from the merged sketches of three
+    periods: exact means and first brands; quartiles whose exact rank is within 2 %."""
+    _, raw, state = _sketch_state(spark, sf_dir)
+    stats = sketches.cleaning_statistics(state[1])
+    bounds = stats.agg(F.max("q1").alias("q1"), F.max("q3").alias("q3"))
+    price, ok = F.col("price").cast("double"), []
+    q = bounds.select(F.array("q1", "q3")).scalar()
+    for i, rank in enumerate((0.25, 0.75)):
+        below, upto = F.avg((price < q[i]).cast("double")), F.avg((price <= q[i]).cast("double"))
+        ok.append((below - 0.02 <= rank) & (upto + 0.02 >= rank))
+    right = raw.filter(price.isNotNull()).agg((ok[0] & ok[1]).alias("ok")).scalar()
+    return stats.select("category_code", "avg_cat_price", "first_brand", right.alias("bounds_within_error"))
+
+
 @register("visit_frequency", normalized(
     "SELECT user_id, CAST(date_trunc('week', event_time) AS DATE) AS week, "
     "count(DISTINCT user_session) AS sessions, count(DISTINCT CAST(event_time AS DATE)) AS active_days,"
@@ -453,8 +548,11 @@ _METRIC_SQL = " UNION ALL ".join([
                  _POP_COLS + ["total_revenue", "purchase_revenue"])])
 
 
+_METRIC_COLS = ["measurement", "ts", "kind", "key", "tag_value", "field_value"]
+
+
 @register("realtime_metrics", normalized(
-    _METRIC_SQL, ["measurement", "ts", "kind", "key", "tag_value", "field_value"],
+    _METRIC_SQL, _METRIC_COLS,
     dbl=("field_value",), tss=("ts",), ctes=_METRIC_CTES))
 def q_realtime_metrics(spark, sf_dir):
     """The four dashboard measurements as points (flattened)."""

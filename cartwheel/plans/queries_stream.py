@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.operators import als, behavior, products, recommend
+from cartwheel.operators import als, behavior, cleaning, products, recommend
 from cartwheel.operators.behavior import bag_text
 from cartwheel.plans.catalog import register
 from cartwheel.plans.oracle import BASE_CTES, CLEANED_CTES, normalized
@@ -26,10 +26,11 @@ from cartwheel.plans.queries_model import (
     recs,
 )
 from cartwheel.plans.queries_profile import PRODUCT_DATA_COLS
+from cartwheel.plans.queries_spec import _METRIC_COLS, _METRIC_CTES, _METRIC_SQL
 from cartwheel.schema import EVENT_COLUMNS, EVENT_SCHEMA, clickstream
 from cartwheel.sources import files, points, snapshots
 from cartwheel.streaming import activity as sa
-from cartwheel.streaming import sinks
+from cartwheel.streaming import measurements, sinks
 from cartwheel.streaming.files import day_filter, scratch_dir, stage_event_files
 
 _EVENT_SQL = "SELECT " + ", ".join(EVENT_COLUMNS) + " FROM clickstream"
@@ -470,6 +471,30 @@ def q_stream_fanout(spark, sf_dir):
     return res
 
 
+@register("stream_measurements", normalized(
+    _METRIC_SQL, _METRIC_COLS, dbl=("field_value",), tss=("ts",), ctes=_METRIC_CTES))
+def q_stream_measurements(spark, sf_dir):
+    """X15 on a stream: the four dashboard measurements, kept up to date batch by
+    batch and compacted half way, equal the batch query after the last file."""
+    cs = clickstream(spark, sf_dir)
+    runs, out, ck = (scratch_dir(spark, t) for t in ("runs", "measurements", "stream-ck"))
+    stats = cleaning.cleaning_statistics(cs, rel_error=0.0)
+    prods = products.product_data(cleaning.clean_events(cs, stats=stats), with_index=False)
+    snapshots.write_run({measurements.STATISTICS: stats, measurements.PRODUCTS: prods}, runs, "20240101_000000")
+    src, sink = scratch_dir(spark, "stream-src"), measurements.MeasurementSink(out, runs)
+    t = 1_000_000_000_000
+    first = day_filter(1, 15)
+    log = measurements.MeasurementLog(spark, out)
+    for prefix, part in (("a", first), ("b", ~first)):
+        t = stage_event_files(cs.filter(part), src, STREAM_FILES // 2, prefix=prefix, start_mtime_ms=t)
+        sinks.run_available_now(_events(spark, src), sink, ck, output_mode="append")
+        if prefix == "a":
+            log.compact()
+    before, after = F.dayofweek("first_seen") - 1, F.dayofweek("last_seen") - 1
+    stored = snapshots.latest_run(spark, runs)[measurements.PRODUCTS]
+    return points.flatten_points(log.points(stored, before, after))
+
+
 @register("stream_batch_equality", normalized(
     "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS only_stream, CAST(0 AS BIGINT) AS only_batch "
     "FROM recs", ["rows", "only_stream", "only_batch"], ctes=_REC_CTES))
