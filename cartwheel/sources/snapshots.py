@@ -47,7 +47,7 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if there is no such folder."""
     p, fs = _file_system(spark, path)
     return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
@@ -57,8 +57,8 @@ def list_snapshots(spark: SparkSession, base: str, name: str) -> list[str]:
     """Stamps of the committed runs of a table, oldest first. A run is committed
     when its writer has put ``_SUCCESS`` into its folder; others are invisible."""
     root = f"{base.rstrip('/')}/{name}"
-    stamps = [m.group(1) for m in map(_STAMP.match, _names(spark, root)) if m]
-    return sorted(s for s in stamps if "_SUCCESS" in _names(spark, f"{root}/snapshot={s}"))
+    stamps = [m.group(1) for m in map(_STAMP.match, names_in(spark, root)) if m]
+    return sorted(s for s in stamps if "_SUCCESS" in names_in(spark, f"{root}/snapshot={s}"))
 
 
 def latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame | None:
@@ -104,7 +104,7 @@ def commit_run(spark: SparkSession, base: str, stamp: str, names: list[str]) ->
 
 def list_runs(spark: SparkSession, base: str) -> list[str]:
     """Stamps of the committed runs, oldest first."""
-    return sorted(n for n in _names(spark, f"{base.rstrip('/')}/{MANIFESTS}") if re.fullmatch(r"\d{8}_\d{6}", n))
+    return sorted(n for n in names_in(spark, f"{base.rstrip('/')}/{MANIFESTS}") if re.fullmatch(r"\d{8}_\d{6}", n))
 
 
 def latest_run(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:

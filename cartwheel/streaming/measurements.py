@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import count_type, is_type
-from cartwheel.functions.sizing import path_exists
 from cartwheel.operators import cleaning, recommend, segmentation
 from cartwheel.schema import CART, PURCHASE, REMOVE, VIEW
 from cartwheel.sources import snapshots
@@ -94,11 +93,8 @@ class MeasurementLog:
 
     def _stored_until(self) -> int:
         """The last batch that all tables hold, -1 without one."""
-        path = f"{self.out}/{_LAST}"
-        if not path_exists(self.spark, path):
-            return -1
-        newest = self.spark.read.parquet(path).agg(F.max("batch_id").alias("b")).first().b
-        return -1 if newest is None else newest
+        names = snapshots.names_in(self.spark, f"{self.out}/{_LAST}")
+        return max((int(n.split("=")[1]) for n in names if n.startswith("batch_id=")), default=-1)
 
     def table(self, name: str, until: int | None = None) -> DataFrame:
         """One row per key: the newest compacted run and the whole batches after
