@@ -2,12 +2,24 @@
 
 The model (Mnih and Hinton, 2007) predicts the vector of the next token as a
 linear function of the vectors of the ``CONTEXT`` tokens before it; the
-softmax of its products with all output vectors, plus biases, is the
-probability of the next token. It is trained by noise-contrastive estimation
-(Mnih and Teh, 2012) in numpy. Outputs are the ``vocabulary`` most frequent
-training tokens and one class for all others; inside that class a token has
-its absolutely discounted training frequency, and what the discount frees is
-the probability of an unseen token (one type, as in the base score). So the
+softmax of its products with the output vectors, plus biases, is the probability
+of the next symbol. It is trained by noise-contrastive estimation (Mnih and Teh,
+2012) in numpy.
+
+Symbols: half of them are the most frequent training tokens; the other types that
+occur twice or more are dealt by hash to the other half (buckets); one more symbol
+stands for the types that occur once, and for unseen ones. Their number is
+a power of two of at least 4 * sqrt(types), so it grows with the corpus, up to
+``MOST_SYMBOLS`` (what 16 bits number, and what bounds the model that tasks are
+sent); beyond that, buckets hold more types. Tokens, buckets and the rare symbol are both contexts and
+outputs, so the probability of every token, seen or not, depends on its context. The
+softmax has two levels: groups of sqrt(symbols) neighbours in that order, then the
+symbols of a group; both levels are normalised exactly and trained by their own
+noise, and a token costs 2 * sqrt(symbols) products. Inside a bucket a token has
+its training frequency. The occurrence of a type that occurs once was that of a new
+type, so the model learns where new types come; of the rare symbol's probability
+the unseen type (one, as in the base score) has the share once / (once + 2 * twice + 1),
+the Good-Turing estimate, and the types that occur once share the rest. So the
 probabilities of all types sum to one after any context.
 
 Plan:
@@ -19,11 +31,12 @@ Plan:
    key is hot, since a chunk names a token once. Each chunk, streamed past
    its dictionary, yields base scores, tail scores and sequences of model
    numbers, which are written.
-3. Training: in each round every task trains on its part of the training
-   sequences from the common parameters, and the parameters are averaged by
-   number of tokens. Every training token is used, in one of the rounds.
-4. Scoring: contexts repeat, so each task computes the normalised log
-   probabilities of its distinct contexts by batched matrix products.
+3. Training: rows are dealt by hash to parts of about ``part_tokens`` tokens, and
+   the parts to rounds, whose number grows with the logarithm of the parts. In a
+   round each part trains from the common parameters; parameters and AdaGrad sums
+   are then averaged by tokens, block by block. Each training token is used once.
+   The parts depend on the rows alone, so the model doesn't depend on the tasks.
+4. Scoring: batched matrix products over all tokens of some texts at a time.
 
 Rows: null text counts as empty and has the end token only; texts may be of
 any length; repeated rows are scored alike; without training documents every
@@ -32,6 +45,7 @@ probability is 1 (score and base 0); an empty table gives an empty result.
 
 from __future__ import annotations
 
+import copy
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,7 +61,10 @@ from cartwheel.llm.common import drop_table, id_remainder, stage
 FOLDS, HELD_OUT = 10, 0  # crc32(doc_id) mod 10 = 0 is held out
 CONTEXT = 2  # tokens
 END = b""  # the token that ends a text; no word is empty
-NOISE = 64  # noise samples a batch
+NOISE = 64  # noise groups a batch
+INNER_NOISE = 4  # noise symbols a token, of its own group
+MOST_SYMBOLS = 1 << 15  # and the rare one
+BLOCK = 1 << 14  # parameters averaged together
 LN10 = float(np.log(10.0))
 
 CHUNK_SCHEMA = ("chunk long, kind int, doc_id long, held_out boolean, ids binary, "
@@ -116,35 +133,41 @@ class Counts:
 
     tokens: int  # N
     types: int  # V
-    tail_tokens: int  # of types outside the model's vocabulary
-    tail_types: int
-    discount: float
+    rare_types: int  # that occur once and are not listed
+    unseen: float  # share of the unseen type among the rare ones
+    slot: np.ndarray  # of a bucket's number: its place among those that hold a type
+    bucket_tokens: np.ndarray  # by place
 
     def base(self, c: np.ndarray) -> np.ndarray:
         """log10 of the base probability of tokens with these counts."""
         return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
-    def tail(self, c: np.ndarray) -> np.ndarray:
-        """log10 of the probability inside the class of other tokens."""
-        if not self.tail_tokens:
-            return np.zeros(len(c))
-        seen = np.maximum(c - self.discount, 1e-9) / self.tail_tokens
-        return np.log10(np.where(c > 0, seen, self.discount * self.tail_types / self.tail_tokens))
+    def tail(self, c: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """log10 of the probability, inside their symbols, of unlisted tokens
+        with these counts."""
+        new = self.unseen if self.rare_types else 1.0
+        rare = np.log10(np.where(c == 0, new, (1.0 - self.unseen) / max(self.rare_types, 1)))
+        if not len(self.bucket_tokens):
+            return rare
+        return np.where(c > 1, np.log10(np.maximum(c, 1) / self.bucket_tokens[self.slot[bucket]]), rare)
 
 
-def _recode(counts: Counts, vocabulary: int):
-    """Rows sorted by chunk, kind (0 counts, 1 model numbers, 2 texts) and
-    local number -> rows of TEXT_SCHEMA."""
+def _recode(counts: Counts, listed: int):
+    """Rows sorted by chunk, kind (0 counts and hashes, 1 numbers of listed tokens,
+    2 texts) and local number -> rows of TEXT_SCHEMA."""
+    buckets = len(counts.slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, numbers, tables = None, [], [], None
 
         def compile_tables():
-            c = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            model = np.full(len(c), vocabulary, np.int16)
+            c = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+            bucket = np.concatenate([p[1] for p in parts]) % buckets if parts else np.zeros(0, np.int16)
+            model = np.where(c > 1, counts.slot[bucket] + listed + 1, listed).astype(np.uint16)
+            tail = counts.tail(c, bucket)
             for local, number in numbers:
                 model[local] = number
-            tail = np.where(model == vocabulary, counts.tail(c), 0.0)
+                tail[local] = 0.0
             return c > 0, counts.base(c), tail, model
 
         for batch in batches:
@@ -158,7 +181,8 @@ def _recode(counts: Counts, vocabulary: int):
                     current, parts, numbers, tables = chunks[a], [], [], None
                 part = batch.slice(a, b - a)
                 if kinds[a] == 0:
-                    parts.append(part.column(3).to_numpy(zero_copy_only=False))
+                    parts.append((part.column(3).to_numpy(zero_copy_only=False),
+                                  part.column(7).to_numpy(zero_copy_only=False).astype(np.int32)))
                 elif kinds[a] == 1:
                     numbers.append((part.column(2).to_numpy(zero_copy_only=False),
                                     part.column(3).to_numpy(zero_copy_only=False)))
@@ -184,33 +208,43 @@ def _recode(counts: Counts, vocabulary: int):
 
 
 class LogBilinear:
-    """Parameters over ``outputs`` classes; contexts also hold a start mark."""
+    """Parameters over ``outputs`` symbols; contexts also hold a start mark."""
+
+    TABLES = ("words", "mixers", "targets", "bias", "group_targets", "group_bias")
 
     def __init__(self, outputs: int, dim: int, log_unigram: np.ndarray, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
         self.outputs, self.dim = outputs, dim
-        self.log_unigram = log_unigram.astype(np.float32)
+        self.span = int(np.ceil(np.sqrt(outputs)))  # symbols a group
+        starts = np.arange(0, outputs, self.span)
+        p = np.exp(log_unigram - log_unigram.max())
+        p /= p.sum()
+        self.mass = np.add.reduceat(p, starts)
+        self.below = np.concatenate([[0.0], np.cumsum(p)])  # of symbols before each
+        self.log_group = np.log(self.mass).astype(np.float32)
+        self.log_inside = (np.log(p) - np.repeat(np.log(self.mass), self.span)[:outputs]).astype(np.float32)
         self.words = rng.normal(0, 0.1, (outputs + 1, dim)).astype(np.float32)
         self.mixers = np.stack([np.eye(dim) for _ in range(CONTEXT)]).astype(np.float32)
         self.targets = np.zeros((outputs, dim), np.float32)
-        self.bias = self.log_unigram.copy()
+        self.bias = self.log_inside.copy()
+        self.group_targets = np.zeros((len(starts), dim), np.float32)
+        self.group_bias = self.log_group.copy()
+        # sums of squared gradients
+        self.squares = {name: np.full(getattr(self, name).shape, 1e-6, np.float32) for name in self.TABLES}
 
     def pack(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.words, self.mixers, self.targets, self.bias)])
+        return np.concatenate([x.ravel() for name in self.TABLES for x in (getattr(self, name), self.squares[name])])
 
     def unpack(self, flat: np.ndarray) -> LogBilinear:
         at = 0
-        for name in ("words", "mixers", "targets", "bias"):
+        for name in self.TABLES:
             shape = getattr(self, name).shape
             size = int(np.prod(shape))
             setattr(self, name, flat[at:at + size].reshape(shape).astype(np.float32))
-            at += size
+            self.squares[name] = flat[at + size:at + 2 * size].reshape(shape).astype(np.float32)
+            at += 2 * size
         return self
 
-    def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        """Predicted vectors of (n, CONTEXT) contexts."""
-        return sum(self.words[contexts[:, j]] @ self.mixers[j] for j in range(CONTEXT))
-
     def contexts(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(n, CONTEXT) contexts and the n tokens that follow them."""
         start = np.full(CONTEXT, self.outputs, np.int32)
@@ -222,43 +256,54 @@ class LogBilinear:
         at = np.flatnonzero(token)
         return np.stack([padded[at - j - 1] for j in range(CONTEXT)], axis=1), padded[at]
 
-    def train(self, sequences: list[np.ndarray], rate: float, state: list[np.ndarray],
-              rng: np.random.Generator, batch: int = 2048) -> None:
+    def _noise_inside(self, groups: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """INNER_NOISE symbols of each given group, by their frequencies."""
+        first = groups[:, None] * self.span
+        at = self.below[first] + rng.random((len(groups), INNER_NOISE)) * self.mass[groups][:, None]
+        drawn = np.searchsorted(self.below, at, side="right") - 1
+        return np.clip(drawn, first, np.minimum(first + self.span, self.outputs) - 1)
+
+    def train(self, sequences: list[np.ndarray], rate: float, rng: np.random.Generator, batch: int = 8192) -> None:
         """One pass of noise-contrastive estimation (AdaGrad steps)."""
         contexts, tokens = self.contexts(sequences)
         order = rng.permutation(len(tokens))
-        noise_p = np.exp(self.log_unigram.astype(np.float64))
-        noise_p /= noise_p.sum()
-        shift = self.log_unigram + np.float32(np.log(NOISE))
+        cumulative = np.cumsum(self.mass)
+        group_shift = self.log_group + np.float32(np.log(NOISE))
+        shift = self.log_inside + np.float32(np.log(INNER_NOISE))
         for i in range(0, len(order), batch):
             rows = order[i:i + batch]
             h, w = contexts[rows], tokens[rows]
-            noise = rng.choice(self.outputs, NOISE, p=noise_p)
+            g = w // self.span
             vectors = [self.words[h[:, j]] for j in range(CONTEXT)]
             q = sum(v @ m for v, m in zip(vectors, self.mixers))
-            true_gap = (q * self.targets[w]).sum(axis=1) + self.bias[w] - shift[w]
-            noise_gap = q @ self.targets[noise].T + self.bias[noise] - shift[noise]
-            d_true = 1.0 / (1.0 + np.exp(true_gap))  # 1 - sigmoid
-            d_noise = -1.0 / (1.0 + np.exp(-noise_gap))  # -sigmoid
-            d_q = d_true[:, None] * self.targets[w] + d_noise @ self.targets[noise]
-            scale = 1.0 / len(rows)
-            self._step(self.targets, state[2], np.concatenate([w, noise]),
+            scale = np.float32(1.0 / len(rows))
+            # the group against groups drawn for the batch
+            drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(self.mass) - 1)
+            d_true = _missed((q * self.group_targets[g]).sum(axis=1) + self.group_bias[g] - group_shift[g])
+            d_noise = -_missed(-(q @ self.group_targets[drawn].T + self.group_bias[drawn] - group_shift[drawn]))
+            d_q = d_true[:, None] * self.group_targets[g] + d_noise @ self.group_targets[drawn]
+            self._step("group_targets", np.concatenate([g, drawn]),
                        np.concatenate([d_true[:, None] * q, d_noise.T @ q]) * scale, rate)
-            self._step(self.bias[:, None], state[3][:, None], np.concatenate([w, noise]),
-                       np.concatenate([d_true, d_noise.sum(axis=0)])[:, None] * scale, rate)
+            self._step("group_bias", np.concatenate([g, drawn]),
+                       np.concatenate([d_true, d_noise.sum(axis=0)]) * scale, rate)
+            # the symbol against symbols drawn from its group
+            drawn = np.concatenate([w[:, None], self._noise_inside(g, rng)], axis=1)
+            outputs = self.targets[drawn]
+            gap = np.matmul(outputs, q[:, :, None])[:, :, 0] + self.bias[drawn] - shift[drawn]
+            d = np.concatenate([_missed(gap[:, :1]), -_missed(-gap[:, 1:])], axis=1)
+            d_q += np.matmul(d[:, None, :], outputs)[:, 0]
+            self._step("targets", drawn.ravel(), (d[:, :, None] * (q * scale)[:, None, :]).reshape(-1, self.dim), rate)
+            self._step("bias", drawn.ravel(), d.ravel() * scale, rate)
             back = [d_q @ m.T for m in self.mixers]
             for j in range(CONTEXT):
                 gradient = vectors[j].T @ d_q * scale
-                state[1][j] += gradient ** 2
-                self.mixers[j] += rate * gradient / np.sqrt(state[1][j])
-                self._step(self.words, state[0], h[:, j], back[j] * scale, rate)
-
-    def state(self) -> list[np.ndarray]:
-        """Fresh sums of squared gradients."""
-        return [np.full(x.shape, 1e-6, np.float32) for x in (self.words, self.mixers, self.targets, self.bias)]
+                self.squares["mixers"][j] += gradient ** 2
+                self.mixers[j] += rate * gradient / np.sqrt(self.squares["mixers"][j])
+                self._step("words", h[:, j], back[j] * scale, rate)
 
-    @staticmethod
-    def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradients: np.ndarray, rate: float) -> None:
+    def _step(self, name: str, rows: np.ndarray, gradients: np.ndarray, rate: float) -> None:
+        table, squares = getattr(self, name), self.squares[name]
+        rows = rows.astype(np.uint16)  # symbols fit, and sort faster
         order = np.argsort(rows, kind="stable")
         ranked = rows[order]
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -267,35 +312,45 @@ class LogBilinear:
         squares[at] += sums ** 2
         table[at] += rate * sums / np.sqrt(squares[at])
 
-    def log_probabilities(self, sequences: list[np.ndarray], block: int = 2048) -> np.ndarray:
+    def log_probabilities(self, sequences: list[np.ndarray], block: int = 1 << 15) -> np.ndarray:
         """Sum of normalised natural log probabilities of each sequence."""
         contexts, tokens = self.contexts(sequences)
-        codes = contexts[:, 0].astype(np.int64)
-        for j in range(1, CONTEXT):
-            codes = codes * (self.outputs + 1) + contexts[:, j]
-        order = np.argsort(codes, kind="stable")
-        ranked = codes[order]
-        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        mixed = [self.words @ m for m in self.mixers]
         logs = np.empty(len(tokens), np.float64)
-        ends = np.append(starts[1:], len(order))
-        for i in range(0, len(starts), block):
-            first, last = starts[i], ends[min(i + block, len(starts)) - 1]
-            scores = self.predicted(contexts[order[starts[i:i + block]]]) @ self.targets.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-            of = np.repeat(np.arange(len(scores)), ends[i:i + block] - starts[i:i + block])
-            at = order[first:last]
-            logs[at] = scores[of, tokens[at]]
+        for i in range(0, len(tokens), block):
+            w = tokens[i:i + block]
+            q = sum(m[contexts[i:i + block, j]] for j, m in enumerate(mixed))
+            g = w // self.span
+            logs[i:i + block] = _log_softmax_at(q @ self.group_targets.T + self.group_bias, g)
+            order = np.argsort(g.astype(np.uint16), kind="stable")
+            ranked = g[order]
+            edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                at, lo = order[a:b], ranked[a] * self.span
+                scores = q[at] @ self.targets[lo:lo + self.span].T + self.bias[lo:lo + self.span]
+                logs[i + at] += _log_softmax_at(scores, w[at] - lo)
         lengths = np.array([len(s) for s in sequences])
         return np.add.reduceat(logs, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
 
 
+def _missed(gap: np.ndarray) -> np.ndarray:
+    """1 - sigmoid(gap)."""
+    return 1.0 / (1.0 + np.exp(np.minimum(gap, 80.0)))
+
+
+def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log softmax of each row at its column; ``scores`` is used up."""
+    scores -= scores.max(axis=1, keepdims=True)
+    own = scores[np.arange(len(at)), at]
+    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], column: int, tokens: int):
     """Slices of the batches with about ``tokens`` tokens, with their sequences."""
     for batch in batches:
         sequences, first, size = [], 0, 0
         for i, data in enumerate(batch.column(column)):
-            sequences.append(np.frombuffer(data.as_py(), np.int16))
+            sequences.append(np.frombuffer(data.as_py(), np.uint16))
             size += len(sequences[-1])
             if size >= tokens:
                 yield batch.slice(first, i + 1 - first), sequences
@@ -304,41 +359,91 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int, tokens: int):
             yield batch.slice(first), sequences
 
 
-def train_model(texts: DataFrame, model: LogBilinear, rounds: int, rate: float) -> LogBilinear:
-    """Train on (ids binary, doc_id) rows, in ``rounds`` disjoint parts."""
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, part, tokens, values) sorted by block -> one weighted sum a block."""
+    current, total, weight = None, None, 0
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([weight], pa.int64()),
+                                           pa.array([total.tobytes()], pa.binary())], ["block", "tokens", "values"])
+
+    for batch in batches:
+        for block, tokens, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            values = np.frombuffer(data.as_py(), np.float32) * float(tokens)
+            if block != current:
+                if current is not None:
+                    yield made()
+                current, total, weight = block, np.zeros(len(values)), 0
+            total += values
+            weight += tokens
+    if current is not None:
+        yield made()
+
+
+def train_model(texts: DataFrame, model: LogBilinear, tokens: int, rate: float, part_tokens: int) -> LogBilinear:
+    """Train on (ids binary, doc_id) rows that hold ``tokens`` tokens, each used
+    in one of the parts of one of the rounds."""
     spark = texts.sparkSession
+    wanted = max(1, -(-tokens // part_tokens))
+    rounds = min(wanted, 1 + int(np.ceil(np.log2(wanted) / 2)))
+    slots = -(-wanted // rounds)  # parts a round
+    row = F.xxhash64("doc_id", "ids")
+    rows = texts.select(row.alias("row"), "ids", F.pmod(row, F.lit(rounds * slots)).alias("part"))
     for number in range(rounds):
         shared = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
-            own, used = shared.value, 0
-            state, rng = own.state(), np.random.default_rng([number, TaskContext.get().partitionId()])
-            for _, sequences in _groups(batches, 0, 500_000):
-                used += sum(map(len, sequences))
-                own.train(sequences, rate, state, rng)
+            part, own, rng, used = None, None, None, 0
+
+            def made() -> pa.RecordBatch:
+                flat = own.pack()
+                blocks = [flat[i:i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+                n = len(blocks)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(range(n), pa.int32()), pa.array([part] * n, pa.int64()),
+                     pa.array([used] * n, pa.int64()), pa.array(blocks, pa.binary())],
+                    ["block", "part", "tokens", "values"])
+
+            for batch in batches:
+                parts = batch.column(1).to_numpy()
+                edges = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1], [True]])) if len(parts) else []
+                for a, b in zip(edges[:-1], edges[1:]):
+                    if parts[a] != part:
+                        if used:
+                            yield made()
+                        part, used = int(parts[a]), 0
+                        own, rng = copy.deepcopy(shared.value), np.random.default_rng([number, part])
+                    for _, sequences in _groups([batch.slice(a, b - a)], 0, 500_000):
+                        used += sum(map(len, sequences))
+                        own.train(sequences, rate, rng)
             if used:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own.pack().tolist()], pa.list_(pa.float32())), pa.array([used], pa.int64())],
-                    ["parameters", "tokens"])
-
-        part = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == number).select("ids")
-        trained = (part.mapInArrow(run, "parameters array<float>, tokens long")
-                   .select("tokens", F.posexplode("parameters").alias("at", "value"))
-                   .groupBy("at").agg((F.sum(F.col("value").cast("double") * F.col("tokens"))
-                                       / F.sum("tokens")).alias("value")))
-        averaged = trained.toArrow()  # as many rows as the model has parameters
-        if averaged.num_rows:
-            flat = np.empty(averaged.num_rows)
-            flat[averaged["at"].to_numpy()] = averaged["value"].to_numpy()
-            model = model.unpack(flat)
+                yield made()
+
+        mine = (rows.filter(F.pmod("part", F.lit(rounds)) == number)
+                .repartitionById(slots, F.floor(F.col("part") / rounds).cast("int"))
+                .sortWithinPartitions("part", "row", "ids").select("ids", "part"))
+        summed = (mine.mapInArrow(run, "block int, part long, tokens long, values binary")
+                  .repartition("block").sortWithinPartitions("block", "part")
+                  .mapInArrow(_summed, "block int, tokens long, values binary"))
+        blocks = summed.orderBy("block").toArrow().to_pylist()  # the model's parameters, in doubles
+        shared.unpersist()
+        if blocks:
+            model = model.unpack(np.concatenate([np.frombuffer(b["values"], np.float64) / b["tokens"]
+                                                 for b in blocks]))
     return model
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 512,
-                dim: int = 32, rounds: int = 2, rate: float = 0.05, chunk_types: int = 250_000,
+def symbols_for(types: int) -> int:
+    """How many symbols, beside the rare one, a corpus of so many types may get."""
+    return min(MOST_SYMBOLS, 1 << max(1, int(np.ceil(np.log2(4.0 * np.sqrt(max(types, 1)))))))
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", symbols: int | None = None,
+                dim: int = 16, rate: float = 0.05, part_tokens: int = 1_000_000, chunk_types: int = 250_000,
                 chunk_tokens: int = 3_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
-    of every row; log10 probabilities of whole texts."""
+    of every row; log10 probabilities of whole texts. ``symbols`` (default: by
+    the number of types) is a power of two of at most MOST_SYMBOLS."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     rows = rows.select("text", "doc_id", (id_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
     chunks, chunks_at = stage(rows.mapInArrow(_tokenise(chunk_types, chunk_tokens), CHUNK_SCHEMA))
@@ -347,41 +452,53 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted, counted_at = stage(
         tokens.withColumn("c", F.sum("n").over(same))
         .withColumn("lead", F.row_number().over(same.orderBy("chunk")) == 1)
-        .select("chunk", "local", "c", F.when(F.col("lead"), F.col("token")).alias("token")))
+        .select("chunk", "local", "c", F.when(F.col("lead"), F.col("token")).alias("token"),
+                F.pmod(F.xxhash64("token"), F.lit(MOST_SYMBOLS)).cast("short").alias("hash")))
     types = counted.filter("token IS NOT NULL AND c > 0")
     n, v, once, twice = types.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
                                   F.count(F.when(F.col("c") == 1, 1)),
                                   F.count(F.when(F.col("c") == 2, 1))).first()
-    # At most ``vocabulary`` rows; the end of a text is always among them.
-    top = (types.orderBy((F.length("token") > 0), F.desc("c"), "token").limit(vocabulary)
-           .select("token", "c").collect())
-    discount = once / (once + 2 * twice) if once else 0.5
-    counts = Counts(n, v, n - sum(r.c for r in top), v - len(top), discount)
-    outputs = len(top) + 1
+    symbols = symbols_for(v) if symbols is None else symbols
+    buckets = symbols // 2
+    # At most half of the symbols; the end of a text is always among them.
+    top = (types.orderBy((F.length("token") > 0), F.desc("c"), "token").limit(symbols // 2)
+           .select("token", "c", "hash").collect())
+    held = np.zeros((2, buckets), np.int64)  # tokens and types of each bucket
+    for r in types.filter("c > 1").groupBy((F.col("hash") % buckets).alias("b")).agg(
+            F.sum("c").alias("c"), F.count("*").alias("n")).collect():
+        held[:, r.b] = r.c, r.n
+    for r in top:
+        if r.c > 1:
+            held[:, r.hash % buckets] -= (r.c, 1)
+    rare = once - sum(r.c == 1 for r in top)
+    filled = held[1] > 0
+    counts = Counts(n, v, rare, once / (once + 2 * twice + 1), np.cumsum(filled) - 1, held[0][filled])
+    outputs = len(top) + 1 + len(counts.bucket_tokens)
     listed = docs.sparkSession.createDataFrame([(bytes(r.token), i) for i, r in enumerate(top)],
                                                "token binary, number int")
     numbers = tokens.select("chunk", "local", "token").join(F.broadcast(listed), "token")
     nothing = F.lit(None)
+    short = nothing.cast("short")
     met = (counted.select("chunk", F.lit(0).alias("kind"), "local", F.col("c").alias("value"),
                           nothing.cast("long").alias("doc_id"), nothing.cast("boolean").alias("held_out"),
-                          nothing.cast("binary").alias("ids"))
+                          nothing.cast("binary").alias("ids"), "hash")
            .unionByName(numbers.select("chunk", F.lit(1).alias("kind"), "local",
                                        F.col("number").cast("long").alias("value"),
                                        nothing.cast("long").alias("doc_id"),
                                        nothing.cast("boolean").alias("held_out"),
-                                       nothing.cast("binary").alias("ids")))
+                                       nothing.cast("binary").alias("ids"), short.alias("hash")))
            .unionByName(chunks.filter("kind = 1").select(
                "chunk", F.lit(2).alias("kind"), nothing.cast("int").alias("local"),
-               nothing.cast("long").alias("value"), "doc_id", "held_out", "ids")))
+               nothing.cast("long").alias("value"), "doc_id", "held_out", "ids", short.alias("hash"))))
     texts, _ = stage(met.repartition("chunk").sortWithinPartitions("chunk", "kind", "local")
                      .mapInArrow(_recode(counts, len(top)), TEXT_SCHEMA))
     drop_table(docs.sparkSession, chunks_at)
     drop_table(docs.sparkSession, counted_at)
 
-    unigram = np.array([r.c for r in top] + [counts.tail_tokens], np.float64) + 1.0
+    unigram = np.concatenate([[r.c for r in top], [rare], counts.bucket_tokens]) + 1.0
     model = LogBilinear(outputs, dim, np.log(unigram / unigram.sum()))
     if n:
-        model = train_model(texts.filter("NOT held_out").select("ids", "doc_id"), model, rounds, rate)
+        model = train_model(texts.filter("NOT held_out").select("ids", "doc_id"), model, n, rate, part_tokens)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

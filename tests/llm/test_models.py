@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import queries as llm
 from cartwheel.llm.language import fit_language, identify
-from cartwheel.llm.log_bilinear import Counts, LogBilinear, score_texts
+from cartwheel.llm.log_bilinear import Counts, LogBilinear, score_texts, symbols_for
 from cartwheel.llm.mixing import leaf_budgets, mix
 from cartwheel.llm.quality import fit_quality, score_quality
 from cartwheel.llm.secrets import (
@@ -67,7 +67,7 @@ def test_quality_of_awkward_rows(spark):
 
 
 def test_language_model_base_scores_against_brute_force(spark):
-    got = score_texts(awkward(spark), vocabulary=8, dim=4, chunk_types=50).collect()
+    got = score_texts(awkward(spark), symbols=8, dim=4, chunk_types=50).collect()
     texts = [(r[0], re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "")) + [None])
              for r in ROWS]
 
@@ -92,18 +92,53 @@ def test_language_model_beats_its_base_on_held_out_documents(spark):
 
 def test_language_model_probabilities_sum_to_one():
     model = LogBilinear(6, 4, np.log(np.array([0.4, 0.2, 0.1, 0.1, 0.1, 0.1])))
-    sequences = [np.array([1, 2, 0, 5, 3], np.int16) for _ in range(50)]
-    model.train(sequences, 0.1, model.state(), np.random.default_rng(0))
-    before = model.log_probabilities([np.array([1, 2], np.int16)])[0]
-    after = [model.log_probabilities([np.array([1, 2, x], np.int16)])[0] - before for x in range(6)]
+    sequences = [np.array([1, 2, 0, 5, 3], np.uint16) for _ in range(50)]
+    for _ in range(20):
+        model.train(sequences, 0.1, np.random.default_rng(0))
+    before = model.log_probabilities([np.array([1, 2], np.uint16)])[0]
+    after = [model.log_probabilities([np.array([1, 2, x], np.uint16)])[0] - before for x in range(6)]
     assert sum(math.exp(x) for x in after) == pytest.approx(1, abs=1e-5)
     assert int(np.argmax(after)) == 0  # the token that always follows
-    counts = Counts(tokens=100, types=12, tail_tokens=10, tail_types=4, discount=0.6)
-    tail = counts.tail(np.array([1, 2, 3, 4, 0]))  # all of the class, and the unseen type
-    assert sum(10.0 ** tail) == pytest.approx(1)
+    counts = Counts(tokens=100, types=12, rare_types=3, unseen=0.4, slot=np.array([0, -1, 1]),
+                    bucket_tokens=np.array([9, 2]))
+    # all types of the buckets; the rare types and the unseen one
+    assert sum(10.0 ** counts.tail(np.array([2, 3, 4]), np.zeros(3, int))) == pytest.approx(1)
+    assert counts.tail(np.array([2]), np.array([2]))[0] == 0.0
+    assert sum(10.0 ** counts.tail(np.array([1, 1, 1, 0]), np.array([0, 1, 2, 1]))) == pytest.approx(1)
+    alone = Counts(tokens=0, types=0, rare_types=0, unseen=0.0, slot=np.array([-1]), bucket_tokens=np.zeros(0, int))
+    assert alone.tail(np.array([0]), np.array([0]))[0] == 0.0
+
+
+def test_language_model_scores_equal_a_plain_softmax():
+    """log_probabilities against loops over all symbols, with and without a last short group."""
+    rng = np.random.default_rng(3)
+    for outputs in (1, 2, 10, 16):
+        model = LogBilinear(outputs, 3, np.log(rng.random(outputs) + 0.1))
+        for name in model.TABLES:
+            setattr(model, name, rng.normal(0, 1, getattr(model, name).shape).astype(np.float32))
+        texts = [rng.integers(0, outputs, n).astype(np.uint16) for n in (1, 5, 30)]
+        got = model.log_probabilities(texts, block=7)
+        for text, score in zip(texts, got):
+            want, padded = 0.0, [outputs, outputs, *text.tolist()]
+            for i, token in enumerate(text.tolist()):
+                q = model.words[padded[i + 1]] @ model.mixers[0] + model.words[padded[i]] @ model.mixers[1]
+                group = token // model.span
+                levels = [(model.group_targets @ q + model.group_bias, group),
+                          ([model.targets[s] @ q + model.bias[s] for s in range(outputs) if s // model.span == group],
+                           token - group * model.span)]
+                want += sum(s[at] - math.log(sum(math.exp(x) for x in s)) for s, at in levels)
+            assert score == pytest.approx(want, abs=1e-3)
+
+
+def test_language_model_grows_with_the_types_and_not_with_the_tasks(spark):
+    assert [symbols_for(n) for n in (0, 1, 100, 388_142, 10 ** 12)] == [4, 4, 64, 4096, 32768]
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 41}" for j in range(1, 60))) for i in range(200)],
+                                 "doc_id long, text string")
+    few, many = ({r.doc_id: r.score for r in score_texts(docs.repartition(n), part_tokens=1500).collect()}
+                 for n in (2, 9))
+    assert few.keys() == many.keys() and all(few[i] == pytest.approx(many[i], abs=1e-3) for i in few)
 
 
-@pytest.fixture(scope="module")
 def pieces():
     return load_model(llm.PIECE_MODEL)
 
