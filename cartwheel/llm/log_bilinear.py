@@ -289,9 +289,9 @@ class LogBilinear:
             # the symbol against symbols drawn from its group
             drawn = np.concatenate([w[:, None], self._noise_inside(g, rng)], axis=1)
             outputs = self.targets[drawn]
-            gap = np.matmul(outputs, q[:, :, None])[:, :, 0] + self.bias[drawn] - shift[drawn]
+            gap = np.einsum("nkd,nd->nk", outputs, q) + self.bias[drawn] - shift[drawn]
             d = np.concatenate([_missed(gap[:, :1]), -_missed(-gap[:, 1:])], axis=1)
-            d_q += np.matmul(d[:, None, :], outputs)[:, 0]
+            d_q += np.einsum("nk,nkd->nd", d, outputs)
             self._step("targets", drawn.ravel(), (d[:, :, None] * (q * scale)[:, None, :]).reshape(-1, self.dim), rate)
             self._step("bias", drawn.ravel(), d.ravel() * scale, rate)
             back = [d_q @ m.T for m in self.mixers]
@@ -340,9 +340,10 @@ def _missed(gap: np.ndarray) -> np.ndarray:
 
 def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log softmax of each row at its column; ``scores`` is used up."""
-    scores -= scores.max(axis=1, keepdims=True)
+    if scores.max() > 60 or scores.min() < -60:  # else no sum of exponentials leaves the floats
+        scores -= scores.max(axis=1, keepdims=True)
     own = scores[np.arange(len(at)), at]
-    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+    return own - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: int, tokens: int):
