@@ -1,34 +1,77 @@
-"""Items bought/seen together — support, confidence, lift.
+"""Items bought/seen together — support, confidence, lift, itemsets, rules.
 
-Items below the minimum count are dropped first (no pair with such an item
+Items below the minimum count are dropped first (no set with such an item
 can reach it), so the equi-join on the basket meets frequent items only; each
-pair is counted once, smaller item first, and both rules follow from it. The
-result is exact for every pair with at least ``min_count`` baskets, and
-nothing is collected per basket.
+pair is counted once, smaller item first, and both rules follow from it. Longer
+sets grow level by level from the occurrences of frequent sets. The results are
+exact for every set in at least ``min_count`` baskets, and nothing is collected
+per basket or on the driver.
+
+Memory: the number of tasks follows from the rows and from the pairs to be made
+(``ROWS_PER_TASK``, ``PAIRS_PER_TASK``), so what a task holds does not grow with
+the input; the items of a basket of more than ``CHUNK`` meet its other items in
+as many parts, in different tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import materialize
 from cartwheel.operators.sessions import frequent_patterns
 
+ROWS_PER_TASK = 1 << 20
+PAIRS_PER_TASK = 1 << 20
+CHUNK = 1024
+
+
+def _tasks(df: DataFrame, n: int, per_task: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-n // per_task))
+
+
+def _basket_rows(df: DataFrame, basket: str, item: str) -> DataFrame:
+    """Distinct (basket, item) as ``_b, _i``, without NULLs."""
+    rows = (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+            .select(F.col(basket).alias("_b"), F.col(item).alias("_i")))
+    return materialize(rows.repartition(_tasks(df, df.count(), ROWS_PER_TASK), "_b", "_i").distinct())
+
+
+def _item_counts(rows: DataFrame, min_count: int) -> DataFrame:
+    return materialize(rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_count))
+
+
+def _pairs(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """Every pair of ``items`` (column ``_i``) in every basket: ``_b, a, b`` with
+    a < b."""
+    size = F.count(F.lit(1)).over(Window.partitionBy("_b"))
+    kept = materialize(rows.join(items.select("_i"), "_i", "left_semi").withColumn("_parts", F.ceil(size / CHUNK))
+                       .withColumn("_size", size))
+    made = kept.agg((F.sum(F.col("_size") - 1) / 2).cast("long")).first()[0] or 0
+    a = kept.select("_b", F.col("_i").alias("a"), F.pmod(F.xxhash64("_i"), F.col("_parts")).alias("_part"))
+    b = kept.select("_b", F.col("_i").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+                    .alias("_part"))
+    n = _tasks(rows, made, PAIRS_PER_TASK)
+    if n > rows.sparkSession.sparkContext.defaultParallelism:  # fewer pairs are left to Spark
+        a, b = (x.repartition(n, "_b", "_part") for x in (a, b))
+    return (a.join(b, ["_b", "_part"])
+            .filter(F.col("a") < F.col("b")).select("_b", "a", "b"))
+
+
+def _counted(sets: DataFrame, keys: list[str], min_count: int) -> DataFrame:
+    return sets.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= min_count)
+
 
 def affinity_pairs(df: DataFrame, basket: str, item: str, min_count: int = 2,
                    min_confidence: float = 0.0) -> DataFrame:
     """Rules a → b between single items seen together in ≥ ``min_count``
     baskets: pair count, support, confidence, lift."""
-    rows = (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
-            .select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
+    rows = _basket_rows(df, basket, item)
     n = rows.agg(F.count_distinct("_b").alias("n")).scalar()
-    counts = rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_count)
-    kept = rows.join(counts, "_i")
-    a = kept.select("_b", F.col("_i").alias("a"), F.col("_c").alias("ca"))
-    b = kept.select("_b", F.col("_i").alias("b"), F.col("_c").alias("cb"))
-    pairs = (a.join(b, "_b").filter(F.col("a") < F.col("b")).groupBy("a", "b", "ca", "cb")
-             .agg(F.count(F.lit(1)).alias("pair_count")).filter(F.col("pair_count") >= min_count))
+    counts = _item_counts(rows, min_count)
+    pairs = materialize(_counted(_pairs(rows, counts), ["a", "b"], min_count)).withColumnRenamed("count", "pair_count")
+    for x in ("a", "b"):
+        pairs = pairs.join(counts.select(F.col("_i").alias(x), F.col("_c").alias(f"c{x}")), x)
     sides = F.explode(F.array(
         F.struct(F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("b").alias("y"), F.col("cb").alias("cy")),
         F.struct(F.col("b").alias("x"), F.col("cb").alias("cx"), F.col("a").alias("y"), F.col("ca").alias("cy"))))
