@@ -15,11 +15,12 @@ as many parts, in different tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.sizing import materialize
-from cartwheel.operators.sessions import frequent_patterns
 
 ROWS_PER_TASK = 1 << 20
 PAIRS_PER_TASK = 1 << 20
@@ -84,20 +85,38 @@ def affinity_pairs(df: DataFrame, basket: str, item: str, min_count: int = 2,
 
 
 def _itemsets(df: DataFrame, basket: str, item: str, min_count: int, max_size: int):
-    rows = (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
-            .select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
-    frequent = rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_count).select("_i")
-    # A basket's row holds frequent items only, in one order: its ordered
-    # subsequences are its subsets.
-    baskets = materialize(rows.join(frequent, "_i").groupBy("_b").agg(F.sort_array(F.collect_list("_i")).alias("i"))
-                          .select(F.transform("i", lambda x: F.array(x)).alias("sequence")))
-    return rows, frequent_patterns(baskets, min_count, max_size)
+    """(distinct rows, frequent sets). Level k + 1 comes from the occurrences of
+    frequent sets of k items and those of frequent pairs that start with a set's
+    last item: every frequent set of k + 1 items ends in such a pair."""
+    rows = _basket_rows(df, basket, item)
+    counts = _item_counts(rows, min_count)
+    levels = [counts.select(F.array("_i").alias("items"), F.col("_c").alias("count"))]
+    if max_size > 1:
+        found = materialize(_counted(_pairs(rows, counts), ["a", "b"], min_count))
+        levels.append(_level(found, ["a", "b"]))
+    if max_size > 2:
+        # Only items of a frequent pair can be in a longer set.
+        paired = found.select(F.explode(F.array("a", "b")).alias("_i")).distinct()
+        links = materialize(_pairs(rows, paired).join(found, ["a", "b"], "left_semi"))
+        held, keys = links.select("_b", F.col("a").alias("_1"), F.col("b").alias("_2")), ["_1", "_2"]
+    for k in range(3, max_size + 1):
+        step = links.select("_b", F.col("a").alias(keys[-1]), F.col("b").alias(f"_{k}"))
+        longer, keys = held.join(step, ["_b", keys[-1]]), [*keys, f"_{k}"]
+        found = materialize(_counted(longer, keys, min_count))
+        levels.append(_level(found, keys))
+        if k < max_size:
+            held = materialize(longer.join(found, keys, "left_semi").select("_b", *keys))
+    return rows, reduce(DataFrame.unionByName, levels)
+
+
+def _level(found: DataFrame, keys: list[str]) -> DataFrame:
+    return found.select(F.array(*keys).alias("items"), "count")
 
 
 def frequent_itemsets(df: DataFrame, basket: str, item: str, min_count: int = 2, max_size: int = 3) -> DataFrame:
     """Every set of up to ``max_size`` items in ``min_count`` baskets or
-    more: items (ascending), size, count. Prefix projection over the baskets'
-    frequent items; unlike FP-growth its depth is bounded by ``max_size``, so two
+    more: items (ascending), size, count. Level by level over joins on the
+    basket; unlike FP-growth its depth is bounded by ``max_size``, so two
     equal baskets of many items give no exponential result."""
     return _itemsets(df, basket, item, min_count, max_size)[1].select("items", F.size("items").alias("size"), "count")
 
