@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cartwheel.functions.sizing import drop_table, path_exists
 from cartwheel.operators.recommend import recommend
 from cartwheel.sources.files import append_batch_csv
 from cartwheel.sources.points import to_points
@@ -48,10 +49,15 @@ class ActivitySink:
 class RecommendationSink:
     """foreachBatch function of the streaming recommender.
 
-    Per batch: skip if empty; persist the batch once; write the activity
-    (upsert source), event points, recommendations as points and as CSV;
-    unpersist. Scoring uses ``event_count`` so an activity row counts the
-    events behind it (hazard H16); point time is the window end (H17).
+    Per batch: write the activity (upsert source); skip the rest if it is empty;
+    write event points, recommendations, and these as points and as CSV. Scoring
+    uses ``event_count`` so an activity row counts the events behind it (hazard
+    H16); point time is the window end (H17).
+
+    The stateful aggregation and the scoring run once each: later steps read the
+    stored batch. They do so in the session of the products, because adaptive
+    execution is off in a micro-batch's own session, where each shuffle has as
+    many tasks as the state has partitions, however small the batch.
     """
 
     def __init__(self, products: DataFrame, out: str, fallback: str = "per_user"):
@@ -60,27 +66,26 @@ class RecommendationSink:
         self.fallback = fallback
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # persist first: the emptiness test and every sink then read the
-        # batch once instead of re-running the stateful aggregation
-        b = flatten_window(batch).persist()
-        try:
-            if b.isEmpty():
-                return
-            write_batch_parquet(b, f"{self.out}/activity", batch_id)
-            events = to_points(b.select("window_end", *ACTIVITY_KEYS, "event_count"),
-                               "user_events", time_col="window_end")
-            write_batch_parquet(events, f"{self.out}/points/user_events", batch_id)
-            recs = recommend(b, self.products, self.fallback).persist()
-            try:
-                write_batch_parquet(recs, f"{self.out}/recommendations", batch_id)
-                append_batch_csv(recs, f"{self.out}/recommendations_csv", batch_id)
-                window_end = b.agg(F.max("window_end")).scalar()
-                pts = to_points(recs, "recommendations", time_col=None, default_time=window_end)
-                write_batch_parquet(pts, f"{self.out}/points/recommendations", batch_id)
-            finally:
-                recs.unpersist()
-        finally:
-            b.unpersist()
+        b = self._store(flatten_window(batch), "activity", batch_id)
+        if b is None:
+            return
+        events = to_points(b.select("window_end", *ACTIVITY_KEYS, "event_count"),
+                           "user_events", time_col="window_end")
+        write_batch_parquet(events, f"{self.out}/points/user_events", batch_id)
+        recs = self._store(recommend(b, self.products, self.fallback), "recommendations", batch_id)
+        if recs is None:
+            return
+        append_batch_csv(recs, f"{self.out}/recommendations_csv", batch_id)
+        window_end = b.agg(F.max("window_end")).scalar()
+        pts = to_points(recs, "recommendations", time_col=None, default_time=window_end)
+        write_batch_parquet(pts, f"{self.out}/points/recommendations", batch_id)
+
+    def _store(self, df: DataFrame, name: str, batch_id: int) -> DataFrame | None:
+        """Write a batch's table and read it back; None when it has no rows."""
+        spark, folder = self.products.sparkSession, f"{self.out}/{name}/batch_id={batch_id}"
+        drop_table(spark, folder)  # what a failed run of the batch left
+        write_batch_parquet(df, f"{self.out}/{name}", batch_id)
+        return spark.read.schema(df.schema).parquet(folder) if path_exists(spark, folder) else None
 
 
 def start(stream: DataFrame, sink, checkpoint: str, output_mode: str = "update",
