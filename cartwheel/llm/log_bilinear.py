@@ -25,7 +25,8 @@ probabilities of all types sum to one after any context.
 Plan:
 
 1. Map tasks turn texts into numbers of a vocabulary of their own (a chunk:
-   at most ``chunk_types`` distinct tokens) and write the numbers and, once a
+   about ``chunk_types`` distinct tokens, at most twice as many and those of
+   one slice of texts) and write the numbers and, once a
    chunk, each distinct token with its training count.
 2. The counts of a token are summed over the chunks and go back to them; no
    key is hot, since a chunk names a token once. Each chunk, streamed past
@@ -46,14 +47,14 @@ probability is 1 (score and base 0); an empty table gives an empty result.
 from __future__ import annotations
 
 import copy
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import drop_table, id_remainder, stage
@@ -76,6 +77,15 @@ TEXT_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, base
 # -- counting -----------------------------------------------------------------
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, one after another, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    full = pc.greater(pc.binary_length(words), 0)  # white space at an edge leaves an empty string
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), np.diff(before[edges])
+
+
 def _tokenise(chunk_types: int, chunk_tokens: int):
     """(text, doc_id, held_out) -> rows of CHUNK_SCHEMA: kind 1 texts, kind 0 tokens."""
 
@@ -89,44 +99,73 @@ def _tokenise(chunk_types: int, chunk_tokens: int):
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        def start():
-            d = defaultdict(int)
-            d.default_factory = d.__len__  # a new token gets the next number
-            return d, [], 0
-
-        numbers, rows, size = start()
-
         def flush() -> Iterator[pa.RecordBatch]:
-            if not rows:
-                return
-            seen = [np.frombuffer(ids, np.int32) for _, held, ids in rows if not held]
-            counts = np.bincount(np.concatenate(seen) if seen else np.zeros(0, np.int32), minlength=len(numbers))
-            n = len(rows)
-            yield made([[chunk] * n, [1] * n, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows],
+            types = pa.concat_arrays([known.cast(pa.binary()), pa.array([END], pa.binary())])
+            sizes = np.concatenate(lengths)
+            numbers = np.insert(np.concatenate(coded), np.cumsum(sizes), len(types) - 1)
+            held = pa.concat_arrays([r.column(1) for r in rows])
+            learnt = np.repeat(~held.to_numpy(zero_copy_only=False).astype(bool), sizes + 1)
+            counts = np.bincount(numbers[learnt], minlength=len(types))
+            ends = np.concatenate([[0], 4 * np.cumsum(sizes + 1)]).astype(np.int32)
+            n = len(sizes)
+            texts = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+            yield made([np.full(n, chunk), np.full(n, 1), pa.concat_arrays([r.column(0) for r in rows]), held, texts,
                         None, None, None])
-            tokens = list(numbers)
-            for i in range(0, len(tokens), 50_000):
-                part = tokens[i:i + 50_000]
+            for i in range(0, len(types), 50_000):
+                part = types[i:i + 50_000]
                 n = len(part)
-                yield made([[chunk] * n, [0] * n, None, None, None, part, counts[i:i + n], np.arange(i, i + n)])
+                yield made([np.full(n, chunk), np.full(n, 0), None, None, None, part, counts[i:i + n],
+                            np.arange(i, i + n)])
 
+        none = pa.array([], pa.string())
+        # of the chunk: types, numbers of words, slices whose words have numbers of their own, rows, words a text
+        known, coded, slices, rows, lengths = none, [], [], [], []
+        size, most = 0, 0  # words, and at most so many types
         for batch in batches:
-            texts, ids, held = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for i in range(batch.num_rows):
-                words = (texts[i].as_py() or "").encode("utf-8", "surrogatepass").lower().split()
-                words.append(END)
-                row = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
-                rows.append((ids[i], held[i], row.tobytes()))
-                size += len(words)
-                if len(numbers) >= chunk_types or size >= chunk_tokens:
-                    yield from flush()
-                    numbers, rows, size = start()
-                    chunk += 1
-        yield from flush()
+            for part in _slices(batch, min(chunk_types, chunk_tokens)):
+                words, count = _words(part.column(0))
+                slices.append(words.dictionary_encode())
+                rows.append(part.select([1, 2]))  # not the texts
+                lengths.append(count)
+                size += len(words) + len(count)
+                most += len(slices[-1].dictionary)
+                if most >= 2 * chunk_types or size >= chunk_tokens:  # slices share types
+                    known, slices = _merged(known, slices, coded), []
+                    most = len(known)
+                    if most >= chunk_types or size >= chunk_tokens:
+                        yield from flush()
+                        known, coded, rows, lengths, size, most = none, [], [], [], 0, 0
+                        chunk += 1
+        if rows:
+            known = _merged(known, slices, coded)
+            yield from flush()
 
     return run
 
 
+def _merged(known: pa.Array, slices: list[pa.DictionaryArray], coded: list[np.ndarray]) -> pa.Array:
+    """The known types and, after them, the new ones of the slices, whose numbers
+    among all these are put into ``coded``."""
+    every = pa.concat_arrays([known, *(s.dictionary for s in slices)]).dictionary_encode()
+    numbers, at = every.indices.to_numpy(), len(known)
+    for s in slices:
+        coded.append(numbers[at:at + len(s.dictionary)].take(s.indices.to_numpy()))
+        at += len(s.dictionary)
+    return every.dictionary
+
+
+def _slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of texts that have no more than about ``limit`` words together: of
+    6 bytes each, or a text alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+    sizes = np.cumsum(sizes, dtype=np.int64)
+    at, done = 0, 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, done + 6 * limit, side="right")))
+        yield batch.slice(at, end - at)
+        at, done = end, sizes[end - 1]
+
+
 @dataclass(frozen=True)
 class Counts:
     """What the training tokens as a whole say (a few numbers)."""
@@ -153,16 +192,18 @@ class Counts:
 
 
 def _recode(counts: Counts, listed: int):
-    """Rows sorted by chunk, kind (0 counts and hashes, 1 numbers of listed tokens,
-    2 texts) and local number -> rows of TEXT_SCHEMA."""
+    """Rows sorted by 4 * chunk + kind (0 counts and hashes, 1 numbers of listed tokens,
+    2 texts) -> rows of TEXT_SCHEMA. Local numbers come in any order."""
     buckets = len(counts.slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, numbers, tables = None, [], [], None
 
         def compile_tables():
-            c = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-            bucket = np.concatenate([p[1] for p in parts]) % buckets if parts else np.zeros(0, np.int16)
+            c = np.zeros(sum(len(p[0]) for p in parts), np.int64)
+            bucket = np.zeros(len(c), np.int32)
+            for local, value, code in parts:
+                c[local], bucket[local] = value, code % buckets
             model = np.where(c > 1, counts.slot[bucket] + listed + 1, listed).astype(np.uint16)
             tail = counts.tail(c, bucket)
             for local, number in numbers:
@@ -171,32 +212,33 @@ def _recode(counts: Counts, listed: int):
             return c > 0, counts.base(c), tail, model
 
         for batch in batches:
-            chunks = batch.column(0).to_numpy(zero_copy_only=False)
-            kinds = batch.column(1).to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(chunks)]):
+            places = batch.column(0).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.diff(places)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(places)]):
                 if a == b:
                     continue
-                if chunks[a] != current:
-                    current, parts, numbers, tables = chunks[a], [], [], None
+                chunk, kind = divmod(int(places[a]), 4)
+                if chunk != current:
+                    current, parts, numbers, tables = chunk, [], [], None
                 part = batch.slice(a, b - a)
-                if kinds[a] == 0:
-                    parts.append((part.column(3).to_numpy(zero_copy_only=False),
-                                  part.column(7).to_numpy(zero_copy_only=False).astype(np.int32)))
-                elif kinds[a] == 1:
-                    numbers.append((part.column(2).to_numpy(zero_copy_only=False),
-                                    part.column(3).to_numpy(zero_copy_only=False)))
+                if kind == 0:
+                    parts.append((part.column(1).to_numpy(zero_copy_only=False),
+                                  part.column(2).to_numpy(zero_copy_only=False),
+                                  part.column(6).to_numpy(zero_copy_only=False).astype(np.int32)))
+                elif kind == 1:
+                    numbers.append((part.column(1).to_numpy(zero_copy_only=False),
+                                    part.column(2).to_numpy(zero_copy_only=False)))
                 else:
                     tables = tables or compile_tables()
                     known, base, tail, model = tables
                     out = []
-                    for data in part.column(6):
+                    for data in part.column(5):
                         ids = np.frombuffer(data.as_py(), np.int32)
                         out.append((len(ids), int(known[ids].sum()), float(base[ids].sum()),
                                     float(tail[ids].sum()), model[ids].tobytes()))
                     columns = list(zip(*out, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(4), part.column(5), pa.array(columns[0], pa.int64()),
+                        [part.column(3), part.column(4), pa.array(columns[0], pa.int64()),
                          pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
                          pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.binary())],
                         ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "tail_score", "ids"])
@@ -220,8 +262,8 @@ class LogBilinear:
         p = np.exp(log_unigram - log_unigram.max())
         p /= p.sum()
         self.mass = np.add.reduceat(p, starts)
-        self.below = np.concatenate([[0.0], np.cumsum(p)])  # of symbols before each
         self.log_group = np.log(self.mass).astype(np.float32)
+        self.stay, self.other = _aliases(p, self.span)
         self.log_inside = (np.log(p) - np.repeat(np.log(self.mass), self.span)[:outputs]).astype(np.float32)
         self.words = rng.normal(0, 0.1, (outputs + 1, dim)).astype(np.float32)
         self.mixers = np.stack([np.eye(dim) for _ in range(CONTEXT)]).astype(np.float32)
@@ -258,13 +300,17 @@ class LogBilinear:
 
     def _noise_inside(self, groups: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """INNER_NOISE symbols of each given group, by their frequencies."""
-        first = groups[:, None] * self.span
-        at = self.below[first] + rng.random((len(groups), INNER_NOISE)) * self.mass[groups][:, None]
-        drawn = np.searchsorted(self.below, at, side="right") - 1
-        return np.clip(drawn, first, np.minimum(first + self.span, self.outputs) - 1)
-
-    def train(self, sequences: list[np.ndarray], rate: float, rng: np.random.Generator, batch: int = 8192) -> None:
-        """One pass of noise-contrastive estimation (AdaGrad steps)."""
+        first = (groups * self.span)[:, None]
+        at = rng.random((len(groups), INNER_NOISE)) * np.minimum(self.span, self.outputs - first)
+        drawn = at.astype(np.intp)
+        at -= drawn
+        drawn += first
+        return np.where(at < self.stay.take(drawn), drawn, self.other.take(drawn))
+
+    def train(self, sequences: list[np.ndarray], rate: float, rng: np.random.Generator, batch: int = 8192,
+              piece: int = 1024) -> None:
+        """One pass of noise-contrastive estimation (AdaGrad steps). A batch's errors
+        are found ``piece`` tokens at a time, in the processor's cache."""
         contexts, tokens = self.contexts(sequences)
         order = rng.permutation(len(tokens))
         cumulative = np.cumsum(self.mass)
@@ -272,77 +318,138 @@ class LogBilinear:
         shift = self.log_inside + np.float32(np.log(INNER_NOISE))
         for i in range(0, len(order), batch):
             rows = order[i:i + batch]
-            h, w = contexts[rows], tokens[rows]
+            n, scale = len(rows), np.float32(1.0 / len(rows))
+            h, w = contexts.take(rows, axis=0).T.astype(np.intp, order="C"), tokens.take(rows).astype(np.intp)
             g = w // self.span
-            vectors = [self.words[h[:, j]] for j in range(CONTEXT)]
-            q = sum(v @ m for v, m in zip(vectors, self.mixers))
-            scale = np.float32(1.0 / len(rows))
-            # the group against groups drawn for the batch
-            drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(self.mass) - 1)
-            d_true = _missed((q * self.group_targets[g]).sum(axis=1) + self.group_bias[g] - group_shift[g])
-            d_noise = -_missed(-(q @ self.group_targets[drawn].T + self.group_bias[drawn] - group_shift[drawn]))
-            d_q = d_true[:, None] * self.group_targets[g] + d_noise @ self.group_targets[drawn]
-            self._step("group_targets", np.concatenate([g, drawn]),
-                       np.concatenate([d_true[:, None] * q, d_noise.T @ q]) * scale, rate)
-            self._step("group_bias", np.concatenate([g, drawn]),
-                       np.concatenate([d_true, d_noise.sum(axis=0)]) * scale, rate)
-            # the symbol against symbols drawn from its group
+            groups = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(self.mass) - 1)
             drawn = np.concatenate([w[:, None], self._noise_inside(g, rng)], axis=1)
-            outputs = self.targets[drawn]
-            gap = np.einsum("nkd,nd->nk", outputs, q) + self.bias[drawn] - shift[drawn]
-            d = np.concatenate([_missed(gap[:, :1]), -_missed(-gap[:, 1:])], axis=1)
-            d_q += np.einsum("nk,nkd->nd", d, outputs)
-            self._step("targets", drawn.ravel(), (d[:, :, None] * (q * scale)[:, None, :]).reshape(-1, self.dim), rate)
-            self._step("bias", drawn.ravel(), d.ravel() * scale, rate)
-            back = [d_q @ m.T for m in self.mixers]
+            vectors = np.empty((CONTEXT, n, self.dim), np.float32)
+            q, d_q = np.empty((n, self.dim), np.float32), np.empty((n, self.dim), np.float32)
+            d_true, d = np.empty(n, np.float32), np.empty(drawn.shape, np.float32)
+            noise = -self.group_targets[groups]
+            group_bias, bias = self.group_bias - group_shift, self.bias - shift
+            noise_sums, noise_bias_sums = np.zeros((NOISE, self.dim), np.float32), np.zeros(NOISE, np.float32)
+            for a in range(0, n, piece):
+                at = slice(a, a + piece)
+                for j in range(CONTEXT):
+                    np.take(self.words, h[j, at], axis=0, out=vectors[j, at], mode="clip")
+                p = sum(v[at] @ m for v, m in zip(vectors, self.mixers))
+                # the group against groups drawn for the batch
+                true = self.group_targets.take(g[at], axis=0)
+                d_true[at] = _missed(np.einsum("nd,nd->n", p, true) + group_bias.take(g[at]))
+                wrong = p @ noise.T
+                wrong -= group_bias[groups]
+                _missed(wrong, wrong)
+                noise_sums -= wrong.T @ p
+                noise_bias_sums -= wrong.sum(axis=0)
+                back = wrong @ noise
+                back += d_true[at, None] * true
+                # the symbol against symbols drawn from its group
+                outputs = self.targets.take(drawn[at], axis=0)
+                gap = np.einsum("nkd,nd->nk", outputs, p) + bias.take(drawn[at])
+                d[at, 0], d[at, 1:] = _missed(gap[:, 0]), -_missed(-gap[:, 1:])
+                back += np.einsum("nk,nkd->nd", d[at], outputs)
+                q[at], d_q[at] = p, back
+            scaled = _columns(q * scale)
+            sums = _sums(g, scaled * d_true, len(self.mass))
+            np.add.at(sums, groups, noise_sums * scale)
+            self._step("group_targets", sums, rate)
+            sums = np.bincount(g, d_true, len(self.mass))
+            np.add.at(sums, groups, noise_bias_sums)
+            self._step("group_bias", sums * scale, rate)
+            drawn, d = drawn.T.ravel(), _columns(d)
+            self._step("targets", _sums(drawn, ((d * x).ravel() for x in scaled), self.outputs), rate)
+            self._step("bias", np.bincount(drawn, d.ravel(), self.outputs) * scale, rate)
+            back = [_columns(d_q @ m.T * scale) for m in self.mixers]
             for j in range(CONTEXT):
                 gradient = vectors[j].T @ d_q * scale
                 self.squares["mixers"][j] += gradient ** 2
                 self.mixers[j] += rate * gradient / np.sqrt(self.squares["mixers"][j])
-                self._step("words", h[:, j], back[j] * scale, rate)
+                self._step("words", _sums(h[j], back[j], self.outputs + 1), rate)
 
-    def _step(self, name: str, rows: np.ndarray, gradients: np.ndarray, rate: float) -> None:
+    def _step(self, name: str, sums: np.ndarray, rate: float) -> None:
+        """An AdaGrad step by the batch's gradients; where they are zero, nothing moves."""
         table, squares = getattr(self, name), self.squares[name]
-        rows = rows.astype(np.uint16)  # symbols fit, and sort faster
-        order = np.argsort(rows, kind="stable")
-        ranked = rows[order]
-        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        sums = np.add.reduceat(gradients[order], starts, axis=0)
-        at = ranked[starts]
-        squares[at] += sums ** 2
-        table[at] += rate * sums / np.sqrt(squares[at])
-
-    def log_probabilities(self, sequences: list[np.ndarray], block: int = 1 << 15) -> np.ndarray:
-        """Sum of normalised natural log probabilities of each sequence."""
+        sums = np.asarray(sums, np.float32, order="C")
+        change = sums * sums
+        squares += change
+        np.sqrt(squares, out=change)
+        np.divide(sums, change, out=change)
+        change *= np.float32(rate)
+        table += change
+
+    def log_probabilities(self, sequences: list[np.ndarray], block: int = 1 << 18, piece: int = 1 << 12) -> np.ndarray:
+        """Sum of normalised natural log probabilities of each sequence. A block's
+        tokens are ordered by symbol, and ``piece`` tokens of one group at a time
+        are scored, so that the products stay in the processor's cache."""
         contexts, tokens = self.contexts(sequences)
         mixed = [self.words @ m for m in self.mixers]
+        outer = np.ascontiguousarray(self.group_targets.T)
+        inner = [np.ascontiguousarray(self.targets[lo:lo + self.span].T) for lo in range(0, self.outputs, self.span)]
         logs = np.empty(len(tokens), np.float64)
         for i in range(0, len(tokens), block):
-            w = tokens[i:i + block]
-            q = sum(m[contexts[i:i + block, j]] for j, m in enumerate(mixed))
+            order = np.argsort(tokens[i:i + block].astype(np.uint16), kind="stable")
+            w, h = tokens[i:i + block].take(order), contexts[i:i + block].take(order, axis=0)
             g = w // self.span
-            logs[i:i + block] = _log_softmax_at(q @ self.group_targets.T + self.group_bias, g)
-            order = np.argsort(g.astype(np.uint16), kind="stable")
-            ranked = g[order]
-            edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]]))
-            for a, b in zip(edges[:-1], edges[1:]):
-                at, lo = order[a:b], ranked[a] * self.span
-                scores = q[at] @ self.targets[lo:lo + self.span].T + self.bias[lo:lo + self.span]
-                logs[i + at] += _log_softmax_at(scores, w[at] - lo)
+            edges = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]])).tolist()
+            ranked = np.empty(len(w), np.float64)
+            for first, last in zip(edges[:-1], edges[1:]):
+                group = int(g[first])
+                lo = group * self.span
+                for a in range(first, last, piece):
+                    b = min(last, a + piece)
+                    q = sum(m.take(h[a:b, j], axis=0) for j, m in enumerate(mixed))
+                    scores = q @ outer
+                    scores += self.group_bias
+                    ranked[a:b] = _log_softmax_at(scores, group)
+                    scores = q @ inner[group]
+                    scores += self.bias[lo:lo + self.span]
+                    ranked[a:b] += _log_softmax_at(scores, w[a:b] - lo)
+            logs[i + order] = ranked
         lengths = np.array([len(s) for s in sequences])
         return np.add.reduceat(logs, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
 
 
-def _missed(gap: np.ndarray) -> np.ndarray:
+def _columns(table: np.ndarray) -> np.ndarray:
+    """The columns one after another, as bincount adds them."""
+    return table.T.astype(np.float64, order="C")
+
+
+def _sums(rows: np.ndarray, columns: Iterable[np.ndarray], n: int) -> np.ndarray:
+    """For each of n rows the sum of its values in each column."""
+    return np.array([np.bincount(rows, column, n) for column in columns], np.float32).T
+
+
+def _aliases(p: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Walker's alias tables of each ``span`` neighbours: with a symbol drawn evenly
+    from a group, the chance to stay with it, and else the symbol to go to, so
+    that a group's symbols come in proportion to ``p``."""
+    stay, other = np.ones(len(p)), np.arange(len(p))
+    for first in range(0, len(p), span):
+        share = p[first:first + span] / p[first:first + span].mean()
+        small, large = np.flatnonzero(share < 1).tolist(), np.flatnonzero(share >= 1).tolist()
+        while small and large:
+            low, high = small.pop(), large[-1]
+            stay[first + low], other[first + low] = share[low], first + high
+            share[high] -= 1 - share[low]
+            if share[high] < 1:
+                small.append(large.pop())
+    return stay, other
+
+
+def _missed(gap: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     """1 - sigmoid(gap)."""
-    return 1.0 / (1.0 + np.exp(np.minimum(gap, 80.0)))
+    out = np.minimum(gap, np.float32(80.0), out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
-def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log softmax of each row at its column; ``scores`` is used up."""
+def _log_softmax_at(scores: np.ndarray, at: np.ndarray | int) -> np.ndarray:
+    """log softmax of each row at its column (or one for all); ``scores`` is used up."""
     if scores.max() > 60 or scores.min() < -60:  # else no sum of exponentials leaves the floats
         scores -= scores.max(axis=1, keepdims=True)
-    own = scores[np.arange(len(at)), at]
+    own = scores[np.arange(len(scores)), at]
     return own - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
 
 
@@ -449,10 +556,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.select("text", "doc_id", (id_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
     chunks, chunks_at = stage(rows.mapInArrow(_tokenise(chunk_types, chunk_tokens), CHUNK_SCHEMA))
     tokens = chunks.filter("kind = 0").select("chunk", "local", "token", "n")
-    same = Window.partitionBy("token")
+    same = Window.partitionBy("token").orderBy("chunk")  # one order for both, so one sort
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted, counted_at = stage(
-        tokens.withColumn("c", F.sum("n").over(same))
-        .withColumn("lead", F.row_number().over(same.orderBy("chunk")) == 1)
+        tokens.withColumn("c", F.sum("n").over(whole))
+        .withColumn("lead", F.row_number().over(same) == 1)
         .select("chunk", "local", "c", F.when(F.col("lead"), F.col("token")).alias("token"),
                 F.pmod(F.xxhash64("token"), F.lit(MOST_SYMBOLS)).cast("short").alias("hash")))
     types = counted.filter("token IS NOT NULL AND c > 0")
@@ -480,18 +588,21 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numbers = tokens.select("chunk", "local", "token").join(F.broadcast(listed), "token")
     nothing = F.lit(None)
     short = nothing.cast("short")
-    met = (counted.select("chunk", F.lit(0).alias("kind"), "local", F.col("c").alias("value"),
+
+    def place(kind: int) -> Column:  # one number, which Spark sorts by radix
+        return (F.col("chunk") * 4 + kind).alias("place")
+
+    met = (counted.select(place(0), "local", F.col("c").alias("value"),
                           nothing.cast("long").alias("doc_id"), nothing.cast("boolean").alias("held_out"),
                           nothing.cast("binary").alias("ids"), "hash")
-           .unionByName(numbers.select("chunk", F.lit(1).alias("kind"), "local",
-                                       F.col("number").cast("long").alias("value"),
+           .unionByName(numbers.select(place(1), "local", F.col("number").cast("long").alias("value"),
                                        nothing.cast("long").alias("doc_id"),
                                        nothing.cast("boolean").alias("held_out"),
                                        nothing.cast("binary").alias("ids"), short.alias("hash")))
            .unionByName(chunks.filter("kind = 1").select(
-               "chunk", F.lit(2).alias("kind"), nothing.cast("int").alias("local"),
-               nothing.cast("long").alias("value"), "doc_id", "held_out", "ids", short.alias("hash"))))
-    texts, _ = stage(met.repartition("chunk").sortWithinPartitions("chunk", "kind", "local")
+               place(2), nothing.cast("int").alias("local"), nothing.cast("long").alias("value"),
+               "doc_id", "held_out", "ids", short.alias("hash"))))
+    texts, _ = stage(met.repartition(F.shiftright("place", 2)).sortWithinPartitions("place")
                      .mapInArrow(_recode(counts, len(top)), TEXT_SCHEMA))
     drop_table(docs.sparkSession, chunks_at)
     drop_table(docs.sparkSession, counted_at)
