@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -46,6 +47,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cartwheel.functions.sizing import ensure_checkpoint_dir
 
@@ -73,9 +75,10 @@ class WaveletMatrix:
                 piece = order[at:at + BLOCK]
                 bits = (piece & mask).astype(bool)
                 blocks.append(squeeze(np.packbits(bits).tobytes()))
-                moved.append(piece[bits])
+                # By places: a mask costs a mispredicted branch a token.
+                moved.append(piece.take(np.flatnonzero(bits)))
                 ones.append(ones[-1] + len(moved[-1]))
-                rest = piece[~bits]
+                rest = piece.take(np.flatnonzero(~bits))
                 below[zeros:zeros + len(rest)] = rest
                 zeros += len(rest)
             below[zeros:] = np.concatenate(moved) if moved else 0
@@ -197,8 +200,8 @@ class WaveletMatrix:
                 place = above[block * BLOCK:(block + 1) * BLOCK]
                 ones = np.unpackbits(np.frombuffer(unpack(self.data[a:b]), np.uint8), count=len(place)).view(bool)
                 n = int(before[block + 1] - before[block])
-                place[ones] = order[one:one + n] | mask
-                place[~ones] = order[zero:zero + len(place) - n]
+                place[np.flatnonzero(ones)] = order[one:one + n] | mask
+                place[np.flatnonzero(~ones)] = order[zero:zero + len(place) - n]
                 zero, one = zero + len(place) - n, one + n
             order, above = above, order
         return order
@@ -206,6 +209,8 @@ class WaveletMatrix:
 
 PUNCTUATION = ".,;:!?#$%&*()-+=/"
 TAIL = PUNCTUATION.encode()
+# A tokenizer's rule that leaves runs of letters whole.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class PieceEncoder:
@@ -217,11 +222,10 @@ class PieceEncoder:
     tokenizer's file says makes pieces fewer and calls longer: if it lower-cases,
     so are ASCII letters beforehand (but not in texts with an added token); if it
     marks ends of words, many words are encoded in one call and cut at the
-    marks, and punctuation after a word is a piece of its own."""
+    marks, punctuation after a word is a piece of its own, and words that its
+    normaliser and splitting rule leave alone go to its model without these."""
 
     def __init__(self, tokenizer_json: str, keep: int = 1 << 18, longest: int = 64) -> None:
-        from tokenizers import Tokenizer
-
         self.tokenizer, self.keep, self.longest = Tokenizer.from_str(tokenizer_json), keep, longest
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -235,14 +239,37 @@ class PieceEncoder:
         self.ends[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
         cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(f"ab{PUNCTUATION}") if spec["pre_tokenizer"] else []
         self.apart = [token for token, _ in cut] == ["ab", PUNCTUATION]
+        self.plain, self.steady = self._plain(spec) if mark and self.apart else (None, None)
+
+    def _plain(self, spec: dict) -> tuple:
+        """The same model without the steps that leave words of some letters as they
+        are, and what tells such words: lower-case letters below U+0530, where no
+        letter composes with another, that this tokenizer neither changes nor splits."""
+        steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
+        rules = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
+        rules = rules.get("normalizers", [rules])
+        if (any(s["type"] != "ByteLevel" and (s["type"] != "Split" or s["pattern"] != {"Regex": WORDS}) for s in steps)
+                or any(r["type"] not in ("NFC", "NFKC", "Lowercase") and r.get("pattern") != {"Regex": r"\s+"}
+                       for r in rules)):
+            return None, None
+        letters = [c for c in map(chr, range(0x61, 0x530)) if c.isalpha() and c == c.lower()]
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        letters = [c for c in letters if (not normal or normal.normalize_str(f"a{c}b") == f"a{c}b")
+                   and len(cut(f"a{c}b")) == len(cut(f"{c}{c}")) == 1]
+        if not letters:
+            return None, None
+        steps = [{"type": "WhitespaceSplit"}, *(s for s in steps if s["type"] == "ByteLevel")]
+        plain = {**spec, "normalizer": None, "added_tokens": [], "post_processor": None,
+                 "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}
+        return Tokenizer.from_str(json.dumps(plain)), re.compile(f"[{''.join(letters)}]+").fullmatch
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         return [np.asarray(c.ids, "<u4").tobytes()
                 for c in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _words(self, words: list[str], tokenizer: Tokenizer) -> list[bytes]:
         """Numbers of words of letters."""
-        coded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        coded = tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
         ids = np.asarray(coded.ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):  # no such marks
@@ -252,22 +279,34 @@ class PieceEncoder:
 
     def _learn(self, new: list[bytes]) -> None:
         """Put the numbers of these pieces, at most a few thousand, into ``young``."""
-        young, known, words, others, joined = self.young, {b"": b""}, {}, {}, []
-        for piece in new:
+        young, known, steady = self.young, {b"": b""}, self.steady
+        plain, words, others, joined = {}, {}, {}, []
+        for piece, text in zip(new, b" ".join(new).decode().split(" "), strict=True):
+            if steady and steady(text):
+                plain[piece] = text
+                continue
             word, rest = (piece.rstrip(TAIL) if self.apart else b""), piece
             if word:
-                if not (text := word.decode()).isalpha():
-                    word = b""
-                elif word in young:
+                text = text[:len(text) - len(piece) + len(word)]
+                if word in young:
                     known[word] = young[word]
-                else:
+                elif steady and steady(text):
+                    plain[word] = text
+                elif text.isalpha():
                     words[word] = text
+                else:
+                    word = b""
                 rest = piece[len(word):]
             if rest and rest not in others:
                 others[rest] = rest.decode()
             joined.append((piece, word, rest))
-        known.update(zip(words, self._words(list(words.values())), strict=True) if words else ())
-        known.update(zip(others, self._one_by_one(list(others.values())), strict=True))
+        if plain:
+            known.update(zip(plain, self._words(list(plain.values()), self.plain), strict=True))
+            young.update((piece, known[piece]) for piece in new if piece in plain)
+        if words:
+            known.update(zip(words, self._words(list(words.values()), self.tokenizer), strict=True))
+        if others:
+            known.update(zip(others, self._one_by_one(list(others.values())), strict=True))
         young.update((piece, known[word] + known[rest]) for piece, word, rest in joined)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -280,12 +319,16 @@ class PieceEncoder:
         if len(self.young) > self.keep:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        missing = [p for p, numbers in zip(pieces, map(young.get, pieces), strict=True) if numbers is None]
-        young.update((p, old[p]) for p in missing if p in old)
-        new = [p for p in missing if p not in young]
+        coded = list(map(young.get, pieces))
+        missing = [i for i, numbers in enumerate(coded) if numbers is None]
+        names = list(map(pieces.__getitem__, missing))
+        before = list(map(old.get, names))
+        young.update((p, numbers) for p, numbers in zip(names, before) if numbers is not None)
+        new = [p for p, numbers in zip(names, before) if numbers is None]
         for at in range(0, len(new), 2048):
             self._learn(new[at:at + 2048])
-        coded = list(map(young.__getitem__, pieces))
+        for i in missing:
+            coded[i] = young[pieces[i]]
         for piece in new:
             if len(piece) > self.longest:
                 del young[piece]
@@ -300,13 +343,15 @@ class PieceEncoder:
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\n\x0b\x0c\r")] = True
 _POWERS = np.multiply.accumulate(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+_SHORT = 64  # bytes of a run that is hashed, eight at a time
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of the first n of eight bytes
 
 
 def _distinct_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct runs between ASCII white space; for every run in order its
-    number among them, and its text. Runs are grouped by a hash of their bytes
+    number among them, and its text. Short runs are grouped by a hash of their bytes
     and compared byte by byte with the first of the group."""
-    joined = b"\n".join([*texts, b""])
+    joined = b"\n".join([*texts, b"\n" * 8])  # so that eight bytes can be read at any place
     data = np.frombuffer(joined, np.uint8)
     blank = _BLANK[data]
     edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
@@ -316,16 +361,29 @@ def _distinct_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.nd
     if not len(starts):
         return [], starts, of_text
     sizes = ends - starts
-    place = np.flatnonzero(~blank)
-    letters = data[place].astype(np.uint64) + np.uint64(1)
-    inside = place - np.repeat(starts, sizes)
-    firsts = np.cumsum(sizes) - sizes
-    hashes = np.add.reduceat(letters * _POWERS[np.minimum(inside, len(_POWERS) - 1)], firsts)
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    eight = np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,))
+    short = sizes <= _SHORT
+    hashes = sizes.astype(np.uint64) * _POWERS[-1]
+    words = []  # the runs that have them, and their next eight bytes
+    rows = np.flatnonzero(short)
+    while len(rows):
+        at = 8 * len(words)
+        word = eight[starts[rows] + at] & _MASKS[np.minimum(sizes[rows] - at, 8)]
+        hashes[rows] += word * _POWERS[len(words)]
+        words.append((rows, word))
+        rows = rows[sizes[rows] > at + 8]
+    groups = pa.array(hashes).dictionary_encode()
+    which = groups.indices.to_numpy().astype(np.intp)
+    first = np.empty(len(groups.dictionary), np.intp)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)  # the last to be written stays
     same = first[which]
-    if (sizes == sizes[same]).all() and (data[place + np.repeat(starts[same] - starts, sizes)] == data[place]).all():
+    equal = short.all() and (sizes == sizes[same]).all()
+    for k, (rows, word) in enumerate(words):
+        own = same[rows]
+        equal = equal and (word == eight[starts[own] + 8 * k] & _MASKS[np.minimum(sizes[own] - 8 * k, 8)]).all()
+    if equal:
         return [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], which, of_text
-    numbers: dict[bytes, int] = {}  # two different runs have one hash
+    numbers: dict[bytes, int] = {}  # a long run, or two different runs have one hash
     which = np.fromiter((numbers.setdefault(joined[a:b], len(numbers))
                          for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
     return list(numbers), which, of_text

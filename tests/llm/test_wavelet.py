@@ -1,5 +1,6 @@
 """Wavelet-matrix files: token access, counting, search, round trip."""
 
+import time
 import zlib
 
 import numpy as np
@@ -75,6 +76,57 @@ def test_pieces_of_one_hash_are_told_apart(monkeypatch):
         assert len(pieces) == 4 and of_text.tolist() == [0, 0, 0, 3, 3, 3]
 
 
+def test_longer_pieces_of_one_hash_are_told_apart(monkeypatch):
+    halves = b"abcdefgh" b"ijklmnop" + b" " + b"ijklmnop" b"abcdefgh" + b" " + b"abcdefgh" b"ijklmnop"
+    texts = [halves, b"x" * 64 + b" " + b"x" * 65 + b"\t" + b"x" * 65, b"a a\x00 a\x00\x00 a"]
+    want = [t.split() for t in texts]
+    for powers in (wavelet._POWERS, np.ones(4096, np.uint64)):  # swapped halves collide
+        monkeypatch.setattr(wavelet, "_POWERS", powers)
+        for some, words in ((texts, want), (texts[::2], want[::2])):
+            pieces, which, of_text = wavelet._distinct_pieces(some)
+            assert [pieces[i] for i in which] == sum(words, []) and len(set(pieces)) == len(pieces)
+            assert np.bincount(of_text).tolist() == [len(w) for w in words]
+
+
+def test_steady_words_go_to_the_model_alone():
+    """Words of lower-case letters need no normaliser and no splitting rule."""
+    words = ["fox", "\u00fcber", "na\u00efve", "\u0441\u043b\u043e\u0432\u043e", "\u03c3\u03bf\u03c6\u03cc\u03c2",
+             "qzxjvw" * 9]
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        coder = PieceEncoder(f.read())
+    coder.tokenizer = None
+    tokens, counts = coder.encode([f"Fox {w}\n".encode() for w in words])
+    assert [x.tolist() for x in np.split(tokens, np.cumsum(counts)[:-1])] == plain([f"Fox {w}" for w in words])
+    for odd in ("\u0130", "\u00b2", "e\u0301", "\u1100\u1161", "\ufb01", "\u01c5", "it's", "a1", "A"):
+        assert not coder.steady(f"a{odd}b")
+    every = ["a" + chr(i) + "b" for i in range(0x80, 0x600)] + ["\u00e9\u00e8" + chr(i) for i in range(0x61, 0x530)]
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        coder = PieceEncoder(f.read())
+    tokens, counts = coder.encode([w.encode() for w in every])
+    assert [x.tolist() for x in np.split(tokens, np.cumsum(counts)[:-1])] == plain(every)
+
+
+def test_planes_take_little_time():
+    """Thread time of making and reading a matrix against moving its tokens by places."""
+    tokens = np.random.default_rng(0).integers(0, 49_408, 1_000_000)
+    bits = (tokens[:65_536] & 1).astype(bool)
+    piece = tokens[:65_536].astype(np.uint16)
+
+    def seconds(run):
+        best = np.inf
+        for _ in range(5):
+            start = time.thread_time()
+            run()
+            best = min(best, time.thread_time() - start)
+        return best
+
+    unit = seconds(lambda: [piece.take(np.flatnonzero(b)) for b in (bits, ~bits) for _ in range(100)]) / 100
+    planes = 16 * len(tokens) / 65_536
+    data = WaveletMatrix.build(tokens)
+    assert seconds(lambda: WaveletMatrix.build(tokens)) < 2 * planes * unit
+    assert seconds(lambda: WaveletMatrix(data).decode()) < 2 * planes * unit
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.one_of(st.text(max_size=60), st.text("aB\u00e9\u0301'.,#s <|\u2160\u00aa\n", max_size=30)))
 def test_pieces_of_any_text(text):
