@@ -615,7 +615,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch, sequences in _groups(batches, 6, 2_000_000):
+        for batch, sequences in _groups(batches, 6, 500_000):
             scores = own.log_probabilities(sequences) / LN10
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(scores)],
                                              [*batch.schema.names[:6], "model_score"])
