@@ -92,7 +92,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                                   F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e"))
                    .select("e.a", "e.b"))
-        return out.filter(F.col("a") != F.col("b")).distinct()
+        return out.filter(F.col("a") != F.col("b"))
 
     # Edges point from the larger node (a) to the smaller (b).
     current, path = stage(edges.filter(F.col("a") != F.col("b"))
@@ -100,8 +100,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
                           .distinct())
     before = _checksum(current)
     while before[0]:
-        # large-star emits (v, m) with v > u >= m: still larger to smaller.
-        following, next_path = stage(star(star(current, True), False))
+        # large-star emits (v, m) with v > u >= m: still larger to smaller, and
+        # one row an edge, so what it repeats is dropped with the small-star's.
+        following, next_path = stage(star(star(current, True), False).distinct())
         after = _checksum(following)
         drop_table(spark, path)
         current, path = following, next_path

@@ -86,19 +86,21 @@ def train_svm(rows: Sequence[np.ndarray], labels: np.ndarray, values: np.ndarray
     """
     w = np.zeros(size + 1)
     n = len(rows)
-    x = []
-    for r in rows:
+
+    def scaled(r: np.ndarray) -> np.ndarray:
         v = np.ones(len(r)) if values is None else values[r]
         norm = np.sqrt(v @ v)
-        x.append(v / norm if norm > 0 else np.zeros(len(r)))
-    square = np.array([v @ v + 1.0 for v in x])
+        return v / norm if norm > 0 else np.zeros(len(r))
+
+    # Made anew at each visit: kept, they take twice the memory of ``rows``.
+    square = np.array([v @ v + 1.0 for v in map(scaled, rows)])
     upper = np.full(n, cost) if costs is None else cost * costs
     alpha = np.zeros(n)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(n):
-            y, r, v = labels[i], rows[i], x[i]
+            y, r, v = labels[i], rows[i], scaled(rows[i])
             gradient = y * (w[r] @ v + w[size]) - 1.0
             old = alpha[i]
             new = min(max(old - gradient / square[i], 0.0), upper[i])

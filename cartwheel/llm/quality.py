@@ -23,6 +23,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,12 +107,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 2500, bits:
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
              .join(F.broadcast(sample), "doc_id").select("text", "quality", "doc_id"))
     table = gram_rows(texts, lambda: Features(bits, sizes), "grams binary, quality int, doc_id long").toArrow()
-    rows = sorted(zip(table["doc_id"].to_pylist(), table["grams"].to_pylist(),
-                      table["quality"].to_pylist(), strict=True))
-    del table  # the driver keeps the sample once, and only while it is fitted
+    # The driver keeps the sample once, as it came, and only while it is fitted.
+    order = pc.sort_indices(table, [(c, "ascending") for c in ("doc_id", "grams", "quality")]).to_pylist()
+    model = _fit_table(table, order, bits, tuple(sizes))
+    del table
     pa.default_memory_pool().release_unused()
-    sets = [np.frombuffer(g, np.int32) for _, g, _ in rows]
-    return fit_model(sets, np.array([q for _, _, q in rows], np.int64), bits, tuple(sizes))
+    return model
+
+
+def _fit_table(table: pa.Table, order: list[int], bits: int, sizes: tuple[int, ...]) -> QualityModel:
+    """Model from the rows of (grams, quality), which are not copied."""
+    grams = table["grams"]
+    sets = [np.frombuffer(grams[i].as_buffer(), np.int32) for i in order]
+    return fit_model(sets, table["quality"].to_numpy()[order].astype(np.int64), bits, sizes)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text",

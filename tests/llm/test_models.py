@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from unittest import mock
@@ -23,6 +24,7 @@ from cartwheel.llm import queries as llm
 from cartwheel.llm.language import fit_language, identify
 from cartwheel.llm.log_bilinear import INNER_NOISE, NOISE, Counts, LogBilinear, score_texts, symbols_for
 from cartwheel.llm.mixing import leaf_budgets, mix
+from cartwheel.llm.ngrams import train_svm
 from cartwheel.llm.quality import fit_quality, score_quality
 from cartwheel.llm.secrets import (
     FULL_DATE, SUBSTITUTES, YEAR, GuessCost, base_spans, common_words, guess_spans, scan_secrets)
@@ -70,6 +72,41 @@ def test_quality_of_awkward_rows(spark):
     assert score_quality(nothing(spark), fit_quality(docs, labels)).count() == 0
 
 
+def test_support_vectors_are_fitted_without_a_copy_of_the_rows():
+    rng = np.random.default_rng(1)
+    rows = [np.sort(rng.choice(4000, 1500, replace=False)).astype(np.int32) for _ in range(600)]
+    labels, values = np.where(np.arange(600) % 3, 1.0, -1.0), rng.random(4000)
+    tracemalloc.start()
+    got = train_svm(rows, labels, values, 4000, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(r.nbytes for r in rows) / 4
+    # The same steps with all scaled rows kept.
+    kept = [values[r] / np.sqrt(values[r] @ values[r]) for r in rows]
+    w, alpha, order = np.zeros(4001), np.zeros(600), np.random.default_rng(5)
+    for _ in range(2):
+        for i in order.permutation(600):
+            r, v = rows[i], kept[i]
+            new = min(max(alpha[i] - (labels[i] * (w[r] @ v + w[-1]) - 1) / (v @ v + 1), 0.0), 1.0)
+            w[r] += (new - alpha[i]) * labels[i] * v
+            w[-1] += (new - alpha[i]) * labels[i]
+            alpha[i] = new
+    assert np.allclose(got, w)
+
+
+def test_quality_sample_is_held_once_on_the_driver(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    fit_quality(docs, labels, bits=8)
+    tracemalloc.start()
+    with mock.patch("cartwheel.llm.quality.fit_model") as fit:
+        fit_quality(docs, labels)
+        sets, known = fit.call_args.args[:2]
+        peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Collected once: views of what came, no second copy beside it.
+    assert len(sets) == len(known) > 100 and peak < 1.5 * sum(x.nbytes for x in sets)
+
+
 def test_language_model_base_scores_against_brute_force(spark):
     got = score_texts(awkward(spark), symbols=8, dim=4, chunk_types=50).collect()
     texts = [(r[0], re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "")) + [None])
