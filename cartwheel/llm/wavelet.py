@@ -48,6 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from cartwheel.functions.sizing import ensure_checkpoint_dir
 
@@ -218,17 +219,19 @@ class PieceEncoder:
     ``tokenizers`` library that drops white space.
 
     ``young`` and ``old`` hold the numbers of pieces met lately, as bytes: when
-    ``keep`` are young, they become the old ones, and older ones go. What the
+    ``keep`` are young, or take ``32 * keep`` bytes, they become the old ones, and
+    older ones go. What the
     tokenizer's file says makes pieces fewer and calls longer: if it lower-cases,
     so are ASCII letters beforehand (but not in texts with an added token); if it
     marks ends of words, many words are encoded in one call and cut at the
     marks, punctuation after a word is a piece of its own, and words that its
     normaliser and splitting rule leave alone go to its model without these."""
 
-    def __init__(self, tokenizer_json: str, keep: int = 1 << 18, longest: int = 64) -> None:
+    def __init__(self, tokenizer_json: str, keep: int = 1 << 20, longest: int = 64) -> None:
         self.tokenizer, self.keep, self.longest = Tokenizer.from_str(tokenizer_json), keep, longest
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the young ones and their numbers
         spec = json.loads(tokenizer_json)
         rules = spec.get("normalizer") or {}
         self.fold = any(r["type"] == "Lowercase" for r in rules.get("normalizers", [rules]) if r)
@@ -248,7 +251,9 @@ class PieceEncoder:
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         rules = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
         rules = rules.get("normalizers", [rules])
-        if (any(s["type"] != "ByteLevel" and (s["type"] != "Split" or s["pattern"] != {"Regex": WORDS}) for s in steps)
+        if (spec["model"]["type"] != "BPE"
+                or any(s["type"] != "ByteLevel" and (s["type"] != "Split" or s["pattern"] != {"Regex": WORDS})
+                       for s in steps)
                 or any(r["type"] not in ("NFC", "NFKC", "Lowercase") and r.get("pattern") != {"Regex": r"\s+"}
                        for r in rules)):
             return None, None
@@ -261,7 +266,12 @@ class PieceEncoder:
         steps = [{"type": "WhitespaceSplit"}, *(s for s in steps if s["type"] == "ByteLevel")]
         plain = {**spec, "normalizer": None, "added_tokens": [], "post_processor": None,
                  "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}
-        return Tokenizer.from_str(json.dumps(plain)), re.compile(f"[{''.join(letters)}]+").fullmatch
+        plain = Tokenizer.from_str(json.dumps(plain))
+        # No word comes twice: the model's own memory of words only costs time.
+        rules = {k: v for k, v in spec["model"].items() if k not in ("type", "vocab", "merges") and v is not None}
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+        plain.model = BPE(spec["model"]["vocab"], merges, cache_capacity=0, **rules)
+        return plain, re.compile(f"[{''.join(letters)}]+").fullmatch
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         return [np.asarray(c.ids, "<u4").tobytes()
@@ -277,14 +287,22 @@ class PieceEncoder:
         data, ends = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [data[a:b] for a, b in zip(ends, ends[1:])]
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Put the numbers of these pieces, at most a few thousand, into ``young``."""
-        young, known, steady = self.young, {b"": b""}, self.steady
-        plain, words, others, joined = {}, {}, {}, []
-        for piece, text in zip(new, b" ".join(new).decode().split(" "), strict=True):
-            if steady and steady(text):
-                plain[piece] = text
-                continue
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """The numbers of these pieces, at most a few thousand."""
+        young, steady = self.young, self.steady
+        texts = b" ".join(new).decode().split(" ")
+        left = range(len(new))
+        out = [b""] * len(new)
+        if steady:
+            alone = list(map(steady, texts))
+            whole = [i for i, match in enumerate(alone) if match]
+            if whole:
+                for i, numbers in zip(whole, self._words([texts[i] for i in whole], self.plain), strict=True):
+                    out[i] = numbers
+            left = [i for i, match in enumerate(alone) if not match]
+        known, plain, words, others, joined = {b"": b""}, {}, {}, {}, []
+        for i in left:
+            piece, text = new[i], texts[i]
             word, rest = (piece.rstrip(TAIL) if self.apart else b""), piece
             if word:
                 text = text[:len(text) - len(piece) + len(word)]
@@ -299,15 +317,16 @@ class PieceEncoder:
                 rest = piece[len(word):]
             if rest and rest not in others:
                 others[rest] = rest.decode()
-            joined.append((piece, word, rest))
+            joined.append((i, word, rest))
         if plain:
             known.update(zip(plain, self._words(list(plain.values()), self.plain), strict=True))
-            young.update((piece, known[piece]) for piece in new if piece in plain)
         if words:
             known.update(zip(words, self._words(list(words.values()), self.tokenizer), strict=True))
         if others:
             known.update(zip(others, self._one_by_one(list(others.values())), strict=True))
-        young.update((piece, known[word] + known[rest]) for piece, word, rest in joined)
+        for i, word, rest in joined:
+            out[i] = known[word] + known[rest]
+        return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all texts, one after another, and how many each has."""
@@ -316,22 +335,27 @@ class PieceEncoder:
             low = text.lower() if self.fold else text  # of ASCII letters
             folded.append(text if any(t in low for t in self.added) else low)
         pieces, which, of_text = _distinct_pieces(folded)
-        if len(self.young) > self.keep:
-            self.young, self.old = {}, self.young
+        if len(self.young) > self.keep or self.held > 32 * self.keep:
+            self.young, self.old, self.held = {}, self.young, 0
         young, old = self.young, self.old
         coded = list(map(young.get, pieces))
         missing = [i for i, numbers in enumerate(coded) if numbers is None]
         names = list(map(pieces.__getitem__, missing))
-        before = list(map(old.get, names))
-        young.update((p, numbers) for p, numbers in zip(names, before) if numbers is not None)
-        new = [p for p, numbers in zip(names, before) if numbers is None]
+        numbers = list(map(old.get, names))
+        new = [p for p, found in zip(names, numbers) if found is None]
+        learned = []
         for at in range(0, len(new), 2048):
-            self._learn(new[at:at + 2048])
-        for i in missing:
-            coded[i] = young[pieces[i]]
+            learned += self._learn(new[at:at + 2048])
+            young.update(zip(new[at:at + 2048], learned[at:]))
+        following = iter(learned)
+        numbers = [next(following) if found is None else found for found in numbers]
+        for i, found in zip(missing, numbers):
+            coded[i] = found
+        young.update(zip(names, numbers))
+        self.held += sum(map(len, names)) + sum(map(len, numbers))
         for piece in new:
             if len(piece) > self.longest:
-                del young[piece]
+                self.held -= len(piece) + len(young.pop(piece))
         numbers = np.frombuffer(b"".join(coded), "<u4")
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         size = sizes[which]

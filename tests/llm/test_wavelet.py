@@ -106,6 +106,26 @@ def test_steady_words_go_to_the_model_alone():
     assert [x.tolist() for x in np.split(tokens, np.cumsum(counts)[:-1])] == plain(every)
 
 
+def test_words_met_among_400_000_others_are_not_encoded_again():
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        coder = PieceEncoder(f.read())
+    letters = np.random.default_rng(3).integers(97, 123, (400_000, 7), np.uint8)
+    texts = [b" ".join(x.tobytes() for x in part) for part in np.split(letters, 10)]
+    first = [coder.encode([text])[0] for text in texts]
+    coder._learn = None
+    assert all((coder.encode([text])[0] == numbers).all() for text, numbers in zip(texts, first))
+
+
+def test_kept_pieces_are_bounded_by_their_bytes():
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        coder = PieceEncoder(f.read(), keep=1000)
+    letters = np.random.default_rng(3).integers(97, 123, (4000, 60), np.uint8)
+    for part in np.split(letters, 100):
+        coder.encode([b" ".join(x.tobytes() for x in part)])
+        size = [sum(len(piece) + len(numbers) for piece, numbers in x.items()) for x in (coder.young, coder.old)]
+        assert max(size) < 32 * 1000 + 40 * 300 and size[0] == coder.held
+
+
 def test_planes_take_little_time():
     """Thread time of making and reading a matrix against moving its tokens by places."""
     tokens = np.random.default_rng(0).integers(0, 49_408, 1_000_000)
