@@ -306,14 +306,14 @@ class PieceEncoder:
             word, rest = (piece.rstrip(TAIL) if self.apart else b""), piece
             if word:
                 text = text[:len(text) - len(piece) + len(word)]
-                if word in young:
+                if not text.isalpha():  # signs belong to the run of signs behind them
+                    word = b""
+                elif word in young:
                     known[word] = young[word]
                 elif steady and steady(text):
                     plain[word] = text
-                elif text.isalpha():
-                    words[word] = text
                 else:
-                    word = b""
+                    words[word] = text
                 rest = piece[len(word):]
             if rest and rest not in others:
                 others[rest] = rest.decode()

@@ -116,6 +116,13 @@ def test_words_met_among_400_000_others_are_not_encoded_again():
     assert all((coder.encode([text])[0] == numbers).all() for text, numbers in zip(texts, first))
 
 
+def test_signs_met_alone_are_not_cut_from_signs():
+    with open(WORD_TOKENIZER, encoding="utf-8") as f:
+        coder = PieceEncoder(f.read())
+    for text in ("< \u0301 \u00b2", "<, \u0301# \u00b2."):
+        assert coder.encode([text.encode()])[0].tolist() == plain([text])[0]
+
+
 def test_kept_pieces_are_bounded_by_their_bytes():
     with open(WORD_TOKENIZER, encoding="utf-8") as f:
         coder = PieceEncoder(f.read(), keep=1000)
